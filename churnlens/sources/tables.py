@@ -24,3 +24,32 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no metric history at {path}")
     return spark.read.schema(METRICS).parquet(path)
+
+
+# SQL names of the three tables.
+STAGING_VIEW = "staging_customer_churn"
+PRODUCTION_VIEW = "customer_churn_analytics"
+METRICS_VIEW = "data_quality_metrics"
+
+
+def register_views(
+    spark: SparkSession,
+    staging_base: str | None = None,
+    production_base: str | None = None,
+    metrics_path: str | None = None,
+) -> list[str]:
+    """Expose the current table versions as temporary views for ``spark.sql``.
+
+    Returns the names registered. Views are plans, not copies: a query reads
+    the files of the version that was current at registration.
+    """
+    names = []
+    for base, reader, view in (
+        (staging_base, read_staging, STAGING_VIEW),
+        (production_base, read_production, PRODUCTION_VIEW),
+        (metrics_path, read_metrics, METRICS_VIEW),
+    ):
+        if base:
+            reader(spark, base).createOrReplaceTempView(view)
+            names.append(view)
+    return names
