@@ -26,6 +26,7 @@ def impute(
     median_int: Iterable[str] = (),
     mean: Iterable[str] = (),
     mode: Iterable[str] = (),
+    median_accuracy: int | None = None,
 ) -> DataFrame:
     """Fill NULLs column by column.
 
@@ -34,7 +35,10 @@ def impute(
       truncated toward zero to an integer. The median's aggregation state
       is a value->count map, so it is meant for columns with a bounded
       number of distinct values (ages, counts); it merges partial maps
-      from every task.
+      from every task. For columns with unbounded cardinality pass
+      ``median_accuracy`` to use ``percentile_approx`` instead (bounded
+      sketch per task; rank error at most rows/accuracy) -- an explicit
+      choice, never made silently.
     - ``mean``: unrounded mean of the non-NULL values, as a double; the
       column becomes a double so later steps see the unrounded fill.
     - ``mode``: most frequent non-NULL value, the smallest one on ties.
@@ -44,8 +48,13 @@ def impute(
     constants = dict(constants or {})
     median_int, mean, mode = list(median_int), list(mean), list(mode)
 
+    def median(c: str):
+        if median_accuracy is None:
+            return F.median(c)
+        return F.percentile_approx(F.col(c), 0.5, median_accuracy)
+
     stats = (
-        [F.median(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
+        [median(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
         + [exact_avg(c).alias(_stat_name("mean", c)) for c in mean]
         + [F.mode(c, True).alias(_stat_name("mode", c)) for c in mode]
     )

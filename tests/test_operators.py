@@ -194,3 +194,13 @@ def test_python_timestamp_text(spark):
     )
     got = [r[0] for r in df.select(python_timestamp_text("ts")).collect()]
     assert got == [str(dt.datetime(2024, 1, 2, 3, 4, 5)), str(dt.datetime(2024, 1, 2, 3, 4, 5, 120))]
+
+
+def test_impute_approx_median_option(spark):
+    df = spark.range(1, 1002).select(
+        F.when(F.col("id") == 1001, None).otherwise(F.col("id")).alias("x")
+    )
+    exact = impute(df, median_int=["x"]).where(F.col("x") == 500).count()
+    assert exact == 2  # the filled row got the truncated median 500.5 -> 500
+    approx = impute(df, median_int=["x"], median_accuracy=10000).collect()[-1]["x"]
+    assert abs(approx - 500) <= 1
