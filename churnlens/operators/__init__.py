@@ -19,6 +19,7 @@ from churnlens.operators.reports import (
     band_counts,
     segment_profile,
     segment_rate,
+    segment_rates,
     summary,
     to_json_lines,
 )
@@ -42,6 +43,7 @@ __all__ = [
     "reconcile_counts",
     "segment_profile",
     "segment_rate",
+    "segment_rates",
     "select_field",
     "summary",
     "table_band",

@@ -68,6 +68,51 @@ def segment_rate(
     ).select(key_alias, "count", falsy_to_zero("churn_rate").alias("churn_rate"))
 
 
+def segment_rates(
+    df: DataFrame,
+    keys: tuple[str, ...] | list[str],
+    flag: str = "ChurnFlag",
+) -> DataFrame:
+    """:func:`segment_rate` for several segment keys at once, in one pass.
+
+    One aggregation over grouping sets (one scan, one shuffle) instead of a
+    union of per-key reports that would each recompute the input. Output
+    ``(segment_key, segment, count, churn_rate)``: the key's name, the
+    segment value as text, its row count and rounded churn rate (NULL -> 0).
+    Ordered by key (in the given order), then riskiest segment first.
+    """
+    keys = list(keys)
+    n = len(keys)
+    gid = F.grouping_id()
+    grouped = df.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("count"),
+        F.round(rate_percent(flag), 2).alias("churn_rate"),
+        gid.alias("__gid"),
+    )
+    # In the set of key i only that key is grouped: its grouping bit is 0.
+    full = (1 << n) - 1
+    which = {full - (1 << (n - 1 - i)): i for i in range(n)}
+    key_name = value = order = None
+    for g, i in which.items():
+        cond = F.col("__gid") == F.lit(g)
+        k_name, k_val, k_ord = F.lit(keys[i]), F.col(keys[i]).cast("string"), F.lit(i)
+        if key_name is None:
+            key_name, value, order = F.when(cond, k_name), F.when(cond, k_val), F.when(cond, k_ord)
+        else:
+            key_name, value, order = key_name.when(cond, k_name), value.when(cond, k_val), order.when(cond, k_ord)
+    return grouped.select(
+        key_name.alias("segment_key"),
+        value.alias("segment"),
+        "count",
+        "churn_rate",
+        order.alias("__order"),
+    ).orderBy(
+        "__order", F.desc_nulls_last("churn_rate"), F.asc_nulls_last("segment")
+    ).select(
+        "segment_key", "segment", "count", falsy_to_zero("churn_rate").alias("churn_rate")
+    )
+
+
 def segment_profile(
     df: DataFrame,
     key: str = "ContractType",

@@ -9,8 +9,6 @@ two can be checked against each other on another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +29,7 @@ from churnlens.operators.reports import (
     band_counts,
     segment_profile,
     segment_rate,
+    segment_rates,
     summary,
 )
 from churnlens.plans.production import build_production, production_comparable
@@ -114,15 +113,8 @@ def q_segment_tenure(spark, sf_dir):
 
 def q_rate_bands(spark, sf_dir):
     """Every segment report in one frame, with its dashboard colour bands."""
-    prod = _production(spark, sf_dir)
-    parts = [
-        segment_rate(prod, key, key_alias="segment").withColumn("segment_key", F.lit(key))
-        for key in ("ContractType", "InternetService", "MonthlyChargesCategory", "TenureCategory")
-    ]
-    unioned = reduce(DataFrame.unionByName, parts)
-    return table_band(rate_band(unioned)).select(
-        "segment_key", "segment", "count", "churn_rate", "rate_band", "table_band"
-    )
+    keys = ("ContractType", "InternetService", "MonthlyChargesCategory", "TenureCategory")
+    return table_band(rate_band(segment_rates(_production(spark, sf_dir), keys)))
 
 
 def q_kpi_display(spark, sf_dir):

@@ -161,3 +161,16 @@ def test_metric_trend(spark):
 def test_json_lines(f2):
     lines = [json.loads(r[0]) for r in to_json_lines(summary(f2)).collect()]
     assert lines == [{"total_customers": 5, "churn_rate": 40.0, "avg_monthly_charges": 77.0, "avg_tenure": 25.2}]
+
+
+def test_segment_rates_one_pass_matches_per_key(spark):
+    from churnlens.operators import segment_rates
+
+    df = spark.createDataFrame(
+        [("a", "x", 1), ("a", None, 0), (None, "y", 1), ("b", "y", 0)], "k1 string, k2 string, ChurnFlag int"
+    )
+    got = [tuple(r) for r in segment_rates(df, ["k1", "k2"]).collect()]
+    assert got == [
+        ("k1", None, 1, 100.0), ("k1", "a", 2, 50.0), ("k1", "b", 1, 0.0),
+        ("k2", "x", 1, 100.0), ("k2", "y", 2, 50.0), ("k2", None, 1, 0.0),
+    ]
