@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import exact_avg, is_null_count
+from churnlens.operators.quantile import exact_median
 
 
 def _stat_name(kind: str, col: str) -> str:
@@ -26,7 +27,8 @@ def impute(
     median_int: Iterable[str] = (),
     mean: Iterable[str] = (),
     mode: Iterable[str] = (),
-    median_accuracy: int | None = None,
+    median_method: str = "exact",
+    median_accuracy: int = 10_000,
 ) -> DataFrame:
     """Fill NULLs column by column.
 
@@ -35,10 +37,12 @@ def impute(
       truncated toward zero to an integer. The median's aggregation state
       is a value->count map, so it is meant for columns with a bounded
       number of distinct values (ages, counts); it merges partial maps
-      from every task. For columns with unbounded cardinality pass
-      ``median_accuracy`` to use ``percentile_approx`` instead (bounded
-      sketch per task; rank error at most rows/accuracy) -- an explicit
-      choice, never made silently.
+      from every task (``median_method="exact"``). For columns with
+      unbounded cardinality choose ``"distributed"`` (same exact result,
+      ranks only the values near the middle; see
+      :func:`churnlens.operators.quantile.exact_median`) or ``"approx"``
+      (``percentile_approx`` with ``median_accuracy``; rank error at most
+      rows/accuracy). The choice is explicit, never made silently.
     - ``mean``: unrounded mean of the non-NULL values, as a double; the
       column becomes a double so later steps see the unrounded fill.
     - ``mode``: most frequent non-NULL value, the smallest one on ties.
@@ -48,13 +52,17 @@ def impute(
     constants = dict(constants or {})
     median_int, mean, mode = list(median_int), list(mean), list(mode)
 
+    if median_method not in ("exact", "distributed", "approx"):
+        raise ValueError(f"unknown median_method {median_method!r}")
+
     def median(c: str):
-        if median_accuracy is None:
-            return F.median(c)
-        return F.percentile_approx(F.col(c), 0.5, median_accuracy)
+        if median_method == "approx":
+            return F.percentile_approx(F.col(c), 0.5, median_accuracy)
+        return F.median(c)
 
+    in_agg_medians = [] if median_method == "distributed" else median_int
     stats = (
-        [median(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
+        [median(c).cast("long").alias(_stat_name("median", c)) for c in in_agg_medians]
         + [exact_avg(c).alias(_stat_name("mean", c)) for c in mean]
         + [F.mode(c, True).alias(_stat_name("mode", c)) for c in mode]
     )
@@ -62,6 +70,12 @@ def impute(
     if stats:
         one_row = df.agg(*stats)
         out = out.crossJoin(F.broadcast(one_row))
+    if median_method == "distributed":
+        for c in median_int:
+            one_row = exact_median(df, c).select(
+                F.col("median").cast("long").alias(_stat_name("median", c))
+            )
+            out = out.crossJoin(F.broadcast(one_row))
 
     fills = {}
     for c in median_int:
@@ -74,7 +88,7 @@ def impute(
         fills[c] = F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType))
     if fills:
         out = out.withColumns(fills)
-    if stats:
+    if stats or median_int:
         out = out.drop(*[_stat_name(k, c) for k, cs in
                          (("median", median_int), ("mean", mean), ("mode", mode)) for c in cs])
     return out

@@ -202,5 +202,30 @@ def test_impute_approx_median_option(spark):
     )
     exact = impute(df, median_int=["x"]).where(F.col("x") == 500).count()
     assert exact == 2  # the filled row got the truncated median 500.5 -> 500
-    approx = impute(df, median_int=["x"], median_accuracy=10000).collect()[-1]["x"]
+    approx = impute(df, median_int=["x"], median_method="approx").collect()[-1]["x"]
     assert abs(approx - 500) <= 1
+    distributed = impute(df, median_int=["x"], median_method="distributed").collect()[-1]["x"]
+    assert distributed == 500
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 20001])
+def test_exact_median_matches_builtin(spark, n):
+    from churnlens.operators.quantile import exact_median
+
+    # Many distinct values plus one value holding a third of the rows.
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(123456789)).otherwise((F.col("id") * 7919) % 100003).alias("x")
+    )
+    want = df.agg(F.median("x")).first()[0]
+    got = exact_median(df, "x", buckets=64).first()[0]
+    assert got == want
+
+
+def test_exact_median_empty_and_decimal(spark):
+    from churnlens.operators.quantile import exact_median
+
+    empty = spark.createDataFrame([], "x int")
+    assert exact_median(empty, "x").first()[0] is None
+    dec = spark.createDataFrame([(1.25,), (2.5,), (None,), (10.0,), (3.75,)], "x double").withColumn(
+        "x", F.col("x").cast("decimal(10,2)"))
+    assert exact_median(dec, "x", buckets=4).first()[0] == 3.125
