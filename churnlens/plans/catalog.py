@@ -16,6 +16,7 @@ from churnlens.functions.expressions import bin_right_closed, exact_avg, flag_eq
 from churnlens.operators.anonymize import anonymize_hash, anonymize_uuid
 from churnlens.operators.display import display_round, rate_band, table_band
 from churnlens.operators.impute import impute, null_census
+from churnlens.operators.quantile import exact_median
 from churnlens.operators.quality import (
     last_not_null,
     latest_metrics,
@@ -214,6 +215,17 @@ def q_lineitem_segment_profile(spark, sf_dir):
     return segment_profile(li, "l_returnflag", "open_flag", "price", "qty", segment="returnflag")
 
 
+def q_lineitem_medians(spark, sf_dir):
+    """Exact medians of whole line-item columns, ranked slice by slice."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = [
+        exact_median(li, c).select(F.col("median").alias(f"median_{c[2:]}"))
+        for c in ("l_extendedprice", "l_quantity", "l_discount")
+    ]
+    # Each part is a global aggregate: exactly one row.
+    return parts[0].crossJoin(F.broadcast(parts[1])).crossJoin(F.broadcast(parts[2]))
+
+
 QUERIES: dict[str, Query] = {
     "staging_raw": q_staging_raw,
     "production_clean": q_production_clean,
@@ -241,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "lineitem_quantity_bins": q_lineitem_quantity_bins,
     "lineitem_impute": q_lineitem_impute,
     "lineitem_segment_profile": q_lineitem_segment_profile,
+    "lineitem_medians": q_lineitem_medians,
 }
 
 
@@ -562,4 +575,8 @@ SELECT COUNT(*) AS total_customers,
   COUNT(*) AS returnflag_count,
   COALESCE({_rate('CASE WHEN open_flag = 1 THEN 1 ELSE 0 END')}, 0) AS returnflag_churn_rate
 FROM li GROUP BY l_returnflag""",
+    "lineitem_medians": """
+SELECT MEDIAN(l_extendedprice) AS median_extendedprice, MEDIAN(l_quantity) AS median_quantity,
+  MEDIAN(l_discount) AS median_discount
+FROM lineitem""",
 }
