@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import exact_avg, is_null_count
-from churnlens.operators.quantile import exact_median
+from churnlens.operators.quantile import exact_medians
 
 
 def _stat_name(kind: str, col: str) -> str:
@@ -40,7 +40,7 @@ def impute(
       from every task (``median_method="exact"``). For columns with
       unbounded cardinality choose ``"distributed"`` (same exact result,
       ranks only the values near the middle; see
-      :func:`churnlens.operators.quantile.exact_median`) or ``"approx"``
+      :func:`churnlens.operators.quantile.exact_medians`) or ``"approx"``
       (``percentile_approx`` with ``median_accuracy``; rank error at most
       rows/accuracy). The choice is explicit, never made silently.
     - ``mean``: unrounded mean of the non-NULL values, as a double; the
@@ -70,12 +70,11 @@ def impute(
     if stats:
         one_row = df.agg(*stats)
         out = out.crossJoin(F.broadcast(one_row))
-    if median_method == "distributed":
-        for c in median_int:
-            one_row = exact_median(df, c).select(
-                F.col("median").cast("long").alias(_stat_name("median", c))
-            )
-            out = out.crossJoin(F.broadcast(one_row))
+    if median_method == "distributed" and median_int:
+        one_row = exact_medians(df, median_int).select(
+            *[F.col(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
+        )
+        out = out.crossJoin(F.broadcast(one_row))
 
     fills = {}
     for c in median_int:

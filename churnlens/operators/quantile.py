@@ -25,17 +25,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_median(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
-    """One-row frame ``(median double)``: the interpolated median of ``col``.
+def exact_medians(df: DataFrame, cols: list[str], buckets: int = 256) -> DataFrame:
+    """One-row frame with the interpolated median of each column (as double).
 
-    NULLs are ignored; no values give NULL. Runs one small eager job (the
-    cut points); the rest stays lazy.
+    Column names are kept. NULLs are ignored; a column without values gives
+    NULL. The cut points of all columns come from one small eager job; the
+    rest stays lazy. ``buckets`` trades the size of the final exact ranking
+    (about distinct values / buckets) against the cut-point sketch.
     """
+    probs = [i / buckets for i in range(1, buckets)]
+    cut_row = df.agg(
+        *[
+            F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c)
+            for c in cols
+        ]
+    ).first()
+    parts = [_median_from_cuts(df, c, cut_row[c]).withColumnRenamed("median", c) for c in cols]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.crossJoin(F.broadcast(part))  # each part is exactly one row
+    return out
+
+
+def exact_median(df: DataFrame, col: str, buckets: int = 256) -> DataFrame:
+    """One-row frame ``(median double)``: the interpolated median of ``col``."""
+    return exact_medians(df, [col], buckets).withColumnRenamed(col, "median")
+
+
+def _median_from_cuts(df: DataFrame, col: str, cuts) -> DataFrame:
     values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
-    cut_probs = [i / buckets for i in range(1, buckets)]
-    cuts = values.agg(
-        F.percentile_approx(F.col("v").cast("double"), cut_probs, max(10_000, buckets * 20))
-    ).first()[0]
     spark = df.sparkSession
     if cuts is None:
         return spark.createDataFrame([(None,)], "median double")

@@ -16,7 +16,7 @@ from churnlens.functions.expressions import bin_right_closed, exact_avg, flag_eq
 from churnlens.operators.anonymize import anonymize_hash, anonymize_uuid
 from churnlens.operators.display import display_round, rate_band, table_band
 from churnlens.operators.impute import impute, null_census
-from churnlens.operators.quantile import exact_median
+from churnlens.operators.quantile import exact_medians
 from churnlens.operators.quality import (
     last_not_null,
     latest_metrics,
@@ -218,12 +218,9 @@ def q_lineitem_segment_profile(spark, sf_dir):
 def q_lineitem_medians(spark, sf_dir):
     """Exact medians of whole line-item columns, ranked slice by slice."""
     li = table(spark, sf_dir, "lineitem")
-    parts = [
-        exact_median(li, c).select(F.col("median").alias(f"median_{c[2:]}"))
-        for c in ("l_extendedprice", "l_quantity", "l_discount")
-    ]
-    # Each part is a global aggregate: exactly one row.
-    return parts[0].crossJoin(F.broadcast(parts[1])).crossJoin(F.broadcast(parts[2]))
+    cols = ("l_extendedprice", "l_quantity", "l_discount")
+    medians = exact_medians(li, list(cols))
+    return medians.select(*[F.col(c).alias(f"median_{c[2:]}") for c in cols])
 
 
 QUERIES: dict[str, Query] = {

@@ -166,3 +166,19 @@ def test_metric_history_grows_and_latest_ten(spark, paths, f1_csv):
     latest = latest_metrics(history).collect()
     assert len(latest) == 10
     assert latest[0]["metric_name"] == "distinct_genders"
+
+
+def test_partitioned_publish_prunes_partitions(spark, paths, f1_csv):
+    from churnlens.plans.production import build_production
+    from churnlens.schemas import PRODUCTION
+    from churnlens.sinks import publish
+
+    staging_elt = job(spark, paths, f1_csv)
+    staging_elt.extract_and_load()
+    prod = build_production(read_staging(spark, paths["staging"]))
+    path, rows = publish(prod, paths["production"], PRODUCTION, partition_by=["ContractType"])
+    assert rows == 5
+    back = spark.read.parquet(path).where("ContractType = 'Two-Year'")
+    assert back.count() == 2
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ContractType" in plan
