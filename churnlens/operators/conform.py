@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +19,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns for schema: {missing}")
-    cols = []
-    for field in schema.fields:
-        src_type = df.schema[field.name].dataType
-        col = F.col(field.name)
-        if src_type == field.dataType:
-            cols.append(col.alias(field.name))
-        elif isinstance(field.dataType, T.IntegralType) and isinstance(
-            src_type, (T.StringType, T.FractionalType)
-        ):
-            cols.append(F.rint(col.cast("double")).cast(field.dataType).alias(field.name))
-        else:
-            cols.append(col.cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+    return df.select(
+        *[
+            cast_to(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def cast_to(col: Column, src_type: T.DataType, dst_type: T.DataType) -> Column:
+    """The cast :func:`conform` applies to one column."""
+    if src_type == dst_type:
+        return col
+    if isinstance(dst_type, T.IntegralType) and isinstance(src_type, (T.StringType, T.FractionalType)):
+        return F.rint(col.cast("double")).cast(dst_type)
+    return col.cast(dst_type)

@@ -31,7 +31,9 @@ class RetentionELT:
 
     ``staging_path`` and ``production_path`` are base directories of
     versioned tables; ``metrics_path`` is an append-only parquet table
-    (default: ``<production_path>_metrics``).
+    (default: ``<production_path>_metrics``). ``ragged_csv="pad"`` accepts
+    rows with missing trailing fields (see
+    :func:`churnlens.sources.csv_source.read_text_csv`).
     """
 
     def __init__(
@@ -42,6 +44,7 @@ class RetentionELT:
         csv_path: str,
         metrics_path: str | None = None,
         multiline_csv: bool = False,
+        ragged_csv: str = "fail",
     ):
         self.spark = spark
         self.staging_path = staging_path
@@ -49,6 +52,7 @@ class RetentionELT:
         self.csv_path = csv_path
         self.metrics_path = metrics_path or production_path.rstrip("/") + "_metrics"
         self.multiline_csv = multiline_csv
+        self.ragged_csv = ragged_csv
 
     def extract_and_load(self) -> int:
         """CSV -> staging (full refresh). Returns the number of rows loaded.
@@ -58,7 +62,9 @@ class RetentionELT:
         the previous staging table in place.
         """
         log.info("Extract and load from %s", self.csv_path)
-        source = read_source_csv(self.spark, self.csv_path, multiline=self.multiline_csv)
+        source = read_source_csv(
+            self.spark, self.csv_path, multiline=self.multiline_csv, ragged=self.ragged_csv
+        )
         staged = source.withColumn("load_timestamp", F.localtimestamp())
         _, rows = publish(staged, self.staging_path, STAGING)
         log.info("Loaded %s rows to staging", rows)

@@ -3,32 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.functions.expressions import na_to_null
-from churnlens.operators.conform import conform
+from churnlens.operators.conform import cast_to
 from churnlens.schemas import NA_TOKENS, SOURCE
 from churnlens.sinks.storage import path_exists
 
 
-def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+EXTRA_FIELD = "__extra_field"
+
+
+def read_text_csv(
+    spark: SparkSession, path: str, multiline: bool = False, ragged: str = "fail"
+) -> DataFrame:
     """Read a headed CSV file (or directory of files) with every column as text.
 
     Fields are split and unquoted by Spark (doubled quotes inside a quoted
-    field are an escaped quote). A malformed row fails the read. A missing
-    path raises ``FileNotFoundError``. ``multiline`` allows line breaks
-    inside quoted fields but makes each file a single split, so leave it
-    off for large inputs that do not need it.
+    field are an escaped quote). A missing path raises ``FileNotFoundError``.
+    ``multiline`` allows line breaks inside quoted fields but makes each file
+    a single split, so leave it off for large inputs that do not need it.
+
+    ``ragged`` decides rows whose field count differs from the header:
+    ``"fail"`` fails the read for any such row; ``"pad"`` fills missing
+    trailing fields with NULL and still fails on a row with extra fields.
+    The check for extra fields is part of the same scan (one more text
+    column that must stay empty), not a separate pass.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV file not found: {path}")
-    return spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        escape='"',
-        mode="FAILFAST",
-        multiLine=multiline,
+    options = dict(header=True, escape='"', multiLine=multiline)
+    if ragged == "fail":
+        return spark.read.csv(path, inferSchema=False, mode="FAILFAST", **options)
+    if ragged != "pad":
+        raise ValueError(f"unknown ragged mode {ragged!r}")
+    header = spark.read.csv(path, inferSchema=False, **options).columns
+    schema = T.StructType(
+        [T.StructField(c, T.StringType()) for c in [*header, EXTRA_FIELD]]
+    )
+    padded = spark.read.csv(path, schema=schema, mode="PERMISSIVE", **options)
+    if not header:
+        return padded.drop(EXTRA_FIELD)
+    first = header[0]
+    too_long = F.col(EXTRA_FIELD).isNotNull()
+    guarded = F.when(too_long, F.raise_error(F.lit("CSV row has more fields than the header")))
+    return padded.select(
+        guarded.otherwise(F.col(first)).alias(first), *[F.col(c) for c in header[1:]]
     )
 
 
@@ -48,7 +69,21 @@ def text_to_typed(
     if missing or extra:
         raise ValueError(f"CSV header mismatch: missing={missing}, unexpected={extra}")
     cleaned = text.select(*[na_to_null(c, na_tokens).alias(c) for c in expected])
-    return conform(cleaned, schema)
+    # A cell that is present but does not parse fails the load, whatever the
+    # session's ANSI setting (with ANSI on the cast itself already fails).
+    cols = []
+    for f in schema.fields:
+        cell = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            cols.append(cell)
+            continue
+        typed = cast_to(cell, T.StringType(), f.dataType)
+        message = F.concat(
+            F.lit(f"CSV value does not fit {f.name} {f.dataType.simpleString()}: "), cell
+        )
+        bad = cell.isNotNull() & typed.isNull()
+        cols.append(F.when(bad, F.raise_error(message)).otherwise(typed).alias(f.name))
+    return cleaned.select(*cols)
 
 
 def read_source_csv(
@@ -56,6 +91,7 @@ def read_source_csv(
     path: str,
     schema: T.StructType = SOURCE,
     multiline: bool = False,
+    ragged: str = "fail",
 ) -> DataFrame:
     """Headed CSV -> typed frame with ``schema`` (see :func:`text_to_typed`)."""
-    return text_to_typed(read_text_csv(spark, path, multiline), schema)
+    return text_to_typed(read_text_csv(spark, path, multiline, ragged), schema)

@@ -182,3 +182,41 @@ def test_partitioned_publish_prunes_partitions(spark, paths, f1_csv):
     assert back.count() == 2
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ContractType" in plan
+
+
+def test_bad_value_fails_even_without_ansi(spark, tmp_path):
+    frame = f1_frame()
+    frame["Tenure"] = frame["Tenure"].astype(object)
+    frame.loc[0, "Tenure"] = "twelve"
+    path = write_csv(tmp_path, frame)
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception):
+                read_source_csv(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
+
+
+def _ragged_csv(tmp_path, extra_line: str) -> str:
+    header = ",".join(SOURCE_COLUMNS)
+    good = "1,25,Male,12,50.0,Month-to-Month,DSL,600.0,Yes,No"
+    path = tmp_path / "ragged.csv"
+    path.write_text("\n".join([header, good, extra_line]) + "\n")
+    return str(path)
+
+
+def test_ragged_short_row(spark, tmp_path):
+    path = _ragged_csv(tmp_path, "2,40,Female")
+    with pytest.raises(Exception):
+        read_source_csv(spark, path).collect()
+    rows = read_source_csv(spark, path, ragged="pad").orderBy("CustomerID").collect()
+    assert len(rows) == 2
+    assert (rows[1]["Age"], rows[1]["Gender"], rows[1]["Churn"]) == (40, "Female", None)
+
+
+def test_ragged_long_row_fails_even_when_padding(spark, tmp_path):
+    path = _ragged_csv(tmp_path, "2,40,Female,1,1.0,One-Year,DSL,1.0,No,No,surplus")
+    with pytest.raises(Exception, match="more fields"):
+        read_source_csv(spark, path, ragged="pad").collect()
