@@ -19,8 +19,22 @@ from churnlens.schemas import MONEY
 CHURN_CUTOFF = "2001-01-01 00:00:00"
 
 
+# (session, path) -> DataFrame. Resolving a parquet table lists its files and
+# reads a footer on the driver; the test tables are read-only, so each is
+# resolved once per session, like a catalog entry. Only the lazy plan is
+# kept -- no data is cached, and every action is planned afresh.
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[key] = (spark, df)
+    return df
 
 
 def _null_when(key: Column, modulus: int, value: Column) -> Column:
@@ -30,11 +44,24 @@ def _null_when(key: Column, modulus: int, value: Column) -> Column:
 def retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw customer table (source schema, with NULLs), one row per customer.
 
+    It stands in for the staging table, so like a view it is defined once
+    per session (the plan, not the data).
+
     Order totals are aggregated per customer first (partial aggregation, so a
     customer with a huge share of orders costs one row per task), then joined
     to ``customer`` on the key; the aggregate is already hash-partitioned on
     the join key, so only the customer side is shuffled for the join.
     """
+    key = (id(spark), f"{sf_dir.rstrip('/')}#retention_raw")
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = _build_retention_raw(spark, sf_dir)
+    _TABLES[key] = (spark, df)
+    return df
+
+
+def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
