@@ -9,8 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from churnlens.operators.display import display_round, rate_band, table_band
 from churnlens.operators.quality import latest_metrics
-from churnlens.operators.reports import segment_profile, segment_rate, summary, to_json_lines
+from churnlens.operators.reports import (
+    segment_profile,
+    segment_rate,
+    segment_rates,
+    summary,
+    to_json_lines,
+)
 from churnlens.sources.tables import read_metrics, read_production
 
 
@@ -30,17 +37,44 @@ def metrics_report(spark: SparkSession, metrics_path: str) -> DataFrame:
     return latest_metrics(read_metrics(spark, metrics_path))
 
 
+# Segment reports by other keys: services, charge band, tenure band.
+SEGMENT_REPORTS = {
+    "churn_by_service": "InternetService",
+    "churn_by_charges": "MonthlyChargesCategory",
+    "churn_by_tenure": "TenureCategory",
+}
+
+
+def kpi_display_report(spark: SparkSession, production_base: str) -> DataFrame:
+    """Summary KPIs with the churn-rate colour band and tenure to 1 decimal."""
+    kpis = rate_band(summary_report(spark, production_base))
+    return display_round(kpis, "avg_tenure", 1, "avg_tenure_display")
+
+
+def segments_report(spark: SparkSession, production_base: str) -> DataFrame:
+    """All segment reports in one pass, with their colour bands."""
+    keys = ("ContractType", *SEGMENT_REPORTS.values())
+    return table_band(rate_band(segment_rates(read_production(spark, production_base), keys)))
+
+
 def report(spark: SparkSession, name: str, production_base: str, metrics_path: str) -> DataFrame:
-    """Report by endpoint name: ``summary``, ``churn_by_contract``, ``analytics``, ``metrics``."""
+    """Report by name: ``summary``, ``churn_by_contract``, ``analytics``, ``metrics``,
+    ``churn_by_service``, ``churn_by_charges``, ``churn_by_tenure``, ``kpi_display``,
+    ``segments``."""
     if name == "metrics":
         return metrics_report(spark, metrics_path)
     builders = {
         "summary": summary_report,
         "churn_by_contract": churn_by_contract_report,
         "analytics": analytics_report,
+        "kpi_display": kpi_display_report,
+        "segments": segments_report,
     }
+    if name in SEGMENT_REPORTS:
+        return segment_rate(read_production(spark, production_base), SEGMENT_REPORTS[name])
     if name not in builders:
-        raise KeyError(f"unknown report {name!r}; expected one of {sorted([*builders, 'metrics'])}")
+        known = sorted([*builders, *SEGMENT_REPORTS, "metrics"])
+        raise KeyError(f"unknown report {name!r}; expected one of {known}")
     return builders[name](spark, production_base)
 
 

@@ -50,3 +50,22 @@ def test_reports_match_sql_over_views(spark, paths, f1_csv):
     analytics = report(spark, "analytics", paths["production"], paths["metrics"]).collect()
     assert {r["contract_type"]: r["contract_count"] for r in analytics} == {
         "Month-to-Month": 2, "One-Year": 1, "Two-Year": 2}
+
+
+def test_other_named_reports(spark, paths, f1_csv):
+    import pytest
+
+    elt = RetentionELT(spark, paths["staging"], paths["production"], f1_csv, paths["metrics"])
+    assert elt.run_full_pipeline()["status"] == "success"
+    prod, met = paths["production"], paths["metrics"]
+    by_service = {r[0]: (r[1], r[2]) for r in report(spark, "churn_by_service", prod, met).collect()}
+    assert by_service == {"DSL": (2, 50.0), "Fiber Optic": (2, 0.0), "None": (1, 0.0)}
+    by_tenure = {r[0]: r[1] for r in report(spark, "churn_by_tenure", prod, met).collect()}
+    assert by_tenure == {"New": 1, "Medium": 2, "nan": 2}
+    kpi = report(spark, "kpi_display", prod, met).first()
+    assert (kpi["rate_band"], kpi["avg_tenure_display"]) == ("green", 14.4)
+    segments = report(spark, "segments", prod, met).collect()
+    assert {r["segment_key"] for r in segments} == {
+        "ContractType", "InternetService", "MonthlyChargesCategory", "TenureCategory"}
+    with pytest.raises(KeyError):
+        report(spark, "nope", prod, met)
