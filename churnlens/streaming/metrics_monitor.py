@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from churnlens.functions.expressions import band_left_closed
-from churnlens.operators.quality import last_not_null
+from churnlens.operators.quality import last_not_null, metric_alerts
 from churnlens.schemas import METRICS, RATE_BANDS, RATE_BASE_BAND
 from churnlens.sinks.publish import publish
 
@@ -37,6 +37,15 @@ def latest_metric_values(history_stream: DataFrame) -> DataFrame:
     )
 
 
+def newest_run_alerts(history: DataFrame) -> DataFrame:
+    """The alert rows (see :func:`metric_alerts`) of the newest run only."""
+    alerts = metric_alerts(history)
+    newest = history.agg(F.max("run_timestamp").alias("__newest"))  # exactly one row
+    return alerts.join(
+        F.broadcast(newest), alerts["run_timestamp"] == newest["__newest"]
+    ).drop("__newest")
+
+
 def metric_history_stream(
     spark: SparkSession, metrics_path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -53,6 +62,7 @@ def start_metrics_monitor(
     checkpoint_location: str | None = None,
     refresh_seconds: int = 30,
     available_now: bool = False,
+    alerts_base: str | None = None,
 ) -> StreamingQuery:
     """Start the monitor; returns the running query.
 
@@ -60,12 +70,17 @@ def start_metrics_monitor(
     uses ``spark.sql.streaming.checkpointLocation`` (and refuses to start if
     that is unset). ``available_now`` processes what is there and stops
     (for scheduled or test runs); otherwise it refreshes every
-    ``refresh_seconds``.
+    ``refresh_seconds``. With ``alerts_base``, each trigger also publishes the
+    alert rows of the newest run, computed over the whole history (one row
+    per metric and run, so small next to the data).
     """
     view = latest_metric_values(metric_history_stream(spark, metrics_path))
 
     def publish_snapshot(batch: DataFrame, _epoch: int) -> None:
         publish(batch, output_base)
+        if alerts_base:
+            history = spark.read.schema(METRICS).parquet(metrics_path)
+            publish(newest_run_alerts(history), alerts_base)
 
     writer = view.writeStream.outputMode("complete").foreachBatch(publish_snapshot)
     if checkpoint_location:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from churnlens.plans.job import RetentionELT
-from churnlens.sinks import read_published
+from churnlens.sinks import current_version_path, read_published
 from churnlens.streaming import start_metrics_monitor
 from pyspark.sql import types as T
 
@@ -33,8 +33,16 @@ def test_monitor_tracks_latest_run(spark, paths, f1_csv, tmp_path):
     # reads the new files and the snapshot moves to the newer run.
     first_ts = snap["total_records"]["last_run_timestamp"]
     assert elt.run_full_pipeline()["status"] == "success"
-    q = start_metrics_monitor(spark, paths["metrics"], out, ckpt, available_now=True)
+    alerts_out = str(tmp_path / "alerts")
+    q = start_metrics_monitor(
+        spark, paths["metrics"], out, ckpt, available_now=True, alerts_base=alerts_out
+    )
     q.awaitTermination(120)
+    alerts = spark.read.parquet(current_version_path(spark, alerts_out)).collect()
+    assert len(alerts) == 6
+    volume = [r for r in alerts if r["metric_name"] == "total_records"][0]
+    assert volume["volume_alert"] is False and volume["pct_change"] == 0.0
+    assert all(r["sigma_alert"] is None for r in alerts)  # one earlier run only
     snap2 = {r["metric_name"]: r for r in read_published(spark, out, schema).collect()}
     assert snap2["total_records"]["last_run_timestamp"] > first_ts
     assert len(snap2) == 6
