@@ -34,7 +34,7 @@ def impute(
 
     - ``constants``: fixed value per column.
     - ``median_int``: exact (interpolated) median of the non-NULL values,
-      truncated toward zero to an integer. The median's aggregation state
+      truncated toward zero to an integer, then cast to the column's type. The median's aggregation state
       is a value->count map, so it is meant for columns with a bounded
       number of distinct values (ages, counts); it merges partial maps
       from every task (``median_method="exact"``). For columns with
@@ -78,7 +78,9 @@ def impute(
 
     fills = {}
     for c in median_int:
-        fills[c] = F.coalesce(F.col(c).cast("long"), F.col(_stat_name("median", c)))
+        # Only gaps change: present values keep their type and value.
+        fill = F.col(_stat_name("median", c)).cast(df.schema[c].dataType)
+        fills[c] = F.coalesce(F.col(c), fill)
     for c in mean:
         fills[c] = F.coalesce(F.col(c).cast("double"), F.col(_stat_name("mean", c)))
     for c in mode:

@@ -554,7 +554,7 @@ SELECT l_returnflag, {_qty_band_sql('l_quantity')} AS qty_band, COUNT(*) AS item
 FROM lineitem GROUP BY 1, 2""",
     "lineitem_impute": f"""WITH {LINEITEM_GAPS_SQL.strip()}
 SELECT l_orderkey, l_linenumber, l_linestatus,
-  COALESCE(CAST(qty AS BIGINT), med_qty) AS qty,
+  COALESCE(qty, CAST(med_qty AS DOUBLE)) AS qty,
   COALESCE(CAST(price AS DOUBLE), mean_price) AS price,
   COALESCE(returnflag, mode_flag) AS returnflag
 FROM gaps CROSS JOIN gap_stats""",

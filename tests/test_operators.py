@@ -122,6 +122,12 @@ def test_impute_median_is_truncated_and_mean_unrounded(spark):
     assert isinstance(out[1]["MonthlyCharges"], float)
 
 
+def test_impute_median_keeps_present_values(spark):
+    df = spark.createDataFrame([(1.5,), (None,), (4.25,), (10.0,)], "x double")
+    got = [r["x"] for r in impute(df, median_int=["x"]).collect()]
+    assert got == [1.5, 4.0, 4.25, 10.0]  # only the gap gets int(4.25)
+
+
 def test_impute_all_null_keeps_rows_and_nulls(spark):
     df = spark.createDataFrame([(None, None), (None, None)], "Age int, g string")
     out = impute(df, constants={"g": "Unknown"}, median_int=["Age"]).collect()
