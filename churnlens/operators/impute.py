@@ -1,16 +1,17 @@
 """Missing-value imputation and null census.
 
 All statistics of one call come from a single aggregate over the input
-(one column-pruned scan); the one-row result is broadcast to every task and
-applied with ``coalesce``. The broadcast side is a global aggregate, so it
-is exactly one row no matter how large the input is.
+(one column-pruned scan). That aggregate is a scalar subquery: it runs once,
+its one-row result is inlined into the projection as constants and applied
+with ``coalesce`` -- no join, nothing that grows with the input is sent to
+the tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import exact_avg, is_null_count
@@ -66,33 +67,36 @@ def impute(
         + [exact_avg(c).alias(_stat_name("mean", c)) for c in mean]
         + [F.mode(c, True).alias(_stat_name("mode", c)) for c in mode]
     )
-    out = df
+    # Each statistic is a field of a scalar subquery: the aggregate runs once
+    # (further references reuse its result) and its value is inlined into
+    # the projection, so no join is needed.
+    stat = {}
     if stats:
-        one_row = df.agg(*stats)
-        out = out.crossJoin(F.broadcast(one_row))
+        stat.update(_scalar_fields(df.agg(*stats)))
     if median_method == "distributed" and median_int:
-        one_row = exact_medians(df, median_int).select(
+        medians = exact_medians(df, median_int).select(
             *[F.col(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
         )
-        out = out.crossJoin(F.broadcast(one_row))
+        stat.update(_scalar_fields(medians))
 
     fills = {}
     for c in median_int:
         # Only gaps change: present values keep their type and value.
-        fill = F.col(_stat_name("median", c)).cast(df.schema[c].dataType)
+        fill = stat[_stat_name("median", c)].cast(df.schema[c].dataType)
         fills[c] = F.coalesce(F.col(c), fill)
     for c in mean:
-        fills[c] = F.coalesce(F.col(c).cast("double"), F.col(_stat_name("mean", c)))
+        fills[c] = F.coalesce(F.col(c).cast("double"), stat[_stat_name("mean", c)])
     for c in mode:
-        fills[c] = F.coalesce(F.col(c), F.col(_stat_name("mode", c)))
+        fills[c] = F.coalesce(F.col(c), stat[_stat_name("mode", c)])
     for c, value in constants.items():
         fills[c] = F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType))
-    if fills:
-        out = out.withColumns(fills)
-    if stats or median_int:
-        out = out.drop(*[_stat_name(k, c) for k, cs in
-                         (("median", median_int), ("mean", mean), ("mode", mode)) for c in cs])
-    return out
+    return df.withColumns(fills) if fills else df
+
+
+def _scalar_fields(one_row: DataFrame) -> dict[str, Column]:
+    """Columns of a one-row frame as fields of one scalar subquery."""
+    packed = one_row.select(F.struct(*one_row.columns)).scalar()
+    return {c: packed.getField(c) for c in one_row.columns}
 
 
 def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

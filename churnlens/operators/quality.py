@@ -134,8 +134,8 @@ def last_not_null(
 def reconcile(staging: DataFrame, production: DataFrame) -> DataFrame:
     """One row ``(staging_rows, production_rows, matches)`` from two counts."""
     s = staging.agg(F.count(F.lit(1)).alias("staging_rows"))
-    p = production.agg(F.count(F.lit(1)).alias("production_rows"))
-    return s.crossJoin(F.broadcast(p)).withColumn(
+    p = production.agg(F.count(F.lit(1))).scalar()  # one value, inlined
+    return s.select("staging_rows", p.alias("production_rows")).withColumn(
         "matches", F.col("staging_rows") == F.col("production_rows")
     )
 

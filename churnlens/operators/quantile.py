@@ -40,11 +40,12 @@ def exact_medians(df: DataFrame, cols: list[str], buckets: int = 256) -> DataFra
             for c in cols
         ]
     ).first()
-    parts = [_median_from_cuts(df, c, cut_row[c]).withColumnRenamed("median", c) for c in cols]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.crossJoin(F.broadcast(part))  # each part is exactly one row
-    return out
+    parts = [_median_from_cuts(df, c, cut_row[c]) for c in cols]
+    # Each part is one value; the others join the first as scalar subqueries.
+    return parts[0].select(
+        F.col("median").alias(cols[0]),
+        *[part.scalar().alias(c) for part, c in zip(parts[1:], cols[1:])],
+    )
 
 
 def exact_median(df: DataFrame, col: str, buckets: int = 256) -> DataFrame:
@@ -71,16 +72,15 @@ def _median_from_cuts(df: DataFrame, col: str, cuts) -> DataFrame:
         (F.sum("bc").over(in_order) - F.col("bc")).alias("start"),
         F.sum("bc").over(in_order).alias("end"),
     )
-    n = totals.agg(F.sum("bc").alias("n"))
-    ranks = n.select(
-        F.floor((F.col("n") - 1) / 2).alias("lo"), F.floor(F.col("n") / 2).alias("hi")
-    )
-    wanted = spans.crossJoin(F.broadcast(ranks)).where(
+    n = totals.agg(F.sum("bc")).scalar()
+    lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
+    wanted = spans.select("b", "start", "end", lo.alias("lo"), hi.alias("hi")).where(
         ((F.col("start") <= F.col("lo")) & (F.col("lo") < F.col("end")))
         | ((F.col("start") <= F.col("hi")) & (F.col("hi") < F.col("end")))
     )
 
-    # Only the one or two slices holding the middle ranks are ranked exactly.
+    # Only the one or two slices holding the middle ranks are ranked exactly;
+    # `wanted` has at most two rows by construction.
     inside = sliced.join(F.broadcast(wanted), "b")
     within = Window.partitionBy("b").orderBy("v")
     ranked = inside.select(

@@ -39,11 +39,8 @@ def latest_metric_values(history_stream: DataFrame) -> DataFrame:
 
 def newest_run_alerts(history: DataFrame) -> DataFrame:
     """The alert rows (see :func:`metric_alerts`) of the newest run only."""
-    alerts = metric_alerts(history)
-    newest = history.agg(F.max("run_timestamp").alias("__newest"))  # exactly one row
-    return alerts.join(
-        F.broadcast(newest), alerts["run_timestamp"] == newest["__newest"]
-    ).drop("__newest")
+    newest = history.agg(F.max("run_timestamp")).scalar()
+    return metric_alerts(history).where(F.col("run_timestamp") == newest)
 
 
 def metric_history_stream(

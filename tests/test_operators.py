@@ -145,12 +145,18 @@ def test_impute_empty_input(spark):
     assert impute(df, median_int=["Age"], mean=["MonthlyCharges"]).count() == 0
 
 
-def test_impute_plan_broadcasts_one_row(spark):
+def test_impute_plan_is_a_scalar_subquery_without_join(spark):
     df = spark.range(100).select(
-        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("x")
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("x"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") * 0.5).alias("y"),
     )
-    plan = impute(df, median_int=["x"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+    out = impute(df, median_int=["x"], mean=["y"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "Join" not in plan
+    assert len(set(re.findall(r"subquery#(\d+)", final))) == 1  # one aggregate, reused
+    assert "ReusedSubquery" in final
 
 
 def test_null_census(spark):
