@@ -81,3 +81,33 @@ def report(spark: SparkSession, name: str, production_base: str, metrics_path: s
 def report_json(spark: SparkSession, name: str, production_base: str, metrics_path: str) -> DataFrame:
     """The report as JSON lines (one object per row, in report order)."""
     return to_json_lines(report(spark, name, production_base, metrics_path))
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m churnlens.plans.reports NAME --production P --metrics M``.
+
+    Prints the report as a JSON array on stdout (one object per row, in
+    report order); rows are streamed partition by partition, not gathered.
+    """
+    import argparse
+    import sys
+
+    from churnlens.session import get_spark
+
+    parser = argparse.ArgumentParser(description="Print a report as JSON.")
+    parser.add_argument("name")
+    parser.add_argument("--production", required=True, help="production table base path")
+    parser.add_argument("--metrics", required=True, help="metric history path")
+    args = parser.parse_args(argv)
+
+    spark = get_spark("churnlens-report")
+    out = sys.stdout
+    out.write("[")
+    for i, row in enumerate(report_json(spark, args.name, args.production, args.metrics).toLocalIterator()):
+        out.write(("," if i else "") + row[0])
+    out.write("]\n")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

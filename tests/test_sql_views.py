@@ -69,3 +69,17 @@ def test_other_named_reports(spark, paths, f1_csv):
         "ContractType", "InternetService", "MonthlyChargesCategory", "TenureCategory"}
     with pytest.raises(KeyError):
         report(spark, "nope", prod, met)
+
+
+def test_report_cli_prints_json(spark, paths, f1_csv, capsys):
+    from churnlens.plans.reports import main
+
+    elt = RetentionELT(spark, paths["staging"], paths["production"], f1_csv, paths["metrics"])
+    assert elt.run_full_pipeline()["status"] == "success"
+    assert main(["churn_by_contract", "--production", paths["production"], "--metrics", paths["metrics"]]) == 0
+    printed = json.loads(capsys.readouterr().out)
+    assert printed == [
+        {"contract_type": "Month-to-Month", "count": 2, "churn_rate": 50.0},
+        {"contract_type": "One-Year", "count": 1, "churn_rate": 0.0},
+        {"contract_type": "Two-Year", "count": 2, "churn_rate": 0.0},
+    ]
