@@ -220,3 +220,20 @@ def test_ragged_long_row_fails_even_when_padding(spark, tmp_path):
     path = _ragged_csv(tmp_path, "2,40,Female,1,1.0,One-Year,DSL,1.0,No,No,surplus")
     with pytest.raises(Exception, match="more fields"):
         read_source_csv(spark, path, ragged="pad").collect()
+
+
+def test_two_runs_publish_identical_content(spark, paths, f1_csv):
+    elt = job(spark, paths, f1_csv)
+    volatile = ["AnonymizedCustomerID", "load_timestamp", "processed_timestamp"]
+
+    def content():
+        prod = read_production(spark, paths["production"]).drop(*volatile)
+        return sorted(tuple(r) for r in prod.collect())
+
+    assert elt.run_full_pipeline()["status"] == "success"
+    first = content()
+    first_ids = {r[0] for r in read_production(spark, paths["production"]).select("AnonymizedCustomerID").collect()}
+    assert elt.run_full_pipeline()["status"] == "success"
+    assert content() == first
+    second_ids = {r[0] for r in read_production(spark, paths["production"]).select("AnonymizedCustomerID").collect()}
+    assert not first_ids & second_ids  # fresh random ids on every run
