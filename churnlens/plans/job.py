@@ -92,7 +92,9 @@ class RetentionELT:
         row = wide.collect()[0]  # a global aggregate: exactly one row
         metrics = {name: row[name] for name in METRIC_NAMES}
         one_row = self.spark.createDataFrame([row], wide.schema)
-        append(to_tall(one_row, run_timestamp=F.localtimestamp()), self.metrics_path, METRICS)
+        tall = to_tall(one_row, run_timestamp=F.localtimestamp())
+        # Six rows: one file per run keeps the history (and its file stream) lean.
+        append(tall.coalesce(1), self.metrics_path, METRICS)
         log.info("Generated metrics: %s", metrics)
         return metrics
 
