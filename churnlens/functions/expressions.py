@@ -18,10 +18,30 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_ident(name: str) -> str:
+    """A column name quoted for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(text: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def na_to_null(c: str | Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    """Text cell -> NULL when it is one of the missing-value tokens."""
+    """Text cell -> NULL when it is one of the missing-value tokens.
+
+    For a column name the membership test is one SQL ``IN`` expression (one
+    call to build; Catalyst turns the literal list into a hash set).
+    """
+    tokens = list(tokens)
+    if isinstance(c, str):
+        listed = ", ".join(sql_string(t) for t in tokens)
+        hit = F.expr(f"{sql_ident(c)} IN ({listed})")
+    else:
+        hit = c.isin(tokens)
     col = as_col(c)
-    return F.when(col.isin(list(tokens)), F.lit(None)).otherwise(col)
+    return F.when(hit, F.lit(None)).otherwise(col)
 
 
 def text_to_int(c: str | Column) -> Column:
