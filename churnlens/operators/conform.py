@@ -16,12 +16,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ANSI casts, so malformed text raises instead of loading as NULL.
     Columns not in the schema are dropped.
     """
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    source = df.schema  # fetched once: each call is a round trip to the JVM
+    missing = [f.name for f in schema.fields if f.name not in source.names]
     if missing:
         raise ValueError(f"missing columns for schema: {missing}")
     return df.select(
         *[
-            cast_to(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name)
+            cast_to(F.col(f.name), source[f.name].dataType, f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )

@@ -52,6 +52,7 @@ def impute(
     """
     constants = dict(constants or {})
     median_int, mean, mode = list(median_int), list(mean), list(mode)
+    types = {f.name: f.dataType for f in df.schema.fields}  # one JVM round trip
 
     if median_method not in ("exact", "distributed", "approx"):
         raise ValueError(f"unknown median_method {median_method!r}")
@@ -82,14 +83,14 @@ def impute(
     fills = {}
     for c in median_int:
         # Only gaps change: present values keep their type and value.
-        fill = stat[_stat_name("median", c)].cast(df.schema[c].dataType)
+        fill = stat[_stat_name("median", c)].cast(types[c])
         fills[c] = F.coalesce(F.col(c), fill)
     for c in mean:
         fills[c] = F.coalesce(F.col(c).cast("double"), stat[_stat_name("mean", c)])
     for c in mode:
         fills[c] = F.coalesce(F.col(c), stat[_stat_name("mode", c)])
     for c, value in constants.items():
-        fills[c] = F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType))
+        fills[c] = F.coalesce(F.col(c), F.lit(value).cast(types[c]))
     return df.withColumns(fills) if fills else df
 
 
