@@ -1,0 +1,47 @@
+"""Plan properties of every registered query (the plan review, as tests).
+
+- no Python evaluation (UDFs) anywhere;
+- no cartesian products or nested-loop joins (no cross joins, no pairs);
+- scans of the wide tables read only some of their columns.
+"""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+WIDE_TABLES = {"lineitem": 11, "orders": 6, "customer": 5, "events": 6}
+# Queries whose output is every column of a table, so reading them all is right.
+FULL_WIDTH = {("anonymize_hash", "customer")}
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
+
+
+def physical_plan(df) -> str:
+    qe = df._jdf.queryExecution()
+    return qe.executedPlan().toString() + "\n" + qe.sparkPlan().toString()
+
+
+def read_schemas(df) -> list[tuple[str, int]]:
+    formatted = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    out = []
+    for location, schema in re.findall(r"Location: \S+ \[file:[^\]]*/(\w+)\.parquet\]\nReadSchema: struct<([^>]*)>", formatted):
+        out.append((location, len([f for f in schema.split(",") if f])))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_properties(spark, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    plan = physical_plan(df)
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    for table, width in read_schemas(df):
+        if table in WIDE_TABLES and (name, table) not in FULL_WIDTH:
+            assert width < WIDE_TABLES[table], f"{name} reads every column of {table}"
