@@ -174,3 +174,12 @@ def test_segment_rates_one_pass_matches_per_key(spark):
         ("k1", None, 1, 100.0), ("k1", "a", 2, 50.0), ("k1", "b", 1, 0.0),
         ("k2", "x", 1, 100.0), ("k2", "y", 2, 50.0), ("k2", None, 1, 0.0),
     ]
+
+
+def test_quality_metrics_approx_distinct_option(spark, f2):
+    exact = quality_metrics(f2).first()
+    approx = quality_metrics(f2, distinct_method="approx").first()
+    assert tuple(approx)[:4] == tuple(exact)[:4]
+    assert (approx["distinct_contract_types"], approx["distinct_genders"]) == (3, 2)
+    with pytest.raises(ValueError):
+        quality_metrics(f2, distinct_method="guess")
