@@ -237,3 +237,18 @@ def test_two_runs_publish_identical_content(spark, paths, f1_csv):
     assert content() == first
     second_ids = {r[0] for r in read_production(spark, paths["production"]).select("AnonymizedCustomerID").collect()}
     assert not first_ids & second_ids  # fresh random ids on every run
+
+
+def test_reader_keeps_its_version_across_a_refresh(spark, paths, f1_csv, tmp_path):
+    elt = job(spark, paths, f1_csv)
+    elt.run_full_pipeline()
+    reader = read_production(spark, paths["production"])  # bound to the current version
+    before = sorted(r[0] for r in reader.select("AnonymizedCustomerID").collect())
+
+    bigger = pd.concat([f1_frame()] * 3, ignore_index=True)
+    bigger["CustomerID"] = range(1, 16)
+    job(spark, paths, write_csv(tmp_path, bigger, "bigger.csv")).run_full_pipeline()
+
+    assert read_production(spark, paths["production"]).count() == 15  # new readers see the refresh
+    after = sorted(r[0] for r in reader.select("AnonymizedCustomerID").collect())
+    assert after == before  # the earlier reader still reads its whole version
