@@ -43,6 +43,7 @@ from churnlens.sources.testdata import (
     lineitem_with_gaps,
     retention_raw,
     retention_raw_text,
+    session_view,
     table,
 )
 
@@ -64,7 +65,9 @@ STAT_DECIMALS = 6
 
 
 def _production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return production_comparable(retention_raw(spark, sf_dir))
+    """The cleaned customer table the reports read (defined once per session)."""
+    key = f"{sf_dir.rstrip('/')}#production"
+    return session_view(spark, key, lambda: production_comparable(retention_raw(spark, sf_dir)))
 
 
 def q_staging_raw(spark, sf_dir):
@@ -129,8 +132,7 @@ def q_null_census(spark, sf_dir):
 
 
 def q_reconcile_counts(spark, sf_dir):
-    raw = retention_raw(spark, sf_dir)
-    return reconcile(raw, production_comparable(raw))
+    return reconcile(retention_raw(spark, sf_dir), _production(spark, sf_dir))
 
 
 def q_anonymize_hash(spark, sf_dir):

@@ -9,6 +9,8 @@ is lazy DataFrame code whose work grows with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,24 +21,29 @@ from churnlens.schemas import MONEY
 CHURN_CUTOFF = "2001-01-01 00:00:00"
 
 
-# (session, path) -> DataFrame. Resolving a parquet table lists its files and
-# reads a footer on the driver; the test tables are read-only, so each is
-# resolved once per session, like a catalog entry. Only the lazy plan is
-# kept -- no data is cached, and every action is planned afresh.
-_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+# (session, key) -> DataFrame. Resolving a parquet table lists its files and
+# reads a footer on the driver, and building a derived frame costs many
+# driver-JVM calls; the test tables are read-only, so each frame is defined
+# once per session, like a catalog view. Only the lazy plan is kept -- no
+# data is cached, and every action recomputes from the files.
+_VIEWS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _TABLES.get(key)
+def session_view(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame defined for ``key`` in this session, built on first use."""
+    hit = _VIEWS.get((id(spark), key))
     if hit is not None and hit[0] is spark:
         return hit[1]
-    df = spark.read.parquet(path)
-    _TABLES[key] = (spark, df)
+    df = build()
+    _VIEWS[(id(spark), key)] = (spark, df)
     return df
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return session_view(spark, path, lambda: spark.read.parquet(path))
+
+
 def _null_when(key: Column, modulus: int, value: Column) -> Column:
     return F.when(key % F.lit(modulus) == F.lit(0), F.lit(None)).otherwise(value)
 
@@ -52,13 +59,8 @@ def retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     to ``customer`` on the key; the aggregate is already hash-partitioned on
     the join key, so only the customer side is shuffled for the join.
     """
-    key = (id(spark), f"{sf_dir.rstrip('/')}#retention_raw")
-    hit = _TABLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = _build_retention_raw(spark, sf_dir)
-    _TABLES[key] = (spark, df)
-    return df
+    key = f"{sf_dir.rstrip('/')}#retention_raw"
+    return session_view(spark, key, lambda: _build_retention_raw(spark, sf_dir))
 
 
 def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
