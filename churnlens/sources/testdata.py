@@ -111,9 +111,18 @@ def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw customer table as CSV-style text: every cell a string, NULL as ''."""
-    raw = retention_raw(spark, sf_dir)
-    return raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns])
+    """The raw customer table as CSV-style text: every cell a string, NULL as ''.
+
+    It stands in for a raw file, so it is defined once per session too.
+    """
+
+    def build() -> DataFrame:
+        raw = retention_raw(spark, sf_dir)
+        return raw.select(
+            *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns]
+        )
+
+    return session_view(spark, f"{sf_dir.rstrip('/')}#retention_raw_text", build)
 
 
 def event_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
