@@ -252,3 +252,13 @@ def test_reader_keeps_its_version_across_a_refresh(spark, paths, f1_csv, tmp_pat
     assert read_production(spark, paths["production"]).count() == 15  # new readers see the refresh
     after = sorted(r[0] for r in reader.select("AnonymizedCustomerID").collect())
     assert after == before  # the earlier reader still reads its whole version
+
+
+def test_charges_binned_before_rounding(spark, tmp_path):
+    frame = f1_frame().iloc[:4].copy()
+    frame["MonthlyCharges"] = [100.0, 100.0, 100.01, None]  # mean 100.00333...
+    rows = production_comparable(read_source_csv(spark, write_csv(tmp_path, frame))).orderBy("CustomerID").collect()
+    filled = rows[3]
+    assert filled["MonthlyCharges"] == Decimal("100.00")
+    assert filled["MonthlyChargesCategory"] == "High"  # banded on the unrounded mean
+    assert rows[0]["MonthlyChargesCategory"] == "Medium"  # 100.00 itself is (50, 100]
