@@ -262,3 +262,17 @@ def test_charges_binned_before_rounding(spark, tmp_path):
     assert filled["MonthlyCharges"] == Decimal("100.00")
     assert filled["MonthlyChargesCategory"] == "High"  # banded on the unrounded mean
     assert rows[0]["MonthlyChargesCategory"] == "Medium"  # 100.00 itself is (50, 100]
+
+
+def test_main_uses_environment_and_exit_status(spark, paths, f1_csv, monkeypatch):
+    from churnlens.plans.job import main
+
+    monkeypatch.setenv("STAGING_DB_PATH", paths["staging"])
+    monkeypatch.setenv("PRODUCTION_DB_PATH", paths["production"])
+    monkeypatch.setenv("METRICS_PATH", paths["metrics"])
+    monkeypatch.setenv("CSV_PATH", f1_csv)
+    assert main() == 0
+    assert read_production(spark, paths["production"]).count() == 5
+    assert read_metrics(spark, paths["metrics"]).count() == 6
+    monkeypatch.setenv("CSV_PATH", "/nonexistent/file.csv")
+    assert main() == 1
