@@ -83,3 +83,15 @@ def test_report_cli_prints_json(spark, paths, f1_csv, capsys):
         {"contract_type": "One-Year", "count": 1, "churn_rate": 0.0},
         {"contract_type": "Two-Year", "count": 2, "churn_rate": 0.0},
     ]
+
+
+def test_write_json_sink(spark, paths, f1_csv, tmp_path):
+    from churnlens.sinks import write_json
+
+    elt = RetentionELT(spark, paths["staging"], paths["production"], f1_csv, paths["metrics"])
+    assert elt.run_full_pipeline()["status"] == "success"
+    out = str(tmp_path / "summary_json")
+    write_json(report(spark, "summary", paths["production"], paths["metrics"]), out)
+    back = [json.loads(line) for f in sorted((tmp_path / "summary_json").glob("part-*.json"))
+            for line in f.read_text().splitlines() if line]
+    assert back == [{"total_customers": 5, "churn_rate": 20.0, "avg_monthly_charges": 86.25, "avg_tenure": 14.4}]
