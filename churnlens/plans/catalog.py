@@ -9,6 +9,7 @@ two can be checked against each other on another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
