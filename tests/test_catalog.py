@@ -46,3 +46,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["contract_type", "count", "churn_rate"]
     assert df.count() >= 0
+
+
+SPARK_TO_DUCKDB = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    sdf = entry.queries()[name](spark, SF_DIR)
+    rel = duck.sql(entry.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for field in sdf.schema.fields:
+        spark_type = field.dataType.simpleString()
+        expected = SPARK_TO_DUCKDB.get(spark_type, spark_type.upper())
+        assert duck_types[field.name] == expected, f"{field.name}: {spark_type} vs {duck_types[field.name]}"
