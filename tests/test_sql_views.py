@@ -32,6 +32,9 @@ def test_reports_match_sql_over_views(spark, paths, f1_csv):
     assert elt.run_full_pipeline()["status"] == "success"
     views = register_views(spark, paths["staging"], paths["production"], paths["metrics"])
     assert len(views) == 3
+    described = [r["col_name"] for r in spark.sql("DESCRIBE customer_churn_analytics").collect()]
+    assert described[0] == "AnonymizedCustomerID" and described[-2:] == ["load_timestamp", "processed_timestamp"]
+    assert "CustomerID" not in described
 
     sql_summary = spark.sql(SUMMARY_SQL).first()
     ours = report(spark, "summary", paths["production"], paths["metrics"]).first()
