@@ -35,6 +35,9 @@ def test_reports_match_sql_over_views(spark, paths, f1_csv):
     described = [r["col_name"] for r in spark.sql("DESCRIBE customer_churn_analytics").collect()]
     assert described[0] == "AnonymizedCustomerID" and described[-2:] == ["load_timestamp", "processed_timestamp"]
     assert "CustomerID" not in described
+    flags = [r[0] for r in spark.sql(
+        "SELECT DISTINCT ChurnFlag FROM customer_churn_analytics ORDER BY ChurnFlag").collect()]
+    assert flags == [0, 1]
 
     sql_summary = spark.sql(SUMMARY_SQL).first()
     ours = report(spark, "summary", paths["production"], paths["metrics"]).first()
