@@ -54,6 +54,23 @@ class RetentionELT:
         self.multiline_csv = multiline_csv
         self.ragged_csv = ragged_csv
 
+    @classmethod
+    def from_paths(
+        cls,
+        staging_db_path: str,
+        production_db_path: str,
+        csv_path: str,
+        spark: SparkSession | None = None,
+        **options,
+    ) -> "RetentionELT":
+        """Construct with the original keyword names; the session defaults to
+        :func:`churnlens.session.get_spark`."""
+        if spark is None:
+            from churnlens.session import get_spark
+
+            spark = get_spark("retention-elt")
+        return cls(spark, staging_db_path, production_db_path, csv_path, **options)
+
     def extract_and_load(self) -> int:
         """CSV -> staging (full refresh). Returns the number of rows loaded.
 

@@ -276,3 +276,12 @@ def test_main_uses_environment_and_exit_status(spark, paths, f1_csv, monkeypatch
     assert read_metrics(spark, paths["metrics"]).count() == 6
     monkeypatch.setenv("CSV_PATH", "/nonexistent/file.csv")
     assert main() == 1
+
+
+def test_from_paths_with_original_keywords(spark, paths, f1_csv):
+    elt = RetentionELT.from_paths(
+        staging_db_path=paths["staging"], production_db_path=paths["production"], csv_path=f1_csv,
+        metrics_path=paths["metrics"],
+    )
+    assert elt.spark is spark
+    assert elt.run_full_pipeline()["production_rows"] == 5
