@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import chat, content_sort
+from churnlens.llm import chat, content_sort, cover_tree, huffman, mixing, sharding
 from churnlens.llm.common import read_table
 
 
@@ -51,6 +51,36 @@ FROM safe GROUP BY conv_id
 """
 
 
+def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes."""
+    placed = sharding.shard_documents(read_table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written in the block format and read back."""
+    import public_tokenizers
+
+    path = huffman.new_path(spark)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    huffman.write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    return huffman.token_digests(huffman.read_token_files(spark, path))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    taken = mixing.mix_sources(read_table(spark, sf_dir, "documents")).taken()
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts; the row with the largest doc_id stays."""
     return content_sort.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="max")
@@ -63,11 +93,36 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
+def op10_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every 50th vector among all others."""
+    vectors = cover_tree.quantised(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return cover_tree.top_k(vectors.filter("id % 50 = 0"), vectors, 5)
+
+
+_OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_vector_bin_packing": op2_vector_bin_packing,
+    "op3_huffman_tokens": op3_huffman_tokens,
+    "op6_source_mixing": op6_source_mixing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_dual_tree_topk": op10_dual_tree_topk,
 }
 ORACLE_SQL = {
     "op1_chat_formatting": _OP1_SQL,
     "op9_exact_dedup": _OP9_SQL,
+    "op10_dual_tree_topk": _OP10_SQL,
 }
