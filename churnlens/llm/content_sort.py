@@ -1,15 +1,17 @@
 """Exact dedup by sorting whole texts.
 
-Rows are range-partitioned on their (normalised) text with splitters that
-Spark samples, sorted externally within each range, and compared in full with
-their neighbours: equal texts are adjacent, so one pass over the sorted run
-finds every group, its size and the row that stays.
-
-A text that a fixed-size sample shows to be frequent would fill one range.
-Its rows carry a salt in the sort key, so its run is cut into up to ``SALTS``
-sub-runs in different ranges; the sub-runs (one summary row each) are then
-joined by their digest. The sample decides only where rows are sorted, never
-which rows are equal.
+Rows are range-partitioned on the first bytes of their (normalised) text with
+splitters that Spark samples, sorted externally on the whole text within each
+range, and compared in full with their neighbours: equal texts are adjacent,
+so one pass over the sorted run finds every group, its size and the row that
+stays. Splitters are prefixes, so what the driver gathers for them is bounded.
+
+A prefix or a whole text that a fixed-size sample shows to be frequent would
+fill one range. Rows of a frequent prefix are spread by their digest (equal
+texts stay together); rows of a frequent text by their id, so its run is cut
+into up to ``SALTS`` sub-runs, which are then joined by their digest, one
+summary row each. The sample decides only where rows are sorted, never which
+rows are equal.
 """
 
 from __future__ import annotations
@@ -21,23 +23,25 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.common import shared_table
 
-#: Rows looked at for frequent texts, and how often one must appear among them.
+#: Characters of a text that splitters see.
+PREFIX = 64
+#: Rows looked at for frequent prefixes and texts, and how often one must appear among them.
 SAMPLE_ROWS = 20_000
 SAMPLE_HITS = 8
-#: Sub-runs of a frequent text.
+#: Most frequent prefixes or texts that a sample can show.
+MOST = 2 * SAMPLE_ROWS // SAMPLE_HITS
+#: Parts of a frequent prefix, and sub-runs of a frequent text.
 SALTS = 256
 
-_TEXT, _DIGEST, _SALT, _RANK = "__text", "__digest", "__salt", "__rank"
+_TEXT, _DIGEST, _PREFIX, _PART, _SALT, _RANK = "__text", "__digest", "__prefix", "__part", "__salt", "__rank"
+_RUN = (_PREFIX, _PART, _SALT, _TEXT)
 
 
-def frequent_digests(keyed: DataFrame, seed: int = 7) -> list[str]:
-    """Digests of texts frequent in a bounded sample (at most SAMPLE_ROWS / SAMPLE_HITS)."""
-    rows = keyed.count()
-    share = min(1.0, SAMPLE_ROWS / max(1, rows))
-    hits = (
-        keyed.select(_DIGEST).sample(share, seed).groupBy(_DIGEST).count().filter(F.col("count") >= SAMPLE_HITS)
-    )
-    return [r[0] for r in hits.orderBy(F.desc("count"), _DIGEST).limit(2 * SAMPLE_ROWS // SAMPLE_HITS).collect()]
+def frequent(keyed: DataFrame, column: str, seed: int = 7) -> list[str]:
+    """Values frequent in a bounded sample of the rows (at most MOST)."""
+    share = min(1.0, SAMPLE_ROWS / max(1, keyed.count()))
+    hits = keyed.select(column).sample(share, seed).groupBy(column).count().filter(F.col("count") >= SAMPLE_HITS)
+    return [r[0] for r in hits.orderBy(F.desc("count"), column).limit(MOST).collect()]
 
 
 def sorted_runs(
@@ -45,17 +49,23 @@ def sorted_runs(
 ) -> DataFrame:
     """``docs`` with digest, salt and the rank in its run of equal neighbours."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn(_TEXT, normalise(text) if normalise else text).withColumn(
-        _DIGEST, F.sha2(F.encode(_TEXT, "UTF-8"), 256)
+    keyed = (
+        docs.withColumn(_TEXT, normalise(text) if normalise else text)
+        .withColumn(_PREFIX, F.substring(_TEXT, 1, PREFIX))
+        .withColumn(_DIGEST, F.sha2(F.encode(_TEXT, "UTF-8"), 256))
+    )
+    starts, texts = frequent(keyed, _PREFIX), frequent(keyed, _DIGEST)
+    # never empty lists: a constant column would drop out of the window's keys, and cost a second shuffle
+    starts, texts = starts or [""], texts or [""]
+    part = F.when(F.col(_PREFIX).isin(starts), F.pmod(F.hash(_DIGEST), F.lit(SALTS))).otherwise(0)
+    salt = F.when(F.col(_DIGEST).isin(texts), F.pmod(F.xxhash64(id_col), F.lit(SALTS)) + 1).otherwise(0)
+    ranged = (
+        keyed.withColumn(_PART, part.cast("int"))
+        .withColumn(_SALT, salt.cast("int"))
+        .repartitionByRange(_PREFIX, _PART, _SALT)
     )
-    hot = frequent_digests(keyed)
-    salt = F.lit(0)
-    if hot:
-        salt = F.when(F.col(_DIGEST).isin(hot), F.pmod(F.xxhash64(id_col), F.lit(SALTS)) + 1).otherwise(0)
-    ranged = keyed.withColumn(_SALT, salt.cast("int")).repartitionByRange(_TEXT, _SALT)
     best = F.col(id_col).asc_nulls_last() if keep == "min" else F.col(id_col).desc_nulls_last()
-    run = Window.partitionBy(_TEXT, _SALT).orderBy(best)
-    return ranged.withColumn(_RANK, F.row_number().over(run))
+    return ranged.withColumn(_RANK, F.row_number().over(Window.partitionBy(*_RUN).orderBy(best)))
 
 
 def exact_duplicates(
@@ -73,7 +83,7 @@ def exact_duplicates(
     empty result; further columns are ignored.
     """
     runs = sorted_runs(docs.select(id_col, text_col), id_col, text_col, normalise, keep)
-    whole = Window.partitionBy(_TEXT, _SALT)
+    whole = Window.partitionBy(*_RUN)
     slim = shared_table(
         runs.withColumn("__size", F.count(F.lit(1)).over(whole))
         .withColumn("__best", (F.min if keep == "min" else F.max)(F.col(id_col)).over(whole))
@@ -92,7 +102,8 @@ def exact_duplicates(
         .filter("__w = 1")
         .select(_DIGEST, F.col(_SALT).alias("__win"))
     )
-    stitched = slim.join(joined.join(winner, _DIGEST), _DIGEST, "left")
+    # at most MOST rows, one per frequent text
+    stitched = slim.join(F.broadcast(joined.join(winner, _DIGEST)), _DIGEST, "left")
     return stitched.select(
         id_col,
         F.coalesce("__first", "__best").alias("keep_id"),
