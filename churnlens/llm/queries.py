@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import chat, content_sort, cover_tree, huffman, mixing, sharding
+from churnlens.llm import chat, content_sort, cover_tree, html_layout, huffman, jaccard_join, mixing, pieces, sharding, toxicity
 from churnlens.llm.common import read_table
 
 
@@ -75,12 +75,61 @@ def op3_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_digests(huffman.read_token_files(spark, path))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.fit(docs, read_table(spark, sf_dir, "labels")).score(docs)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html_layout.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     taken = mixing.mix_sources(read_table(spark, sf_dir, "documents")).taken()
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    found = jaccard_join.similar_components(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+_OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), lists AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 3
+    THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS l FROM w
+), s AS (SELECT doc_id, len(l) AS n, unnest(l) AS g FROM lists),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (max(a.n) + max(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT l.doc_id, len(l.l) AS n_shingles, min(r.y) AS component_id
+FROM lists l JOIN reach r ON r.x = l.doc_id GROUP BY l.doc_id, len(l.l)
+"""
+
+
+def op8_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the digest of the text they decode to."""
+    return pieces.encoded_digests(read_table(spark, sf_dir, "documents"), pieces.default_model())
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts; the row with the largest doc_id stays."""
     return content_sort.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="max")
@@ -117,12 +166,17 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_vector_bin_packing": op2_vector_bin_packing,
     "op3_huffman_tokens": op3_huffman_tokens,
+    "op4_toxicity": op4_toxicity,
+    "op5_html_layout": op5_html_layout,
     "op6_source_mixing": op6_source_mixing,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_sentencepiece_viterbi": op8_sentencepiece_viterbi,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_dual_tree_topk": op10_dual_tree_topk,
 }
 ORACLE_SQL = {
     "op1_chat_formatting": _OP1_SQL,
+    "op7_jaccard_join": _OP7_SQL,
     "op9_exact_dedup": _OP9_SQL,
     "op10_dual_tree_topk": _OP10_SQL,
 }
