@@ -1,19 +1,27 @@
-"""Sinks: versioned full refresh, history append, JSON."""
+"""Sinks: versioned full refresh, partition overwrite, history append, JSON."""
 
 from churnlens.sinks.publish import (
     append,
     committed_versions,
+    create_table_as,
     current_version_path,
+    overwrite_partitions,
     publish,
+    read_partitioned,
     read_published,
+    vacuum,
     write_json,
 )
 
 __all__ = [
     "append",
     "committed_versions",
+    "create_table_as",
     "current_version_path",
+    "overwrite_partitions",
     "publish",
+    "read_partitioned",
     "read_published",
+    "vacuum",
     "write_json",
 ]

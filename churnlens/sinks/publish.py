@@ -3,9 +3,11 @@
 A full refresh never deletes the data readers are using. Each write goes to a
 new version directory under the table's base path; Spark's commit protocol
 moves files into it and writes ``_SUCCESS`` only when the whole job
-succeeded. Readers take the newest version that has ``_SUCCESS``, so a failed
-or half-written refresh leaves the previous table in place, and a retried
-task never leaves duplicate files behind.
+succeeded. Readers take the version with the highest number that has
+``_SUCCESS``, so a failed or half-written refresh leaves the previous table in
+place, and a retried task never leaves duplicate files behind. Numbers come
+from the listing, not from a clock, and publishing never deletes anything:
+:func:`vacuum` does, when asked to.
 """
 
 from __future__ import annotations
@@ -18,16 +20,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.operators.conform import conform
-from churnlens.sinks.storage import delete_path, join_path, list_children, path_exists
+from churnlens.sinks.storage import children_changed, delete_path, join_path, list_children, path_exists
 
 VERSION_PREFIX = "v="
 SUCCESS_MARKER = "_SUCCESS"
 
 
-def _new_version_name() -> str:
-    # Zero-padded epoch millis sort in time order; the suffix keeps two
-    # writers in the same millisecond apart.
-    return f"{VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+def _version_number(name: str) -> int:
+    digits = name[len(VERSION_PREFIX) :].split("-")[0]
+    return int(digits) if digits.isdecimal() else -1
+
+
+def _new_version_name(spark: SparkSession, base: str) -> str:
+    """One above the highest number in use, whether committed or not; the
+    suffix keeps two writers that saw the same listing apart."""
+    taken = [_version_number(n) for n in list_children(spark, base) if n.startswith(VERSION_PREFIX)]
+    return f"{VERSION_PREFIX}{max(taken, default=0) + 1:015d}-{uuid.uuid4().hex[:8]}"
 
 
 def committed_versions(spark: SparkSession, base: str) -> list[str]:
@@ -42,7 +50,7 @@ def committed_versions(spark: SparkSession, base: str) -> list[str]:
 
 
 def current_version_path(spark: SparkSession, base: str) -> str:
-    """Path of the newest committed version; ``FileNotFoundError`` if none."""
+    """Path of the highest committed version; ``FileNotFoundError`` if none."""
     versions = committed_versions(spark, base)
     if not versions:
         raise FileNotFoundError(f"no published table at {base}")
@@ -51,39 +59,75 @@ def current_version_path(spark: SparkSession, base: str) -> str:
 
 def read_published(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """Read the current version of a published table with its declared schema."""
-    return spark.read.schema(schema).parquet(current_version_path(spark, base))
+    table = spark.read.schema(schema).parquet(current_version_path(spark, base))
+    return table.select(*schema.names)  # partition columns would come last
 
 
 def publish(
     df: DataFrame,
     base: str,
     schema: T.StructType | None = None,
-    keep: int = 2,
     partition_by: list[str] | None = None,
 ) -> tuple[str, int]:
-    """Full refresh of the table at ``base``: write a new version, then retire old ones.
+    """Full refresh of the table at ``base``: write a new version.
 
     Returns ``(version_path, rows_written)``. The row count is observed while
     writing (no second pass over the data, and no second evaluation of
-    random columns). Only versions older than the ``keep`` newest committed
-    ones are deleted, and only after the new one is committed.
+    random columns). Raises ``RuntimeError`` when another writer's version is
+    the current one afterwards; the version written here then stays unread.
     """
     spark = df.sparkSession
     if schema is not None:
         df = conform(df, schema)
-    target = join_path(base, _new_version_name())
+    target = join_path(base, _new_version_name(spark, base))
     obs = Observation("publish")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
     rows = int(obs.get["rows"])
-    versions = committed_versions(spark, base)
-    for old in versions[: max(0, len(versions) - keep)]:
-        delete_path(spark, join_path(base, old))
+    current = current_version_path(spark, base)
+    if current != target:
+        raise RuntimeError(f"{target} was written, but another writer made {current} the current version")
     return target, rows
 
 
+def vacuum(spark: SparkSession, base: str, older_than: float) -> list[str]:
+    """Delete versions, committed or left by a failed write, last changed over
+    ``older_than`` seconds ago; returns their names. The current version and
+    any with a higher number (a write that may be running) are never touched.
+    Choose ``older_than`` above the longest run of a reader."""
+    current = committed_versions(spark, base)[-1:]
+    changed = children_changed(spark, base)
+    limit = time.time() - older_than
+    old = [n for n in sorted(changed) if current and n.startswith(VERSION_PREFIX) and n < current[0] and changed[n] < limit]
+    for name in old:
+        delete_path(spark, join_path(base, name))
+    return old
+
+
+def overwrite_partitions(df: DataFrame, path: str, schema: T.StructType, partition_by: list[str]) -> int:
+    """Incremental load: replace only the partitions that ``df`` has rows for.
+
+    Returns the rows written; read the table back with :func:`read_partitioned`.
+    """
+    obs = Observation("partitions")
+    observed = conform(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+    return int(obs.get["rows"])
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A partitioned table with its declared columns, in their order."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def create_table_as(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
+    """Create a catalog table from a frame (``CREATE TABLE ... AS SELECT``)."""
+    df.write.mode(mode).saveAsTable(name)
+
+
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
     """Append rows to a history table; returns the number of rows appended."""
     if schema is not None:
@@ -94,5 +138,5 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Report rows as JSON lines, one object per row."""
-    df.write.mode("overwrite").json(path)
+    """Report rows as JSON lines, one object per row, NULL fields included."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

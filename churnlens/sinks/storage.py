@@ -30,6 +30,14 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
 
 
+def children_changed(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names directly under ``path`` and when each last changed (epoch seconds)."""
+    fs, hpath = _fs_path(spark, path)
+    if not fs.exists(hpath):
+        return {}
+    return {st.getPath().getName(): st.getModificationTime() / 1000 for st in fs.listStatus(hpath)}
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_path(spark, path)
     fs.delete(hpath, True)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from churnlens.functions.expressions import band_left_closed
 from churnlens.operators.quality import last_not_null, metric_alerts
 from churnlens.schemas import METRICS, RATE_BANDS, RATE_BASE_BAND
-from churnlens.sinks.publish import publish
+from churnlens.sinks.publish import publish, vacuum
 
 # Metrics that are percentages and get a colour band.
 BANDED_METRICS = ("churn_rate_percent",)
@@ -60,6 +60,7 @@ def start_metrics_monitor(
     refresh_seconds: int = 30,
     available_now: bool = False,
     alerts_base: str | None = None,
+    keep_seconds: float = 86_400,
 ) -> StreamingQuery:
     """Start the monitor; returns the running query.
 
@@ -69,15 +70,18 @@ def start_metrics_monitor(
     (for scheduled or test runs); otherwise it refreshes every
     ``refresh_seconds``. With ``alerts_base``, each trigger also publishes the
     alert rows of the newest run, computed over the whole history (one row
-    per metric and run, so small next to the data).
+    per metric and run, so small next to the data). Snapshots replaced more
+    than ``keep_seconds`` ago are vacuumed; choose it above the longest read.
     """
     view = latest_metric_values(metric_history_stream(spark, metrics_path))
 
     def publish_snapshot(batch: DataFrame, _epoch: int) -> None:
         publish(batch, output_base)
+        vacuum(spark, output_base, keep_seconds)
         if alerts_base:
             history = spark.read.schema(METRICS).parquet(metrics_path)
             publish(newest_run_alerts(history), alerts_base)
+            vacuum(spark, alerts_base, keep_seconds)
 
     writer = view.writeStream.outputMode("complete").foreachBatch(publish_snapshot)
     if checkpoint_location:
