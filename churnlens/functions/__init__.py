@@ -12,7 +12,6 @@ from churnlens.functions.expressions import (
     python_timestamp_text,
     rate_percent,
     rate_percent_null_as_zero,
-    text_to_int,
 )
 
 __all__ = [
@@ -27,5 +26,4 @@ __all__ = [
     "python_timestamp_text",
     "rate_percent",
     "rate_percent_null_as_zero",
-    "text_to_int",
 ]

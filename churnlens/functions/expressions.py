@@ -44,15 +44,6 @@ def na_to_null(c: str | Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
     return F.when(hit, F.lit(None)).otherwise(col)
 
 
-def text_to_int(c: str | Column) -> Column:
-    """Text -> integer the way a float-typed column is inserted into INTEGER.
-
-    ``'25'`` and ``'25.0'`` both give 25; ``'2.5'`` rounds half to even.
-    Bad text raises under ANSI mode instead of turning into NULL silently.
-    """
-    return F.rint(as_col(c).cast("double")).cast("int")
-
-
 def flag_equals(c: str | Column, value: str) -> Column:
     """1 when the column equals ``value`` exactly (case-sensitive), else 0.
 
@@ -137,11 +128,18 @@ def python_timestamp_text(c: str | Column) -> Column:
     ``YYYY-MM-DD HH:MM:SS`` when the microseconds are zero, otherwise
     ``YYYY-MM-DD HH:MM:SS.ffffff``.
     """
-    col = as_col(c)
-    return F.when(
-        F.date_format(col, "SSSSSS") == F.lit("000000"),
-        F.date_format(col, "yyyy-MM-dd HH:mm:ss"),
-    ).otherwise(F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    # A cast never passes a zone-less timestamp through the session's zone.
+    text = as_col(c).cast("string")
+    return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
+
+
+def utc_now() -> Column:
+    """The query's start in UTC, as a zone-less timestamp: it never runs
+    backwards when local clocks do, whatever the session's zone."""
+    return F.expr(
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00' + "
+        "make_dt_interval(0, 0, 0, CAST(unix_micros(current_timestamp()) / CAST(1000000 AS DECIMAL(8, 0)) AS DECIMAL(18, 6)))"
+    )
 
 
 def is_null_count(c: str | Column) -> Column:

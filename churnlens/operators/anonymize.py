@@ -22,7 +22,7 @@ def anonymize_hash(df: DataFrame, id_col: str, out_col: str, salt: str) -> DataF
 
     The same id and salt always map to the same value, so tables anonymised
     in different runs can still be joined; without the salt the mapping
-    cannot be rebuilt from the ids alone.
+    cannot be rebuilt from the ids alone. A NULL id stays NULL.
     """
-    digest = F.sha2(F.concat_ws("|", F.lit(salt), F.col(id_col).cast("string")), 256)
+    digest = F.sha2(F.concat(F.lit(f"{salt}|"), F.col(id_col).cast("string")), 256)
     return df.withColumn(out_col, digest).drop(id_col)

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+INTEGRAL_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns by name, in its order, cast to its types.
 
     A missing column raises. Casts to an integer type from text or a
     fractional type round half to even first (``'25.0'`` -> 25), the way a
     float column is inserted into an INTEGER column; other casts are plain
-    ANSI casts, so malformed text raises instead of loading as NULL.
+    ANSI casts, so malformed text raises instead of loading as NULL. A value
+    that is NaN or out of an integer type's range raises with ANSI mode on or off.
     Columns not in the schema are dropped.
     """
     source = df.schema  # fetched once: each call is a round trip to the JVM
@@ -33,5 +37,13 @@ def cast_to(col: Column, src_type: T.DataType, dst_type: T.DataType) -> Column:
     if src_type == dst_type:
         return col
     if isinstance(dst_type, T.IntegralType) and isinstance(src_type, (T.StringType, T.FractionalType)):
-        return F.rint(col.cast("double")).cast(dst_type)
+        rounded = F.rint(col.cast("double"))
+        edge = 2.0 ** (INTEGRAL_BITS[type(dst_type)] - 1)
+        # without ANSI mode a cast would turn NaN into 0 and cut what is out of range
+        outside = F.isnan(rounded) | (rounded < -edge) | (rounded >= edge)
+        message = F.concat(F.lit(f"value does not fit {dst_type.simpleString()}: "), col.cast("string"))
+        checked = F.when(outside, F.raise_error(message)).otherwise(rounded).cast(dst_type)
+        if isinstance(src_type, T.StringType):
+            return F.coalesce(col.try_cast(dst_type), checked)  # large ids do not pass through a double
+        return checked
     return col.cast(dst_type)

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.functions.expressions import na_to_null
+from churnlens.functions.expressions import na_to_null, sql_ident
 from churnlens.operators.conform import cast_to
 from churnlens.schemas import NA_TOKENS, SOURCE
 from churnlens.sinks.storage import path_exists
 
 
+CORRUPT = "__corrupt_record"
 EXTRA_FIELD = "__extra_field"
 
 
@@ -25,32 +26,35 @@ def read_text_csv(
     ``multiline`` allows line breaks inside quoted fields but makes each file
     a single split, so leave it off for large inputs that do not need it.
 
+    Every file's header is checked against the first one's while it is read:
+    a file with other columns, or the same in another order, fails the read.
+
     ``ragged`` decides rows whose field count differs from the header:
     ``"fail"`` fails the read for any such row; ``"pad"`` fills missing
     trailing fields with NULL and still fails on a row with extra fields.
-    The check for extra fields is part of the same scan (one more text
-    column that must stay empty), not a separate pass.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV file not found: {path}")
-    options = dict(header=True, escape='"', multiLine=multiline)
+    options = dict(header=True, escape='"', multiLine=multiline, enforceSchema=False)
     if ragged == "fail":
         return spark.read.csv(path, inferSchema=False, mode="FAILFAST", **options)
     if ragged != "pad":
         raise ValueError(f"unknown ragged mode {ragged!r}")
     header = spark.read.csv(path, inferSchema=False, **options).columns
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in [*header, EXTRA_FIELD]]
-    )
-    padded = spark.read.csv(path, schema=schema, mode="PERMISSIVE", **options)
     if not header:
-        return padded.drop(EXTRA_FIELD)
-    first = header[0]
-    too_long = F.col(EXTRA_FIELD).isNotNull()
-    guarded = F.when(too_long, F.raise_error(F.lit("CSV row has more fields than the header")))
-    return padded.select(
-        guarded.otherwise(F.col(first)).alias(first), *[F.col(c) for c in header[1:]]
+        return spark.read.csv(path, inferSchema=False, **options)
+    text = [T.StructField(c, T.StringType()) for c in header]
+    # rows of another length are padded or cut, and kept whole in one more column
+    padded = (
+        spark.read.option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path, schema=T.StructType([*text, T.StructField(CORRUPT, T.StringType())]), mode="PERMISSIVE", **options)
     )
+    longer = ", ".join(f"{sql_ident(c)} string" for c in [*header, EXTRA_FIELD])
+    parsed = F.from_csv(F.col(CORRUPT), longer, {"escape": '"'})
+    too_long = F.col(CORRUPT).isNotNull() & parsed[EXTRA_FIELD].isNotNull()
+    guarded = F.when(too_long, F.raise_error(F.lit("CSV row has more fields than the header")))
+    return padded.select(guarded.otherwise(F.col(header[0])).alias(header[0]), *[F.col(c) for c in header[1:]])
 
 
 def text_to_typed(
