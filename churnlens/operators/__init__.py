@@ -4,7 +4,7 @@ from churnlens.operators.anonymize import anonymize_hash, anonymize_uuid
 from churnlens.operators.conform import conform
 from churnlens.operators.derive import derive_features
 from churnlens.operators.display import display_round, rate_band, select_field, table_band
-from churnlens.operators.impute import impute, null_census
+from churnlens.operators.impute import impute, most_frequent, null_census
 from churnlens.operators.quality import (
     last_not_null,
     latest_metrics,
@@ -17,9 +17,11 @@ from churnlens.operators.quality import (
 )
 from churnlens.operators.reports import (
     band_counts,
+    distinct_values,
     segment_profile,
     segment_rate,
     segment_rates,
+    segment_totals,
     summary,
     to_json_lines,
 )
@@ -30,8 +32,10 @@ __all__ = [
     "band_counts",
     "conform",
     "derive_features",
+    "distinct_values",
     "display_round",
     "impute",
+    "most_frequent",
     "last_not_null",
     "latest_metrics",
     "metric_alerts",
@@ -44,6 +48,7 @@ __all__ = [
     "segment_profile",
     "segment_rate",
     "segment_rates",
+    "segment_totals",
     "select_field",
     "summary",
     "table_band",

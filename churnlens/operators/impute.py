@@ -1,10 +1,10 @@
 """Missing-value imputation and null census.
 
-All statistics of one call come from a single aggregate over the input
-(one column-pruned scan). That aggregate is a scalar subquery: it runs once,
-its one-row result is inlined into the projection as constants and applied
-with ``coalesce`` -- no join, nothing that grows with the input is sent to
-the tasks.
+Statistics are scalar subqueries: each runs once, its value is inlined into
+the projection as a constant and applied with ``coalesce`` -- no join, nothing
+that grows with the input is sent to the tasks. Means come from one plain
+aggregate; every median and mode is a subquery of its own, so one that a
+report does not use disappears from its plan.
 """
 
 from __future__ import annotations
@@ -28,21 +28,19 @@ def impute(
     median_int: Iterable[str] = (),
     mean: Iterable[str] = (),
     mode: Iterable[str] = (),
-    median_method: str = "exact",
+    median_method: str = "distributed",
     median_accuracy: int = 10_000,
 ) -> DataFrame:
     """Fill NULLs column by column.
 
     - ``constants``: fixed value per column.
     - ``median_int``: exact (interpolated) median of the non-NULL values,
-      truncated toward zero to an integer, then cast to the column's type. The median's aggregation state
-      is a value->count map, so it is meant for columns with a bounded
-      number of distinct values (ages, counts); it merges partial maps
-      from every task (``median_method="exact"``). For columns with
-      unbounded cardinality choose ``"distributed"`` (same exact result,
-      ranks only the values near the middle; see
-      :func:`churnlens.operators.quantile.exact_medians`) or ``"approx"``
-      (``percentile_approx`` with ``median_accuracy``; rank error at most
+      truncated toward zero to an integer, then cast to the column's type.
+      ``median_method="distributed"`` works at any cardinality
+      (:func:`churnlens.operators.quantile.exact_medians`); ``"exact"`` is
+      Spark's own, whose value->count map is merged in one task, for columns
+      known to have few distinct values (ages, counts); ``"approx"`` is
+      ``percentile_approx`` with ``median_accuracy`` (rank error at most
       rows/accuracy). The choice is explicit, never made silently.
     - ``mean``: unrounded mean of the non-NULL values, as a double; the
       column becomes a double so later steps see the unrounded fill.
@@ -62,23 +60,19 @@ def impute(
             return F.percentile_approx(F.col(c), 0.5, median_accuracy)
         return F.median(c)
 
-    in_agg_medians = [] if median_method == "distributed" else median_int
-    stats = (
-        [median(c).cast("long").alias(_stat_name("median", c)) for c in in_agg_medians]
-        + [exact_avg(c).alias(_stat_name("mean", c)) for c in mean]
-        + [F.mode(c, True).alias(_stat_name("mode", c)) for c in mode]
-    )
-    # Each statistic is a field of a scalar subquery: the aggregate runs once
-    # (further references reuse its result) and its value is inlined into
-    # the projection, so no join is needed.
     stat = {}
-    if stats:
-        stat.update(_scalar_fields(df.agg(*stats)))
+    if mean:
+        stat.update(_scalar_fields(df.agg(*[exact_avg(c).alias(_stat_name("mean", c)) for c in mean])))
     if median_method == "distributed" and median_int:
         medians = exact_medians(df, median_int).select(
             *[F.col(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
         )
         stat.update(_scalar_fields(medians))
+    elif median_int:
+        medians = [median(c).cast("long").alias(_stat_name("median", c)) for c in median_int]
+        stat.update(_scalar_fields(df.agg(*medians)))
+    for c in mode:
+        stat[_stat_name("mode", c)] = most_frequent(df, c).scalar()
 
     fills = {}
     for c in median_int:
@@ -100,6 +94,16 @@ def _scalar_fields(one_row: DataFrame) -> dict[str, Column]:
     return {c: packed.getField(c) for c in one_row.columns}
 
 
+def most_frequent(df: DataFrame, col: str) -> DataFrame:
+    """The most frequent non-NULL value, the smallest on ties (no row if none).
+
+    Counts are combined map-side and the best kept per task, so neither many
+    distinct values nor one frequent value meets in a single task.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.orderBy(F.desc("__n"), F.asc(col)).limit(1).select(col)
+
+
 def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Per column: NULL count and NULL percentage (rounded to 2), one scan.
 

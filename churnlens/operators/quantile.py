@@ -1,99 +1,85 @@
-"""Exact median without gathering all distinct values in one task.
-
-``F.median`` is exact but its aggregation state is a value->count map that is
-merged in a single task, so its cost grows with the number of distinct
-values. :func:`exact_median` gives the same (interpolated) result for columns
-of any cardinality:
-
-1. count rows per distinct value (partial aggregation: a value holding a
-   third of all rows is one row per task);
-2. cut the value range into ``buckets`` slices at approximate quantiles (a
-   bounded sketch per task; only the ``buckets - 1`` cut points reach the
-   driver);
-3. total the rows per slice (at most ``buckets`` rows) and find the slice(s)
-   holding the two middle ranks;
-4. rank exactly only inside those slices (about distinct/buckets values).
-
-The cut points only decide which values are looked at together; the result
-does not depend on their accuracy.
+"""Exact medians without gathering all distinct values in one task.
+
+``F.median`` is exact but its state is a value->count map merged in a single
+task. :func:`exact_medians` gives the same (interpolated) result for columns
+of any cardinality, in two scans and without a data-sized shuffle:
+
+1. a quantile sketch brackets the median of every column from both sides;
+2. values outside a column's bracket are only counted, those inside (about
+   ``2 * MARGIN`` of the rows) are grouped by value, combined map-side, and
+   ranked.
+
+The sketch only decides which values are ranked; should its error bound ever
+be missed, the query raises instead of returning another value. Nothing runs
+while the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Accuracy of the sketch (rank error 1 / ACCURACY), and half the bracket's share of the rows.
+ACCURACY = 100_000
+MARGIN = 1e-4
 
-def exact_medians(df: DataFrame, cols: list[str], buckets: int = 256) -> DataFrame:
-    """One-row frame with the interpolated median of each column (as double).
+BELOW, INSIDE, ABOVE = 0, 1, 2
 
-    Column names are kept. NULLs are ignored; a column without values gives
-    NULL. The cut points of all columns come from one small eager job; the
-    rest stays lazy. ``buckets`` trades the size of the final exact ranking
-    (about distinct values / buckets) against the cut-point sketch.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    cut_row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c)
-            for c in cols
-        ]
-    ).first()
-    parts = [_median_from_cuts(df, c, cut_row[c]) for c in cols]
-    # Each part is one value; the others join the first as scalar subqueries.
-    return parts[0].select(
-        F.col("median").alias(cols[0]),
-        *[part.scalar().alias(c) for part, c in zip(parts[1:], cols[1:])],
-    )
 
+def _ordered(col: str) -> Column:
+    """The value as a double, NaN as +infinity (NaN sorts after every number)."""
+    x = F.col(col).cast("double")
+    return F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x)
 
-def exact_median(df: DataFrame, col: str, buckets: int = 256) -> DataFrame:
-    """One-row frame ``(median double)``: the interpolated median of ``col``."""
-    return exact_medians(df, [col], buckets).withColumnRenamed(col, "median")
-
-
-def _median_from_cuts(df: DataFrame, col: str, cuts) -> DataFrame:
-    values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
-    spark = df.sparkSession
-    if cuts is None:
-        return spark.createDataFrame([(None,)], "median double")
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
-
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    slicer = Bucketizer(splits=splits, inputCol="__vd", outputCol="b", handleInvalid="keep")
-    sliced = slicer.transform(counts.withColumn("__vd", F.col("v").cast("double"))).drop("__vd")
-
-    # At most `buckets` rows from here on.
-    totals = sliced.groupBy("b").agg(F.sum("c").alias("bc"))
-    in_order = Window.orderBy("b")
-    spans = totals.select(
-        "b",
-        (F.sum("bc").over(in_order) - F.col("bc")).alias("start"),
-        F.sum("bc").over(in_order).alias("end"),
+
+def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One-row frame with the interpolated median of each column (as double).
+
+    Column names are kept. NULLs are ignored; NaN counts as the largest
+    value; a column without values gives NULL.
+    """
+    probs = [0.5 - MARGIN, 0.5 + MARGIN]
+    brackets = df.agg(
+        F.struct(*[F.percentile_approx(_ordered(c), probs, ACCURACY).alias(c) for c in cols]).alias("b")
+    ).scalar()
+    cells = []
+    for i, c in enumerate(cols):
+        key, bracket = _ordered(c), brackets[c]
+        part = F.when(key < bracket[0], BELOW).when(key > bracket[1], ABOVE).otherwise(INSIDE)
+        value = F.col(c).cast("double")
+        cells.append(
+            F.when(
+                value.isNotNull(),
+                F.struct(F.lit(i).alias("c"), part.alias("part"), F.when(part == INSIDE, value).alias("v")),
+            )
+        )
+    counts = (
+        df.select(F.explode(F.array(*cells)).alias("x"))
+        .filter("x is not null")
+        .groupBy("x.c", "x.part", "x.v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    n = totals.agg(F.sum("bc")).scalar()
-    lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
-    wanted = spans.select("b", "start", "end", lo.alias("lo"), hi.alias("hi")).where(
-        ((F.col("start") <= F.col("lo")) & (F.col("lo") < F.col("end")))
-        | ((F.col("start") <= F.col("hi")) & (F.col("hi") < F.col("end")))
+    running = Window.partitionBy("c").orderBy("part", "v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.select(
+        "c",
+        "part",
+        "v",
+        (F.sum("n").over(running) - F.col("n")).alias("first"),
+        F.sum("n").over(running).alias("next"),
+        F.sum("n").over(Window.partitionBy("c")).alias("total"),
     )
 
-    # Only the one or two slices holding the middle ranks are ranked exactly;
-    # `wanted` has at most two rows by construction.
-    inside = sliced.join(F.broadcast(wanted), "b")
-    within = Window.partitionBy("b").orderBy("v")
-    ranked = inside.select(
-        "v",
-        "lo",
-        "hi",
-        (F.col("start") + F.sum("c").over(within) - F.col("c")).alias("r0"),
-        (F.col("start") + F.sum("c").over(within)).alias("r1"),
+    def at(rank: Column) -> Column:
+        hit = (F.col("first") <= rank) & (rank < F.col("next"))
+        missed = F.raise_error(F.lit("median outside its bracket: the sketch missed its error bound"))
+        return F.max(F.when(hit, F.when(F.col("part") == INSIDE, F.col("v")).otherwise(missed)))
+
+    picked = ranked.groupBy("c").agg(
+        ((at(F.floor((F.col("total") - 1) / 2)) + at(F.floor(F.col("total") / 2))) / 2).alias("median")
     )
+    return picked.agg(*[F.max(F.when(F.col("c") == i, F.col("median"))).alias(c) for i, c in enumerate(cols)])
 
-    def at(rank: str):
-        hit = (F.col("r0") <= F.col(rank)) & (F.col(rank) < F.col("r1"))
-        return F.max(F.when(hit, F.col("v").cast("double")))
 
-    picked = ranked.agg(at("lo").alias("v_lo"), at("hi").alias("v_hi"))
-    return picked.select(((F.col("v_lo") + F.col("v_hi")) / 2).alias("median"))
+def exact_median(df: DataFrame, col: str) -> DataFrame:
+    """One-row frame ``(median double)``: the interpolated median of ``col``."""
+    return exact_medians(df, [col]).withColumnRenamed(col, "median")

@@ -84,9 +84,17 @@ def segment_rates(
     keys = list(keys)
     n = len(keys)
     gid = F.grouping_id()
-    grouped = df.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.round(rate_percent(flag), 2).alias("churn_rate"),
+    # Counts and sums add up: group by all keys first (categories, so few
+    # rows), then expand those rows to the grouping sets, not the input's.
+    cells = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.sum(flag).alias("__hits"),
+        F.count(flag).alias("__known"),
+    )
+    rate = F.try_divide(F.sum("__hits").cast("double"), F.sum("__known")) * F.lit(100)
+    grouped = cells.groupingSets([[k] for k in keys], *keys).agg(
+        F.sum("__n").alias("count"),
+        F.round(rate, 2).alias("churn_rate"),
         gid.alias("__gid"),
     )
     # In the set of key i only that key is grouped: its grouping bit is 0.
@@ -113,6 +121,19 @@ def segment_rates(
     )
 
 
+def segment_totals(df: DataFrame, key: str = "ContractType", flag: str = "ChurnFlag") -> DataFrame:
+    """Per segment: row count and sum of the flag (NULL flags add nothing;
+    a segment with only NULL flags sums to NULL), in ascending key order."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"), F.sum(flag).alias("churned")).orderBy(
+        F.asc_nulls_last(key)
+    )
+
+
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """The distinct values of a column in ascending order, NULL last."""
+    return df.select(col).distinct().orderBy(F.asc_nulls_last(col))
+
+
 def segment_profile(
     df: DataFrame,
     key: str = "ContractType",
@@ -158,9 +179,9 @@ def band_counts(
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:
-    """One JSON object per row in a single ``value`` column (lazy).
+    """One JSON object per row in a single ``value`` column (lazy); NULL fields are kept.
 
     Write it with ``.write.text(path)`` or stream it; nothing is gathered on
     the driver.
     """
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))

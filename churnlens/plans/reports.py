@@ -37,6 +37,9 @@ def metrics_report(spark: SparkSession, metrics_path: str) -> DataFrame:
     return latest_metrics(read_metrics(spark, metrics_path))
 
 
+# Reports that are one object, not a list.
+ONE_ROW_REPORTS = ("summary", "kpi_display")
+
 # Segment reports by other keys: services, charge band, tenure band.
 SEGMENT_REPORTS = {
     "churn_by_service": "InternetService",
@@ -86,8 +89,9 @@ def report_json(spark: SparkSession, name: str, production_base: str, metrics_pa
 def main(argv: list[str] | None = None) -> int:
     """``python -m churnlens.plans.reports NAME --production P --metrics M``.
 
-    Prints the report as a JSON array on stdout (one object per row, in
-    report order); rows are streamed partition by partition, not gathered.
+    Prints the report on stdout: an object for a one-row report (``summary``,
+    ``kpi_display``), else a JSON array with one object per row, in report
+    order; rows are streamed partition by partition, not gathered.
     """
     import argparse
     import sys
@@ -102,10 +106,11 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_spark("churnlens-report")
     out = sys.stdout
-    out.write("[")
+    opening, closing = ("", "") if args.name in ONE_ROW_REPORTS else ("[", "]")
+    out.write(opening)
     for i, row in enumerate(report_json(spark, args.name, args.production, args.metrics).toLocalIterator()):
         out.write(("," if i else "") + row[0])
-    out.write("]\n")
+    out.write(closing + "\n")
     return 0
 
 
