@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.functions.expressions import bin_right_closed, exact_avg, flag_equals
+from churnlens.functions.expressions import bin_right_closed, exact_avg, flag_equals, python_timestamp_text, utc_now
 from churnlens.operators.anonymize import anonymize_hash, anonymize_uuid
-from churnlens.operators.display import display_round, rate_band, table_band
+from churnlens.operators.display import display_round, rate_band, select_field, table_band
 from churnlens.operators.impute import impute, null_census
 from churnlens.operators.quantile import exact_medians
 from churnlens.operators.quality import (
@@ -29,10 +29,13 @@ from churnlens.operators.quality import (
 )
 from churnlens.operators.reports import (
     band_counts,
+    distinct_values,
     segment_profile,
     segment_rate,
     segment_rates,
+    segment_totals,
     summary,
+    to_json_lines,
 )
 from churnlens.plans.production import build_production, production_comparable
 from churnlens.schemas import SOURCE
@@ -41,10 +44,11 @@ from churnlens.sources.testdata import (
     DAILY_EVENT_METRICS,
     daily_event_metrics,
     event_metric_rows,
+    flagged_customers,
     lineitem_with_gaps,
+    retention_csv_lines,
     retention_raw,
     retention_raw_text,
-    session_view,
     table,
 )
 
@@ -66,9 +70,8 @@ STAT_DECIMALS = 6
 
 
 def _production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned customer table the reports read (defined once per session)."""
-    key = f"{sf_dir.rstrip('/')}#production"
-    return session_view(spark, key, lambda: production_comparable(retention_raw(spark, sf_dir)))
+    """The cleaned customer table the reports read."""
+    return production_comparable(retention_raw(spark, sf_dir))
 
 
 def q_staging_raw(spark, sf_dir):
@@ -137,13 +140,15 @@ def q_reconcile_counts(spark, sf_dir):
 
 
 def q_anonymize_hash(spark, sf_dir):
+    """Salted hashes; an id that is NULL (every 31st) stays NULL."""
     customer = table(spark, sf_dir, "customer")
-    return anonymize_hash(customer, "c_custkey", "anon_id", HASH_SALT)
+    gaps = customer.withColumn("c_custkey", F.when(F.col("c_custkey") % 31 != 0, F.col("c_custkey")))
+    return anonymize_hash(gaps, "c_custkey", "anon_id", HASH_SALT)
 
 
 def q_anonymize_uuid_shape(spark, sf_dir):
     """The full production build (random ids, clocks) checked by its invariants."""
-    raw = retention_raw(spark, sf_dir).withColumn("load_timestamp", F.localtimestamp())
+    raw = retention_raw(spark, sf_dir).withColumn("load_timestamp", utc_now())
     prod = build_production(raw)
     ids = F.col("AnonymizedCustomerID")
     return prod.agg(
@@ -226,6 +231,63 @@ def q_lineitem_medians(spark, sf_dir):
     return medians.select(*[F.col(c).alias(f"median_{c[2:]}") for c in cols])
 
 
+def q_staging_csv_lines(spark, sf_dir):
+    """CSV lines (quotes, NA tokens, ``25.0`` integers) -> typed staging columns."""
+    lines = retention_csv_lines(spark, sf_dir)
+    text = ", ".join(f"{c} string" for c in SOURCE.names)
+    parsed = lines.select(F.from_csv("value", text, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    return text_to_typed(parsed, SOURCE)
+
+
+def q_flag_rate_bands(spark, sf_dir):
+    """Segments with high, middle and low rates and NULL flags, with their colours."""
+    return table_band(rate_band(segment_rate(flagged_customers(spark, sf_dir), "region", "flag")))
+
+
+def q_flag_profile(spark, sf_dir):
+    """NULL flags counted as 0, NULL averages reported as 0."""
+    df = flagged_customers(spark, sf_dir)
+    return segment_profile(df, "region", "flag", "charges", "tenure", segment="region")
+
+
+def q_flag_totals(spark, sf_dir):
+    return segment_totals(flagged_customers(spark, sf_dir), "region", "flag")
+
+
+def q_flag_values(spark, sf_dir):
+    return distinct_values(flagged_customers(spark, sf_dir), "flag")
+
+
+def q_long_tenure_customers(spark, sf_dir):
+    """Rows kept by a filter, in ascending order of their id."""
+    kept = _production(spark, sf_dir).filter((F.col("Tenure") > 36) & (F.col("ContractType") == "Two-Year"))
+    return kept.select("CustomerID", "Tenure", "MonthlyCharges").orderBy("CustomerID")
+
+
+def q_kpi_field(spark, sf_dir):
+    return select_field(summary(_production(spark, sf_dir)), "churn_rate")
+
+
+def q_reconcile_dropped(spark, sf_dir):
+    """Staging against a production table that lost every tenth row."""
+    return reconcile(retention_raw(spark, sf_dir), _production(spark, sf_dir).filter("CustomerID % 10 <> 0"))
+
+
+def q_contract_json(spark, sf_dir):
+    """Churn by raw contract type as JSON lines; the missing type is a null key."""
+    raw = retention_raw(spark, sf_dir).withColumn("ChurnFlag", flag_equals("Churn", "Yes"))
+    return to_json_lines(segment_rate(raw, "ContractType"))
+
+
+def q_timestamp_text(spark, sf_dir):
+    """Timestamps inside a daylight-saving gap as text, whatever the session's zone."""
+    at = (
+        "TIMESTAMP_NTZ'2024-03-10 02:00:00' + make_dt_interval(0, 0, 0, "
+        "CAST(event_id % 3600 AS DECIMAL(18, 6)) + CAST(event_id % 4 AS DECIMAL(18, 6)) * 0.25)"
+    )
+    return table(spark, sf_dir, "events").select("event_id", python_timestamp_text(F.expr(at)).alias("at_text"))
+
+
 QUERIES: dict[str, Query] = {
     "staging_raw": q_staging_raw,
     "production_clean": q_production_clean,
@@ -254,6 +316,16 @@ QUERIES: dict[str, Query] = {
     "lineitem_impute": q_lineitem_impute,
     "lineitem_segment_profile": q_lineitem_segment_profile,
     "lineitem_medians": q_lineitem_medians,
+    "staging_csv_lines": q_staging_csv_lines,
+    "flag_rate_bands": q_flag_rate_bands,
+    "flag_profile": q_flag_profile,
+    "flag_totals": q_flag_totals,
+    "flag_values": q_flag_values,
+    "long_tenure_customers": q_long_tenure_customers,
+    "kpi_field": q_kpi_field,
+    "reconcile_dropped": q_reconcile_dropped,
+    "contract_json": q_contract_json,
+    "timestamp_text": q_timestamp_text,
 }
 
 
@@ -263,7 +335,7 @@ QUERIES: dict[str, Query] = {
 
 RAW_SQL = """
 raw AS (
-  SELECT CAST(c_custkey AS INT) AS CustomerID,
+  SELECT CAST(c_custkey AS BIGINT) AS CustomerID,
     CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(18 + (c_custkey * 7) % 63 AS INT) END AS Age,
     CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS Gender,
     CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST((c_custkey * 5) % 61 AS INT) END AS Tenure,
@@ -273,7 +345,7 @@ raw AS (
          WHEN c_mktsegment = 'AUTOMOBILE' THEN 'One-Year'
          WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Two-Year' ELSE NULL END AS ContractType,
     CASE WHEN c_nationkey % 3 = 0 THEN 'Fiber Optic' WHEN c_nationkey % 3 = 1 THEN 'DSL' ELSE NULL END AS InternetService,
-    CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST(total_spend AS DECIMAL(10,2)) END AS TotalCharges,
+    CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST(total_spend AS DECIMAL(18,2)) END AS TotalCharges,
     CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'Yes' ELSE 'No' END AS TechSupport,
     CASE WHEN c_custkey % 29 = 0 THEN NULL
          WHEN last_order < TIMESTAMP '2001-01-01 00:00:00' THEN 'Yes' ELSE 'No' END AS Churn
@@ -296,7 +368,7 @@ filled AS (
     COALESCE(CAST(MonthlyCharges AS DOUBLE), mean_charge) AS MonthlyCharges,
     COALESCE(ContractType, 'Month-to-Month') AS ContractType,
     COALESCE(InternetService, 'None') AS InternetService,
-    COALESCE(TotalCharges, CAST(0 AS DECIMAL(10,2))) AS TotalCharges,
+    COALESCE(TotalCharges, CAST(0 AS DECIMAL(18,2))) AS TotalCharges,
     COALESCE(TechSupport, 'No') AS TechSupport,
     COALESCE(Churn, 'No') AS Churn
   FROM raw CROSS JOIN stats
@@ -480,7 +552,52 @@ gap_stats AS (
 )"""
 
 
+FLAGGED_SQL = """
+f AS (
+  SELECT CASE WHEN c_nationkey % 3 = 0 THEN 'north' WHEN c_nationkey % 3 = 1 THEN 'south' END AS region,
+    CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_nationkey % 3 = 0 THEN CAST(c_custkey % 10 < 9 AS INT)
+      WHEN c_nationkey % 3 = 1 THEN CAST(c_custkey % 10 < 6 AS INT) ELSE CAST(c_custkey % 10 < 2 AS INT) END AS flag,
+    CASE WHEN c_nationkey % 3 = 1 THEN NULL ELSE CAST(ROUND(ABS(c_acctbal), 2) AS DECIMAL(10,2)) END AS charges,
+    CAST(c_custkey % 61 AS INT) AS tenure
+  FROM customer
+)"""
+
+_NULL_AS_ZERO = "CASE WHEN flag = 1 THEN 1 ELSE 0 END"
+
 ORACLE_SQL: dict[str, str] = {
+    "staging_csv_lines": f"WITH {RAW_SQL}\nSELECT * FROM raw",
+    "flag_rate_bands": f"""WITH {FLAGGED_SQL}
+SELECT region, count, churn_rate, {_band('churn_rate')} AS rate_band,
+  CASE WHEN churn_rate >= 80 THEN 'red' ELSE 'green' END AS table_band
+FROM (SELECT region, COUNT(*) AS count, COALESCE(ROUND({_rate('flag')}, 2), 0) AS churn_rate FROM f GROUP BY region)""",
+    "flag_profile": f"""WITH {FLAGGED_SQL}
+SELECT COUNT(*) AS total_customers, COALESCE({_rate(_NULL_AS_ZERO)}, 0) AS churn_rate,
+  COALESCE({_avg('charges')}, 0) AS avg_monthly_charges, COALESCE({_avg('tenure')}, 0) AS avg_tenure,
+  region AS region_type, COUNT(*) AS region_count, COALESCE({_rate(_NULL_AS_ZERO)}, 0) AS region_churn_rate
+FROM f GROUP BY region""",
+    "flag_totals": f"WITH {FLAGGED_SQL}\nSELECT region, COUNT(*) AS count, CAST(SUM(flag) AS BIGINT) AS churned "
+    "FROM f GROUP BY region ORDER BY region NULLS LAST",
+    "flag_values": f"WITH {FLAGGED_SQL}\nSELECT DISTINCT flag FROM f ORDER BY flag NULLS LAST",
+    "long_tenure_customers": _with_prod(
+        "SELECT CustomerID, Tenure, MonthlyCharges FROM production "
+        "WHERE Tenure > 36 AND ContractType = 'Two-Year' ORDER BY CustomerID"
+    ),
+    "kpi_field": _with_prod(f"SELECT churn_rate FROM ({SUMMARY_SQL}) s"),
+    "reconcile_dropped": _with_prod(
+        "SELECT (SELECT COUNT(*) FROM raw) AS staging_rows, "
+        "(SELECT COUNT(*) FROM production WHERE CustomerID % 10 <> 0) AS production_rows, "
+        "(SELECT COUNT(*) FROM raw) = (SELECT COUNT(*) FROM production WHERE CustomerID % 10 <> 0) AS matches"
+    ),
+    "contract_json": f"""WITH {RAW_SQL}
+SELECT '{{"contract_type":' || COALESCE('"' || ContractType || '"', 'null') || ',"count":' || COUNT(*)
+  || ',"churn_rate":' || COALESCE(ROUND({_rate("CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END")}, 2), 0) || '}}' AS value
+FROM raw GROUP BY ContractType""",
+    "timestamp_text": """
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN strftime(t, '%Y-%m-%d %H:%M:%S')
+  ELSE strftime(t, '%Y-%m-%d %H:%M:%S.%f') END AS at_text
+FROM (SELECT event_id, TIMESTAMP '2024-03-10 02:00:00' + to_milliseconds((event_id % 3600) * 1000 + (event_id % 4) * 250) AS t
+  FROM events) s""",
+
     "staging_raw": f"WITH {RAW_SQL}\nSELECT * FROM raw",
     "production_clean": _with_prod("SELECT * FROM production"),
     "summary": _with_prod(SUMMARY_SQL),
@@ -527,7 +644,7 @@ FROM ({SUMMARY_SQL}) s"""
     ),
     "anonymize_hash": f"""
 SELECT c_name, c_nationkey, c_acctbal, c_mktsegment,
-  sha256('{HASH_SALT}' || '|' || CAST(c_custkey AS VARCHAR)) AS anon_id
+  sha256('{HASH_SALT}' || '|' || CAST(CASE WHEN c_custkey % 31 <> 0 THEN c_custkey END AS VARCHAR)) AS anon_id
 FROM customer""",
     "anonymize_uuid_shape": """
 SELECT COUNT(*) AS n_rows, COUNT(*) AS distinct_ids, CAST(36 AS INTEGER) AS min_len,
@@ -536,7 +653,7 @@ FROM customer""",
     "uuid_per_row": "SELECT COUNT(*) AS n_rows, COUNT(*) AS distinct_ids FROM orders",
     "latest_metrics_topk": """
 SELECT metric_name, metric_value, timestamp FROM (
-  SELECT event_type AS metric_name, COALESCE(value, 0) AS metric_value,
+  SELECT event_type AS metric_name, CASE WHEN event_id % 2 = 0 THEN 0 ELSE COALESCE(value, 0) END AS metric_value,
     CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
          ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp
   FROM events ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 10
@@ -546,7 +663,7 @@ SELECT metric_name, last_metric_value, last_run_timestamp, last_event_id FROM (
   SELECT event_type AS metric_name, value AS last_metric_value, ts AS last_run_timestamp,
     event_id AS last_event_id,
     ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE value IS NOT NULL
+  FROM events WHERE value IS NOT NULL AND event_id % 2 <> 0
 ) t WHERE rn = 1""",
     "event_metric_history": f"WITH {DAILY_SQL.strip()}\nSELECT * FROM history",
     "metric_trend": _trend_sql(),

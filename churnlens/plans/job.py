@@ -14,8 +14,8 @@ import sys
 from typing import Any
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
+from churnlens.functions.expressions import utc_now
 from churnlens.operators.quality import quality_metrics, reconcile_counts, to_tall
 from churnlens.plans.production import build_production
 from churnlens.schemas import METRIC_NAMES, METRICS, STAGING
@@ -63,7 +63,7 @@ class RetentionELT:
         spark: SparkSession | None = None,
         **options,
     ) -> "RetentionELT":
-        """Construct with the original keyword names; the session defaults to
+        """Construct from database-style path names; the session defaults to
         :func:`churnlens.session.get_spark`."""
         if spark is None:
             from churnlens.session import get_spark
@@ -82,7 +82,7 @@ class RetentionELT:
         source = read_source_csv(
             self.spark, self.csv_path, multiline=self.multiline_csv, ragged=self.ragged_csv
         )
-        staged = source.withColumn("load_timestamp", F.localtimestamp())
+        staged = source.withColumn("load_timestamp", utc_now())
         _, rows = publish(staged, self.staging_path, STAGING)
         log.info("Loaded %s rows to staging", rows)
         return rows
@@ -109,7 +109,7 @@ class RetentionELT:
         row = wide.collect()[0]  # a global aggregate: exactly one row
         metrics = {name: row[name] for name in METRIC_NAMES}
         one_row = self.spark.createDataFrame([row], wide.schema)
-        tall = to_tall(one_row, run_timestamp=F.localtimestamp())
+        tall = to_tall(one_row, run_timestamp=utc_now())
         # Six rows: one file per run keeps the history (and its file stream) lean.
         append(tall.coalesce(1), self.metrics_path, METRICS)
         log.info("Generated metrics: %s", metrics)
@@ -133,23 +133,62 @@ class RetentionELT:
             return {"status": "failed", "error": str(e)}
 
 
+STEPS = ("extract", "transform", "metrics", "all")
+
+
+def run_step(job: RetentionELT, step: str, staging_rows: int | None = None) -> dict[str, Any]:
+    """Run one step of the job in this process; raises when it fails.
+
+    ``transform`` compares its row count with ``staging_rows``, or with a
+    count of the staging table when a scheduler did not hand that over.
+    """
+    if step == "extract":
+        return {"staging_rows": job.extract_and_load()}
+    if step == "transform":
+        rows = job.transform()
+        if staging_rows is None:
+            staging_rows = read_staging(job.spark, job.staging_path).count()
+        return {"production_rows": rows, "matches": reconcile_counts(staging_rows, rows)}
+    if step == "metrics":
+        return {"metrics": job.generate_data_quality_metrics()}
+    raise ValueError(f"unknown step {step!r}; expected one of {STEPS}")
+
+
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit`` entry point; paths come from the environment.
+    """``spark-submit`` entry point: ``[--step STEP] [--staging-rows N]``.
 
-    ``STAGING_DB_PATH``, ``PRODUCTION_DB_PATH``, ``CSV_PATH`` and optionally
-    ``METRICS_PATH``. Exit status 0 on success, 1 on failure.
+    Paths come from the environment and must be set: ``STAGING_DB_PATH``,
+    ``PRODUCTION_DB_PATH``, ``CSV_PATH`` (``METRICS_PATH`` is optional). Each
+    step can run as its own application. Exit status 0 on success, 1 on
+    failure, 2 when a setting is missing.
     """
+    import argparse
+
     from churnlens.session import get_spark
 
+    parser = argparse.ArgumentParser(description="Run the retention job or one of its steps.")
+    parser.add_argument("--step", choices=STEPS, default="all")
+    parser.add_argument("--staging-rows", type=int, help="rows the extract step loaded, for the check")
+    args = parser.parse_args([] if argv is None else argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
-    spark = get_spark("retention-elt")
+    missing = [k for k in ("STAGING_DB_PATH", "PRODUCTION_DB_PATH", "CSV_PATH") if not os.environ.get(k)]
+    if missing:
+        log.error("Not set: %s", ", ".join(missing))
+        return 2
     job = RetentionELT(
-        spark,
-        staging_path=os.environ.get("STAGING_DB_PATH", "staging"),
-        production_path=os.environ.get("PRODUCTION_DB_PATH", "production"),
-        csv_path=os.environ.get("CSV_PATH", "customer_churn_data.csv"),
+        get_spark("retention-elt"),
+        staging_path=os.environ["STAGING_DB_PATH"],
+        production_path=os.environ["PRODUCTION_DB_PATH"],
+        csv_path=os.environ["CSV_PATH"],
         metrics_path=os.environ.get("METRICS_PATH"),
     )
+    if args.step != "all":
+        try:
+            log.info("Step %s: %s", args.step, run_step(job, args.step, args.staging_rows))
+            return 0
+        except Exception as e:  # noqa: BLE001 - reported by the exit status
+            log.error("Step %s failed: %s", args.step, e)
+            return 1
     result = job.run_full_pipeline()
     if result["status"] == "success":
         log.info("ELT job completed")
@@ -158,5 +197,9 @@ def main(argv: list[str] | None = None) -> int:
     return 1
 
 
+def cli() -> int:
+    return main(sys.argv[1:])
+
+
 if __name__ == "__main__":
-    sys.exit(main())
+    sys.exit(cli())

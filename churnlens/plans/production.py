@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from churnlens.functions.expressions import utc_now
 from churnlens.operators.anonymize import anonymize_uuid
 from churnlens.operators.conform import conform
 from churnlens.operators.derive import derive_features
@@ -28,6 +28,7 @@ def clean_and_derive(staging: DataFrame) -> DataFrame:
         staging,
         constants=FILL_CONSTANTS,
         median_int=FILL_MEDIAN_INT,
+        median_method="exact",  # ages: few distinct values
         mean=FILL_MEAN,
     )
     return derive_features(filled)
@@ -47,6 +48,6 @@ def build_production(staging: DataFrame, processed_at: Column | None = None) ->
     cleaned = clean_and_derive(staging)
     anonymous = anonymize_uuid(cleaned, "CustomerID", "AnonymizedCustomerID")
     stamped = anonymous.withColumn(
-        "processed_timestamp", processed_at if processed_at is not None else F.localtimestamp()
+        "processed_timestamp", processed_at if processed_at is not None else utc_now()
     )
     return conform(stamped, PRODUCTION)

@@ -27,17 +27,19 @@ SOURCE_COLUMNS = (
 )
 
 MONEY = T.DecimalType(10, 2)
+# A customer's whole spend, which outgrows the money of one month.
+TOTAL_MONEY = T.DecimalType(18, 2)
 
 STAGING = T.StructType(
     [
-        T.StructField("CustomerID", T.IntegerType()),
+        T.StructField("CustomerID", T.LongType()),
         T.StructField("Age", T.IntegerType()),
         T.StructField("Gender", T.StringType()),
         T.StructField("Tenure", T.IntegerType()),
         T.StructField("MonthlyCharges", MONEY),
         T.StructField("ContractType", T.StringType()),
         T.StructField("InternetService", T.StringType()),
-        T.StructField("TotalCharges", MONEY),
+        T.StructField("TotalCharges", TOTAL_MONEY),
         T.StructField("TechSupport", T.StringType()),
         T.StructField("Churn", T.StringType()),
         T.StructField("load_timestamp", T.TimestampNTZType()),
@@ -56,7 +58,7 @@ PRODUCTION = T.StructType(
         T.StructField("MonthlyCharges", MONEY),
         T.StructField("ContractType", T.StringType()),
         T.StructField("InternetService", T.StringType()),
-        T.StructField("TotalCharges", MONEY),
+        T.StructField("TotalCharges", TOTAL_MONEY),
         T.StructField("TechSupport", T.StringType()),
         T.StructField("Churn", T.StringType()),
         T.StructField("ChurnFlag", T.IntegerType()),
@@ -71,7 +73,7 @@ PRODUCTION = T.StructType(
 # the source id instead: the deterministic part of the table, which is what
 # can be compared row for row between two engines or two runs.
 PRODUCTION_COMPARABLE = T.StructType(
-    [T.StructField("CustomerID", T.IntegerType())]
+    [T.StructField("CustomerID", T.LongType())]
     + [
         f
         for f in PRODUCTION.fields

@@ -26,10 +26,8 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS).parquet(path)
 
 
-# SQL names of the three tables.
-STAGING_VIEW = "staging_customer_churn"
-PRODUCTION_VIEW = "customer_churn_analytics"
-METRICS_VIEW = "data_quality_metrics"
+# Default SQL names of the three tables.
+VIEW_NAMES = ("staging", "production", "metric_history")
 
 
 def register_views(
@@ -37,6 +35,7 @@ def register_views(
     staging_base: str | None = None,
     production_base: str | None = None,
     metrics_path: str | None = None,
+    view_names: tuple[str, str, str] = VIEW_NAMES,
 ) -> list[str]:
     """Expose the current table versions as temporary views for ``spark.sql``.
 
@@ -45,9 +44,9 @@ def register_views(
     """
     names = []
     for base, reader, view in (
-        (staging_base, read_staging, STAGING_VIEW),
-        (production_base, read_production, PRODUCTION_VIEW),
-        (metrics_path, read_metrics, METRICS_VIEW),
+        (staging_base, read_staging, view_names[0]),
+        (production_base, read_production, view_names[1]),
+        (metrics_path, read_metrics, view_names[2]),
     ):
         if base:
             reader(spark, base).createOrReplaceTempView(view)

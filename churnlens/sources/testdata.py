@@ -9,39 +9,18 @@ is lazy DataFrame code whose work grows with the tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.functions.expressions import exact_avg, flag_equals, rate_percent
-from churnlens.schemas import MONEY
+from churnlens.functions.expressions import flag_equals
+from churnlens.schemas import MONEY, TOTAL_MONEY
 
 # Customers whose newest order is older than this count as churned.
 CHURN_CUTOFF = "2001-01-01 00:00:00"
 
 
-# (session, key) -> DataFrame. Resolving a parquet table lists its files and
-# reads a footer on the driver, and building a derived frame costs many
-# driver-JVM calls; the test tables are read-only, so each frame is defined
-# once per session, like a catalog view. Only the lazy plan is kept -- no
-# data is cached, and every action recomputes from the files.
-_VIEWS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
-def session_view(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The frame defined for ``key`` in this session, built on first use."""
-    hit = _VIEWS.get((id(spark), key))
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    _VIEWS[(id(spark), key)] = (spark, df)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return session_view(spark, path, lambda: spark.read.parquet(path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_when(key: Column, modulus: int, value: Column) -> Column:
@@ -51,19 +30,11 @@ def _null_when(key: Column, modulus: int, value: Column) -> Column:
 def retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw customer table (source schema, with NULLs), one row per customer.
 
-    It stands in for the staging table, so like a view it is defined once
-    per session (the plan, not the data).
-
     Order totals are aggregated per customer first (partial aggregation, so a
     customer with a huge share of orders costs one row per task), then joined
     to ``customer`` on the key; the aggregate is already hash-partitioned on
     the join key, so only the customer side is shuffled for the join.
     """
-    key = f"{sf_dir.rstrip('/')}#retention_raw"
-    return session_view(spark, key, lambda: _build_retention_raw(spark, sf_dir))
-
-
-def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
@@ -82,7 +53,7 @@ def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.abs(F.col("c_acctbal")) * F.lit(100)).cast("bigint") % F.lit(14001)
     cutoff = F.to_timestamp_ntz(F.lit(CHURN_CUTOFF))
     return joined.select(
-        k.cast("int").alias("CustomerID"),
+        k.cast("long").alias("CustomerID"),
         _null_when(k, 11, (F.lit(18) + (k * F.lit(7)) % F.lit(63)).cast("int")).alias("Age"),
         _null_when(k, 13, F.when(k % 2 == 0, F.lit("Male")).otherwise(F.lit("Female"))).alias(
             "Gender"
@@ -98,7 +69,7 @@ def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nation % 3 == 0, F.lit("Fiber Optic"))
         .when(nation % 3 == 1, F.lit("DSL"))
         .alias("InternetService"),
-        _null_when(k, 23, F.col("total_spend").cast(MONEY)).alias("TotalCharges"),
+        _null_when(k, 23, F.col("total_spend").cast(TOTAL_MONEY)).alias("TotalCharges"),
         _null_when(
             k, 5, F.when(k % 3 == 0, F.lit("Yes")).otherwise(F.lit("No"))
         ).alias("TechSupport"),
@@ -111,25 +82,49 @@ def _build_retention_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw customer table as CSV-style text: every cell a string, NULL as ''.
-
-    It stands in for a raw file, so it is defined once per session too.
-    """
-
-    def build() -> DataFrame:
-        raw = retention_raw(spark, sf_dir)
-        return raw.select(
-            *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns]
-        )
-
-    return session_view(spark, f"{sf_dir.rstrip('/')}#retention_raw_text", build)
+    """The raw customer table as CSV-style text: every cell a string, NULL as ''."""
+    raw = retention_raw(spark, sf_dir)
+    return raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns])
+
+
+def retention_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw customer table as CSV lines (one ``value`` column): every second
+    row quotes its text cells, missing cells are written as changing NA tokens,
+    and integers of every third row carry a fraction of zero."""
+    raw = retention_raw(spark, sf_dir)
+    k = F.col("CustomerID")
+    cells = []
+    for f in raw.schema.fields:
+        text = F.col(f.name).cast("string")
+        if f.dataType.typeName() == "integer":
+            text = F.when(k % 3 == 0, F.concat(text, F.lit(".0"))).otherwise(text)
+        elif f.dataType.typeName() == "string":
+            text = F.when(k % 2 == 0, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text)
+        token = F.when(k % 4 == 0, F.lit("NA")).when(k % 4 == 1, F.lit("null")).otherwise(F.lit(""))
+        cells.append(F.coalesce(text, token))
+    return raw.select(F.concat_ws(",", *cells).alias("value"))
+
+
+def flagged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a flag whose rate differs by segment (high, middle, low),
+    NULL flags, and a segment without any charges."""
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    third = nation % 3
+    hit = F.when(third == 0, k % 10 < 9).when(third == 1, k % 10 < 6).otherwise(k % 10 < 2)
+    return table(spark, sf_dir, "customer").select(
+        F.when(third == 0, F.lit("north")).when(third == 1, F.lit("south")).alias("region"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(hit.cast("int")).alias("flag"),
+        F.when(third == 1, F.lit(None)).otherwise(F.round(F.abs("c_acctbal"), 2).cast(MONEY)).alias("charges"),
+        (k % 61).cast("int").alias("tenure"),
+    )
 
 
 def event_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events read as metric-history rows: ``(metric_name, metric_value, run_timestamp, event_id)``."""
+    """Events read as metric-history rows: ``(metric_name, metric_value, run_timestamp, event_id)``;
+    the value of every second event is NULL."""
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("metric_name"),
-        F.col("value").alias("metric_value"),
+        _null_when(F.col("event_id"), 2, F.col("value")).alias("metric_value"),
         F.col("ts").alias("run_timestamp"),
         "event_id",
     )
@@ -155,12 +150,20 @@ def daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Day start via a date: zone-less all the way (date_trunc would return a
     # zoned timestamp that depends on the session time zone).
     day = F.col("ts").cast("date").cast("timestamp_ntz")
-    return events.groupBy(day.alias("run_timestamp")).agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.round(rate_percent(flag_equals("event_type", "purchase")), 2).alias(
-            "purchase_rate_percent"
-        ),
-        F.round(exact_avg(F.col("value").cast(MONEY)), 2).alias("avg_value"),
+    # Sums and counts add up, so rows are grouped by (day, type, user) first and
+    # both distinct counts work on those groups, not on every event.
+    groups = events.groupBy(day.alias("run_timestamp"), "event_type", "user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(flag_equals("event_type", "purchase")).alias("purchases"),
+        F.sum(F.col("value").cast(MONEY)).alias("total"),
+        F.count("value").alias("valued"),
+    )
+    share = F.try_divide(F.sum("purchases").cast("double"), F.sum("n")) * F.lit(100)
+    average = F.try_divide(F.sum("total").cast("double"), F.sum("valued"))
+    return groups.groupBy("run_timestamp").agg(
+        F.sum("n").alias("total_records"),
+        F.round(share, 2).alias("purchase_rate_percent"),
+        F.round(average, 2).alias("avg_value"),
         F.count_distinct("user_id").alias("distinct_users"),
         F.count_distinct("event_type").alias("distinct_event_types"),
     )
