@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from churnlens.plans.catalog import ORACLE_SQL, QUERIES
 from tools.check_oracle import TABLES, digest
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,14 +28,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SF_DIR)
+    sdf = QUERIES[name](spark, SF_DIR)
     s_rows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(ORACLE_SQL[name])
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     assert sorted(sdf.columns) == sorted(d_cols)
@@ -58,10 +59,10 @@ SPARK_TO_DUCKDB = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_types_match_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SF_DIR)
-    rel = duck.sql(entry.oracle_sql()[name])
+    sdf = QUERIES[name](spark, SF_DIR)
+    rel = duck.sql(ORACLE_SQL[name])
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     for field in sdf.schema.fields:
         spark_type = field.dataType.simpleString()

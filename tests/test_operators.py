@@ -229,7 +229,7 @@ def test_exact_median_matches_builtin(spark, n):
         F.when(F.col("id") % 3 == 0, F.lit(123456789)).otherwise((F.col("id") * 7919) % 100003).alias("x")
     )
     want = df.agg(F.median("x")).first()[0]
-    got = exact_median(df, "x", buckets=64).first()[0]
+    got = exact_median(df, "x").first()[0]
     assert got == want
 
 
@@ -240,4 +240,36 @@ def test_exact_median_empty_and_decimal(spark):
     assert exact_median(empty, "x").first()[0] is None
     dec = spark.createDataFrame([(1.25,), (2.5,), (None,), (10.0,), (3.75,)], "x double").withColumn(
         "x", F.col("x").cast("decimal(10,2)"))
-    assert exact_median(dec, "x", buckets=4).first()[0] == 3.125
+    assert exact_median(dec, "x").first()[0] == 3.125
+
+
+def test_exact_medians_with_nan_and_infinities(spark):
+    from churnlens.operators.quantile import exact_medians
+
+    x = F.when(F.col("id") % 10 == 0, F.lit(float("nan"))).when(F.col("id") % 10 == 1, F.lit(float("-inf")))
+    df = spark.range(1000).select(
+        x.otherwise(F.col("id").cast("double")).alias("x"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(1.0)).alias("y"),
+    )
+    want = df.agg(F.median("x"), F.median("y")).first()
+    got = exact_medians(df, ["x", "y"]).first()
+    assert got[0] == want[0] and str(got[1]) == str(want[1]) == "nan"
+
+
+def test_anonymize_hash_keeps_a_missing_id_missing(spark):
+    rows = anonymize_hash(spark.createDataFrame([(1,), (None,)], "id int"), "id", "h", "salt").collect()
+    assert rows[0]["h"] and rows[1]["h"] is None
+
+
+def test_utc_now_ignores_the_session_zone(spark):
+    import datetime as dt
+
+    from churnlens.functions.expressions import utc_now
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        now = spark.range(1).select(utc_now().alias("t")).first()["t"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs((now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 60

@@ -12,7 +12,7 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as entry
+from churnlens.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 WIDE_TABLES = {"lineitem": 11, "orders": 6, "customer": 5, "events": 6}
@@ -36,9 +36,9 @@ def read_schemas(df) -> list[tuple[str, int]]:
     return out
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_properties(spark, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = physical_plan(df)
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
     assert "CartesianProduct" not in plan
@@ -48,3 +48,40 @@ def test_plan_properties(spark, name):
     for table, width in scans:
         if table in WIDE_TABLES and (name, table) not in FULL_WIDTH:
             assert width < WIDE_TABLES[table], f"{name} reads every column of {table}"
+
+
+REPORTS = (
+    "summary", "kpi_display", "quality_metrics_wide", "quality_metrics_tall", "rate_bands", "segment_charges",
+    "analytics_by_contract", "band_counts",
+)
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_do_not_compute_an_unused_median(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "median" not in plan
+
+
+@pytest.mark.parametrize("name", ["rate_bands", "quality_metrics_wide", "event_metric_history"])
+def test_distinct_counts_and_grouping_sets_do_not_expand_input_rows(spark, name):
+    plan = physical_plan(QUERIES[name](spark, SF_DIR)).split("== ")[0]
+    expand = plan.find("Expand")
+    assert expand < 0 or "HashAggregate" in plan[expand:], "rows are expanded before they are grouped"
+
+
+def test_medians_shuffle_no_data(spark):
+    plan = physical_plan(QUERIES["lineitem_medians"](spark, SF_DIR))
+    assert "ObjectHashAggregate" in plan and "partial_count" in plan
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_timestamp_text_does_not_depend_on_the_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = {r["event_id"]: r["at_text"] for r in QUERIES["timestamp_text"](spark, SF_DIR).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert rows[4] == "2024-03-10 02:00:04" and rows[5] == "2024-03-10 02:00:05.250000"

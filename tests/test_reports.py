@@ -24,11 +24,12 @@ from churnlens.operators import (
 from churnlens.schemas import METRIC_NAMES
 
 F2 = [
-    ("Month-to-Month", 12, 50.0, 0, "Male"),
-    ("One-Year", 24, 75.0, 1, "Female"),
-    ("Two-Year", 36, 100.0, 0, "Male"),
-    ("Month-to-Month", 6, 40.0, 1, "Female"),
-    ("Two-Year", 48, 120.0, 0, "Male"),
+    ("One-Year", 30, 64.1, 0, "Male"),
+    ("Month-to-Month", 3, 29.9, 1, "Female"),
+    ("Two-Year", 60, 101.0, 0, "Female"),
+    ("Month-to-Month", 9, 55.1, 1, "Male"),
+    ("One-Year", 18, 89.9, 1, "Female"),
+    ("Two-Year", 70, 80.0, 0, "Male"),
 ]
 F2_SCHEMA = "ContractType string, Tenure int, MonthlyCharges decimal(10,2), ChurnFlag int, Gender string"
 
@@ -43,7 +44,7 @@ def f2(spark):
 
 def test_summary(f2):
     row = summary(f2).first()
-    assert tuple(row) == (5, 40.0, 77.0, 25.2)
+    assert tuple(row) == (6, 50.0, 70.0, 31.67)
 
 
 def test_summary_empty_table_reports_zero(spark):
@@ -53,7 +54,7 @@ def test_summary_empty_table_reports_zero(spark):
 
 def test_churn_by_contract_ordered_riskiest_first(f2):
     got = [tuple(r) for r in segment_rate(f2, "ContractType").collect()]
-    assert got == [("One-Year", 1, 100.0), ("Month-to-Month", 2, 50.0), ("Two-Year", 2, 0.0)]
+    assert got == [("Month-to-Month", 2, 100.0), ("One-Year", 2, 50.0), ("Two-Year", 2, 0.0)]
     assert segment_rate(f2, "ContractType").columns == ["contract_type", "count", "churn_rate"]
 
 
@@ -67,8 +68,8 @@ def test_segment_profile_fields(f2):
     rows = {r["contract_type"]: r.asDict() for r in segment_profile(f2).collect()}
     m2m = rows["Month-to-Month"]
     assert m2m["total_customers"] == m2m["contract_count"] == 2
-    assert m2m["churn_rate"] == m2m["contract_churn_rate"] == 50.0
-    assert m2m["avg_monthly_charges"] == 45.0 and m2m["avg_tenure"] == 9.0
+    assert m2m["churn_rate"] == m2m["contract_churn_rate"] == 100.0
+    assert m2m["avg_monthly_charges"] == 42.5 and m2m["avg_tenure"] == 6.0
 
 
 def test_flag_null_handling_differs_between_reports(spark):
@@ -84,12 +85,12 @@ def test_flag_null_handling_differs_between_reports(spark):
 def test_quality_metrics_wide_and_tall(f2, spark):
     wide = quality_metrics(f2)
     assert wide.columns == list(METRIC_NAMES)
-    assert tuple(wide.first()) == (5, 40.0, 77.0, 25.2, 3, 2)
+    assert tuple(wide.first()) == (6, 50.0, 70.0, 31.67, 3, 2)
     tall = to_tall(wide, run_timestamp=F.localtimestamp())
     rows = tall.collect()
     assert [r["metric_name"] for r in rows] == list(METRIC_NAMES)
     assert len({r["run_timestamp"] for r in rows}) == 1
-    assert str(rows[1]["metric_value"]) == "40.00"
+    assert str(rows[1]["metric_value"]) == "50.00"
 
 
 def test_quality_metrics_empty_keep_null_tall_zero(spark):

@@ -24,8 +24,8 @@ def test_monitor_tracks_latest_run(spark, paths, f1_csv, tmp_path):
         ]
     )
     snap = {r["metric_name"]: r for r in read_published(spark, out, schema).collect()}
-    assert float(snap["total_records"]["last_metric_value"]) == 5.0
-    assert float(snap["churn_rate_percent"]["last_metric_value"]) == 20.0
+    assert float(snap["total_records"]["last_metric_value"]) == 6.0
+    assert float(snap["churn_rate_percent"]["last_metric_value"]) == 33.33
     assert snap["churn_rate_percent"]["band"] == "green"
     assert snap["total_records"]["band"] is None
 
