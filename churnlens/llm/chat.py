@@ -104,6 +104,15 @@ def _renamed(role: Column) -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])[role], role)
 
 
+def _array_turns(found: Column, role: str, text: str) -> Column:
+    """Array of (role, text) of a layout by array."""
+
+    def turn(x: Column) -> Column:
+        return F.struct(_renamed(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))
+
+    return F.transform(found, turn)
+
+
 def _field_turns(layout: Layout, present) -> Column:
     """Array of (role, text) of a layout by fields; null and empty optional fields make no turn."""
     turns = [
@@ -131,7 +140,7 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     else:
         if layout.array:
             name, role, text = layout.array
-            items = F.transform(name, lambda x: F.struct(_renamed(x[role]).alias("role"), x[text].alias("text")))
+            items = _array_turns(F.col(name), role, text)
         else:
             items = _field_turns(layout, lambda f: F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string"))
         turns = df.select(id_col, F.posexplode(items).alias("turn", "t")).select(
@@ -159,12 +168,8 @@ def canonical_turns_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame
             continue
         if layout.array:
             array, role, text = layout.array
-            items = F.transform(
-                F.try_variant_get("__v", f"$.{array}", f"array<struct<`{role}`:string,`{text}`:string>>"),
-                lambda x, role=role, text=text: F.struct(
-                    _renamed(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")
-                ),
-            )
+            found = F.try_variant_get("__v", f"$.{array}", f"array<struct<`{role}`:string,`{text}`:string>>")
+            items = _array_turns(found, role, text)
         else:
             items = _field_turns(layout, lambda f: F.try_variant_get("__v", f"$.{f}", "string"))
         chosen = F.col("fingerprint").isin(layout.fingerprints())

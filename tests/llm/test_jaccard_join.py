@@ -1,0 +1,114 @@
+"""T-occurrence search and the join against brute force."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from churnlens.llm import jaccard_join as jj
+from churnlens.llm import shingles
+from churnlens.llm.components import components
+
+
+def shingle_set(text, size=3):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return set()
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def brute(rows, similar=(9, 10), size=3):
+    sets = [(i, shingle_set(t, size)) for i, t, *_ in rows]
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, x in sets:
+        for b, y in sets:
+            if a < b and x and y and similar[1] * len(x & y) >= similar[0] * len(x | y):
+                ra, rb = sorted((root(a), root(b)))
+                parent[rb] = ra
+    return sorted((i, len(s), root(i)) for i, s in sets)
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.lists(st.lists(st.integers(0, 30), max_size=15), max_size=8), st.integers(1, 4), st.integers(0, 5))
+def test_divide_skip(lists, need, long_list):
+    lists = [sorted(set(x)) for x in lists]
+    counts = Counter(x for one in lists for x in one)
+    assert jj.divide_skip(lists, need, long_list) == sorted((k, c) for k, c in counts.items() if c >= need)
+    assert jj.merge_skip(lists, need) == sorted((k, c) for k, c in counts.items() if c >= need)
+
+
+def test_shingles_of_texts():
+    texts = ["A b\tC d", "a B c\nd", "", " \n", "x", "X", "x y", "xy", "é É", "a b c d e f " * 3]
+    sets = shingles.shingle_sets(texts)
+    assert [len(s) for s in sets] == [len(shingle_set(t)) for t in texts]
+    same = [[(a == b).all() if len(a) == len(b) else False for b in sets] for a in sets]
+    want = [[shingle_set(a) == shingle_set(b) for b in texts] for a in texts]
+    assert np.array_equal(same, want)
+
+
+def near_copies(seed, families=12, members=14, length=60):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(families):
+        base = [f"w{rng.integers(0, 300)}" for _ in range(length + int(rng.integers(-8, 8)))]
+        for _ in range(members):
+            text = list(base)
+            for _ in range(int(rng.integers(0, 5))):
+                text[int(rng.integers(0, len(text)))] = f"w{rng.integers(0, 300)}"
+            rows.append((len(rows) * 3, " ".join(text), "en", "a"))
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows += [(5000 + k, f"{passage} " + " ".join(f"q{k}_{j}" for j in range(k % 6)), "en", "a") for k in range(60)]
+    rows += [(6000 + k, " ".join(f"t{j}" for j in range(9 + k % 5)), "en", "a") for k in range(10)]
+    return rows
+
+
+@pytest.mark.parametrize("few", [64, 0])
+@pytest.mark.parametrize(("similar", "size"), [((9, 10), 3), ((8, 10), 5)])
+def test_join_equals_brute_force(documents, monkeypatch, few, similar, size):
+    monkeypatch.setattr(jj, "FEW", few)  # 0: hub rounds until they find nothing more
+    monkeypatch.setattr(jj, "BLOCK", 20)
+    rows = near_copies(7)
+    found = jj.similar_components(documents(rows).repartition(4), similar=similar, size=size)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()) == brute(rows, similar, size)
+
+
+def test_hot_lists_are_salted(documents, monkeypatch):
+    monkeypatch.setattr(jj, "HOT_LIST", 5)
+    monkeypatch.setattr(jj, "SALTS", 3)
+    rows = near_copies(8, families=4)
+    found = jj.similar_components(documents(rows))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()) == brute(rows)
+
+
+def test_hostile_and_empty(hostile, nothing):
+    found = jj.similar_components(hostile).collect()
+    assert len(found) == 13
+    by_id = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None}
+    assert by_id[0] == (0, 0) and by_id[1] == (0, 1) and by_id[9] == (0, 9)
+    assert by_id[3] == (1, 3) and by_id[4] == (1, 4) and by_id[7][1] == by_id[6][1] == 6
+    assert jj.similar_components(nothing).count() == 0
+    kept = jj.keep_one(hostile)
+    assert kept.columns == hostile.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert 7 not in ids and 6 in ids and ids.count(None) == 2
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (3, 4), (10, 9), (9, 8), (20, 21), (21, 20), (5, 5), *[(100 + k, 101 + k) for k in range(40)]]
+    found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert [found[k] for k in (1, 2, 3, 4)] == [1] * 4
+    assert [found[k] for k in (8, 9, 10)] == [8] * 3
+    assert [found[k] for k in (20, 21)] == [20] * 2
+    assert {found[100 + k] for k in range(41)} == {100}

@@ -1,0 +1,84 @@
+"""Targets, the golden-ratio schedule and the words that it takes."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from churnlens.llm import mixing
+
+
+def brute_targets(words):
+    """Reshare the excess until none is above the cap, in floats."""
+    weight = [mixing.WEIGHTS[i % 3] for i in range(len(words))]
+    target = [sum(words) * w / sum(weight) for w in weight]
+    while True:
+        over = [i for i in range(len(words)) if target[i] > 3 * words[i] + 1e-9]
+        if not over:
+            return target
+        capped = {i for i in range(len(words)) if target[i] >= 3 * words[i] - 1e-9}
+        rest = sum(words) - sum(3 * words[i] for i in capped)
+        free = sum(weight[i] for i in range(len(words)) if i not in capped)
+        target = [3 * words[i] if i in capped else rest * weight[i] / free for i in range(len(words))]
+
+
+@pytest.mark.parametrize("words", [[10, 10, 10], [1, 1000, 3, 50], [5], [0, 7], [1, 1, 1, 1000], [100, 2, 3, 4, 5, 600]])
+def test_targets(words):
+    assert [float(t) for t in mixing.targets(words)] == pytest.approx(brute_targets(words))
+
+
+def test_floor_sum_and_ranks():
+    for n, m, a, b in [(5, 7, 3, 2), (100, 13, 29, 40), (0, 3, 1, 1), (17, 1 << 64, mixing.STEP, 5)]:
+        assert mixing.floor_sum(n, m, a, b) == sum((a * i + b) // m for i in range(n))
+    sources = mixing.plan_sources([("a", 10, 100_000), ("b", 10, 30_000), (None, 2, 500)])
+    plan = mixing.Schedule(sources)
+    mixing_chunk = mixing.CHUNK
+    assert plan.length < mixing_chunk
+    whole = plan.chunk(0)
+    assert Counter(whole["source_no"]) == {i: s.slots for i, s in enumerate(sources) if s.slots}
+    # ranks count up per source, and the points are golden-ratio points mapped through the weights
+    for i, s in enumerate(sources):
+        own = whole[whole["source_no"] == i]
+        rank = own["epoch"].to_numpy() * s.blocks + own["block"].to_numpy()
+        assert (rank == np.arange(len(own))).all()
+
+
+def test_chunks_continue_ranks(monkeypatch):
+    sources = mixing.plan_sources([("a", 10, 100_000), ("b", 10, 90_000)])
+    plan = mixing.Schedule(sources)
+    whole = plan.chunk(0)
+    monkeypatch.setattr(mixing, "CHUNK", 100)
+    parts = [plan.chunk(k) for k in range(-(-plan.length // 100))]
+    assert sum(map(len, parts)) == len(whole)
+    assert (np.concatenate([p["block"] for p in parts]) == whole["block"].to_numpy()).all()
+
+
+def test_taken(documents):
+    rng = np.random.default_rng(3)
+    rows = [(i, "w " * int(n), "en", f"s{i % 4}" if i % 9 else None) for i, n in enumerate(rng.integers(0, 60, 900))]
+    df = documents(rows)
+    first = {r["doc_id"]: r for r in mixing.mix_sources(df).taken().collect()}
+    again = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(df.repartition(7)).taken().collect()}
+    assert {k: r["taken"] for k, r in first.items()} == again
+    by_source, of = Counter(), {}
+    for i, text, _, source in rows:
+        r = first[i]
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", text)) and r["taken"] <= 3 * r["size"]
+        by_source[source] += r["taken"]
+        of[source] = (r["target"], r["source_size"])
+    for source, (target, size) in of.items():
+        assert by_source[source] == pytest.approx(target, rel=0.01, abs=2)
+        assert target <= 3 * size
+
+
+def test_hostile_and_empty(hostile, nothing):
+    rows = mixing.mix_sources(hostile).taken().collect()
+    assert len(rows) == 13 and all(r["taken"] <= 3 * r["size"] for r in rows)
+    assert mixing.mix_sources(nothing).taken().count() == 0
+    assert mixing.mixed_documents(nothing).count() == 0
+    mixed = mixing.mixed_documents(hostile)
+    assert mixed.columns == hostile.columns
+    assert {r["doc_id"] for r in mixed.collect()} <= {r["doc_id"] for r in hostile.collect()}

@@ -1,0 +1,71 @@
+"""Viterbi against a plain one, and decoding as an exact round trip."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+public = pytest.importorskip("public_tokenizers")
+
+from churnlens.llm import pieces  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.PieceModel(pieces.default_model())
+
+
+def plain_viterbi(model, word):
+    table = {model.text[i]: (i, s) for i, s in zip(model.ids, model.scores, strict=True)}
+    best = [(0.0, 0, -1)]
+    for j in range(1, len(word) + 1):
+        top = (best[j - 1][0] + model.penalty, 1, -1)
+        for size in range(1, min(model.longest, j) + 1):
+            hit = table.get(word[j - size : j])
+            if hit and best[j - size][0] + hit[1] >= top[0]:
+                top = (best[j - size][0] + hit[1], size, hit[0])
+        best.append(top)
+    out, j = [], len(word)
+    while j:
+        out.append(best[j][2] if best[j][2] >= 0 else -1 - ord(word[j - 1]))
+        j -= best[j][1]
+    return model.spelled(np.array(out[::-1]))
+
+
+def test_batched_viterbi_equals_plain(model):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abetion▁é日😀,.0") for _ in range(rng.randint(1, 24))) for _ in range(600)]
+    words += ["a" * 3000, "▁" * 40, "\x00", "x"]
+    for word, ids in zip(words, model.encode_words(words), strict=True):
+        assert (plain_viterbi(model, word) == ids).all()
+
+
+@pytest.mark.parametrize("text", ["", " ", "  a  b ", "a\nb\t", "naïve 日本語 😀", "\x00á", "x" * 5000, "<s></s><0x41>"])
+def test_round_trip(model, text):
+    ids = np.concatenate([np.zeros(0, np.int64), *model.encode_words(model.split(text))])
+    assert model.decode(ids) == text
+    import sentencepiece
+
+    other = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    assert other.decode(ids.tolist()) == text
+
+
+def test_words_are_cut_where_no_piece_reaches(model):
+    """The best path of a whole text scores as its words' paths do together."""
+    text = model.split("one  two three,four ")
+    whole = plain_viterbi(model, "".join(text))
+    score = dict(zip(model.ids.tolist(), model.scores, strict=True))
+    parts = np.concatenate(model.encode_words(text))
+    assert sum(score[i] for i in whole.tolist()) == sum(score[i] for i in parts.tolist())
+
+
+def test_hostile_and_empty(hostile, nothing):
+    found = pieces.encoded_digests(hostile, pieces.default_model()).collect()
+    assert len(found) == 13
+    for r in found:
+        assert r["n_ids"] == len(r["ids"])
+        assert r["round_trip"] == (r["doc_id"] != 8)  # that text holds U+2581 itself
+    assert [r["n_ids"] for r in found if r["doc_id"] in (0, 1, 9)] == [0, 0, 0]
+    assert pieces.encoded_digests(nothing, pieces.default_model()).count() == 0

@@ -1,0 +1,75 @@
+"""Features, held-out accuracy and degenerate label tables."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+
+from churnlens.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, documents):
+    rng = np.random.default_rng(11)
+    clean = [f"{a}{b}" for a in ("mel", "tor", "lin", "sab", "kor") for b in ("ane", "ish", "ola", "umi", "eto")]
+    bad = ["grobulan", "grobulish", "vexiror", "vexirane"]
+    rows, labels = [], []
+    for i in range(900):
+        words = [clean[int(k)] for k in rng.integers(0, len(clean), int(rng.integers(20, 120)))]
+        toxic = i % 6 == 0
+        if toxic:
+            for k in rng.integers(0, len(words), max(2, len(words) // 12)):
+                words[int(k)] = bad[int(rng.integers(0, len(bad)))]
+        rows.append((i, " ".join(words) + ".", "xx", "a"))
+        labels.append((i, 1, int(toxic)))
+    return documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_rows_are_told_apart(labelled):
+    docs, labels = labelled
+    scored = toxicity.fit(docs, labels).score(docs).withColumn("held", toxicity.held_out(docs["doc_id"])).collect()
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [r for r in scored if r["held"]]
+    assert {r["doc_id"] for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 3 == 1}
+    wrong = sum((r["score"] >= toxicity.THRESHOLD) != truth[r["doc_id"]] for r in held)
+    assert wrong <= 0.03 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in scored)
+
+
+def test_held_out_labels_change_nothing(labelled):
+    docs, labels = labelled
+    flipped = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(labels["doc_id"]), 1 - labels["toxic"]).otherwise(labels["toxic"]))
+    a = {r["doc_id"]: r["score"] for r in toxicity.fit(docs, labels).score(docs).collect()}
+    b = {r["doc_id"]: r["score"] for r in toxicity.fit(docs, flipped).score(docs).collect()}
+    assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_drop_keeps_columns_and_hostile_rows(spark, labelled, hostile, nothing):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    scored = model.score(hostile).collect()
+    assert len(scored) == 13 and all(0 <= r["score"] <= 1 for r in scored)
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and 700 <= kept.count() <= 800
+    assert model.score(nothing).count() == 0
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 0, 0)], [(1, 0, 1), (2, 0, None), (None, 1, 1)]])
+def test_too_few_labels_give_a_constant(spark, hostile, rows):
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(hostile, labels)
+    assert model.trees is None
+    assert {r["score"] for r in model.score(hostile).collect()} == {model.share}
+
+
+def test_features():
+    f = toxicity.Featurizer({"grob": 3.0})
+    names = toxicity.FEATURES
+    row = dict(zip(names, f(["You grobulan! a gr0bulan GROB"])[0], strict=True))
+    assert row["lexicon_rate"] == pytest.approx(2 / 5) and row["lexicon_terms"] == 1
+    assert row["near_you_rate"] == pytest.approx(2 / 5) and row["you_rate"] == pytest.approx(1 / 5)
+    assert row["masked_rate"] == pytest.approx(1 / 5) and row["masked_hit_rate"] == pytest.approx(1 / 5)
+    assert row["capital_runs"] > 0
+    assert np.isfinite(f(["", " ", "\ud800x", "a" * 100_000])).all()
