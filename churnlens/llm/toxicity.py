@@ -212,7 +212,7 @@ class ToxicityModel:
         if self.trees is None:
             return docs.withColumn(name, F.lit(self.share))
         text = F.coalesce(F.col(text_col), F.lit(""))
-        kept = list(docs.columns)
+        kept = [c for c in docs.columns if c != name]  # a column of that name is replaced
         rows = docs.withColumn("__features", array_to_vector(features_udf(self.lexicon)(text)))
         scored = self.trees.transform(rows).withColumn("__raw", vector_to_array("__probability")[1])
         if self.calibration is None:
@@ -244,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     joined = texts.join(F.broadcast(chosen), id_col).withColumn("digest", F.xxhash64("text"))
     train = shared_table(
         joined.groupBy("digest").agg(F.min_by(F.struct("text", "toxic"), id_col).alias("x")).select(
-            "x.*", (F.pmod(F.hash("digest"), F.lit(CALIBRATION)) == 0).alias("calibrates")
+            "digest", "x.*", (F.pmod(F.hash("digest"), F.lit(CALIBRATION)) == 0).alias("calibrates")
         ),
         "toxicity-train",
     )
@@ -255,10 +255,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return ToxicityModel({}, None, None, share)
     lexicon = learn_lexicon(train.filter("not calibrates").select("text", "toxic"))
     rows = shared_table(
-        train.select("calibrates", F.col("toxic").cast("double").alias("label"), features_udf(lexicon)("text").alias("f")),
+        train.select(
+            "digest", "calibrates", F.col("toxic").cast("double").alias("label"), features_udf(lexicon)("text").alias("f")
+        ),
         "toxicity-features",
-    ).coalesce(8)  # a bounded sample; more tasks would only add to each tree's overhead
-    vectors = rows.withColumn("__features", array_to_vector("f")).drop("f")
+    )
+    # a bounded sample: one sorted partition costs little and makes reruns agree
+    rows = rows.coalesce(1).sortWithinPartitions("digest")
+    vectors = rows.select("calibrates", "label", array_to_vector("f").alias("__features"))
     trees = GBTClassifier(
         featuresCol="__features", labelCol="label", predictionCol="__prediction", maxIter=TREES, maxDepth=DEPTH,
         stepSize=STEP, seed=1,
