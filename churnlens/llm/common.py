@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: A word is a maximal run of characters other than space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of a few numbers in one file of a shared table.
+FILE_ROWS = 200_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,9 +35,15 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there."""
+def shared_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends there.
+
+    ``rows``, at least as many as ``df`` has of a few numbers each, bounds the
+    number of files, so that small tables do not become many tiny ones.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(1 + rows // FILE_ROWS)
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

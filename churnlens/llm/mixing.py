@@ -233,7 +233,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("start", F.col("__base") + F.col("__in"))
         .drop("__bucket", "__base", "__in", "__h")
     )
-    return Mix(shared_table(rows, "mix-streams"), schedule_table(spark, Schedule(sources)), sources)
+    return Mix(shared_table(rows, "mix-streams", sum(s.rows for s in sources)), schedule_table(spark, Schedule(sources)), sources)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
