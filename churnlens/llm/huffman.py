@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,9 @@ LIMIT = 16
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
 
+#: Python splits at these, though they are not white space to the tokenizer.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+
 BLOCK_SCHEMA = (
     "file_no int, block_no int, first_token long, n_tokens long, doc_ids array<long>, "
     "doc_tokens array<long>, checkpoints binary, payload binary"
@@ -71,6 +76,8 @@ class Code:
         self.codes = np.empty(len(symbols), dtype=np.int64)
         self.codes[order] = left >> (self.limit - lengths[order])
         self._order, self._step = order, step
+        self.place = np.zeros(int(symbols.max(initial=-1)) + 1, dtype=np.int64)
+        self.place[symbols] = np.arange(len(symbols))
 
     @classmethod
     def of_counts(cls, symbols: np.ndarray, counts: np.ndarray, limit: int = LIMIT) -> Code:
@@ -88,15 +95,16 @@ class Code:
 
     def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, np.ndarray]:
         """Packed bits and the bit offset of every ``stride``-th id."""
-        at = np.searchsorted(self.symbols, ids)
+        at = self.place[ids] if len(ids) else ids
         length = self.lengths[at]
         end = np.cumsum(length)
         start = end - length
         bits = int(end[-1]) if len(end) else 0
-        shifted = self.codes[at] << (40 - (start & 7) - length)  # codes of up to 33 bits reach over 5 bytes
-        out = np.zeros(bits // 8 + 6)
-        for lane in range(5):
-            out += np.bincount((start >> 3) + lane, (shifted >> (32 - 8 * lane)) & 255, len(out))
+        lanes = (self.limit + 14) // 8  # bytes that a code can reach over
+        shifted = self.codes[at] << (8 * lanes - (start & 7) - length)
+        out = np.zeros(bits // 8 + lanes + 1)
+        for lane in range(lanes):
+            out += np.bincount((start >> 3) + lane, (shifted >> (8 * (lanes - 1 - lane))) & 255, len(out))
         return out[: (bits + 7) // 8].astype(np.uint8).tobytes(), start[::stride].astype("<u4")
 
 
@@ -119,47 +127,71 @@ class Decoder:
         return out.ravel()[:n]
 
 
+def words_of(text: str) -> list[str]:
+    """Runs between white space as the tokenizer sees it; lower case where that
+    is plain, as it lowers all letters itself: fewer distinct words."""
+    if any(c in text for c in SEPARATORS):
+        return re.findall(WORD, text)
+    plain = text.isascii() and "<|" not in text  # special tokens are told apart by case
+    return (text.lower() if plain else text).split()
+
+
+def id_type(tokenizer: str) -> str:
+    """The least unsigned type that holds all ids of a tokenizer file."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, crc, n, ids as little-endian 32-bit binary): whole texts, then the end id.
+    """(id, crc, n, ids as little-endian binary of ``id_type``): whole texts, then the end id.
 
     ``tokenizer`` is the path of a word BPE file of the tokenizers library
     (white space separates, and is dropped).
     """
 
+    kind = id_type(tokenizer)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer)
 
-        def encode(words: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, dtype=np.int64) for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+        def pack(ids: list[int]) -> bytes:
+            own = array("H" if kind == "<u2" else "I", ids)
+            if sys.byteorder == "big":
+                own.byteswap()
+            return own.tobytes()
+
+        def encode(words: list[str]) -> list[bytes]:
+            found = tok.encode_batch_fast(words, add_special_tokens=False)
+            return [pack(e.ids) for e in found]
 
         # this kind of tokenizer drops white space and joins nothing across it,
         # so the ids of a text are those of its words
-        coder = WordCoder(re.compile(WORD).findall, encode)
-        end = np.array([end_id], dtype="<u4")
+        coder = WordCoder(words_of, encode)
+        end = pack([end_id])
         for batch in batches:
-            out = [
-                np.concatenate([ids.astype("<u4"), end]).tobytes()
-                for call in calls(batch["t"].tolist())
-                for ids in coder.ids(call)
-            ]
-            yield pd.DataFrame({"id": batch["id"], "crc": batch["crc"], "n": [len(x) // 4 for x in out], "ids": out})
+            out = [ids + end for call in calls(batch["t"].tolist()) for ids in coder(call)]
+            yield pd.DataFrame(
+                {"id": batch["id"], "crc": batch["crc"], "n": [len(x) // len(end) for x in out], "ids": out}
+            )
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), utf8_crc32(text).alias("crc"))
     return rows.mapInPandas(run, "id long, crc long, n long, ids binary")
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """(symbol, n) over all documents; one partial count per id and task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                seen = np.bincount(np.frombuffer(ids, dtype="<u4"), minlength=len(total))
+            for at in range(0, len(batch), 64):
+                ids = b"".join(batch["ids"].iloc[at : at + 64])
+                seen = np.bincount(np.frombuffer(ids, dtype=kind), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
         symbol = np.flatnonzero(total)
@@ -168,7 +200,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select("ids").mapInPandas(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
 
 
-def _blocks(code: Code):
+def _blocks(code: Code, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file_no = TaskContext.get().partitionId()
         block_no, first, held, size = 0, 0, [], 0
@@ -184,7 +216,7 @@ def _blocks(code: Code):
 
         for batch in batches:
             for doc_id, ids in zip(batch["id"].astype("Int64"), batch["ids"], strict=True):
-                held.append((None if doc_id is pd.NA else int(doc_id), np.frombuffer(ids, dtype="<u4")))
+                held.append((None if doc_id is pd.NA else int(doc_id), np.frombuffer(ids, dtype=kind)))
                 size += len(held[-1][1])
                 if size >= BLOCK_TOKENS:
                     yield block()
@@ -203,14 +235,15 @@ def write_token_files(
     repeat an id follow each other by crc of the text; an empty table writes no blocks.
     """
     spark = docs.sparkSession
+    kind = id_type(tokenizer)
     tokens = shared_table(tokenise(docs, tokenizer, end_id, id_col, text_col), "token-ids")
-    counted = id_counts(tokens).orderBy("symbol").collect()  # at most one row per id of the vocabulary
+    counted = id_counts(tokens, kind).orderBy("symbol").collect()  # at most one row per id of the vocabulary
     code = Code.of_counts(*(np.array([r[i] for r in counted], dtype=np.int64) for i in (0, 1)))
     spark.createDataFrame(
         [(int(s), int(n)) for s, n in zip(code.symbols, code.lengths, strict=True)], "symbol long, length int"
     ).coalesce(1).write.parquet(f"{path}/code")
     ordered = tokens.repartitionByRange("id", "crc", "n").sortWithinPartitions("id", "crc", "n")
-    ordered.select("id", "ids").mapInPandas(_blocks(code), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    ordered.select("id", "ids").mapInPandas(_blocks(code, kind), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
 def read_code(spark: SparkSession, path: str) -> Code:

@@ -180,11 +180,11 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = PieceModel(model)
-        coder = WordCoder(pieces.split, pieces.encode_words)
+        coder = WordCoder(pieces.split, lambda words: [x.astype("<i4").tobytes() for x in pieces.encode_words(words)])
         for batch in batches:
             at = 0
             for call in calls(batch["__t"].tolist()):
-                found = [x.astype(np.int32) for x in coder.ids(call)]
+                found = [np.frombuffer(x, dtype="<i4") for x in coder(call)]
                 part = batch.iloc[at : at + len(call)]
                 at += len(call)
                 yield part.drop(columns="__t").assign(ids=found)

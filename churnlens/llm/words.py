@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 
-#: Characters worked on at once, and distinct words remembered by a task.
+#: Characters worked on at once, distinct words remembered by a task, and words encoded at once.
 CALL_CHARS = 1 << 20
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 800_000
+NEW_WORDS = 32_768
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -19,51 +19,26 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class WordCoder:
-    """Ids of texts from the ids of their words.
+    """Packed ids of texts, joined from the packed ids of their words.
 
-    ``split`` cuts a text into words; ``encode`` gives the ids of a list of
-    distinct words.
+    ``split`` cuts a text into words; ``encode`` gives the packed ids of a
+    list of distinct words.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[bytes]]):
         self.split, self.encode = split, encode
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat, self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        found = self.encode(words)
-        lengths = np.array([len(x) for x in found], dtype=np.int64)
-        ends = len(self.flat) + np.cumsum(lengths)
-        for k, word in enumerate(words, len(self.number)):
-            self.number[word] = k
-        self.flat = np.concatenate([self.flat, *found]).astype(np.int64)
-        self.starts = np.concatenate([self.starts, ends - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        words: list[str] = []
-        counts = np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            own = self.split(text)
-            counts[i] = len(own)
-            words += own
-        if not words:
-            return [np.zeros(0, np.int64)] * len(texts)
-        if len(self.number) > KEPT_WORDS:
-            self.forget()
-        place, distinct = pd.factorize(np.array(words, dtype=object))
-        new = [w for w in distinct if w not in self.number]
-        if new:
-            self.learn(new)
-        number = np.array([self.number[w] for w in distinct], dtype=np.int64)[place]
-        lengths = self.lengths[number]
-        flat = self.flat[spread(self.starts[number], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        wanted = set().union(*words)
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        new = list(wanted - self.known.keys())
+        for at in range(0, len(new), NEW_WORDS):
+            some = new[at : at + NEW_WORDS]
+            self.known.update(zip(some, self.encode(some), strict=True))
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 
 def calls(texts: list[str]) -> Iterator[list[str]]:
