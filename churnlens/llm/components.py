@@ -27,9 +27,10 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has columns a, b (long). Each round ends in a written table, so
     lost executors never replay earlier rounds.
     """
-    edges, before = shared_table(links.filter("a <> b").select("a", "b"), "component-edges"), None
+    edges, before = links.filter("a <> b").select("a", "b"), None
+    rows = links.count()  # a round never adds more than one edge per edge and direction
     while True:
-        edges = shared_table(_small_star(_large_star(edges)), "component-edges")
+        edges = shared_table(_small_star(_large_star(edges)), "component-edges", 2 * rows)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

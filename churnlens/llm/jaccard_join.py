@@ -6,16 +6,18 @@ T = ceil(s n) of its shingles, so in DivideSkip's terms its T - NEED most
 frequent inverted lists are long ones: they are never merged, and a candidate
 must be found on NEED of the other, rarer lists. Those short lists are
 inverted once by shingle. For each query they are heap-merged with skips
-(``divide_skip``); the long lists are then probed by binary search, which for
-a pair is the same as probing the partner's sorted set, and pairs that reach
-the required overlap are links.
+(``divide_skip``); what a pair's sizes ask beyond NEED is asked of the count
+(``Threshold.occurrences``). The long lists are then probed by binary search,
+which for a pair is the same as probing the partner's sorted set, and pairs
+that reach the required overlap are links.
 
 A family of many near copies shares all its lists, so merging them whole
 would emit every pair within it. The search therefore runs in rounds: first
 each query merges its lists restricted to a few hubs per list, and the links
-found join documents into components; a further round takes only partners in
-other components, until those are few; the last round takes all of them. Only
-links inside a component that exists already are left out, so components are exact.
+found join documents into components; rounds go on, with partners in other
+components only, while they leave far fewer of them; the last round takes all.
+Only links inside a component that exists already are left out, so components
+are exact.
 """
 
 from __future__ import annotations
@@ -42,16 +44,20 @@ NEED = 2
 #: Lists longer than this are probed, not merged, where NEED allows.
 LONG_LIST = 64
 #: Counters of the frequency sketch (a fixed size at any scale), and its slices.
-SKETCH_BITS = 20
-SLICE = 1 << 12
+SKETCH_BITS = 22
+SLICE = 1 << 14
 #: A list that may be longer than this is never gathered by one task; its rows are salted.
 HOT_LIST = 20_000
 SALTS = 1024
+#: Parity bits of a set.
+PARITY = 256
 #: Hubs per list and round, and partners per listed row up to which all are taken.
 HUBS = 4
-FEW = 4
-#: Partners of one query that one group holds.
-BLOCK = 50_000
+FEW = 64
+#: A round of hubs is followed by another only if it left at most this share of the partners.
+SHRINK = 0.7
+#: Members of one block of a list.
+BLOCK = 10_000
 
 
 def merge_skip(lists: list[list[int]], need: int) -> list[tuple[int, int]]:
@@ -85,9 +91,10 @@ def merge_skip(lists: list[list[int]], need: int) -> list[tuple[int, int]]:
     return out
 
 
-def divide_skip(lists: list[list[int]], need: int, long_list: int = LONG_LIST) -> list[int]:
-    """Ids on at least ``need`` of the sorted lists: up to need - 1 long lists are
-    probed by binary search for what the merged short ones leave over."""
+def divide_skip(lists: list[list[int]], need: int, long_list: int = LONG_LIST) -> list[tuple[int, int]]:
+    """(id, count) of the ids on at least ``need`` of the sorted lists: up to
+    need - 1 long lists are probed by binary search for what the merged short
+    ones leave over."""
     by_size = sorted(lists, key=len)
     probed: list[list[int]] = []
     while by_size and len(probed) < need - 1 and len(by_size[-1]) > long_list:
@@ -98,7 +105,7 @@ def divide_skip(lists: list[list[int]], need: int, long_list: int = LONG_LIST) -
             k = bisect_left(one, found)
             count += k < len(one) and one[k] == found
         if count >= need:
-            out.append(found)
+            out.append((found, count))
     return out
 
 
@@ -112,6 +119,16 @@ class Threshold:
         """Least overlap of a set of ``n`` shingles with any set linked to it."""
         return -(-self.num * n // self.den)
 
+    def occurrences(self, n: int, m: int) -> int:
+        """Short lists that linked sets of ``n`` and ``m`` shingles share at least.
+
+        They share o = ceil(s (n + m) / (1 + s)) shingles. Each set's short lists
+        hold all but its required(...) - NEED most frequent shingles, so at
+        least o - required + NEED of the shared ones; both hold the rarest of these.
+        """
+        shared = -(-self.num * (n + m) // (self.num + self.den))
+        return NEED + shared - max(self.required(n), self.required(m))
+
     def links(self, a: np.ndarray, b: np.ndarray) -> bool:
         small, large = (a, b) if len(a) <= len(b) else (b, a)
         if not len(small) or self.num * len(large) > self.den * len(small):
@@ -120,8 +137,14 @@ class Threshold:
         shared = int((large[at] == small).sum())
         return self.den * shared >= self.num * (len(a) + len(b) - shared)
 
-    def sizes(self, a: Column, b: Column) -> Column:
-        return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
+    def possible(self, a: Column, b: Column) -> Column:
+        """Whether two sets (fields n and bits) can be linked, by their sizes and
+        parity bits: the bits that differ never outnumber the shingles that do."""
+        n, m = a["n"], b["n"]
+        whole = self.num + self.den
+        shared = F.floor((self.num * (n + m) + whole - 1) / whole)
+        differ = sum(F.bit_count(a["bits"][k].bitwiseXOR(b["bits"][k])) for k in range(PARITY // 64))
+        return (F.least(n, m) * self.den >= F.greatest(n, m) * self.num) & (differ <= n + m - 2 * shared)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -133,12 +156,12 @@ def describe_sets(texts: DataFrame, size: int) -> DataFrame:
     task the slices (slice, counts) of its sketch of shingle frequencies."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in batches:
             sets = [s for call in calls(batch["text"].tolist()) for s in shingle_sets(call, size)]
             for at in range(0, len(sets), 256):
                 some = np.concatenate([np.zeros(0, np.uint64), *sets[at : at + 256]])
-                sketch += np.bincount((some >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+                np.add.at(sketch, (some >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
@@ -188,7 +211,7 @@ def short_lists(texts: DataFrame, sketch: np.ndarray, limit: Threshold, size: in
     other set have no row. ``tokens`` holds (token, hot).
     """
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(sketch.astype(np.int32))  # 4 MB, a fixed size
+    shared = spark.sparkContext.broadcast(sketch.astype(np.int32))  # 16 MB, a fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
@@ -220,19 +243,23 @@ def inverted(rows: DataFrame) -> DataFrame:
     return salted.withColumn("m", many).filter("m > 1 or hot").select("token", "node", "n")
 
 
-def occurrence_search(partners: DataFrame) -> DataFrame:
-    """Candidates (a, b) from rows (node, block, lists): DivideSkip on each row's lists."""
+def occurrence_search(partners: DataFrame, limit: Threshold) -> DataFrame:
+    """Candidates (a, b) from rows (node, n, lists): DivideSkip on each row's lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             a, b = [], []
-            for node, lists in zip(batch["node"], batch["lists"], strict=True):
-                found = divide_skip([x.tolist() for x in lists], NEED)
+            for node, n, lists in zip(batch["node"], batch["n"], batch["lists"], strict=True):
+                size: dict[int, int] = {}
+                for one in lists:
+                    size.update(zip(one["ids"].tolist(), one["sizes"].tolist(), strict=True))
+                found = divide_skip([one["ids"].tolist() for one in lists], NEED)
+                found = [i for i, count in found if count >= limit.occurrences(n, size[i])]
                 a += [node] * len(found)
                 b += found
             yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    found = partners.select("node", "lists").mapInPandas(run, "a long, b long")
+    found = partners.select("node", "n", "lists").mapInPandas(run, "a long, b long")
     return _once(found)
 
 
@@ -242,45 +269,71 @@ def _once(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("lo", "hi").agg(F.min_by("a", "a").alias("a"), F.min_by("b", "a").alias("b")).select("a", "b")
 
 
+def parity_bits(texts: DataFrame, size: int) -> DataFrame:
+    """(node, n, bits): per set, whether an odd number of its shingles fall in each of PARITY cells."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [s for call in calls(batch["text"].tolist()) for s in shingle_sets(call, size)]
+            odd = [np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1 for s in sets]
+            bits = [np.packbits(x.astype(np.uint8)).view(np.int64) for x in odd]
+            yield pd.DataFrame({"node": batch["node"], "n": [len(s) for s in sets], "bits": bits})
+
+    return texts.mapInPandas(run, "node long, n long, bits array<long>")
+
+
+def _list(members: Column) -> Column:
+    """A list of (node, n, comp) sorted by node as ids and their sizes."""
+    return F.struct(
+        F.transform(members, lambda x: x["node"]).alias("ids"), F.transform(members, lambda x: x["n"]).alias("sizes")
+    )
+
+
 def hub_partners(lists: DataFrame, limit: Threshold, seed: int) -> DataFrame:
-    """(node, lists) with each list restricted to HUBS members of other components."""
+    """(node, n, lists) with each list restricted to HUBS members of other components."""
     hubs = lists.groupBy("token").agg(
         F.array_distinct(
             F.array(
                 *[
-                    F.min(F.struct(F.xxhash64("node", F.lit(seed * HUBS + k)), "node", "n", "comp"))
+                    F.min_by(F.struct("node", "n", "comp", "bits"), F.xxhash64("node", F.lit(seed * HUBS + k)))
                     for k in range(HUBS)
                 ]
             )
         ).alias("hubs")
     )
-    kept = F.filter(
-        "hubs", lambda h: (h["comp"] != F.col("comp")) & limit.sizes(h["n"], F.col("n"))
-    )
-    own = F.array_sort(F.array_distinct(F.transform(kept, lambda h: h["node"])))
-    joined = lists.join(hubs, "token").select("node", own.alias("list")).filter(F.size("list") > 0)
-    return joined.groupBy("node").agg(F.collect_list("list").alias("lists"))
+    own = F.struct("n", "bits")
+    kept = F.sort_array(F.filter("hubs", lambda h: (h["comp"] != F.col("comp")) & limit.possible(h, own)))
+    joined = lists.join(hubs, "token").select("node", "n", kept.alias("kept")).filter(F.size("kept") > 0)
+    return joined.groupBy("node", "n").agg(F.collect_list(_list(F.col("kept"))).alias("lists"))
 
 
 def all_partners(lists: DataFrame, limit: Threshold, longest: int) -> DataFrame:
-    """(node, lists) with all members of other components.
+    """(node, n, block, lists) with all members of larger components.
 
-    Per list, members of its largest component are partners, not queries: the
-    pairs among them are known, all others come from the other side.
+    ``weight`` orders components, so each pair is searched from one side, with
+    all the lists it shares: from the smaller component, whose members are few
+    where a family has mostly been joined. Lists are cut into blocks by member, at
+    most about BLOCK long, so no row grows with a frequent shingle; all
+    occurrences of a member fall in one block, so blocks are searched apart.
     """
-    most = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(
-        F.max_by("comp", F.struct("c", "comp")).alias("most")
-    )
-    queries = lists.join(most, "token").filter("comp <> most").drop("most")
-    q, p = queries.alias("q"), lists.alias("p")
-    pairs = q.join(p, F.col("q.token") == F.col("p.token")).filter(
-        (F.col("q.comp") != F.col("p.comp")) & limit.sizes(F.col("q.n"), F.col("p.n"))
+    rank = F.struct("weight", "comp")
+    top = lists.groupBy("token").agg(F.max(rank).alias("top"))
+    queries = lists.join(top, "token").filter(rank < F.col("top")).select("token", "node", "n", "comp", "weight", "bits")
+    block = F.pmod(F.xxhash64("node"), F.lit(1 + longest // BLOCK)).alias("block")
+    member = F.struct("node", "n", "comp", "weight", "bits")
+    own = F.struct("n", "bits")
+    whole = lists.groupBy("token", block).agg(F.sort_array(F.collect_list(member)).alias("all"))
+
+    def wanted(x: Column) -> Column:
+        larger = (x["weight"] > F.col("weight")) | ((x["weight"] == F.col("weight")) & (x["comp"] > F.col("comp")))
+        return larger & limit.possible(x, own)
+
+    merged = queries.join(whole, "token").select("node", "n", "block", F.filter("all", wanted).alias("kept"))
+    return (
+        merged.filter(F.size("kept") > 0)
+        .groupBy("node", "n", "block")
+        .agg(F.collect_list(_list(F.col("kept"))).alias("lists"))
     )
-    # all lists of a partner fall in one block, so blocks can be searched apart
-    block = F.pmod(F.xxhash64("p.node"), F.lit(1 + longest // BLOCK))
-    one = pairs.select("q.node", block.alias("block"), "q.token", F.col("p.node").alias("partner"))
-    per_list = one.groupBy("node", "block", "token").agg(F.array_sort(F.collect_list("partner")).alias("list"))
-    return per_list.groupBy("node", "block").agg(F.collect_list("list").alias("lists"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, limit: Threshold, size: int) -> DataFrame:
@@ -306,22 +359,30 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: Threshold, size: int) ->
 def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size: int) -> DataFrame:
     """(node, component) of the linked nodes, by rounds of T-occurrence search."""
     rows, seed = lists.count(), 0
-    found, comps = None, None
+    bits = shared_table(parity_bits(texts, size), "parity-bits").dropDuplicates(["node", "n"])
+    found, comps, before = None, None, None
     while True:
         if comps is None:
             known = lists.withColumn("comp", F.col("node"))
         else:
-            known = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+            named = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+            known = shared_table(named.drop("component"), "named-lists", rows)
         shares = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         per_list = shares.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         mixed = per_list.filter("m * m > s")
-        known = shared_table(known.join(mixed.select("token", "m"), "token"), "mixed-lists")
+        weights = known.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
+        known = shared_table(
+            known.join(mixed.select("token"), "token", "left_semi").join(weights, "comp").join(bits, ["node", "n"]),
+            "mixed-lists",
+            rows,
+        )
         todo = mixed.agg(F.sum((F.col("m") * F.col("m") - F.col("s")).cast("double") / 2), F.max("m")).first()
         if not todo[1]:
             break
-        last = todo[0] <= FEW * rows
+        last = todo[0] <= FEW * rows or (before is not None and todo[0] > SHRINK * before)
+        before = todo[0]
         lists_of = all_partners(known, limit, todo[1]) if last else hub_partners(known, limit, seed)
-        new = shared_table(verified(occurrence_search(lists_of), texts, limit, size), "links")
+        new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links")
         grown = not new.isEmpty()
         if grown:
             found = new if found is None else found.unionByName(new)
@@ -331,7 +392,7 @@ def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size:
         if not grown:
             # hubs find nothing more: take all partners, however many
             lists_of = all_partners(known, limit, todo[1])
-            new = shared_table(verified(occurrence_search(lists_of), texts, limit, size), "links")
+            new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links")
             if not new.isEmpty():
                 found = new if found is None else found.unionByName(new)
                 comps = components(found)
