@@ -161,7 +161,7 @@ def test_metric_trend(spark):
 
 def test_json_lines(f2):
     lines = [json.loads(r[0]) for r in to_json_lines(summary(f2)).collect()]
-    assert lines == [{"total_customers": 5, "churn_rate": 40.0, "avg_monthly_charges": 77.0, "avg_tenure": 25.2}]
+    assert lines == [{"total_customers": 6, "churn_rate": 50.0, "avg_monthly_charges": 70.0, "avg_tenure": 31.67}]
 
 
 def test_segment_rates_one_pass_matches_per_key(spark):
