@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import utf8_crc32
 from churnlens.llm.words import WordCoder, calls, spread
 
 SPACE = "▁"
@@ -172,10 +171,11 @@ def codes(text: str) -> np.ndarray:
 
 
 def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_crc32, n_bytes, ids array<int>) of every whole text.
+    """(id, ids array<int>, round_trip) of every whole text.
 
-    Null and empty texts have no ids; repeated rows repeat. ``model`` is the
-    path of a SentencePiece model.
+    ``round_trip`` tells whether the ids decode to the text (one that itself
+    holds U+2581 decodes with spaces there). Null and empty texts have no ids;
+    repeated rows repeat. ``model`` is the path of a SentencePiece model.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,14 +185,15 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
             at = 0
             for call in calls(batch["__t"].tolist()):
                 found = [np.frombuffer(x, dtype="<i4") for x in coder(call)]
-                part = batch.iloc[at : at + len(call)]
+                ids = batch[id_col].iloc[at : at + len(call)]
                 at += len(call)
-                yield part.drop(columns="__t").assign(ids=found)
+                back = [pieces.decode(x) == t for x, t in zip(found, call, strict=True)]
+                yield pd.DataFrame({id_col: ids, "ids": found, "round_trip": back})
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, utf8_crc32(text).alias("text_crc32"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("__t"))
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, text_crc32 long, n_bytes long, ids array<int>")
+    rows = docs.select(id_col, text.alias("__t"))
+    return rows.mapInPandas(run, f"`{id_col}` {kind}, ids array<int>, round_trip boolean")
 
 
 def decode_ids(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
@@ -214,13 +215,6 @@ def default_model() -> str:
 
 
 def encoded_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_ids, ids, round_trip): the ids of each text, and whether they decode
-    to it (a text that itself holds U+2581 decodes to one with spaces there)."""
-    decoded = decode_ids(encode_texts(docs, model, id_col, text_col), model)
-    same = utf8_crc32(F.col("decoded")) == F.col("text_crc32")
-    return decoded.select(
-        id_col,
-        F.size("ids").cast("long").alias("n_ids"),
-        "ids",
-        (same & (F.octet_length("decoded") == F.col("n_bytes"))).alias("round_trip"),
-    )
+    """(id, n_ids, ids, round_trip) of ``encode_texts``."""
+    encoded = encode_texts(docs, model, id_col, text_col)
+    return encoded.select(id_col, F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")

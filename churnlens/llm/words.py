@@ -8,7 +8,7 @@ import numpy as np
 
 #: Characters worked on at once, distinct words remembered by a task, and words encoded at once.
 CALL_CHARS = 1 << 20
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 NEW_WORDS = 32_768
 
 

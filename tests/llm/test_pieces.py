@@ -68,4 +68,7 @@ def test_hostile_and_empty(hostile, nothing):
         assert r["n_ids"] == len(r["ids"])
         assert r["round_trip"] == (r["doc_id"] != 8)  # that text holds U+2581 itself
     assert [r["n_ids"] for r in found if r["doc_id"] in (0, 1, 9)] == [0, 0, 0]
+    encoded = pieces.encode_texts(hostile, pieces.default_model())
+    texts = {r["decoded"] for r in pieces.decode_ids(encoded, pieces.default_model()).collect()}
+    assert {"", "one two", "The same text, twice over; the same text.", "no id here"} <= texts
     assert pieces.encoded_digests(nothing, pieces.default_model()).count() == 0
