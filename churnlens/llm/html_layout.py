@@ -27,7 +27,7 @@ BLOCKS = PARAGRAPHS | frozenset(
     "hgroup hr html legend li main menu nav ol optgroup option search section summary ul tr tbody thead tfoot".split()
 )
 HIDDEN = frozenset(
-    "head title script style template noscript noframes iframe object audio video canvas svg math datalist "
+    "title script style template noscript noframes iframe object audio video canvas svg math datalist "
     "area base link meta param source track col colgroup".split()
 )
 ENDS_P = (BLOCKS - frozenset("body html caption dd dt legend li optgroup option summary tr tbody thead tfoot".split()))
@@ -42,6 +42,9 @@ SIBLINGS = {
 SCOPES = frozenset(("table", "html", "ul", "ol", "menu", "dir", "dl", "select", "caption", "button"))
 #: Elements nested deeper become siblings, as browsers limit depth too.
 DEPTH = 200
+#: Tags whose ends are optional or implied and that need no element: all that
+#: may stand in a head is hidden by itself, anything else is in the body.
+FRAME = frozenset(("html", "head", "body"))
 
 SPACE = re.compile(r"[ \t\n\r\f]+")
 UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
@@ -82,7 +85,7 @@ class TreeBuilder(HTMLParser):
             del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body"):
+        if tag in FRAME:
             return
         if tag in ENDS_P:
             self._end(("p",), SCOPES | CELLS | {"li"})
@@ -108,7 +111,7 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def handle_endtag(self, tag):
-        if tag in ("html", "body"):
+        if tag in FRAME:
             return
         if tag == "br":
             self.open[-1].children.append(Element("br", {}))

@@ -33,6 +33,21 @@ CASES = {
     "< 3 and > 2 <": "< 3 and > 2 <",
 }
 
+HEADS = {
+    "<html><head><title>T</title><body><p>Hello</body></html>": "Hello",
+    "<html><head><title>T</title></head><body><p>Hello</body></html>": "Hello",
+    "<head/><p>Hello": "Hello",
+    "<head><title>T</title><p>Hello": "Hello",
+    "<head><meta charset=utf-8><style>p{}</style><script>x</script>Hello<p>you": "Hello\n\nyou",
+    "<head><noscript><p>no</noscript><template>no</template><h1>Hello</h1>you": "Hello\n\nyou",
+    "<html><title>T</title><link rel=x>Hello<head>you</head> there": "Helloyou there",
+}
+
+
+@pytest.mark.parametrize("html", HEADS)
+def test_optional_head_tags(html):
+    assert visible_text(html) == HEADS[html]
+
 
 @pytest.mark.parametrize("html", CASES)
 def test_rendering(html):
