@@ -33,6 +33,11 @@ HIDDEN = frozenset(
 ENDS_P = (BLOCKS - frozenset("body html caption dd dt legend li optgroup option summary tr tbody thead tfoot".split()))
 CELLS = frozenset(("td", "th"))
 SECTIONS = frozenset(("tbody", "thead", "tfoot"))
+PARTS = SECTIONS | {"table", "tr"}
+#: Elements whose markup stays within them, whatever table it names.
+CLOSED = frozenset("template title noscript noframes iframe".split())
+#: End tags that reach out of cells and tables.
+THROUGH = PARTS | CLOSED
 SIBLINGS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
     "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr", "caption"),
@@ -84,15 +89,32 @@ class TreeBuilder(HTMLParser):
         if at:
             del self.open[at:]
 
+    def _back(self, tags: frozenset[str]) -> None:
+        """Close what is open inside the innermost of ``tags``, as a table part's start does."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in tags:
+                del self.open[i + 1 :]
+            elif self.open[i].tag not in CLOSED and self.open[i].tag not in CELLS:
+                continue
+            return
+
     def handle_starttag(self, tag, attrs):
         if tag in FRAME:
             return
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.open.pop()
+        if tag == "form" and self.open[-1].tag in PARTS:
+            return  # a form cannot hold rows or cells, and shows nothing itself
         if tag in ENDS_P:
             self._end(("p",), SCOPES | CELLS | {"li"})
         if tag in SIBLINGS:
             self._end(SIBLINGS[tag], SCOPES if tag not in CELLS and tag != "tr" and tag not in SECTIONS else frozenset(("table",)))
-        if tag in CELLS and self.open[-1].tag in ("table", *SECTIONS):
-            self._push(Element("tr", {}))
+        if tag in CELLS:
+            self._back(PARTS)
+            if self.open[-1].tag in ("table", *SECTIONS):
+                self._push(Element("tr", {}))
+        elif tag == "tr" or tag in SECTIONS:
+            self._back(PARTS if tag == "tr" else frozenset(("table",)))
         child = Element(tag, dict(attrs))
         if tag in VOID:
             self.open[-1].children.append(child)
@@ -120,7 +142,7 @@ class TreeBuilder(HTMLParser):
             if self.open[i].tag == tag:
                 del self.open[i:]
                 return
-            if self.open[i].tag in CELLS and tag not in ("table", "tr", *SECTIONS):
+            if (self.open[i].tag in CELLS or self.open[i].tag == "table") and tag not in THROUGH:
                 return
 
     def close(self):
@@ -129,6 +151,8 @@ class TreeBuilder(HTMLParser):
         super().close()
 
     def handle_data(self, data):
+        if self.open[-1].tag == "colgroup" and data.strip():
+            self.open.pop()
         self.open[-1].children.append(data)
 
 
@@ -255,6 +279,18 @@ def _rows(node: Element) -> Iterator[Element]:
                 yield from _rows(child)
 
 
+def _strays(node: Element) -> Iterator[Element | str]:
+    """What of a table and its sections is neither a row nor a section."""
+    for child in node.children:
+        if isinstance(child, str):
+            yield child
+        elif child.tag in SECTIONS:
+            if child.visible():
+                yield from _strays(child)
+        elif child.tag != "tr":
+            yield child
+
+
 def _span(cell: Element, name: str) -> int:
     value = cell.attrs.get(name) or ""
     return min(max(int(value), 1), 1000) if value.isascii() and value.isdecimal() and len(value) < 6 else 1
@@ -263,10 +299,10 @@ def _span(cell: Element, name: str) -> int:
 def table(node: Element, listed: int) -> list[str]:
     """Rows with columns padded to their widest cell; text outside cells comes first."""
     stray = Writer()
-    for child in node.children:
+    for child in _strays(node):
         if isinstance(child, str):
             stray.text(child)
-        elif child.visible() and child.tag != "tr" and child.tag not in SECTIONS:
+        elif child.visible():
             holder = Element("div", {})
             holder.children = [child]
             render(holder, stray, listed)
@@ -290,6 +326,8 @@ def table(node: Element, listed: int) -> list[str]:
             holder.children = cell.children if is_cell else [cell]
             render(holder, inner, listed)
             inner.flush()
+            if not is_cell and not inner.lines:
+                continue
             wide = _span(cell, "colspan") if is_cell else 1
             cells[column] = (inner.lines or [""], wide)
             if is_cell and (deep := _span(cell, "rowspan")) > 1:

@@ -43,6 +43,30 @@ HEADS = {
     "<html><title>T</title><link rel=x>Hello<head>you</head> there": "Helloyou there",
 }
 
+TABLES = {
+    "<table><tbody><form><tr><td>x</table>": "x",
+    "<table><form><tr><td>x<td>y<tr><td>z</form></table>after": "x  y\nz\n\nafter",
+    "<table><tr><form><td>x</td><td>y</td></form></tr></table>": "x  y",
+    "<form><table><form><tr><td>x</form><tr><td>y</table></form>z": "x\ny\n\nz",
+    "<table><tbody>note<tr><td>x</table>": "note\nx",
+    "<table><tbody><div>note</div><tr><td>x</table>": "note\nx",
+    "<table><thead>a<b>b</b></thead><tbody><tr><td>x</tbody><tfoot><p>c</p></table>": "ab\n\nc\nx",
+    "<table><tbody><div>note<tr><td>x<tr><td>y</table>": "note\nx\ny",
+    "<table><tr><td>x<tbody><span>note<td>y</table>": "note\nx\ny",
+    "<table><tr><div>note<td>x</table>": "note  x",
+    "<table><div>note<tbody><tr><td>x</table>": "note\nx",
+    "<table><colgroup><col><col><tr><td>x<td>y</table>": "x  y",
+    "<table><colgroup>note<caption>C</caption><tr><td>x</table>": "note\nC\nx",
+    "<table><tbody hidden>no<div>no</div><tr><td>no</table>yes": "yes",
+    "<table><tbody><template><tr><td>no</template><tr><td>x</table>": "x",
+    "<table><tr><td><table><tbody>note<tr><td>i</table><td>k</table>": "note  k\ni",
+}
+
+
+@pytest.mark.parametrize("html", TABLES)
+def test_text_beside_rows(html):
+    assert visible_text(html) == TABLES[html]
+
 
 @pytest.mark.parametrize("html", HEADS)
 def test_optional_head_tags(html):
