@@ -6,6 +6,8 @@ end with their parent). Rendering skips what a browser does not show and
 writes blocks on lines of their own, blank lines between paragraphs, markers
 and indents for lists, preformatted text as it is, and tables with each column
 padded to its widest cell.
+Formulas and the texts of drawings are inline text; inside what visibility
+hides, elements that set it to visible show again.
 """
 
 from __future__ import annotations
@@ -27,9 +29,22 @@ BLOCKS = PARAGRAPHS | frozenset(
     "hgroup hr html legend li main menu nav ol optgroup option search section summary ul tr tbody thead tfoot".split()
 )
 HIDDEN = frozenset(
-    "title script style template noscript noframes iframe object audio video canvas svg math datalist "
+    "title script style template noscript noframes iframe object audio video canvas datalist "
     "area base link meta param source track col colgroup".split()
 )
+#: Parts of svg and math that are not shown where they stand.
+UNDRAWN = frozenset(
+    "defs symbol clippath mask pattern marker filter lineargradient radialgradient desc metadata "
+    "annotation annotation-xml".split()
+)
+#: Elements of svg and math that hold HTML, and HTML tags that end any other part of svg and math.
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Parts of formulas and drawings that stand apart from the text around them.
+APART = frozenset("svg text foreignobject mfrac mtable mtr mlabeledtr mtd".split())
 ENDS_P = (BLOCKS - frozenset("body html caption dd dt legend li optgroup option summary tr tbody thead tfoot".split()))
 CELLS = frozenset(("td", "th"))
 SECTIONS = frozenset(("tbody", "thead", "tfoot"))
@@ -52,25 +67,50 @@ DEPTH = 200
 FRAME = frozenset(("html", "head", "body"))
 
 SPACE = re.compile(r"[ \t\n\r\f]+")
-UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
+UNSEEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+VISIBILITY = re.compile(
+    r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse|initial|inherit|unset|revert)\s*(!\s*important\s*)?(?=;|$)", re.I
+)
 
 
 class Element:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "foreign", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
-        self.tag, self.attrs = tag, attrs
+    def __init__(self, tag: str, attrs: dict[str, str | None], foreign: str | None = None):
+        #: "svg", "text" (of an svg) or "math" for the parts of drawings and formulas
+        self.tag, self.attrs, self.foreign = tag, attrs, foreign
         self.children: list[Element | str] = []
 
     def visible(self) -> bool:
+        """Whether the element is there at all; ``seen`` says whether its own text shows."""
         if self.tag in HIDDEN or "hidden" in self.attrs:
             return False
+        if self.foreign and (self.tag in UNDRAWN or (self.attrs.get("display") or "").strip().lower() == "none"):
+            return False
+        if (self.tag == "tr" or self.tag in SECTIONS) and self._visibility() == "collapse":
+            return False
         if self.tag == "input" and (self.attrs.get("type") or "").lower() == "hidden":
             return False
         if self.tag == "dialog" and "open" not in self.attrs:
             return False
         return not UNSEEN_STYLE.search(self.attrs.get("style") or "")
 
+    def _visibility(self) -> str:
+        """The value that is set on this element: the last valid one, important ones first."""
+        found = VISIBILITY.findall(self.attrs.get("style") or "")
+        if found:
+            return (next((v for v, important in reversed(found) if important), None) or found[-1][0]).lower()
+        return (self.attrs.get("visibility") or "").strip().lower() if self.foreign else ""
+
+    def seen(self, around: bool) -> bool:
+        """Whether the element's own text shows; visibility is inherited from ``around``."""
+        if self.foreign and self.tag == "mphantom":
+            return False
+        if "style" not in self.attrs and not self.foreign:
+            return around
+        value = self._visibility()
+        return value in ("visible", "initial") or (around and value not in ("hidden", "collapse"))
+
 
 class TreeBuilder(HTMLParser):
     def __init__(self):
@@ -84,7 +124,7 @@ class TreeBuilder(HTMLParser):
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
                 at = i
-            elif self.open[i].tag in scopes:
+            elif self.open[i].tag in scopes or self.open[i].foreign:
                 break
         if at:
             del self.open[at:]
@@ -94,15 +134,30 @@ class TreeBuilder(HTMLParser):
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
                 del self.open[i + 1 :]
-            elif self.open[i].tag not in CLOSED and self.open[i].tag not in CELLS:
+            elif self.open[i].tag not in CLOSED and self.open[i].tag not in CELLS and not self.open[i].foreign:
                 continue
             return
 
+    def _foreign(self, tag: str) -> str | None:
+        """The kind that an element started here has if it is part of a drawing or formula."""
+        top = self.open[-1]
+        if not top.foreign or (top.tag in HTML_INSIDE and tag not in ("mglyph", "malignmark")):
+            return tag if tag in ("svg", "math") else None
+        if tag == "svg" or (top.foreign != "math" and tag not in ("text", "foreignobject")):
+            return "svg" if tag == "svg" else top.foreign
+        return "math" if top.foreign == "math" else "text"
+
     def handle_starttag(self, tag, attrs):
+        if tag in BREAKOUT or (tag == "font" and not {"color", "face", "size"}.isdisjoint(dict(attrs))):
+            while self.open[-1].foreign and self.open[-1].tag not in HTML_INSIDE:
+                self.open.pop()
         if tag in FRAME:
             return
         if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
             self.open.pop()
+        if foreign := self._foreign(tag):
+            self._push(Element(tag, dict(attrs), foreign))
+            return
         if tag == "form" and self.open[-1].tag in PARTS:
             return  # a form cannot hold rows or cells, and shows nothing itself
         if tag in ENDS_P:
@@ -129,7 +184,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in ("svg", "math") and self.open[-1].tag == tag:
+        if self.open[-1].foreign and self.open[-1].tag == tag:
             self.open.pop()
 
     def handle_endtag(self, tag):
@@ -144,6 +199,8 @@ class TreeBuilder(HTMLParser):
                 return
             if (self.open[i].tag in CELLS or self.open[i].tag == "table") and tag not in THROUGH:
                 return
+            if self.open[i].foreign and self.open[i].tag == "foreignobject" and (tag in BLOCKS or tag in PARAGRAPHS):
+                return
 
     def close(self):
         if self.rawdata.startswith("<!--"):  # a comment that never ends hides the rest
@@ -153,7 +210,12 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if self.open[-1].tag == "colgroup" and data.strip():
             self.open.pop()
-        self.open[-1].children.append(data)
+        if self.open[-1].foreign != "svg":  # a drawing shows the strings of its texts only
+            self.open[-1].children.append(data)
+
+    def unknown_decl(self, data):
+        if data.startswith("CDATA[") and self.open[-1].foreign:
+            self.handle_data(data[6:])
 
 
 def parse(html: str) -> Element:
@@ -195,100 +257,128 @@ class Writer:
             self.line(((first if i == 0 else rest) + line).rstrip() if line else "")
 
 
-def render(node: Element, out: Writer, listed: int = 0) -> None:
-    """Write the children of ``node``; ``listed`` is the depth of lists around it."""
+def _chosen(node: Element) -> list[Element | str]:
+    """The children that can show: the first that fits of svg's switch and of math's maction."""
+    if not node.foreign or node.tag not in ("switch", "maction"):
+        return node.children
+    parts = [c for c in node.children if isinstance(c, Element)]
+    if node.tag == "switch":
+        needs = ("", "http://www.w3.org/1999/xhtml", "http://www.w3.org/1998/math/mathml")
+        fit = [
+            c
+            for c in parts
+            if "systemlanguage" not in c.attrs and (c.attrs.get("requiredextensions") or "").strip().lower() in needs
+        ]
+        parts = fit or parts
+    return list(parts[:1])
+
+
+def render(node: Element, out: Writer, listed: int = 0, seen: bool = True) -> None:
+    """Write the children of ``node``; ``listed`` is the depth of lists around it,
+    ``seen`` whether its own text shows."""
     number = int(node.attrs["start"]) if node.tag == "ol" and (node.attrs.get("start") or "").isdecimal() else 1
-    for child in node.children:
+    for child in _chosen(node):
         if isinstance(child, str):
-            out.text(child)
+            if seen:
+                out.text(child)
             continue
         if not child.visible():
             continue
-        tag = child.tag
+        tag, shows = child.tag, child.seen(seen)
+        if child.foreign:
+            block = tag == "math" and (child.attrs.get("display") or "").lower() == "block"
+            apart = tag in APART or node.tag == "mfrac" or (tag == "tspan" and not {"x", "y"}.isdisjoint(child.attrs))
+            out.flush() if block else out.text(" " if apart else "")
+            render(child, out, listed, shows)
+            out.flush() if block else out.text(" " if apart else "")
+            continue
         if tag == "br":
             if out.inline:
                 out.flush()
             continue
         if tag in ("img", "input"):
             shown = child.attrs.get("alt" if tag == "img" else "value") or ""
-            out.text(f" {shown} " if shown else "")
+            out.text(f" {shown} " if shown and shows else "")
             continue
         if tag == "pre" or tag == "textarea":
             out.paragraph()
-            for line in "".join(strings(child)).strip("\n").split("\n"):
+            whole = "".join(strings(child, shows))
+            for line in whole.strip("\n").split("\n") if shows or whole.strip() else ():
                 out.line(line.rstrip())
             out.paragraph()
         elif tag == "table":
             out.paragraph()
-            for line in table(child, listed):
+            for line in table(child, listed, shows):
                 out.line(line)
             out.paragraph()
         elif tag == "li":
             out.flush()
             inner = Writer()
-            render(child, inner, listed)
+            render(child, inner, listed, shows)
             inner.flush()
             mark = f"{number}. " if node.tag == "ol" else "- "
+            mark = mark if shows else " " * len(mark)
             number += 1
             if inner.lines:
                 out.nest(inner.lines, mark, " " * len(mark))
         elif tag in ("ul", "ol", "menu", "dir"):
             out.flush() if listed else out.paragraph()
-            render(child, out, listed + 1)
+            render(child, out, listed + 1, shows)
             out.flush() if listed else out.paragraph()
         elif tag in ("blockquote", "dd"):
             out.paragraph() if tag == "blockquote" else out.flush()
             inner = Writer()
-            render(child, inner, listed)
+            render(child, inner, listed, shows)
             inner.flush()
             out.nest(inner.lines, "  ", "  ")
             if tag == "blockquote":
                 out.paragraph()
         elif tag in PARAGRAPHS or tag == "hr":
             out.paragraph()
-            render(child, out, listed)
+            render(child, out, listed, shows)
             out.paragraph()
         elif tag in BLOCKS:
             out.flush()
-            render(child, out, listed)
+            render(child, out, listed, shows)
             out.flush()
         elif tag in CELLS:
             out.text(" ")
-            render(child, out, listed)
+            render(child, out, listed, shows)
             out.text(" ")
         else:
-            render(child, out, listed)
+            render(child, out, listed, shows)
 
 
-def strings(node: Element) -> Iterator[str]:
-    for child in node.children:
+def strings(node: Element, seen: bool = True) -> Iterator[str]:
+    for child in _chosen(node):
         if isinstance(child, str):
-            yield child
+            if seen:
+                yield child
         elif child.tag == "br":
             yield "\n"
         elif child.visible():
-            yield from strings(child)
+            yield from strings(child, child.seen(seen))
 
 
-def _rows(node: Element) -> Iterator[Element]:
+def _rows(node: Element, seen: bool) -> Iterator[tuple[Element, bool]]:
     for child in node.children:
         if isinstance(child, Element) and child.visible():
             if child.tag == "tr":
-                yield child
+                yield child, child.seen(seen)
             elif child.tag in SECTIONS:
-                yield from _rows(child)
+                yield from _rows(child, child.seen(seen))
 
 
-def _strays(node: Element) -> Iterator[Element | str]:
-    """What of a table and its sections is neither a row nor a section."""
+def _strays(node: Element, seen: bool) -> Iterator[tuple[Element | str, bool]]:
+    """What of a table and its sections is neither a row nor a section, and whether its text shows."""
     for child in node.children:
         if isinstance(child, str):
-            yield child
+            yield child, seen
         elif child.tag in SECTIONS:
             if child.visible():
-                yield from _strays(child)
+                yield from _strays(child, child.seen(seen))
         elif child.tag != "tr":
-            yield child
+            yield child, seen
 
 
 def _span(cell: Element, name: str) -> int:
@@ -296,21 +386,21 @@ def _span(cell: Element, name: str) -> int:
     return min(max(int(value), 1), 1000) if value.isascii() and value.isdecimal() and len(value) < 6 else 1
 
 
-def table(node: Element, listed: int) -> list[str]:
+def table(node: Element, listed: int, seen: bool = True) -> list[str]:
     """Rows with columns padded to their widest cell; text outside cells comes first."""
     stray = Writer()
-    for child in _strays(node):
+    for child, shows in _strays(node, seen):
         if isinstance(child, str):
-            stray.text(child)
+            stray.text(child if shows else "")
         elif child.visible():
             holder = Element("div", {})
             holder.children = [child]
-            render(holder, stray, listed)
+            render(holder, stray, listed, shows)
             stray.flush()
     stray.flush()
     grid: list[dict[int, tuple[list[str], int]]] = []
     busy: dict[int, int] = {}  # column -> rows it is still taken by a cell above
-    for row in _rows(node):
+    for row, shows in _rows(node, seen):
         cells: dict[int, tuple[list[str], int]] = {}
         column, taken = 0, {c for c, n in busy.items() if n > 0}
         busy = {c: n - 1 for c, n in busy.items() if n > 1}
@@ -324,7 +414,7 @@ def table(node: Element, listed: int) -> list[str]:
             holder, inner = Element("td", {}), Writer()
             is_cell = isinstance(cell, Element) and cell.tag in CELLS
             holder.children = cell.children if is_cell else [cell]
-            render(holder, inner, listed)
+            render(holder, inner, listed, cell.seen(shows) if is_cell else shows)
             inner.flush()
             if not is_cell and not inner.lines:
                 continue

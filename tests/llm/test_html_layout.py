@@ -62,6 +62,36 @@ TABLES = {
     "<table><tr><td><table><tbody>note<tr><td>i</table><td>k</table>": "note  k\ni",
 }
 
+SHOWN = {
+    "if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then": "if x=1 then",
+    "<math><semantics><mrow><mi>a</mi></mrow><annotation>no</annotation></semantics></math>b": "ab",
+    "<math><mfrac><mn>1</mn><mn>2</mn></mfrac><mphantom><mi>no</mi></mphantom><mspace/><mi>z</mi></math>": "1 2 z",
+    "a<math display=block><mi>x</mi></math>b": "a\nx\nb",
+    "<p>a<svg viewBox='0 0 1 1'>no<title>no</title><desc>no</desc><path d=M0/><text x=1>La<tspan>bel</tspan></text></svg>b": (
+        "a Label b"
+    ),
+    "<svg><g><text>one</text>no<text><tspan x=0>two</tspan><tspan x=0>three</tspan></text></g></svg>": "one two three",
+    "<svg><defs><text>no</text></defs><style>p{}</style><text display=none>no</text><text><![CDATA[a<b]]></text></svg>": "a<b",
+    "<svg><switch><foreignObject><div>html</div></foreignObject><text>no</text></switch></svg>": "html",
+    "<svg><path d=M0><p>after</p>": "after",
+    "<table><colgroup><col><svg><text>x</text></svg><tr><td>y</table>": "x\ny",
+    "<p>a<svg><foreignObject><p>b</p>c</foreignObject><text>d</text></svg>e": "a\n\nb\n\nc d e",
+    "<table><tr><td><svg><text>x</text></svg><td><math><mi>y</mi></math></table>": "x  y",
+    "<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b><img alt=no></div>": "yes",
+    "<div style='visibility:hidden; visibility:visible'>yes</div><div style='visibility:hidden!important;visibility:visible'>no": "yes",
+    "<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>": "- yes",
+    "<table style='visibility:hidden'>no<tr><td>no<td style='visibility:visible'>yes</table>": "  yes",
+    "<table><tr><td style='visibility:hidden'>hid<td>b<tr><td>a<td>c</table>": "   b\na  c",
+    "<table><tr style='visibility:collapse'><td>no<tr><td>a</table>": "a",
+    "<pre style='visibility:hidden'>no</pre><pre>a</pre>": "a",
+    "<div style='display:none'><b style='visibility:visible'>no</b></div>yes": "yes",
+}
+
+
+@pytest.mark.parametrize("html", SHOWN)
+def test_formulas_drawings_and_visibility(html):
+    assert visible_text(html) == SHOWN[html]
+
 
 @pytest.mark.parametrize("html", TABLES)
 def test_text_beside_rows(html):
