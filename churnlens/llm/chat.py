@@ -1,10 +1,10 @@
 """Chat formatting: many record layouts to one template, with a loss mask.
 
 The layout of a table (or of each JSON record) is recognised by a fingerprint:
-the sha256 of its nested field paths, restricted to the paths that any known
-layout uses, so extra columns do not matter. The fingerprint selects a
-declarative ``Layout`` that turns the record into canonical turns
-(id, turn, role, text).
+the sha256 of the nested field paths that the most specific layout it holds
+takes from it, so extra columns do not matter, known names among them. The
+fingerprint selects a declarative ``Layout`` that turns the record into
+canonical turns (id, turn, role, text).
 
 The template marks turns as ``<|im_start|>role<|im_sep|>text<|im_end|>``.
 Control strings inside roles and texts (this template's and those of other
@@ -35,7 +35,7 @@ class Layout:
 
     ``rows``: one row per turn, with (order, role, text) columns.
     ``array``: (array, role field, text field), one element per turn.
-    ``fields``: (role, field) pairs, one turn each; those in ``optional`` may be absent.
+    ``fields``: (role, field) pairs, one turn each, before an array's turns; those in ``optional`` may be absent.
     """
 
     name: str
@@ -47,13 +47,16 @@ class Layout:
     def paths(self) -> frozenset[str]:
         if self.rows:
             return frozenset(self.rows)
-        if self.array:
-            return frozenset(f"{self.array[0]}[].{f}" for f in self.array[1:])
-        return frozenset(f for _, f in self.fields)
+        inside = frozenset(f"{self.array[0]}[].{f}" for f in self.array[1:]) if self.array else frozenset()
+        return inside | {f for _, f in self.fields}
 
-    def fingerprints(self) -> list[str]:
+    def variants(self) -> list[frozenset[str]]:
+        """The paths with all, some and none of the optional ones."""
         drops = chain.from_iterable(combinations(self.optional, k) for k in range(len(self.optional) + 1))
-        return [path_hash(self.paths() - set(d)) for d in drops]
+        return [self.paths() - set(d) for d in drops]
+
+    def fingerprints(self) -> list[str]:
+        return [path_hash(v) for v in self.variants()]
 
 
 def path_hash(paths) -> str:
@@ -62,8 +65,8 @@ def path_hash(paths) -> str:
 
 LAYOUTS = (
     Layout("turn_rows", rows=("turn", "role", "text")),
-    Layout("messages", array=("messages", "role", "content")),
-    Layout("from_value", array=("conversations", "from", "value")),
+    Layout("messages", array=("messages", "role", "content"), fields=(("system", "system"),), optional=("system",)),
+    Layout("from_value", array=("conversations", "from", "value"), fields=(("system", "system"),), optional=("system",)),
     Layout(
         "instruction",
         fields=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")),
@@ -77,7 +80,10 @@ LAYOUTS = (
     ),
 )
 KNOWN_PATHS = sorted(frozenset().union(*(x.paths() for x in LAYOUTS)))
-BY_FINGERPRINT = {h: x for x in LAYOUTS for h in x.fingerprints()}
+#: (paths, layout), most specific first: by needed paths, then by all; the first that a record holds is taken.
+VARIANTS = sorted(
+    ((v, x) for x in LAYOUTS for v in x.variants()), key=lambda p: (len(p[1].optional) - len(p[1].paths()), -len(p[0]))
+)
 #: Role names of other layouts and their canonical form.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -92,9 +98,9 @@ def schema_paths(kind: T.DataType, prefix: str = "") -> list[str]:
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout whose fingerprint the schema's known paths have."""
+    """The most specific layout whose paths the schema has."""
     known = set(schema_paths(schema)) & set(KNOWN_PATHS)
-    found = BY_FINGERPRINT.get(path_hash(known))
+    found = next((x for v, x in VARIANTS if v <= known), None)
     if found is None:
         raise ValueError(f"no layout is registered for the field paths {sorted(known)}")
     return found
@@ -125,6 +131,15 @@ def _field_turns(layout: Layout, present) -> Column:
     return F.array_compact(F.array(*turns))
 
 
+def _layout_turns(layout: Layout, found: Column | None, present) -> Column:
+    """Array of (role, text) of a layout by fields, by array, or by fields beside an array."""
+    turns = _field_turns(layout, present)
+    if layout.array:
+        items = _array_turns(found, *layout.array[1:])
+        return F.coalesce(F.concat(turns, items), turns)
+    return turns
+
+
 def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """(id, turn long, role, text) of a table in any registered layout.
 
@@ -138,11 +153,11 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
             id_col, F.col(order).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
         )
     else:
-        if layout.array:
-            name, role, text = layout.array
-            items = _array_turns(F.col(name), role, text)
-        else:
-            items = _field_turns(layout, lambda f: F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string"))
+        items = _layout_turns(
+            layout,
+            F.col(layout.array[0]) if layout.array else None,
+            lambda f: F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string"),
+        )
         turns = df.select(id_col, F.posexplode(items).alias("turn", "t")).select(
             id_col, F.col("turn").cast("long").alias("turn"), "t.role", "t.text"
         )
@@ -158,20 +173,34 @@ def canonical_turns_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame
     layout, or one that is not JSON, keeps one row with null layout and turn.
     """
     v = F.try_parse_json(json_col)
-    probe = {p: F.try_variant_get("__v", "$." + p.replace("[]", "[0]"), "variant").isNotNull() for p in KNOWN_PATHS}
-    present = F.array_compact(F.array(*[F.when(hit, F.lit(p)) for p, hit in probe.items()]))
-    named = df.select(id_col, v.alias("__v")).withColumn("fingerprint", F.sha2(F.array_join(present, "\n"), 256))
+
+    def probe(path: str) -> Column:
+        outer, _, inner = path.partition("[].")
+        if not inner:
+            return F.try_variant_get("__v", f"$.{path}", "variant").isNotNull()
+        items = F.try_variant_get("__v", f"$.{outer}", "array<variant>")
+        some = F.exists(items, lambda x: F.try_variant_get(x, f"$.{inner}", "variant").isNotNull())
+        return F.coalesce(some, F.lit(False))
+
+    hits = df.select(id_col, v.alias("__v")).withColumn(
+        "__hits", F.array_compact(F.array(*[F.when(probe(p), F.lit(p)) for p in KNOWN_PATHS]))
+    )
+    held = [
+        F.when(F.size(F.array_except(F.array(*[F.lit(p) for p in sorted(paths)]), "__hits")) == 0, F.lit(path_hash(paths)))
+        for paths, layout in VARIANTS
+        if not layout.rows
+    ]
+    named = hits.withColumn("fingerprint", F.coalesce(*held, F.sha2(F.array_join("__hits", "\n"), 256)))
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
     name = F.lit(None).cast("string")
     for layout in LAYOUTS:
         if layout.rows:
             continue
+        found = None
         if layout.array:
             array, role, text = layout.array
             found = F.try_variant_get("__v", f"$.{array}", f"array<struct<`{role}`:string,`{text}`:string>>")
-            items = _array_turns(found, role, text)
-        else:
-            items = _field_turns(layout, lambda f: F.try_variant_get("__v", f"$.{f}", "string"))
+        items = _layout_turns(layout, found, lambda f: F.try_variant_get("__v", f"$.{f}", "string"))
         chosen = F.col("fingerprint").isin(layout.fingerprints())
         turns, name = F.when(chosen, items).otherwise(turns), F.when(chosen, F.lit(layout.name)).otherwise(name)
     return (

@@ -71,6 +71,43 @@ def test_json_records_of_mixed_layouts(spark):
     assert df.filter("id in (1, 2)").select("fingerprint").distinct().count() == 2
 
 
+def test_known_names_beside_a_layout(spark):
+    for extra in ("prompt", "system", "input", "output", "instruction"):
+        rows = spark.sql(f"select 1L conv_id, 0L turn, 'user' role, 'q' text, 'x' {extra}")
+        assert [tuple(r) for r in chat.canonical_turns(rows).collect()] == [(1, 0, "user", "q")]
+    messages = "array(struct('user' role, 'q' content)) messages"
+    for extra in ("'x' prompt", "'x' prompt, 'y' response", "'x' input, 'y' output"):
+        assert read_turns(chat.canonical_turns(spark.sql(f"select 1L conv_id, {extra}, {messages}")))[1][0] == [("user", "q")]
+    found = chat.canonical_turns(spark.sql(f"select 1L conv_id, 's' system, {messages}"))
+    assert [tuple(r) for r in found.orderBy("turn").collect()] == [(1, 0, "system", "s"), (1, 1, "user", "q")]
+    assert read_turns(chat.canonical_turns(spark.sql(f"select 1L conv_id, '' system, {messages}")))[1][0] == [("user", "q")]
+    both = spark.sql("select 1L conv_id, 'q' prompt, 'a' response, 'x' instruction, 'y' role")
+    assert read_turns(chat.canonical_turns(both))[1][0] == [("user", "q"), ("assistant", "a")]
+
+
+def test_known_names_beside_json_layouts(spark):
+    q, a = {"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}
+    turns = [("user", "q"), ("assistant", "a")]
+    cases = [
+        ({"system": "s", "conversations": [{"from": "human", "value": "q"}]}, "from_value", [("system", "s"), ("user", "q")]),
+        ({"prompt": "q", "messages": [q, a]}, "messages", turns),
+        ({"prompt": "x", "response": "y", "messages": [q, a]}, "messages", turns),
+        ({"system": "s", "messages": [q, a], "output": 1}, "messages", [("system", "s"), *turns]),
+        ({"messages": [{"role": "system"}, q, a]}, "messages", [("system", ""), *turns]),
+        ({"messages": [{"content": "c"}, None, q]}, "messages", [("", "c"), ("", ""), ("user", "q")]),
+        ({"prompt": "q", "response": "a", "messages": [], "turn": 1}, "prompt", turns),
+        ({"instruction": "q", "output": "a", "prompt": "x", "text": "y"}, "instruction", turns),
+        ({"turn": 1, "role": "user", "text": "q", "messages": [q, a]}, "messages", turns),
+        ({"messages": ["q"], "system": "s"}, None, []),
+    ]
+    rows = [(k, json.dumps(c[0])) for k, c in enumerate(cases)]
+    found = chat.canonical_turns_json(spark.createDataFrame(rows, "id long, record string"), "id", "record").collect()
+    for k, (_, layout, want) in enumerate(cases):
+        got = sorted((r for r in found if r["id"] == k), key=lambda r: r["turn"] or 0)
+        assert {r["layout"] for r in got} == {layout}
+        assert [(r["role"] or "", r["text"] or "") for r in got if r["turn"] is not None] == want
+
+
 def test_hostile_turns(spark):
     schema = "conv_id long, turn long, role string, text string, formatted int, mask int"
     rows = [(1, 0, "user", None, 1, 1), (1, 0, "user", None, 1, 1), (1, None, None, "x", 1, 1), (None, 0, "assistant", "z" * 200_000, 1, 1)]
