@@ -414,12 +414,50 @@ def similar_components(
     null or without words have no shingles, are linked with nothing, and are
     components of their own. Equal sets form a class (named by its smallest
     id); a component is named by its smallest id. Rows that repeat an id
-    belong to one document; rows without an id get the component of their
-    class, null if no row of it has one. An empty table gives an empty result.
+    belong to one document, which is linked by each of their texts; rows
+    without an id get the component of their class, null if no row of it has
+    one. An empty table gives an empty result.
     """
     limit = Threshold(*similar)
     texts = _texts(docs, id_col, text_col)
     described = shared_table(describe_sets(texts, size), "shingle-sets")
+    sets = described.filter("slice is null and doc_id is not null")
+    if sets.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").isEmpty():
+        return _set_components(texts, described, limit, size)
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    numbered = shared_table(texts.withColumn("row", number), "numbered-texts")
+    alone = numbered.select(F.col("row").alias("doc_id"), "text")
+    described = shared_table(describe_sets(alone, size), "shingle-sets")
+    found = _set_components(alone, described, limit, size)
+    return _document_components(found, numbered.select("row", "doc_id"))
+
+
+def _document_components(found: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Components of numbered rows (row, doc_id) as those of their documents, whose rows join them."""
+    doc = numbers.select(F.col("row").alias("doc_id"), F.col("doc_id").alias("doc"))
+    rows = shared_table(found.join(doc.filter("doc_id is not null"), "doc_id", "left").drop("doc_id"), "numbered-components")
+    known = rows.filter("doc is not null")
+    first = known.groupBy("doc").agg(F.min("component_id").alias("b"))
+    same = known.join(first, "doc").filter("component_id <> b").select(F.col("component_id").alias("a"), "b").distinct()
+    whole = components(shared_table(same, "links")).select(F.col("node").alias("component_id"), "component")
+    rows = rows.join(whole, "component_id", "left").withColumn("whole", F.coalesce("component", "component_id"))
+    known = rows.filter("doc is not null")
+    names = known.groupBy("whole").agg(F.min("doc").alias("name"))
+    classes = known.filter("n_shingles > 0").groupBy("class_id").agg(F.min("doc").alias("class"))
+    return (
+        rows.join(names, "whole", "left")
+        .join(classes, "class_id", "left")
+        .select(
+            F.col("doc").alias("doc_id"),
+            "n_shingles",
+            F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("doc")).alias("class_id"),
+            F.col("name").alias("component_id"),
+        )
+    )
+
+
+def _set_components(texts: DataFrame, described: DataFrame, limit: Threshold, size: int) -> DataFrame:
+    """The same where rows that repeat an id have equal sets, so that an id names one set."""
     sets = described.filter("slice is null").select("doc_id", "n", "digest")
     sketch = sum_sketch(described.filter("slice is not null").select("slice", "counts"))
     classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))

@@ -92,6 +92,26 @@ def test_hot_lists_are_salted(documents, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()) == brute(rows)
 
 
+def test_repeated_ids_with_other_texts(documents):
+    def words(name, changed=""):
+        return " ".join([f"{name}{k}" for k in range(60)] + [changed])
+
+    rows = [(1, words("x", "a")), (1, words("y", "a")), (2, words("x", "b")), (3, words("y", "b")), (4, words("z"))]
+    rows += [(4, ""), (5, words("Z")), (5, words("u", "a")), (6, words("u", "b")), (6, words("u", "b")), (7, None), (7, "")]
+    rows += [(8, ""), (8, words("v", "a")), (0, words("v", "b")), (9, "alone"), (9, "other")]
+    rows += [(100 + k % 60, t) for k, (_, t, *_) in enumerate(near_copies(9, families=5)[:70])]
+    found = jj.similar_components(documents([(i, t, "en", "a") for i, t in rows]).repartition(4)).collect()
+    want = brute(rows)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
+    nameless = [(None, words("x", "b")), (None, words("n")), (None, "")]
+    table = documents([(i, t, "en", "a") for i, t in rows + nameless])
+    found = sorted(tuple(r) for r in jj.similar_components(table).collect() if r["doc_id"] is None)
+    x = next(c for i, _, c in want if i == 2)
+    assert sorted(found, key=repr) == sorted([(None, 0, None, None), (None, 58, None, None), (None, 59, 2, x)], key=repr)
+    least = {c for _, _, c in want}
+    assert {r["doc_id"] for r in jj.keep_one(documents([(i, t, "en", "a") for i, t in rows])).collect()} == least
+
+
 def test_hostile_and_empty(hostile, nothing):
     found = jj.similar_components(hostile).collect()
     assert len(found) == 13
