@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import chat, content_sort, cover_tree, html_layout, huffman, jaccard_join, mixing, pieces, sharding, toxicity
+from churnlens.llm import chat, content_sort, cover_tree, html_layout, huffman, jaccard_join, line_dedup, mixing, pieces, sharding, toxicity
 from churnlens.llm.common import read_table
 
 
@@ -162,6 +162,29 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
+
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the long lines that at least five documents hold."""
+    kept = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
+_OP11_SQL = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM d)
+), k AS (
+  SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN k USING (key) GROUP BY doc_id
+"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_vector_bin_packing": op2_vector_bin_packing,
@@ -173,10 +196,12 @@ QUERIES = {
     "op8_sentencepiece_viterbi": op8_sentencepiece_viterbi,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_dual_tree_topk": op10_dual_tree_topk,
+    "op11_line_dedup": op11_line_dedup,
 }
 ORACLE_SQL = {
     "op1_chat_formatting": _OP1_SQL,
     "op7_jaccard_join": _OP7_SQL,
     "op9_exact_dedup": _OP9_SQL,
     "op10_dual_tree_topk": _OP10_SQL,
+    "op11_line_dedup": _OP11_SQL,
 }
