@@ -28,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from churnlens.llm.common import shared_table, shuffle_width
+from churnlens.llm.common import arrow_schema, shared_table, shuffle_width
 
 #: Line hashes in a shard, and shards per shuffle partition at least.
 SHARD_LINES = 1 << 15
@@ -163,13 +162,9 @@ def shard_row(shard: int, h1: np.ndarray, h2: np.ndarray, n: np.ndarray, last: n
     }
 
 
-def _arrow(schema: str) -> pa.Schema:
-    return to_arrow_schema(T.StructType.fromDDL(schema))
-
-
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row per document (id, text, text_hash) and distinct line key: its hash and the lines that have it."""
-    schema = _arrow(LINE_SCHEMA)
+    schema = arrow_schema(LINE_SCHEMA)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,7 +213,7 @@ def build_index(lines: DataFrame) -> LineIndex:
     n_lines = lines.count()
     n_shards = max(-(-n_lines // SHARD_LINES), SHARDS_A_TASK * shuffle_width(lines.sparkSession))
     hot_from = n_lines // HOT + 1
-    schema = _arrow(INDEX_SCHEMA)
+    schema = arrow_schema(INDEX_SCHEMA)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -251,7 +246,7 @@ def build_index(lines: DataFrame) -> LineIndex:
 
 def _probed(asks: DataFrame, index: LineIndex, min_docs: int) -> DataFrame:
     """The rows of ``asks`` whose line goes: each shard's arrays first, then the probes for it."""
-    schema = _arrow(GONE_SCHEMA)
+    schema = arrow_schema(GONE_SCHEMA)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = None
@@ -315,7 +310,7 @@ def drop_repeated_lines(
     gone = lost_lines(lines, build_index(lines), min_docs)
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"g.{c}")) for c in ("id", "text_hash")]
     joined = slim.alias("d").join(gone.alias("g"), same[0] & same[1], "left").select("d.id", "d.text", "g.gone")
-    schema = _arrow(KEPT_SCHEMA)
+    schema = arrow_schema(KEPT_SCHEMA)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

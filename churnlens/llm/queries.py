@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import chat, content_sort, cover_tree, html_layout, huffman, jaccard_join, line_dedup, mixing, pieces, sharding, toxicity
+from churnlens.llm import (
+    chat,
+    content_sort,
+    conversation_repair,
+    cover_tree,
+    html_layout,
+    huffman,
+    jaccard_join,
+    line_dedup,
+    merkle,
+    mixing,
+    pieces,
+    sharding,
+    toxicity,
+)
 from churnlens.llm.common import read_table
 
 
@@ -185,6 +199,178 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last <> doc_id) AS n_
 FROM l LEFT JOIN k USING (key) GROUP BY doc_id
 """
 
+
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """Conversations with faults that the crc32 of ``conv_id:turn`` decides; nulls are one space."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    marked = rows.select(
+        "conv_id",
+        "turn",
+        said("role").alias("role"),
+        said("text").alias("text"),
+        (F.crc32(F.encode(F.concat(said("conv_id"), F.lit(":"), said("turn")), "UTF-8")) % 20).alias("fate"),
+    )
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1))
+    return marked.filter("fate <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(damaged_turns(rows), ids=rows)
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    step = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    eight = f"list_reduce(range(0, 8), lambda c, b: {step}, xor(acc, CAST(ascii({text}[CAST(j AS BIGINT)]) AS BIGINT)))"
+    return f"xor(list_reduce(range(1, length({text}) + 1), lambda acc, j: {eight}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _repair_sql() -> str:
+    """Row by row, the least (cost, audit, repaired text) of each state of the pattern."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def step(state: str, edit: str, cost: str, line: str | None, when: str = "true") -> str:
+        text = f"{state}.t" if line is None else f"{state}.t || CASE WHEN {state}.t = '' THEN '' ELSE chr(10) END || {line}"
+        return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {text}}} END"
+
+    def least(*options: str) -> str:
+        return f"list_min([x FOR x IN [{', '.join(options)}] IF x IS NOT NULL])"
+
+    open_, more = "NOT must_go", "CASE WHEN cut_off THEN 3 ELSE 0 END"
+    own = "role || ':' || text"
+    keep = lambda s, i: step(s, "K", more, own, f"{open_} AND initial = '{i}'")
+    anew = lambda s, r: step(s, "R", f"3 + {more}", f"'{r}:' || text", open_)
+    rows = {
+        "s0": [step("s0", "D", "4", None)],
+        "s1": [step("s1", "D", "4", None), keep("s0", "s")],
+        "s2": [step("s2", "D", "4", None), *[f(s, x) for s in ("s0", "s1", "s3") for f, x in ((keep, "u"), (anew, "user"))]],
+        "s3": [step("s3", "D", "4", None), keep("s2", "a"), anew("s2", "assistant")],
+    }
+    user, assistant = "'user:'", "'assistant:'"
+    # an insert leads to u or a; a second one from s or the start to a
+    once = {
+        "s2": ["s2", *[step(s, "I", "3", user) for s in ("s0", "s1", "s3")]],
+        "s3": ["s3", step("s2", "I", "3", assistant)],
+    }
+    twice = {"s2": ["s2"], "s3": ["s3", step("s2", "I", "3", assistant)]}
+    moved = lambda new: ", ".join(f"{least(*new[s]) if s in new else s} AS {s}" for s in ("s0", "s1", "s2", "s3"))
+    return f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), fate AS (SELECT *, {_crc32_sql('k')} % 20 AS f FROM raw),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(0, CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fate WHERE f <> 0
+), faults AS (
+  SELECT *, trim(text, {white}) AS bare,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) || role[1] AS pair
+  FROM rows
+), r AS (
+  SELECT *, role[1] AS initial, bare = '' OR again AS must_go, right(bare, 1) NOT IN ('.', '!', '?') AS cut_off FROM faults
+), begin AS (
+  SELECT DISTINCT conv_id, 0 AS pos, {{'c': 0, 'a': '', 't': ''}} AS s0, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR)) AS s1,
+    {{'c': 3, 'a': 'I', 't': 'user:'}} AS s2, {{'c': 6, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:'}} AS s3 FROM conversations
+), walk AS (
+  SELECT conv_id, pos, s0, s1, s2, s3 FROM begin
+  UNION ALL
+  SELECT conv_id, pos, {moved(twice)} FROM (
+    SELECT conv_id, pos, {moved(once)} FROM (
+      SELECT walk.conv_id, r.pos, {moved(rows)} FROM walk JOIN r ON r.conv_id IS NOT DISTINCT FROM walk.conv_id AND r.pos = walk.pos + 1))
+), ends AS (
+  SELECT conv_id, {least('s0', 's3')} AS best FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1
+)
+SELECT e.conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+  count(*) FILTER (WHERE bare = '') AS blank, count(*) FILTER (WHERE bare <> '' AND again) AS duplicate,
+  count(*) FILTER (WHERE NOT must_go AND cut_off) AS truncated,
+  count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+  CAST(any_value(best.c) AS BIGINT) AS cost, any_value(best.a) AS audit, sha256(any_value(best.t)) AS repaired_sha256
+FROM ends e LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM e.conv_id GROUP BY e.conv_id
+"""
+
+
+def merkle_digests(docs: DataFrame) -> DataFrame:
+    """Manifest of ``docs`` and its check against rows that were tampered with."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    own = [F.col(c) for c in fields]
+    changed = [F.col(c).cast("decimal(20,0)") + 1 if c == "n_chars" else F.col(c) for c in fields]
+    hit = (F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0) & F.col("n_chars").isNotNull()
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest(own).alias("leaf"), F.when(hit, merkle.leaf_digest(changed)).alias("changed"))
+    proved = merkle.manifest(leaves, carried=["changed"])
+    fold = merkle.folded(F.coalesce("changed", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.encode(merkle.proof_text(F.col("proof")), "UTF-8"), 256).alias("proof_sha256"),
+        fold.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents."""
+    return merkle_digests(read_table(spark, sf_dir, "documents"))
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field_sql(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+def _levels_sql(start: str) -> str:
+    """Lists of digests by level, from (grp, l) rows."""
+    return f"""SELECT grp, 0 AS lv, l FROM {start}
+  UNION ALL SELECT grp, lv + 1, list_transform(range(0, (len(l) + 1) // 2),
+    lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) FROM {{self}} WHERE len(l) > 1"""
+
+
+_OP13_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, {_leaf_sql('n_chars')} AS leaf,
+    CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 7 = 0 AND n_chars IS NOT NULL
+      THEN {_leaf_sql('(n_chars + 1)')} ELSE {_leaf_sql('n_chars')} END AS used
+  FROM documents
+), p AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+lists AS (SELECT grp, list(leaf ORDER BY pos) AS l FROM p GROUP BY grp),
+low AS ({_levels_sql('lists').format(self='low')}),
+sub AS (SELECT grp, l[1] AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos FROM low WHERE len(l) = 1),
+tops AS (SELECT 'all' AS grp, list(subroot ORDER BY pos) AS l FROM sub),
+high AS ({_levels_sql('tops').format(self='high')}),
+steps AS (
+  SELECT p.grp, p.pos AS leaf_pos, lv, p.pos // CAST(power(2, lv) AS BIGINT) AS k, l FROM p JOIN low USING (grp) WHERE len(l) > 1
+  UNION ALL
+  SELECT p.grp, p.pos, 1000 + lv, sub.pos // CAST(power(2, lv) AS BIGINT), l FROM p JOIN sub USING (grp), high WHERE len(l) > 1
+), sides AS (
+  SELECT grp, leaf_pos, list({{'lhs': CASE WHEN k % 2 = 1 THEN l[k] ELSE '' END,
+    'rhs': CASE WHEN k % 2 = 0 THEN coalesce(l[k + 2], '') ELSE '' END}} ORDER BY lv) AS s
+  FROM steps GROUP BY grp, leaf_pos
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM (
+  SELECT doc_id, leaf, subroot, (SELECT l[1] FROM high WHERE len(l) = 1) AS root,
+    sha256(coalesce(array_to_string(list_transform(s, lambda x: x.lhs || x.rhs), ''), '')) AS proof_sha256,
+    CASE WHEN s IS NULL THEN used ELSE list_reduce(
+      list_prepend({{'lhs': used, 'rhs': ''}}, s), lambda a, x: {{'lhs': sha256(x.lhs || a.lhs || x.rhs), 'rhs': ''}}).lhs END AS folded_root
+  FROM p JOIN sub USING (grp) LEFT JOIN sides ON sides.grp = p.grp AND sides.leaf_pos = p.pos
+)
+"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_vector_bin_packing": op2_vector_bin_packing,
@@ -197,6 +383,8 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_dual_tree_topk": op10_dual_tree_topk,
     "op11_line_dedup": op11_line_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL = {
     "op1_chat_formatting": _OP1_SQL,
@@ -204,4 +392,6 @@ ORACLE_SQL = {
     "op9_exact_dedup": _OP9_SQL,
     "op10_dual_tree_topk": _OP10_SQL,
     "op11_line_dedup": _OP11_SQL,
+    "op12_conversation_repair": _repair_sql(),
+    "op13_merkle_manifest": _OP13_SQL,
 }
