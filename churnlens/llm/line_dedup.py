@@ -241,7 +241,8 @@ def build_index(lines: DataFrame) -> LineIndex:
     )
     dealt = counted.select(index.shard_of().alias("shard"), "h1", "h2", "n", "last")
     built = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(build, INDEX_SCHEMA)
-    return LineIndex(shared_table(built, "line-index"), n_shards)
+    # a task that reads and merges its sorted partitions one after the other still sees each shard whole
+    return LineIndex(shared_table(built, "line-index", n_lines), n_shards)
 
 
 def _probed(asks: DataFrame, index: LineIndex, min_docs: int) -> DataFrame:
