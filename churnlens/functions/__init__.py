@@ -12,6 +12,7 @@ from churnlens.functions.expressions import (
     python_timestamp_text,
     rate_percent,
     rate_percent_null_as_zero,
+    row_digest,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "python_timestamp_text",
     "rate_percent",
     "rate_percent_null_as_zero",
+    "row_digest",
 ]

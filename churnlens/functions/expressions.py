@@ -145,3 +145,13 @@ def utc_now() -> Column:
 def is_null_count(c: str | Column) -> Column:
     """Number of NULLs in a column, as a long (an aggregate)."""
     return F.sum(as_col(c).isNull().cast("long"))
+
+
+def row_digest(columns: Iterable[str]) -> Column:
+    """64-bit digest of some columns of a row; NULL differs from every value.
+
+    Two versions of one row that differ have equal digests with probability
+    2^-64. Spark's hash skips NULLs, so every column is hashed with its NULL flag.
+    """
+    parts = [x for c in columns for x in (F.col(sql_ident(c)), F.col(sql_ident(c)).isNull())]
+    return F.xxhash64(F.lit(0), *parts)

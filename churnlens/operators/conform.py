@@ -47,3 +47,13 @@ def cast_to(col: Column, src_type: T.DataType, dst_type: T.DataType) -> Column:
             return F.coalesce(col.try_cast(dst_type), checked)  # large ids do not pass through a double
         return checked
     return col.cast(dst_type)
+
+
+def try_cast_text(col: Column, dst_type: T.DataType) -> Column:
+    """Text as ``dst_type`` by the rules of :func:`cast_to`; NULL, not an error, where it does not fit."""
+    if not isinstance(dst_type, T.IntegralType):
+        return col.try_cast(dst_type)
+    rounded = F.rint(col.try_cast("double"))
+    edge = 2.0 ** (INTEGRAL_BITS[type(dst_type)] - 1)
+    inside = ~F.isnan(rounded) & (rounded >= -edge) & (rounded < edge)
+    return F.coalesce(col.try_cast(dst_type), F.when(inside, rounded).cast(dst_type))

@@ -57,10 +57,15 @@ def current_version_path(spark: SparkSession, base: str) -> str:
     return join_path(base, versions[-1])
 
 
-def read_published(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """Read the current version of a published table with its declared schema."""
-    table = spark.read.schema(schema).parquet(current_version_path(spark, base))
-    return table.select(*schema.names)  # partition columns would come last
+def read_published(spark: SparkSession, base: str, schema: T.StructType, version: str | None = None) -> DataFrame:
+    """Read a published table with its declared schema: as it is now, or as of a committed version."""
+    if version is None:
+        path = current_version_path(spark, base)
+    elif version in committed_versions(spark, base):
+        path = join_path(base, version)
+    else:
+        raise FileNotFoundError(f"no committed version {version} at {base}")
+    return spark.read.schema(schema).parquet(path).select(*schema.names)  # partition columns would come last
 
 
 def publish(

@@ -7,11 +7,17 @@ for.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
 def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception as e:  # a Spark Connect session has no JVM of its own
+        raise RuntimeError("published tables are listed by a classic Spark session, not by Spark Connect") from e
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, hpath
@@ -45,3 +51,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def join_path(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder on storage that driver and executors share (``spark.checkpoint.dir``).
+
+    Where the session names none, a local session gets a temporary folder; on
+    a cluster that would lose data, so it raises.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="churnlens-")
+        spark.sparkContext.setCheckpointDir(root)
+    return join_path(root, f"{name}-{uuid.uuid4().hex}")

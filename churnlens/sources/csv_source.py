@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.functions.expressions import na_to_null, sql_ident
-from churnlens.operators.conform import cast_to
+from churnlens.operators.conform import cast_to, try_cast_text
 from churnlens.schemas import NA_TOKENS, SOURCE
 from churnlens.sinks.storage import path_exists
 
 
 CORRUPT = "__corrupt_record"
 EXTRA_FIELD = "__extra_field"
+REJECT = "__reject"
+
+#: Why a line was rejected: its number of fields (or its quotes), or a value of the column named.
+BAD_FIELDS, BAD_VALUE = "fields", "value"
+REJECT_FIELDS = ("reason", "column_name", "record", "file_path", "block_start")
 
 
 def read_text_csv(
@@ -57,6 +62,13 @@ def read_text_csv(
     return padded.select(guarded.otherwise(F.col(header[0])).alias(header[0]), *[F.col(c) for c in header[1:]])
 
 
+def _check_header(header: list[str], expected: list[str]) -> None:
+    missing = [c for c in expected if c not in header]
+    extra = [c for c in header if c not in expected]
+    if missing or extra:
+        raise ValueError(f"CSV header mismatch: missing={missing}, unexpected={extra}")
+
+
 def text_to_typed(
     text: DataFrame,
     schema: T.StructType = SOURCE,
@@ -68,10 +80,7 @@ def text_to_typed(
     another order loads correctly; a missing or unexpected column raises.
     """
     expected = [f.name for f in schema.fields]
-    missing = [c for c in expected if c not in text.columns]
-    extra = [c for c in text.columns if c not in expected]
-    if missing or extra:
-        raise ValueError(f"CSV header mismatch: missing={missing}, unexpected={extra}")
+    _check_header(text.columns, expected)
     cleaned = text.select(*[na_to_null(c, na_tokens).alias(c) for c in expected])
     # A cell that is present but does not parse fails the load, whatever the
     # session's ANSI setting (with ANSI on the cast itself already fails).
@@ -99,3 +108,68 @@ def read_source_csv(
 ) -> DataFrame:
     """Headed CSV -> typed frame with ``schema`` (see :func:`text_to_typed`)."""
     return text_to_typed(read_text_csv(spark, path, multiline, ragged), schema)
+
+
+def tag_source_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = SOURCE,
+    multiline: bool = False,
+    na_tokens: tuple[str, ...] = NA_TOKENS,
+) -> DataFrame:
+    """Headed CSV -> ``schema`` plus ``__reject``, which is NULL for the rows that load.
+
+    Where :func:`read_source_csv` fails the load, this reader tells which line
+    is to blame: ``reason`` (``fields`` for a wrong number of fields or broken
+    quotes, ``value`` for a cell that does not fit its type, with the first
+    such ``column_name``), the ``record`` as a CSV line, its ``file_path`` and
+    the ``block_start`` of the split it was read in. A header with other
+    columns still fails, and so does a missing path. One scan; take the two
+    kinds apart with :func:`accepted` and :func:`rejected`.
+    """
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"CSV file not found: {path}")
+    options = dict(header=True, escape='"', multiLine=multiline, enforceSchema=False)
+    header = spark.read.csv(path, inferSchema=False, **options).columns
+    expected = [f.name for f in schema.fields]
+    _check_header(header, expected)
+    whole = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField(CORRUPT, T.StringType())])
+    # a line of another length is kept whole in one more column, so no column may be pruned from the parser
+    lines = (
+        spark.read.option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path, schema=whole, mode="PERMISSIVE", **options)
+    )
+    cells = {f.name: na_to_null(f.name, na_tokens) for f in schema.fields}
+    typed = {
+        f.name: cells[f.name] if isinstance(f.dataType, T.StringType) else try_cast_text(cells[f.name], f.dataType)
+        for f in schema.fields
+    }
+    bad = [F.when(cells[c].isNotNull() & typed[c].isNull(), F.lit(c)) for c in expected]
+    located = lines.select(
+        *[typed[c].alias(c) for c in expected],
+        F.col(CORRUPT),
+        F.coalesce(*bad).alias("__column"),
+        F.to_csv(F.struct(*[F.col(sql_ident(c)) for c in header]), {"escape": '"'}).alias("__line"),
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+    )
+    corrupt = F.col(CORRUPT).isNotNull()
+    reject = F.struct(
+        F.when(corrupt, BAD_FIELDS).otherwise(BAD_VALUE).alias("reason"),
+        F.when(~corrupt, F.col("__column")).alias("column_name"),
+        F.coalesce(CORRUPT, "__line").alias("record"),
+        F.col("__file").alias("file_path"),
+        F.col("__start").alias("block_start"),
+    )
+    return located.select(*expected, F.when(corrupt | F.col("__column").isNotNull(), reject).alias(REJECT))
+
+
+def accepted(tagged: DataFrame) -> DataFrame:
+    """The rows of :func:`tag_source_csv` that load."""
+    return tagged.filter(F.col(REJECT).isNull()).drop(REJECT)
+
+
+def rejected(tagged: DataFrame) -> DataFrame:
+    """(reason, column_name, record, file_path, block_start) of the lines that do not."""
+    return tagged.filter(F.col(REJECT).isNotNull()).select(*[F.col(REJECT)[f].alias(f) for f in REJECT_FIELDS])
