@@ -5,6 +5,8 @@ from churnlens.operators.conform import conform
 from churnlens.operators.derive import derive_features
 from churnlens.operators.display import display_round, rate_band, select_field, table_band
 from churnlens.operators.impute import impute, most_frequent, null_census
+from churnlens.operators.changes import detect_changes, one_per_key, row_difference
+from churnlens.operators.moments import advanced_state, incremental_alerts, merged_state, metric_state
 from churnlens.operators.quality import (
     last_not_null,
     latest_metrics,
@@ -27,6 +29,13 @@ from churnlens.operators.reports import (
 )
 
 __all__ = [
+    "advanced_state",
+    "detect_changes",
+    "incremental_alerts",
+    "merged_state",
+    "metric_state",
+    "one_per_key",
+    "row_difference",
     "anonymize_hash",
     "anonymize_uuid",
     "band_counts",

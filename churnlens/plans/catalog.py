@@ -38,6 +38,7 @@ from churnlens.operators.reports import (
     to_json_lines,
 )
 from churnlens.plans.production import build_production, production_comparable
+from churnlens.plans.stored_queries import STORED_QUERIES
 from churnlens.schemas import SOURCE
 from churnlens.sources.csv_source import text_to_typed
 from churnlens.sources.testdata import (
@@ -326,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_dropped": q_reconcile_dropped,
     "contract_json": q_contract_json,
     "timestamp_text": q_timestamp_text,
+    **STORED_QUERIES,
 }
 
 
@@ -564,7 +566,38 @@ f AS (
 
 _NULL_AS_ZERO = "CASE WHEN flag = 1 THEN 1 ELSE 0 END"
 
+# The feed of the incremental load, and what is left after it.
+FEED_SQL = """
+near AS (SELECT * FROM customer WHERE (c_custkey // 250) % 2 = 1),
+feed AS (
+  SELECT * REPLACE (CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal) FROM near
+  UNION ALL SELECT * REPLACE (c_custkey + 100000000 AS c_custkey) FROM near WHERE c_custkey % 10 = 0
+)"""
+
+# Why the last digit of every third customer's id keeps the CSV line from loading.
+_REJECTED_SQL = "CustomerID % 3 = 2 AND CustomerID % 10 IN (2, 3, 4, 5)"
+
 ORACLE_SQL: dict[str, str] = {
+    "incremental_load": f"""WITH {FEED_SQL}
+SELECT * FROM feed UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM feed)""",
+    "incremental_changes": f"""WITH {FEED_SQL}
+SELECT c_custkey, CASE WHEN c_custkey > 100000000 THEN 'insert' WHEN c_custkey % 3 = 0 THEN 'update' ELSE 'unchanged' END AS change
+FROM feed""",
+    "version_difference": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'added' WHEN o_orderkey % 13 = 0 THEN 'removed' ELSE 'changed' END AS difference
+FROM orders WHERE (o_orderkey % 11 = 0) <> (o_orderkey % 13 = 0)
+  OR (o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 7 = 0)""",
+    "csv_files_loaded": f"WITH {RAW_SQL}\nSELECT * FROM raw WHERE NOT ({_REJECTED_SQL})",
+    "csv_files_rejected": f"""WITH {RAW_SQL}
+SELECT CustomerID AS customer_id, CASE WHEN CustomerID % 10 IN (4, 5) THEN 'fields' ELSE 'value' END AS reason,
+  CASE CustomerID % 10 WHEN 2 THEN 'Age' WHEN 3 THEN 'TotalCharges' END AS column_name, true AS located
+FROM raw WHERE {_REJECTED_SQL}""",
+    "job_staging": f"WITH {RAW_SQL}\nSELECT *, true AS stamped FROM raw",
+    "job_contract_report": _with_prod(_segment_sql("ContractType", "contract_type")),
+    "job_metric_history": f"""WITH {RAW_SQL},{PROD_SQL},
+wide AS ({WIDE_METRICS_SQL}), tall AS ({_tall_sql('wide', METRIC_NAMES_SQL, None)})
+SELECT metric_name, metric_value, CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS runs FROM tall""",
+    "metric_alerts_incremental": ALERTS_SQL,
     "staging_csv_lines": f"WITH {RAW_SQL}\nSELECT * FROM raw",
     "flag_rate_bands": f"""WITH {FLAGGED_SQL}
 SELECT region, count, churn_rate, {_band('churn_rate')} AS rate_band,

@@ -13,14 +13,16 @@ import os
 import sys
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import utc_now
 from churnlens.operators.quality import quality_metrics, reconcile_counts, to_tall
 from churnlens.plans.production import build_production
-from churnlens.schemas import METRIC_NAMES, METRICS, STAGING
+from churnlens.schemas import METRIC_NAMES, METRICS, REJECTS, STAGING
+from churnlens.sinks.incremental import KeyedTable, load_incremental, read_keyed
 from churnlens.sinks.publish import append, publish
-from churnlens.sources.csv_source import read_source_csv
+from churnlens.sources.csv_source import REJECT, accepted, read_source_csv, rejected, tag_source_csv
 from churnlens.sources.tables import read_production, read_staging
 
 log = logging.getLogger(__name__)
@@ -34,6 +36,14 @@ class RetentionELT:
     (default: ``<production_path>_metrics``). ``ragged_csv="pad"`` accepts
     rows with missing trailing fields (see
     :func:`churnlens.sources.csv_source.read_text_csv`).
+
+    With ``quarantine_path`` lines that do not parse do not fail the load:
+    they are appended there with the reason (see
+    :func:`churnlens.sources.csv_source.tag_source_csv`). With
+    ``incremental`` a load merges the file's customers into the staging table
+    by ``CustomerID`` and rewrites only the id ranges of ``staging_part_ids``
+    that change; production is still published whole, since its fills come
+    from statistics of all customers.
     """
 
     def __init__(
@@ -45,7 +55,12 @@ class RetentionELT:
         metrics_path: str | None = None,
         multiline_csv: bool = False,
         ragged_csv: str = "fail",
+        quarantine_path: str | None = None,
+        incremental: bool = False,
+        staging_part_ids: int = 100_000,
     ):
+        if quarantine_path and ragged_csv != "fail":
+            raise ValueError("a quarantine takes rows of another length; it excludes ragged_csv")
         self.spark = spark
         self.staging_path = staging_path
         self.production_path = production_path
@@ -53,6 +68,18 @@ class RetentionELT:
         self.metrics_path = metrics_path or production_path.rstrip("/") + "_metrics"
         self.multiline_csv = multiline_csv
         self.ragged_csv = ragged_csv
+        self.quarantine_path = quarantine_path
+        self.keyed_staging = (
+            KeyedTable(staging_path, STAGING, ("CustomerID",), f"CustomerID DIV {staging_part_ids}", ("load_timestamp",))
+            if incremental
+            else None
+        )
+
+    def staging(self) -> DataFrame:
+        """The staging table; ``FileNotFoundError`` when nothing was loaded yet."""
+        if self.keyed_staging:
+            return read_keyed(self.spark, self.keyed_staging)
+        return read_staging(self.spark, self.staging_path)
 
     @classmethod
     def from_paths(
@@ -72,17 +99,37 @@ class RetentionELT:
         return cls(spark, staging_db_path, production_db_path, csv_path, **options)
 
     def extract_and_load(self) -> int:
-        """CSV -> staging (full refresh). Returns the number of rows loaded.
+        """CSV -> staging (full refresh, or a merge by id). Returns the number of rows loaded.
 
         Raises ``FileNotFoundError`` when the CSV is missing; a malformed file
-        or a value that does not fit its column type fails the load and leaves
-        the previous staging table in place.
+        or a value that does not fit its column type fails the load (without a
+        quarantine) and leaves the previous staging table in place.
         """
         log.info("Extract and load from %s", self.csv_path)
-        source = read_source_csv(
-            self.spark, self.csv_path, multiline=self.multiline_csv, ragged=self.ragged_csv
-        )
+        if not self.quarantine_path:
+            source = read_source_csv(
+                self.spark, self.csv_path, multiline=self.multiline_csv, ragged=self.ragged_csv
+            )
+            return self._load(source)
+        tagged = tag_source_csv(self.spark, self.csv_path, multiline=self.multiline_csv)
+        obs = Observation("rejects")  # counted while the good rows are written
+        bad = F.count_if(F.col(REJECT).isNotNull()).alias("rejected")
+        rows = self._load(accepted(tagged.observe(obs, bad)))
+        n_bad = int(obs.get["rejected"])
+        if n_bad:
+            append(rejected(tagged).withColumn("load_timestamp", utc_now()), self.quarantine_path, REJECTS)
+            log.warning("Rejected %s lines of %s; see %s", n_bad, self.csv_path, self.quarantine_path)
+        return rows
+
+    def _load(self, source: DataFrame) -> int:
         staged = source.withColumn("load_timestamp", utc_now())
+        if self.keyed_staging:
+            result = load_incremental(staged, self.keyed_staging)
+            log.info(
+                "Merged %s rows into staging: %s new, %s changed, %s parts rewritten",
+                result.rows, result.inserted, result.updated, len(result.parts),
+            )
+            return result.rows
         _, rows = publish(staged, self.staging_path, STAGING)
         log.info("Loaded %s rows to staging", rows)
         return rows
@@ -92,8 +139,7 @@ class RetentionELT:
 
         Raises ``FileNotFoundError`` when no staging table was loaded.
         """
-        staging = read_staging(self.spark, self.staging_path)
-        _, rows = publish(build_production(staging), self.production_path)
+        _, rows = publish(build_production(self.staging()), self.production_path)
         log.info("Loaded %s rows to production", rows)
         return rows
 
@@ -120,7 +166,9 @@ class RetentionELT:
         try:
             staging_rows = self.extract_and_load()
             production_rows = self.transform()
-            reconcile_counts(staging_rows, production_rows)
+            # a merged file is only a part of the staging table
+            whole = self.staging().count() if self.keyed_staging else staging_rows
+            reconcile_counts(whole, production_rows)
             metrics = self.generate_data_quality_metrics()
             return {
                 "status": "success",
@@ -146,8 +194,8 @@ def run_step(job: RetentionELT, step: str, staging_rows: int | None = None) -> d
         return {"staging_rows": job.extract_and_load()}
     if step == "transform":
         rows = job.transform()
-        if staging_rows is None:
-            staging_rows = read_staging(job.spark, job.staging_path).count()
+        if staging_rows is None or job.keyed_staging:
+            staging_rows = job.staging().count()
         return {"production_rows": rows, "matches": reconcile_counts(staging_rows, rows)}
     if step == "metrics":
         return {"metrics": job.generate_data_quality_metrics()}
@@ -158,8 +206,9 @@ def main(argv: list[str] | None = None) -> int:
     """``spark-submit`` entry point: ``[--step STEP] [--staging-rows N]``.
 
     Paths come from the environment and must be set: ``STAGING_DB_PATH``,
-    ``PRODUCTION_DB_PATH``, ``CSV_PATH`` (``METRICS_PATH`` is optional). Each
-    step can run as its own application. Exit status 0 on success, 1 on
+    ``PRODUCTION_DB_PATH``, ``CSV_PATH`` (``METRICS_PATH`` is optional, and so is
+    ``QUARANTINE_PATH``; ``--incremental`` merges the file into staging by id).
+    Each step can run as its own application. Exit status 0 on success, 1 on
     failure, 2 when a setting is missing.
     """
     import argparse
@@ -169,6 +218,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the retention job or one of its steps.")
     parser.add_argument("--step", choices=STEPS, default="all")
     parser.add_argument("--staging-rows", type=int, help="rows the extract step loaded, for the check")
+    parser.add_argument("--incremental", action="store_true", help="merge the file into staging by CustomerID")
     args = parser.parse_args([] if argv is None else argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     missing = [k for k in ("STAGING_DB_PATH", "PRODUCTION_DB_PATH", "CSV_PATH") if not os.environ.get(k)]
@@ -181,6 +231,8 @@ def main(argv: list[str] | None = None) -> int:
         production_path=os.environ["PRODUCTION_DB_PATH"],
         csv_path=os.environ["CSV_PATH"],
         metrics_path=os.environ.get("METRICS_PATH"),
+        quarantine_path=os.environ.get("QUARANTINE_PATH"),
+        incremental=args.incremental,
     )
     if args.step != "all":
         try:

@@ -93,6 +93,30 @@ METRICS = T.StructType(
     ]
 )
 
+# CSV lines that did not parse, with the reason and where they came from.
+REJECTS = T.StructType(
+    [
+        T.StructField("reason", T.StringType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("record", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("block_start", T.LongType()),
+        T.StructField("load_timestamp", T.TimestampNTZType()),
+    ]
+)
+
+# Moments of each metric's history: enough to judge the next run without it.
+METRIC_STATE = T.StructType(
+    [
+        T.StructField("metric_name", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("m2", T.DoubleType()),
+        T.StructField("last_value", T.DoubleType()),
+        T.StructField("last_timestamp", T.TimestampNTZType()),
+    ]
+)
+
 # --------------------------------------------------------------------------
 # Fixed values (must equal the behaviour being reproduced)
 # --------------------------------------------------------------------------
