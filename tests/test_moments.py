@@ -36,7 +36,7 @@ def close(a, b):
             assert x == y or x == pytest.approx(y, rel=1e-8, abs=1e-8), (k, c, x, y)
 
 
-@pytest.mark.parametrize("cuts", [(0, 9), (1, 2, 5, 9), tuple(range(10))])
+@pytest.mark.parametrize("cuts", [(0, 9), (0, 1, 2, 5, 9)])
 def test_any_cut_gives_the_alerts_of_the_whole(spark, cuts):
     rng = random.Random(2)
     values = {
