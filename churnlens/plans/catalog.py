@@ -598,6 +598,29 @@ FROM raw WHERE {_REJECTED_SQL}""",
 wide AS ({WIDE_METRICS_SQL}), tall AS ({_tall_sql('wide', METRIC_NAMES_SQL, None)})
 SELECT metric_name, metric_value, CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS runs FROM tall""",
     "metric_alerts_incremental": ALERTS_SQL,
+    "medians_of_loads": "SELECT MEDIAN(l_extendedprice) AS median_extendedprice, MEDIAN(l_quantity) AS median_quantity, "
+    "MEDIAN(l_discount) AS median_discount FROM lineitem",
+    "distinct_of_loads": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column, COUNT(DISTINCT {c}) AS exact, true AS within_bound FROM orders"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus")
+    ),
+    "lineitem_modes": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column, (SELECT {text} FROM lineitem GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1) AS mode"
+        for c, text in (
+            ("l_returnflag", "l_returnflag"),
+            ("l_quantity", "CAST(l_quantity AS VARCHAR)"),
+            ("l_shipdate", "strftime(l_shipdate, '%Y-%m-%d')"),
+            ("l_partkey", "CAST(l_partkey AS VARCHAR)"),
+        )
+    ),
+    "history_compacted": f"WITH {DAILY_SQL.strip()}\nSELECT * FROM history",
+    "stable_ids": """
+SELECT COUNT(*) AS n_ids, COUNT(*) AS n_uuids,
+  COUNT(*) FILTER (WHERE c_custkey % 3 <> 0 AND c_custkey % 2 = 0) AS kept, CAST(0 AS BIGINT) AS lost
+FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""",
+    "job_resumed": f"""WITH {RAW_SQL},{PROD_SQL},
+wide AS ({WIDE_METRICS_SQL}), tall AS ({_tall_sql('wide', METRIC_NAMES_SQL, None)})
+SELECT metric_name, metric_value, CAST(1 AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS runs FROM tall""",
     "staging_csv_lines": f"WITH {RAW_SQL}\nSELECT * FROM raw",
     "flag_rate_bands": f"""WITH {FLAGGED_SQL}
 SELECT region, count, churn_rate, {_band('churn_rate')} AS rate_band,

@@ -13,11 +13,12 @@ import os
 import sys
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import utc_now
 from churnlens.operators.quality import quality_metrics, reconcile_counts, to_tall
+from churnlens.plans.ledger import resume_run
 from churnlens.plans.production import build_production
 from churnlens.schemas import METRIC_NAMES, METRICS, REJECTS, STAGING
 from churnlens.sinks.incremental import KeyedTable, load_incremental, read_keyed
@@ -143,26 +144,39 @@ class RetentionELT:
         log.info("Loaded %s rows to production", rows)
         return rows
 
-    def generate_data_quality_metrics(self) -> dict[str, Any]:
+    def generate_data_quality_metrics(
+        self, run_timestamp: Column | None = None, write: bool = True
+    ) -> dict[str, Any]:
         """Compute the six metrics, append them to the history, return them.
 
         The returned values keep NULL (e.g. averages of an empty table); the
         stored values use 0 instead. All six rows of one run share one
-        ``run_timestamp``.
+        ``run_timestamp`` (default: now). Without ``write`` they are only computed.
         """
         production = read_production(self.spark, self.production_path)
         wide = quality_metrics(production)
         row = wide.collect()[0]  # a global aggregate: exactly one row
         metrics = {name: row[name] for name in METRIC_NAMES}
+        if not write:
+            return metrics
         one_row = self.spark.createDataFrame([row], wide.schema)
-        tall = to_tall(one_row, run_timestamp=utc_now())
+        tall = to_tall(one_row, run_timestamp=utc_now() if run_timestamp is None else run_timestamp)
         # Six rows: one file per run keeps the history (and its file stream) lean.
         append(tall.coalesce(1), self.metrics_path, METRICS)
         log.info("Generated metrics: %s", metrics)
         return metrics
 
-    def run_full_pipeline(self) -> dict[str, Any]:
-        """All three steps. Never raises: failures come back as a status dict."""
+    def run_full_pipeline(self, run_id: str | None = None) -> dict[str, Any]:
+        """All three steps. Never raises: failures come back as a status dict.
+
+        With a ``run_id`` each finished step is entered in the run ledger, and a
+        rerun of the same id takes it up after the last one (see
+        :class:`churnlens.plans.ledger.RunLedger`): tables are not published
+        twice, and a run leaves one set of metric rows however often it is
+        started.
+        """
+        if run_id is not None:
+            return resume_run(self, run_id)
         try:
             staging_rows = self.extract_and_load()
             production_rows = self.transform()
@@ -218,6 +232,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the retention job or one of its steps.")
     parser.add_argument("--step", choices=STEPS, default="all")
     parser.add_argument("--staging-rows", type=int, help="rows the extract step loaded, for the check")
+    parser.add_argument("--run-id", help="name of this run: a rerun takes it up after its last finished step")
     parser.add_argument("--incremental", action="store_true", help="merge the file into staging by CustomerID")
     args = parser.parse_args([] if argv is None else argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
@@ -241,7 +256,7 @@ def main(argv: list[str] | None = None) -> int:
         except Exception as e:  # noqa: BLE001 - reported by the exit status
             log.error("Step %s failed: %s", args.step, e)
             return 1
-    result = job.run_full_pipeline()
+    result = job.run_full_pipeline(args.run_id)
     if result["status"] == "success":
         log.info("ELT job completed")
         return 0

@@ -14,11 +14,15 @@ from churnlens.functions.expressions import utc_now
 from churnlens.operators.changes import detect_changes, row_difference
 from churnlens.operators.moments import advanced_state, incremental_alerts, metric_state
 from churnlens.operators.quality import to_tall
+from churnlens.operators.quantile import exact_medians, median_sketches, sketched_brackets
+from churnlens.operators.sketches import DISTINCT_ERROR, distinct_sketches, most_frequent_value, sketched_distinct
 from churnlens.plans.job import RetentionELT
 from churnlens.plans.reports import report
-from churnlens.schemas import SOURCE, SOURCE_COLUMNS, STAGING
+from churnlens.schemas import METRICS, SOURCE, SOURCE_COLUMNS, STAGING
+from churnlens.sinks.history import compact_history, read_history
+from churnlens.sinks.id_map import anonymize_mapped, id_map_table
 from churnlens.sinks.incremental import KeyedTable, load_incremental, read_keyed
-from churnlens.sinks.publish import publish, read_published
+from churnlens.sinks.publish import append, publish, read_published
 from churnlens.sinks.storage import work_folder
 from churnlens.sources.csv_source import accepted, rejected, tag_source_csv
 from churnlens.sources.tables import read_metrics, read_staging
@@ -166,6 +170,72 @@ def q_metric_alerts_incremental(spark, sf_dir):
     return out.withColumns({c: F.round(c, STAT_DECIMALS) for c in ("prior_mean", "prior_std", "pct_change")})
 
 
+def q_medians_of_loads(spark, sf_dir):
+    """Exact medians of line-item columns, bracketed by sketches stored with each of two loads."""
+    li, path = table(spark, sf_dir, "lineitem"), work_folder(spark, "median-sketches")
+    cols = ("l_extendedprice", "l_quantity", "l_discount")
+    for load in (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3):
+        median_sketches(li.filter(load), cols).coalesce(1).write.mode("append").parquet(path)
+    medians = exact_medians(li, cols, sketched_brackets(spark.read.parquet(path), cols))
+    return medians.select(*[F.col(c).alias(f"median_{c[2:]}") for c in cols])
+
+
+def q_distinct_of_loads(spark, sf_dir):
+    """Distinct counts of the orders table from sketches stored per priority, beside the exact ones."""
+    orders, path, cols = table(spark, sf_dir, "orders"), work_folder(spark, "distinct-sketches"), ("o_orderkey", "o_custkey", "o_orderstatus")
+    distinct_sketches(orders, cols, ["o_orderpriority"]).coalesce(1).write.parquet(path)
+    guessed = sketched_distinct(spark.read.parquet(path))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "exact")
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return exact.join(guessed, "column").select("column", "exact", (off <= 3 * DISTINCT_ERROR * F.col("exact")).alias("within_bound"))
+
+
+def q_lineitem_modes(spark, sf_dir):
+    """The most frequent values of line-item columns of few, some and very many values."""
+    li, out = table(spark, sf_dir, "lineitem"), None
+    for c in ("l_returnflag", "l_quantity", "l_shipdate", "l_partkey"):
+        text = F.date_format(c, "yyyy-MM-dd") if c == "l_shipdate" else F.col(c).cast("string")
+        row = most_frequent_value(li.select(c), c).select(F.lit(c).alias("column"), text.alias("mode"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_history_compacted(spark, sf_dir):
+    """The event metric history, appended load by load, compacted, and appended to again."""
+    path = work_folder(spark, "history")
+    rows = to_tall(daily_event_metrics(spark, sf_dir), DAILY_EVENT_METRICS, "run_timestamp")
+    for load in range(LOADS):
+        append(rows.filter(F.pmod(F.dayofyear("run_timestamp"), F.lit(LOADS)) == load).coalesce(2), path, METRICS)
+        if load < LOADS - 1:
+            compact_history(spark, path, METRICS)
+    return read_history(spark, path, METRICS)
+
+
+def q_stable_ids(spark, sf_dir):
+    """Anonymous ids of two loads that share some customers."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("key"))
+    ids = id_map_table(work_folder(spark, "ids"), customer.schema["c_custkey"].dataType, parts=8)
+    one = anonymize_mapped(customer.filter("key % 3 <> 0"), "c_custkey", "one", ids)
+    two = anonymize_mapped(customer.filter("key % 2 = 0"), "c_custkey", "two", ids)
+    return one.join(two, "key", "full").agg(
+        F.count(F.lit(1)).alias("n_ids"),
+        F.count_distinct(F.coalesce("one", "two")).alias("n_uuids"),
+        F.count_if(F.col("one") == F.col("two")).alias("kept"),
+        F.count_if(F.col("one") != F.col("two")).alias("lost"),
+    )
+
+
+def q_job_resumed(spark, sf_dir):
+    """The metric history after a run that was started three times under one name."""
+    job = customer_job(spark, sf_dir)
+    for _ in range(3):
+        job.run_full_pipeline("first")
+    history = read_metrics(spark, job.metrics_path)
+    return history.groupBy("metric_name", "metric_value").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("run_timestamp").alias("runs")
+    )
+
+
 STORED_QUERIES = {
     "incremental_load": q_incremental_load,
     "incremental_changes": q_incremental_changes,
@@ -176,4 +246,10 @@ STORED_QUERIES = {
     "job_contract_report": q_job_contract_report,
     "job_metric_history": q_job_metric_history,
     "metric_alerts_incremental": q_metric_alerts_incremental,
+    "medians_of_loads": q_medians_of_loads,
+    "distinct_of_loads": q_distinct_of_loads,
+    "lineitem_modes": q_lineitem_modes,
+    "history_compacted": q_history_compacted,
+    "stable_ids": q_stable_ids,
+    "job_resumed": q_job_resumed,
 }

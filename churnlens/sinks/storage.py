@@ -44,6 +44,14 @@ def children_changed(spark: SparkSession, path: str) -> dict[str, float]:
     return {st.getPath().getName(): st.getModificationTime() / 1000 for st in fs.listStatus(hpath)}
 
 
+def children_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of the files directly under ``path`` and their sizes in bytes."""
+    fs, hpath = _fs_path(spark, path)
+    if not fs.exists(hpath):
+        return {}
+    return {st.getPath().getName(): st.getLen() for st in fs.listStatus(hpath) if st.isFile()}
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_path(spark, path)
     fs.delete(hpath, True)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.schemas import METRICS, PRODUCTION, STAGING
+from churnlens.sinks.history import read_history
 from churnlens.sinks.publish import read_published
-from churnlens.sinks.storage import path_exists
 
 
 def read_staging(spark: SparkSession, base: str) -> DataFrame:
@@ -20,10 +20,8 @@ def read_production(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The metric history (append-only); ``FileNotFoundError`` when absent."""
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"no metric history at {path}")
-    return spark.read.schema(METRICS).parquet(path)
+    """The metric history (append-only, maybe compacted); ``FileNotFoundError`` when absent."""
+    return read_history(spark, path, METRICS)
 
 
 # Default SQL names of the three tables.

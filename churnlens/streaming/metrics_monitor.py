@@ -22,6 +22,7 @@ from churnlens.functions.expressions import band_left_closed
 from churnlens.operators.moments import advanced_state, incremental_alerts, metric_state
 from churnlens.operators.quality import last_not_null, metric_alerts
 from churnlens.schemas import METRIC_STATE, METRIC_VALUE, METRICS, RATE_BANDS, RATE_BASE_BAND
+from churnlens.sinks.history import read_history
 from churnlens.sinks.publish import committed_versions, publish, read_published, vacuum
 
 SNAPSHOT = T.StructType(
@@ -68,10 +69,11 @@ def metric_history_stream(
     return reader.parquet(metrics_path)
 
 
-def _snapshot(spark: SparkSession, output_base: str, rows: DataFrame) -> DataFrame:
+def _snapshot(spark: SparkSession, output_base: str, metrics_path: str, rows: DataFrame) -> DataFrame:
     """The newest values so far, merged with those of some more rows."""
     if not committed_versions(spark, output_base):
-        return latest_metric_values(rows)
+        # once: files that were compacted and deleted never come through the stream
+        return latest_metric_values(read_history(spark, metrics_path, METRICS))
     before = read_published(spark, output_base, SNAPSHOT).select(
         "metric_name", F.col("last_metric_value").alias("metric_value"), F.col("last_run_timestamp").alias("run_timestamp")
     )
@@ -116,12 +118,12 @@ def start_metrics_monitor(
     state_base = f"{alerts_base.rstrip('/')}_state" if alerts_base else None
 
     def publish_snapshot(rows: DataFrame, epoch: int) -> None:
-        publish(_snapshot(spark, output_base, rows), output_base)
+        publish(_snapshot(spark, output_base, metrics_path, rows), output_base)
         vacuum(spark, output_base, keep_seconds)
         if not alerts_base:
             return
         stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        history = spark.read.schema(METRICS).parquet(metrics_path)
+        history = read_history(spark, metrics_path, METRICS)
         state = _alert_state(spark, state_base, history, rows, stream, epoch)
         if state is None:
             return

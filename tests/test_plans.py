@@ -20,7 +20,7 @@ WIDE_TABLES = {"lineitem": 11, "orders": 6, "customer": 5, "events": 6}
 # Queries whose output is every column of a table, so reading them all is right.
 FULL_WIDTH = {("anonymize_hash", "customer"), ("incremental_changes", "customer")}
 # Queries that read what they have written: published tables, CSV files.
-STORED = set(STORED_QUERIES) - {"incremental_changes"}
+STORED = set(STORED_QUERIES) - {"incremental_changes", "medians_of_loads", "distinct_of_loads"}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
 
@@ -79,6 +79,25 @@ def test_medians_shuffle_no_data(spark):
     assert "ObjectHashAggregate" in plan and "partial_count" in plan
 
 
+def executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_sketches_spare_a_scan(spark):
+    """Without stored sketches a subquery scans the table for the bracket."""
+    with_sketches, without = (executed(QUERIES[q](spark, SF_DIR)) for q in ("medians_of_loads", "lineitem_medians"))
+    assert "percentile_approx" in without and "percentile_approx" not in with_sketches
+    scans = [sum("Scan parquet" in x and "lineitem.parquet" in x for x in p.splitlines()) for p in (with_sketches, without)]
+    assert 0 < scans[0] < scans[1]
+
+
+def test_medians_are_ranked_slice_by_slice(spark):
+    plan = executed(QUERIES["lineitem_medians"](spark, SF_DIR))
+    windows = re.findall(r"Window \[sum\(n[^\n]*\], \[([^\]]*)\], \[v", plan)
+    assert windows and all("bucket" in keys for keys in windows)  # no window over all values of a column
+
+
 @pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
 def test_timestamp_text_does_not_depend_on_the_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
