@@ -14,14 +14,29 @@ from pyspark.sql.types import StructType
 #: A word is a maximal run of characters other than space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of a few numbers in one file of a shared table.
+#: Bytes of one Arrow batch of rows on their way to or from Python.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+#: Rows of a few numbers, and words of text, in one file of a shared table.
 FILE_ROWS = 200_000
+FILE_WORDS = 2_500_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in batches of BATCH_BYTES, unless the session was started with another bound.
+
+    By default a batch has 10,000 rows and no useful bound in bytes, and a
+    worker holds it several times over.
+    """
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
@@ -38,15 +53,18 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def shared_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def shared_table(df: DataFrame, name: str, rows: int | None = None, words: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there.
 
-    ``rows``, at least as many as ``df`` has of a few numbers each, bounds the
-    number of files, so that small tables do not become many tiny ones.
+    ``rows``, at least as many as ``df`` has of a few numbers each, or ``words``,
+    at least as many as its texts have, bounds the number of files, so that
+    small tables do not become many tiny ones.
     """
     spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(1 + rows // FILE_ROWS)
+    if words is not None:
+        df = df.coalesce(1 + words // FILE_WORDS)
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -15,7 +15,7 @@ import re
 import sys
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,14 +23,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import WORD, shared_root, shared_table, utf8_crc32
-from churnlens.llm.words import WordCoder, calls
+from churnlens.llm.common import WORD, bound_batches, shared_root, shared_table, utf8_crc32
+from churnlens.llm.words import WordCoder, calls, per_process
 
 #: Longest code, in bits (more if the alphabet needs it); block and checkpoint distances in tokens.
 LIMIT = 16
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
 
+#: A word that stands between words of one call, and how many there are in it.
+BETWEEN = "\x01"
+RUN_WORDS = 128
+
 #: Python splits at these, though they are not white space to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -150,13 +154,12 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     (white space separates, and is dropped).
     """
 
+    bound_batches(docs.sparkSession)
     kind = id_type(tokenizer)
+    size = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer)
 
         def pack(ids: list[int]) -> bytes:
             own = array("H" if kind == "<u2" else "I", ids)
@@ -164,13 +167,34 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
                 own.byteswap()
             return own.tobytes()
 
-        def encode(words: list[str]) -> list[bytes]:
-            found = tok.encode_batch_fast(words, add_special_tokens=False)
-            return [pack(e.ids) for e in found]
+        def make() -> Callable[[list[str]], list[bytes]]:
+            from tokenizers import Tokenizer
+
+            tok = Tokenizer.from_file(tokenizer)
+            mark = tok.encode(BETWEEN, add_special_tokens=False).ids
+
+            def encode(words: list[str]) -> list[bytes]:
+                """Words in runs with a word between them that only itself encodes to: fewer calls."""
+                alone = [i for i, w in enumerate(words) if len(mark) != 1 or BETWEEN in w or "<|" in w]
+                found: dict[int, bytes] = {}
+                for i, e in zip(alone, tok.encode_batch_fast([words[i] for i in alone], add_special_tokens=False), strict=True):
+                    found[i] = pack(e.ids)
+                rest = [i for i in range(len(words)) if i not in found]
+                runs = [rest[at : at + RUN_WORDS] for at in range(0, len(rest), RUN_WORDS)]
+                texts = [f" {BETWEEN} ".join([words[i] for i in run] + [""]) for run in runs]
+                for run, e in zip(runs, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                    ids, start = pack(e.ids), 0
+                    ends = np.flatnonzero(np.frombuffer(ids, dtype=kind) == mark[0]) * size
+                    for i, end in zip(run, ends.tolist(), strict=True):
+                        found[i] = ids[start:end]
+                        start = end + size
+                return [found[i] for i in range(len(words))]
+
+            return encode
 
         # this kind of tokenizer drops white space and joins nothing across it,
         # so the ids of a text are those of its words
-        coder = WordCoder(words_of, encode)
+        coder = WordCoder(words_of, per_process(f"tokens:{tokenizer}", make))
         end = pack([end_id])
         for batch in batches:
             out = [ids + end for call in calls(batch["t"].tolist()) for ids in coder(call)]

@@ -7,12 +7,18 @@ words of equal length advance together: rolling hashes of all their substrings
 probe the sorted piece keys, and at each position the vectorised maximum over
 piece lengths stores a backpointer. The score of a segmentation is the sum of
 the model's piece scores; ties go to the longest last piece. A character that
-no piece covers is spelled in byte pieces.
+no piece covers is spelled in byte pieces. A long word advances in windows, so
+it takes a few bytes a character.
+
+This is the unigram way to segment. A model that was trained as BPE gives other
+ids by its own merges (about 14 % fewer on the check tables): its pieces and
+scores are used here, its merge order is not. Decoding is exact either way.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +26,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.words import WordCoder, calls, spread
+from churnlens.llm.common import bound_batches
+from churnlens.llm.words import WordCoder, calls, per_process, spread
 
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Base of the rolling hash (odd), and cells of one batch of words.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 1 << 16
+#: Places of a word that are scored at once.
+WINDOW = 1 << 12
 #: Top bits of a key that the filter before the search sees.
 KEY_SHIFT = np.uint64(44)
 #: An uncovered character scores this below the worst piece.
@@ -61,11 +70,13 @@ class PieceModel:
         self.spelling = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         self.sizes = np.array([len(x) for x in spelled], dtype=np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        keys = np.array([int(self.key(codes(self.text[i]))[-1]) for i in plain], dtype=np.uint64)
+        keys = self.word_keys([self.text[i] for i in plain])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(plain, dtype=np.int64)[order]
         self.scores = np.array([model.get_score(int(i)) for i in self.ids], dtype=float)
         self.longest = max((len(self.text[i]) for i in plain), default=1)
+        if self.longest > 255:
+            raise ValueError("a piece has over 255 characters")
         self.powers = np.array([pow(int(BASE), k, 1 << 64) for k in range(self.longest + 1)], dtype=np.uint64)
         # most substrings are no piece: the top bits of their keys say so before the search
         self.filter = np.zeros(1 << (64 - int(KEY_SHIFT)), dtype=bool)
@@ -80,36 +91,59 @@ class PieceModel:
             out[..., j + 1] = out[..., j] * BASE + chars[..., j] + np.uint64(1)
         return out
 
+    @classmethod
+    def word_keys(cls, words: list[str]) -> np.ndarray:
+        """Hash of each whole word; words of one length are hashed together."""
+        keys, lengths = np.zeros(len(words), dtype=np.uint64), np.array([len(w) for w in words], dtype=np.int64)
+        for n in np.unique(lengths):
+            same = np.flatnonzero(lengths == n)
+            chars = codes("".join(words[i] for i in same)).reshape(len(same), int(n))
+            keys[same] = cls.key(chars)[:, -1]
+        return keys
+
     def lattice(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backpointers of words of one length (rows of code points): piece
         length and id (-1: unknown character) of the best path to each place."""
         m, n = chars.shape
         widest = min(self.longest, n)
+        step, piece = np.ones((m, n + 1), dtype=np.uint8), np.full((m, n + 1), -1, dtype=np.int32)
+        best, rows = np.zeros((m, 1)), np.arange(m)
+        # a long word advances window by window: only the last scores are carried over
+        for a in range(0, n, WINDOW):
+            b = min(n, a + WINDOW)
+            low = max(0, a + 1 - widest)  # the first place where a piece that ends in the window can begin
+            score, ids = self.window(chars[:, low:b], a - low, widest)
+            known = best.shape[1]
+            best = np.concatenate([best, np.zeros((m, b - a))], axis=1)
+            for j in range(a + 1, b + 1):
+                reach, at = min(widest, j), known + j - a - 1
+                paths = best[:, at - reach : at] + score[j - a - 1, :, widest - reach :]
+                top = paths.argmax(axis=1)
+                best[:, at] = paths[rows, top]
+                step[:, j] = reach - top
+                piece[:, j] = ids[j - a - 1, rows, widest - reach + top]
+            best = best[:, -widest:]
+        return step, piece
+
+    def window(self, chars: np.ndarray, skip: int, widest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of the pieces that end after the first ``skip`` characters, by
+        end place and length, the longest first: the first maximum is the longest piece."""
+        m, n = chars.shape
         prefix = self.key(chars)
-        # by end place and length, the longest first: the first maximum is the longest piece
-        score = np.full((n + 1, m, widest), -np.inf)
-        ids = np.full((n + 1, m, widest), -1, dtype=np.int32)
-        score[1:, :, -1] = self.penalty
-        for size in range(1, widest + 1):
+        score = np.full((n - skip, m, widest), -np.inf)
+        ids = np.full((n - skip, m, widest), -1, dtype=np.int32)
+        score[:, :, -1] = self.penalty
+        for size in range(1, min(widest, n) + 1):
             found = prefix[:, size:] - prefix[:, :-size] * self.powers[size]
             row, start = np.nonzero(self.filter[found >> KEY_SHIFT])
             keys = found[row, start]
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            at, row, end = at[hit], row[hit], start[hit] + size
+            end = start + size - skip - 1
+            hit = (self.keys[at] == keys) & (end >= 0)
+            at, row, end = at[hit], row[hit], end[hit]
             score[end, row, widest - size] = self.scores[at]
             ids[end, row, widest - size] = self.ids[at]
-        best = np.zeros((m, n + 1))
-        step, piece = np.ones((m, n + 1), dtype=np.int64), np.full((m, n + 1), -1, dtype=np.int64)
-        rows = np.arange(m)
-        for j in range(1, n + 1):
-            reach = min(widest, j)
-            paths = best[:, j - reach : j] + score[j, :, widest - reach :]
-            top = paths.argmax(axis=1)
-            best[:, j] = paths[rows, top]
-            step[:, j] = reach - top
-            piece[:, j] = ids[j, rows, widest - reach + top]
-        return step, piece
+        return score, ids
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word; words are grouped by length and done in bounded batches."""
@@ -130,6 +164,8 @@ class PieceModel:
         """Follow the backpointers of all rows at once."""
         step, piece = self.lattice(chars)
         m, n = chars.shape
+        if n > WINDOW:
+            return [self.long_path(c, s, p) for c, s, p in zip(chars, step, piece, strict=True)]
         row, end = np.arange(m), np.full(m, n, dtype=np.int64)
         rows, ends, ids = [], [], []
         while len(row):
@@ -148,6 +184,16 @@ class PieceModel:
             found[i] = self.spelled(found[i])
         return found
 
+    def long_path(self, chars: np.ndarray, step: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Follow the backpointers of one long word."""
+        out, end = array("q"), len(chars)
+        while end:
+            start = end - int(step[end])
+            out.append(int(piece[end]) if piece[end] >= 0 else -1 - int(chars[start]))
+            end = start
+        ids = np.frombuffer(out, dtype=np.int64)[::-1]
+        return self.spelled(ids) if (ids < 0).any() else ids
+
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         """Uncovered characters (stored as -1 - code point) as byte pieces."""
         parts = [
@@ -179,8 +225,11 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = PieceModel(model)
-        coder = WordCoder(pieces.split, lambda words: [x.astype("<i4").tobytes() for x in pieces.encode_words(words)])
+        def make() -> tuple[PieceModel, WordCoder]:
+            pieces = PieceModel(model)
+            return pieces, WordCoder(pieces.split, lambda words: [x.astype("<i4").tobytes() for x in pieces.encode_words(words)])
+
+        pieces, coder = per_process(f"pieces:{model}", make)
         for batch in batches:
             at = 0
             for call in calls(batch["__t"].tolist()):
@@ -190,6 +239,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                 back = [pieces.decode(x) == t for x, t in zip(found, call, strict=True)]
                 yield pd.DataFrame({id_col: ids, "ids": found, "round_trip": back})
 
+    bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(id_col, text.alias("__t"))

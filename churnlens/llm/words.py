@@ -1,15 +1,30 @@
-"""Encoding texts word by word: each distinct word is encoded once per task."""
+"""Encoding texts word by word: a worker encodes a distinct word once and remembers it."""
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Characters worked on at once, distinct words remembered by a task, and words encoded at once.
+#: Characters worked on at once, distinct words that a coder remembers, and words encoded at once.
 CALL_CHARS = 1 << 20
 KEPT_WORDS = 500_000
-NEW_WORDS = 32_768
+NEW_WORDS = 8192
+
+#: Where a worker process keeps what its tasks share: task functions travel by value, so their own globals do not last.
+PROCESS = "churnlens_worker_process"
+
+
+def per_process(key: str, make: Callable[[], object]):
+    """``make()``, once per worker process, for all its tasks with this key; another key's object is dropped."""
+    kept = sys.modules.setdefault(PROCESS, types.ModuleType(PROCESS))
+    if getattr(kept, "key", None) != key:
+        kept.key, kept.value = None, None
+        kept.value = make()
+        kept.key = key
+    return kept.value
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -22,19 +37,29 @@ class WordCoder:
     """Packed ids of texts, joined from the packed ids of their words.
 
     ``split`` cuts a text into words; ``encode`` gives the packed ids of a
-    list of distinct words.
+    list of distinct words. Words are remembered in two generations of half
+    of KEPT_WORDS each: a word that was not met during the younger one is
+    forgotten, so frequent words stay.
     """
 
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[bytes]]):
         self.split, self.encode = split, encode
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [self.split(t) for t in texts]
-        wanted = set().union(*words)
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = list(wanted - self.known.keys())
+        missing = set().union(*words) - self.known.keys()
+        if len(self.known) + len(missing) > KEPT_WORDS // 2 and self.known:
+            self.older, self.known = self.known, {}
+            missing = set().union(*words)
+        new = []
+        for word in missing:
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.known[word] = ids
         for at in range(0, len(new), NEW_WORDS):
             some = new[at : at + NEW_WORDS]
             self.known.update(zip(some, self.encode(some), strict=True))

@@ -72,3 +72,54 @@ def test_hostile_and_empty(hostile, nothing):
     texts = {r["decoded"] for r in pieces.decode_ids(encoded, pieces.default_model()).collect()}
     assert {"", "one two", "The same text, twice over; the same text.", "no id here"} <= texts
     assert pieces.encoded_digests(nothing, pieces.default_model()).count() == 0
+
+
+def test_windows_give_the_same_paths(model, monkeypatch):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abetion▁é日😀,.0") for _ in range(rng.choice([1, 4, 5, 6, 17, 40, 90]))) for _ in range(200)]
+    whole = [x.tolist() for x in model.encode_words(words)]
+    for window in (1, 5, 16, 33):
+        monkeypatch.setattr(pieces, "WINDOW", window)
+        assert [x.tolist() for x in model.encode_words(words)] == whole
+
+
+def test_a_long_word_takes_a_few_bytes_a_character(model):
+    import tracemalloc
+
+    rng = random.Random(7)
+    word = "".join(rng.choices("abetionrs", k=1_000_000))
+    tracemalloc.start()
+    (ids,) = model.encode_words([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.decode(ids) == word and peak < 64 << 20
+
+
+def test_frequent_words_are_remembered(monkeypatch):
+    from churnlens.llm import words
+
+    monkeypatch.setattr(words, "KEPT_WORDS", 20)
+    asked = []
+
+    def encode(new):
+        asked.extend(new)
+        return [w.encode() + b"|" for w in new]
+
+    coder = words.WordCoder(str.split, encode)
+    rng = random.Random(1)
+    for _ in range(60):
+        texts = [" ".join(["often", "too", *(f"w{rng.randrange(500)}" for _ in range(4))]) for _ in range(2)]
+        assert coder(texts) == [b"".join(w.encode() + b"|" for w in t.split()) for t in texts]
+        assert len(coder.known) + len(coder.older) <= 20
+    assert asked.count("often") == asked.count("too") == 1
+    big = " ".join(f"v{i}" for i in range(100))  # one call may hold more words than are remembered
+    assert coder([big, "often"])[1] == b"often|"
+
+
+def test_one_object_a_process():
+    from churnlens.llm.words import per_process
+
+    made = []
+    make = lambda: made.append(1) or len(made)
+    assert per_process("a", make) == per_process("a", make) == 1
+    assert per_process("b", make) == 2 and per_process("a", make) == 3
