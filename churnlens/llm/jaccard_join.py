@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_table, shuffle_width
+from churnlens.llm.common import bound_batches, shared_table, shuffle_width
 from churnlens.llm.components import components
 from churnlens.llm.shingles import set_digest, shingle_sets
 from churnlens.llm.words import calls
@@ -151,8 +151,14 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of a set's shingles fall in each of PARITY cells, packed."""
+    odd = np.bincount((shingles & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def describe_sets(texts: DataFrame, size: int) -> DataFrame:
-    """One pass over the texts: a row (doc_id, n, digest) per document, and per
+    """One pass over the texts: a row (doc_id, n, digest, bits) per document, and per
     task the slices (slice, counts) of its sketch of shingle frequencies."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,6 +173,7 @@ def describe_sets(texts: DataFrame, size: int) -> DataFrame:
                     "doc_id": batch["doc_id"].astype("Int64"),
                     "n": [len(s) for s in sets],
                     "digest": [set_digest(s) for s in sets],
+                    "bits": [parity(s) for s in sets],
                     "slice": pd.array([None] * len(sets), dtype="Int32"),
                     "counts": None,
                 }
@@ -178,12 +185,13 @@ def describe_sets(texts: DataFrame, size: int) -> DataFrame:
                 "doc_id": pd.array([None] * len(used), dtype="Int64"),
                 "n": pd.array([None] * len(used), dtype="Int64"),
                 "digest": None,
+                "bits": None,
                 "slice": used.astype(np.int32),
                 "counts": [parts[i].tobytes() for i in used],
             }
         )
 
-    return texts.mapInPandas(run, "doc_id long, n long, digest binary, slice int, counts binary")
+    return texts.mapInPandas(run, "doc_id long, n long, digest binary, bits array<long>, slice int, counts binary")
 
 
 def sum_sketch(slices: DataFrame) -> np.ndarray:
@@ -269,19 +277,6 @@ def _once(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("lo", "hi").agg(F.min_by("a", "a").alias("a"), F.min_by("b", "a").alias("b")).select("a", "b")
 
 
-def parity_bits(texts: DataFrame, size: int) -> DataFrame:
-    """(node, n, bits): per set, whether an odd number of its shingles fall in each of PARITY cells."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [s for call in calls(batch["text"].tolist()) for s in shingle_sets(call, size)]
-            odd = [np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1 for s in sets]
-            bits = [np.packbits(x.astype(np.uint8)).view(np.int64) for x in odd]
-            yield pd.DataFrame({"node": batch["node"], "n": [len(s) for s in sets], "bits": bits})
-
-    return texts.mapInPandas(run, "node long, n long, bits array<long>")
-
-
 def _list(members: Column) -> Column:
     """A list of (node, n, comp) sorted by node as ids and their sizes."""
     return F.struct(
@@ -356,10 +351,14 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: Threshold, size: int) ->
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
-def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size: int) -> DataFrame:
-    """(node, component) of the linked nodes, by rounds of T-occurrence search."""
+def link_components(
+    lists: DataFrame, texts: DataFrame, bits: DataFrame, limit: Threshold, size: int, words: int
+) -> DataFrame:
+    """(node, component) of the linked nodes, by rounds of T-occurrence search.
+
+    ``bits`` has (node, bits) of each; ``texts`` have at most ``words`` words.
+    """
     rows, seed = lists.count(), 0
-    bits = shared_table(parity_bits(texts, size), "parity-bits").dropDuplicates(["node", "n"])
     found, comps, before = None, None, None
     while True:
         if comps is None:
@@ -372,7 +371,7 @@ def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size:
         mixed = per_list.filter("m * m > s")
         weights = known.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
         known = shared_table(
-            known.join(mixed.select("token"), "token", "left_semi").join(weights, "comp").join(bits, ["node", "n"]),
+            known.join(mixed.select("token"), "token", "left_semi").join(weights, "comp").join(bits, "node"),
             "mixed-lists",
             rows,
         )
@@ -382,7 +381,7 @@ def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size:
         last = todo[0] <= FEW * rows or (before is not None and todo[0] > SHRINK * before)
         before = todo[0]
         lists_of = all_partners(known, limit, todo[1]) if last else hub_partners(known, limit, seed)
-        new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links")
+        new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links", words=words)
         grown = not new.isEmpty()
         if grown:
             found = new if found is None else found.unionByName(new)
@@ -392,7 +391,7 @@ def link_components(lists: DataFrame, texts: DataFrame, limit: Threshold, size:
         if not grown:
             # hubs find nothing more: take all partners, however many
             lists_of = all_partners(known, limit, todo[1])
-            new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links")
+            new = shared_table(verified(occurrence_search(lists_of, limit), texts, limit, size), "links", words=words)
             if not new.isEmpty():
                 found = new if found is None else found.unionByName(new)
                 comps = components(found)
@@ -418,6 +417,7 @@ def similar_components(
     without an id get the component of their class, null if no row of it has
     one. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     limit = Threshold(*similar)
     texts = _texts(docs, id_col, text_col)
     described = shared_table(describe_sets(texts, size), "shingle-sets")
@@ -458,18 +458,24 @@ def _document_components(found: DataFrame, numbers: DataFrame) -> DataFrame:
 
 def _set_components(texts: DataFrame, described: DataFrame, limit: Threshold, size: int) -> DataFrame:
     """The same where rows that repeat an id have equal sets, so that an id names one set."""
-    sets = described.filter("slice is null").select("doc_id", "n", "digest")
+    sets = described.filter("slice is null").select("doc_id", "n", "digest", "bits")
     sketch = sum_sketch(described.filter("slice is not null").select("slice", "counts"))
-    classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
+    # equal digests have equal bits
+    classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits"))
     one_each = classes.select("digest", F.col("node").alias("doc_id"))
     rows = short_lists(texts, sketch, limit, size).join(one_each, ["doc_id", "digest"], "left_semi")
-    lists = shared_table(inverted(rows), "short-lists")
+    # an upper bound of what the short lists hold, and the shingles of all sets
+    short = F.col("n") - F.floor(F.col("n") * limit.num / limit.den) + NEED
+    total = sets.agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("words"), F.sum(short).cast("long").alias("short")).first()
+    words = total["words"] or 0
+    lists = shared_table(inverted(rows), "short-lists", rows=total["short"] or 0)
     listed = lists.select(F.col("node").alias("doc_id")).distinct()
     wanted = shared_table(
-        texts.join(listed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "listed-texts"
+        texts.join(listed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "listed-texts", words=words
     )
-    comps = link_components(lists, wanted, limit, size)
-    named = sets.join(classes, "digest", "left")
+    bits = shared_table(classes.select("node", "bits"), "class-bits", rows=total["sets"])
+    comps = link_components(lists, wanted, bits, limit, size, words)
+    named = sets.drop("bits").join(classes.drop("bits"), "digest", "left")
     if comps is None:
         named = named.withColumn("component", F.lit(None).cast("long"))
     else:
