@@ -84,6 +84,8 @@ KNOWN_PATHS = sorted(frozenset().union(*(x.paths() for x in LAYOUTS)))
 VARIANTS = sorted(
     ((v, x) for x in LAYOUTS for v in x.variants()), key=lambda p: (len(p[1].optional) - len(p[1].paths()), -len(p[0]))
 )
+#: The declarative mapping that each fingerprint selects.
+MAPPINGS = {path_hash(paths): layout for paths, layout in VARIANTS}
 #: Role names of other layouts and their canonical form.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -97,12 +99,19 @@ def schema_paths(kind: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+def fingerprint_of(schema: T.StructType) -> str:
+    """sha256 of the nested field paths of the most specific shape that the schema holds
+    (of all its known paths, if it holds none)."""
+    known = frozenset(schema_paths(schema)) & frozenset(KNOWN_PATHS)
+    return path_hash(next((paths for paths, _ in VARIANTS if paths <= known), known))
+
+
 def layout_of(schema: T.StructType) -> Layout:
-    """The most specific layout whose paths the schema has."""
-    known = set(schema_paths(schema)) & set(KNOWN_PATHS)
-    found = next((x for v, x in VARIANTS if v <= known), None)
+    """The mapping that the schema's fingerprint selects."""
+    found = MAPPINGS.get(fingerprint_of(schema))
     if found is None:
-        raise ValueError(f"no layout is registered for the field paths {sorted(known)}")
+        known = sorted(set(schema_paths(schema)) & set(KNOWN_PATHS))
+        raise ValueError(f"no layout is registered for the field paths {known}")
     return found
 
 
@@ -140,11 +149,12 @@ def _layout_turns(layout: Layout, found: Column | None, present) -> Column:
     return turns
 
 
-def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """(id, turn long, role, text) of a table in any registered layout.
+def canonical_turns(df: DataFrame, id_col: str = "conv_id", fingerprint: bool = False) -> DataFrame:
+    """(id, turn long, role, text) of a table in any registered layout, and the ``fingerprint`` if asked for.
 
-    Null role or text becomes empty; a record without turns gives no row; an
-    unknown layout raises with its paths.
+    The fingerprint of the table's schema selects the mapping. Null role or
+    text becomes empty; a record without turns gives no row; an unknown layout
+    raises with its paths.
     """
     layout = layout_of(df.schema)
     if layout.rows:
@@ -162,7 +172,10 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
             id_col, F.col("turn").cast("long").alias("turn"), "t.role", "t.text"
         )
     return turns.select(
-        id_col, "turn", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
+        id_col,
+        "turn",
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")],
+        *([F.lit(fingerprint_of(df.schema)).alias("fingerprint")] if fingerprint else []),
     )
 
 
@@ -218,7 +231,7 @@ def unescape(text: Column) -> Column:
 
 
 def format_conversations(turns: DataFrame, id_col: str = "conv_id", loss_role: str = "assistant") -> DataFrame:
-    """One row per conversation: id, formatted, loss_mask.
+    """One row per conversation: id, formatted, loss_mask, and the fingerprint that its turns came with.
 
     Turns are ordered by (turn, role, text), so repeated turn numbers have one
     order. ``loss_mask`` has one entry per turn: the code points (0-based)
@@ -247,9 +260,14 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", loss_role: s
             under.cast("long").alias("length"),
         ).alias("mask"),
     )
-    rows = placed.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("__t"))
+    if "fingerprint" not in turns.columns:
+        placed = placed.withColumn("fingerprint", F.lit(None).cast("string"))
+    rows = placed.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(entry)).alias("__t"), F.min("fingerprint").alias("fingerprint")
+    )
     return rows.select(
         id_col,
+        "fingerprint",
         F.array_join(F.transform("__t", lambda x: x["__piece"]), "").alias("formatted"),
         F.transform("__t", lambda x: x["mask"]).alias("loss_mask"),
     )
@@ -258,7 +276,7 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", loss_role: s
 def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """Turns and loss texts recovered from the formatted string and its mask.
 
-    Returns id, turns (array of role, text), loss_texts (array), formatted.
+    Returns id, turns (array of role, text), loss_texts (array), formatted, fingerprint.
     """
     pieces = F.split("formatted", r"<\|im_start\|>")
     cut = formatted.withColumn("__p", F.slice(pieces, F.lit(2), F.size(pieces)))
@@ -276,10 +294,10 @@ def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
     spans = F.filter(F.arrays_zip("__p", "loss_mask"), lambda x: x["loss_mask"]["length"] > 0)
     return cut.select(
-        id_col, F.transform("__p", turn).alias("turns"), F.transform(spans, masked).alias("loss_texts"), "formatted"
+        id_col, F.transform("__p", turn).alias("turns"), F.transform(spans, masked).alias("loss_texts"), "formatted", "fingerprint"
     )
 
 
 def union_turns(*tables: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Canonical turns of several tables, each in its own layout."""
-    return reduce(DataFrame.unionByName, [canonical_turns(t, id_col) for t in tables])
+    """Canonical turns of several tables, each in its own layout, with its fingerprint."""
+    return reduce(DataFrame.unionByName, [canonical_turns(t, id_col, fingerprint=True) for t in tables])

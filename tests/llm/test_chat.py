@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -122,3 +123,30 @@ def test_main_path_is_native(spark):
     turns = chat.union_turns(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string").filter(F.lit(True)))
     plan = chat.read_back(chat.format_conversations(turns))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_the_fingerprint_selects_the_mapping(spark, monkeypatch):
+    schema = spark.createDataFrame([], "conv_id long, messages array<struct<role:string, content:string, more:int>>, x int").schema
+    print_ = chat.fingerprint_of(schema)
+    assert print_ == hashlib.sha256(b"messages[].content\nmessages[].role").hexdigest()
+    assert chat.layout_of(schema).name == "messages"
+    other = next(x for x in chat.LAYOUTS if x.name == "from_value")
+    monkeypatch.setitem(chat.MAPPINGS, print_, other)
+    assert chat.layout_of(schema).name == "from_value"
+    monkeypatch.delitem(chat.MAPPINGS, print_)
+    with pytest.raises(ValueError, match="messages"):
+        chat.layout_of(schema)
+
+
+def test_every_shape_has_one_mapping():
+    assert len(chat.MAPPINGS) == len(chat.VARIANTS)
+    assert all(print_ in layout.fingerprints() for print_, layout in chat.MAPPINGS.items())
+
+
+def test_turns_carry_their_fingerprint(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    print_ = chat.fingerprint_of(rows.schema)
+    back = chat.read_back(chat.format_conversations(chat.union_turns(rows))).first()
+    assert back["fingerprint"] == print_ and [tuple(t) for t in back["turns"]] == [("user", "a"), ("assistant", "b")]
+    plain = chat.format_conversations(chat.canonical_turns(rows)).first()
+    assert plain["fingerprint"] is None and plain["formatted"] == back["formatted"]
