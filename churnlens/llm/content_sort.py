@@ -33,38 +33,46 @@ MOST = 2 * SAMPLE_ROWS // SAMPLE_HITS
 #: Parts of a frequent prefix, and sub-runs of a frequent text.
 SALTS = 256
 
-_TEXT, _DIGEST, _PREFIX, _PART, _SALT, _RANK = "__text", "__digest", "__prefix", "__part", "__salt", "__rank"
+_ID, _TEXT, _DIGEST, _PREFIX, _PART, _SALT, _RANK = "__id", "__text", "__digest", "__prefix", "__part", "__salt", "__rank"
 _RUN = (_PREFIX, _PART, _SALT, _TEXT)
 
 
-def frequent(keyed: DataFrame, column: str, seed: int = 7) -> list[str]:
-    """Values frequent in a bounded sample of the rows (at most MOST)."""
+def frequent(keyed: DataFrame, columns: tuple[str, ...], seed: int = 7) -> list[list[str]]:
+    """For each column the values frequent in a bounded sample of the rows (at most MOST); one pass."""
     share = min(1.0, SAMPLE_ROWS / max(1, keyed.count()))
-    hits = keyed.select(column).sample(share, seed).groupBy(column).count().filter(F.col("count") >= SAMPLE_HITS)
-    return [r[0] for r in hits.orderBy(F.desc("count"), column).limit(MOST).collect()]
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    sampled = keyed.select(*columns).sample(share, seed).select(F.explode(cells).alias("x"))
+    hits = sampled.groupBy("x.i", "x.v").count().filter(F.col("count") >= SAMPLE_HITS)
+    found = hits.orderBy("i", F.desc("count"), "v").limit(MOST * len(columns)).collect()
+    return [[r["v"] for r in found if r["i"] == i] for i in range(len(columns))]
 
 
-def sorted_runs(
-    docs: DataFrame, id_col: str, text_col: str, normalise: Callable[[Column], Column] | None, keep: str
-) -> DataFrame:
-    """``docs`` with digest, salt and the rank in its run of equal neighbours."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def packed(docs: DataFrame, id_col: str, text_col: str, kept: list[str]) -> DataFrame:
+    """``docs`` as (__id, __value, __row): the caller's columns can have any names."""
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    return docs.select(F.col(f"`{id_col}`").alias(_ID), F.col(f"`{text_col}`").alias("__value"), row.alias("__row"))
+
+
+def sorted_runs(docs: DataFrame, normalise: Callable[[Column], Column] | None, keep: str) -> DataFrame:
+    """``packed`` rows with digest, salt and the rank in their run of equal neighbours."""
+    text = F.coalesce(F.col("__value"), F.lit(""))
     keyed = (
         docs.withColumn(_TEXT, normalise(text) if normalise else text)
+        .drop("__value")
         .withColumn(_PREFIX, F.substring(_TEXT, 1, PREFIX))
         .withColumn(_DIGEST, F.sha2(F.encode(_TEXT, "UTF-8"), 256))
     )
-    starts, texts = frequent(keyed, _PREFIX), frequent(keyed, _DIGEST)
+    starts, texts = frequent(keyed, (_PREFIX, _DIGEST))
     # never empty lists: a constant column would drop out of the window's keys, and cost a second shuffle
     starts, texts = starts or [""], texts or [""]
     part = F.when(F.col(_PREFIX).isin(starts), F.pmod(F.hash(_DIGEST), F.lit(SALTS))).otherwise(0)
-    salt = F.when(F.col(_DIGEST).isin(texts), F.pmod(F.xxhash64(id_col), F.lit(SALTS)) + 1).otherwise(0)
+    salt = F.when(F.col(_DIGEST).isin(texts), F.pmod(F.xxhash64(_ID), F.lit(SALTS)) + 1).otherwise(0)
     ranged = (
         keyed.withColumn(_PART, part.cast("int"))
         .withColumn(_SALT, salt.cast("int"))
         .repartitionByRange(_PREFIX, _PART, _SALT)
     )
-    best = F.col(id_col).asc_nulls_last() if keep == "min" else F.col(id_col).desc_nulls_last()
+    best = F.col(_ID).asc_nulls_last() if keep == "min" else F.col(_ID).desc_nulls_last()
     return ranged.withColumn(_RANK, F.row_number().over(Window.partitionBy(*_RUN).orderBy(best)))
 
 
@@ -82,12 +90,12 @@ def exact_duplicates(
     repeated with the same id exactly one is kept. An empty table gives an
     empty result; further columns are ignored.
     """
-    runs = sorted_runs(docs.select(id_col, text_col), id_col, text_col, normalise, keep)
+    runs = sorted_runs(packed(docs, id_col, text_col, []), normalise, keep)
     whole = Window.partitionBy(*_RUN)
     slim = shared_table(
         runs.withColumn("__size", F.count(F.lit(1)).over(whole))
-        .withColumn("__best", (F.min if keep == "min" else F.max)(F.col(id_col)).over(whole))
-        .select(id_col, _DIGEST, _SALT, _RANK, "__size", "__best"),
+        .withColumn("__best", (F.min if keep == "min" else F.max)(F.col(_ID)).over(whole))
+        .select(_ID, _DIGEST, _SALT, _RANK, "__size", "__best"),
         "content-runs",
     )
     # sub-runs of frequent texts: one summary row each, at most SALTS per text
@@ -105,7 +113,7 @@ def exact_duplicates(
     # at most MOST rows, one per frequent text
     stitched = slim.join(F.broadcast(joined.join(winner, _DIGEST)), _DIGEST, "left")
     return stitched.select(
-        id_col,
+        F.col(_ID).alias(id_col),
         F.coalesce("__first", "__best").alias("keep_id"),
         F.coalesce("__all", "__size").cast("long").alias("group_size"),
         ((F.col(_RANK) == 1) & (F.coalesce("__win", _SALT) == F.col(_SALT))).alias("kept"),
@@ -120,9 +128,11 @@ def drop_exact_duplicates(
     normalise: Callable[[Column], Column] | None = None,
     keep: str = "min",
 ) -> DataFrame:
-    """The rows that stay, with all their columns (same rules as above)."""
-    first = sorted_runs(docs, id_col, text_col, normalise, keep).filter(F.col(_RANK) == 1)
-    best = F.col(id_col).asc_nulls_last() if keep == "min" else F.col(id_col).desc_nulls_last()
+    """The rows that stay, with all their columns, whatever their names (same rules as above)."""
+    rows = packed(docs, id_col, text_col, docs.columns)
+    first = sorted_runs(rows, normalise, keep).filter(F.col(_RANK) == 1)
+    best = F.col(_ID).asc_nulls_last() if keep == "min" else F.col(_ID).desc_nulls_last()
     among = Window.partitionBy(_DIGEST).orderBy(best, _SALT)
     stitched = first.filter(F.col(_SALT) > 0).withColumn(_RANK, F.row_number().over(among)).filter(F.col(_RANK) == 1)
-    return first.filter(F.col(_SALT) == 0).unionByName(stitched).select(*docs.columns)
+    kept = first.filter(F.col(_SALT) == 0).unionByName(stitched)
+    return kept.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -59,7 +59,21 @@ def test_normalised_and_empty(documents, nothing):
 
 
 def test_plan_sorts_once_and_stays_native(hostile):
-    df = content_sort.sorted_runs(hostile, "doc_id", "text", None, "min")
+    df = content_sort.sorted_runs(content_sort.packed(hostile, "doc_id", "text", hostile.columns), None, "min")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange") == 1
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_columns_named_like_internal_ones_come_back_unchanged(documents):
+    rows = [(i, ["a", "b", None][i % 3], "en", "x") for i in range(30)]
+    names = [content_sort._ID, "__value", "__row", *content_sort._RUN, content_sort._DIGEST, content_sort._RANK, "__size", "a.b"]
+    df = documents(rows).select("doc_id", "text", *[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names])
+    kept = content_sort.drop_exact_duplicates(df, keep="max").collect()
+    assert kept and all(r[n] == f"{n}-{r['doc_id']}" for r in kept for n in names)
+    assert sorted(r["doc_id"] for r in kept) == [27, 28, 29] and kept[0].__fields__ == df.columns
+    odd = df.withColumnsRenamed({"doc_id": "__rank2", "text": "__text2"}).select(
+        F.col("__rank2").alias("__salt"), F.col("__text2").alias("__prefix"), F.col("__text").alias("mine")
+    )
+    found = content_sort.exact_duplicates(odd, "__salt", "__prefix", keep="max")
+    assert found.columns[0] == "__salt" and found.filter("kept").count() == 3
