@@ -2,13 +2,23 @@
 
 Candidates and queries are dealt into hash blocks; each (query block,
 candidate block) pair is one bounded task. The task indexes both sides in
-cover trees over Euclidean distance and walks pairs of nodes. For any q within
-``rq`` of a query centre and any c within ``rc`` of a candidate centre,
+cover trees over Euclidean distance: the children of a node have centres more
+than half its radius apart, every point joins the nearest one, and points that
+a child would hold fewer than LEAF of stay in the node, each with its own
+distance from the centre. The search walks pairs of nodes. For any q within
+``rq`` of a query centre and any c at distance ``d`` from a candidate centre,
 
-    q . c <= qc . cc + |qc| rc + |cc| rq + rq rc,
+    q . c <= qc . cc + |qc| d + |cc| rq + rq d,
 
-so a pair is pruned when that bound is below the worst kth score of the query
-node's members. Leaves are scored as one matrix product.
+so a pair of nodes (``d`` the candidate node's radius) or a single candidate
+(``d`` its own distance) is pruned when that bound is below the worst kth score
+of the query node's members. Each query first scores the leaf it falls in, so
+that thresholds are there from the start; the candidates that are left of a
+leaf are scored as one matrix product.
+
+How much is pruned is up to the vectors: on clustered ones a small share of
+the pairs is scored (``Search.scored``), on random unit vectors of many
+dimensions, where all points are about equally far apart, nearly all of them.
 """
 
 from __future__ import annotations
@@ -24,28 +34,52 @@ from pyspark.sql import functions as F
 
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 2048
-#: Nodes with no more points than this are not divided.
-LEAF = 128
-#: After so many small children in a row, the other points become leaves of their own.
-MISSES = 16
-#: Scores stay exact in doubles below this.
+#: A node with no more points than this is not divided, and a child has more.
+LEAF = 16
+#: Points that are tried as centres at once.
+CENTRES = 64
+#: Scores stay exact in doubles below this, and in 64 bits up to the other.
 EXACT = float(2**53)
+LARGEST = 2**63 - 1
 
 
 @dataclass
 class Node:
-    """Points ``members`` lie within ``radius`` of ``centre``; ``loose`` are
-    those that are leaves themselves, the rest is in ``children``."""
+    """Points ``members`` lie within ``radius`` of ``centre``; ``loose`` are those
+    that are leaves themselves, at distances ``away``; the rest is in ``children``."""
 
     members: np.ndarray
     centre: np.ndarray
     radius: float
     children: list[Node] = field(default_factory=list)
-    loose: np.ndarray | None = None
+    loose: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    away: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    @property
-    def norm(self) -> float:
-        return float(np.sqrt((self.centre**2).sum()))
+    def __post_init__(self):
+        self.norm = float(np.sqrt((self.centre**2).sum()))
+
+
+def _squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances (points, centres)."""
+    found = (points**2).sum(axis=1)[:, None] - 2 * (points @ centres.T) + (centres**2).sum(axis=1)
+    return np.maximum(found, 0.0)
+
+
+def separated(points: np.ndarray, apart: float) -> np.ndarray:
+    """Places of centres that are over ``apart`` from each other and within it of every point."""
+    left, chosen, limit = np.arange(len(points)), [], apart * apart
+    while len(left):
+        tried = left[:CENTRES]
+        near = _squared(points[tried], points[tried]) <= limit
+        own: list[int] = []
+        for i in range(len(tried)):
+            if not near[i, own].any():
+                own.append(i)
+        chosen.append(tried[own])
+        covered = (_squared(points[left], points[tried[own]]) <= limit).any(axis=1)
+        covered[: len(tried)] = True  # all of these are, whatever rounding says
+        left = left[~covered]
+    return np.concatenate(chosen) if chosen else left
 
 
 def build(points: np.ndarray, members: np.ndarray) -> Node:
@@ -54,71 +88,131 @@ def build(points: np.ndarray, members: np.ndarray) -> Node:
     away = np.sqrt(((points[members] - centre) ** 2).sum(axis=1))
     node = Node(members, centre, float(away.max()))
     if len(members) <= LEAF or node.radius == 0:
-        node.loose = members
+        node.loose, node.away = members, away
         return node
-    left, small, missed = members, [], 0
-    while len(left):
-        near = ((points[left] - points[left[0]]) ** 2).sum(axis=1) <= (node.radius / 2) ** 2
-        mine, left = left[near], left[~near]
-        if len(mine) <= LEAF // 8:
-            small.append(mine)
-            missed += 1
-            if missed >= MISSES:
-                small.append(left)
-                break
-        else:
-            node.children.append(build(points, mine))
-            missed = 0
-    node.loose = np.concatenate(small) if small else members[:0]
+    own = points[members]
+    centres = separated(own, node.radius / 2)
+    nearest = np.empty(len(members), dtype=np.int64)
+    for at in range(0, len(members), 4096):
+        nearest[at : at + 4096] = _squared(own[at : at + 4096], own[centres]).argmin(axis=1)
+    nearest[centres] = np.arange(len(centres))
+    large = np.bincount(nearest, minlength=len(centres)) > LEAF
+    stays = ~large[nearest]
+    node.loose, node.away = members[stays], away[stays]
+    for k in np.flatnonzero(large):
+        mine = members[nearest == k]
+        first = members[centres[k]]
+        node.children.append(build(points, np.concatenate([[first], mine[mine != first]])))
     return node
 
 
 class Search:
-    """Top-k of each query in one block of candidates."""
+    """Top-k of each query in one block of candidates.
+
+    ``scored`` counts the products taken, ``visited`` the pairs of nodes met.
+    """
 
     def __init__(self, queries, query_ids, candidates, candidate_ids, k: int):
-        order = np.argsort(candidate_ids, kind="stable")  # leaves then list small ids first
+        order = np.argsort(candidate_ids, kind="stable")  # of equal scores the first place has the smallest id
         self.c, self.c_ids = candidates[order], candidate_ids[order]
         self.q, self.q_ids, self.k = queries, query_ids, k
         self.scores = np.full((len(queries), k), -np.inf)
-        self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.at = np.full((len(queries), k), len(candidates))  # places of the best candidates
+        self.scored = self.visited = 0
+
+    @property
+    def ids(self) -> np.ndarray:
+        return np.append(self.c_ids, np.iinfo(np.int64).max)[self.at]
 
     def run(self) -> Search:
         if len(self.q) and len(self.c):
-            self.visit(build(self.q, np.arange(len(self.q))), build(self.c, np.arange(len(self.c))))
+            self.length = np.sqrt((self.q**2).sum(axis=1))
+            top = build(self.c, np.arange(len(self.c)))
+            self.seed(np.arange(len(self.q)), top)
+            self.visit(build(self.q, np.arange(len(self.q))), top)
         return self
 
+    def seed(self, rows: np.ndarray, node: Node) -> None:
+        """Each query scores some points of the leaf that it falls in."""
+        while node.children:
+            gain = self.q[rows] @ np.array([x.centre for x in node.children]).T
+            best = gain.argmax(axis=1)
+            if len(np.unique(best)) > 1:
+                for i in np.unique(best):
+                    self.seed(rows[best == i], node.children[i])
+                return
+            node = node.children[best[0]]
+        self.score(rows, node.loose[: max(LEAF, 2 * self.k)])
+
     def visit(self, a: Node, b: Node) -> None:
-        bound = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
-        if bound * (1 + 1e-12) + 1e-6 < self.scores[a.members, -1].min():
+        """Pairs of nodes, until the queries are a leaf."""
+        self.visited += 1
+        most = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
+        if _safe(most) < self.scores[a.members, -1].min():
             return
-        if a.children and a.radius > b.radius:
+        if not a.children:
+            self.descend(a.members, b)
+        elif a.radius > b.radius or not b.children:
             if len(a.loose):
-                self.visit(Node(a.loose, a.centre, a.radius, [], a.loose), b)
+                self.visit(Node(a.loose, a.centre, float(a.away.max()), [], a.loose, a.away), b)
             for child in a.children:
                 self.visit(child, b)
+        else:
+            for child in _best_first(a.centre, a.norm, b.children):
+                self.visit(a, child)
+            if len(b.loose):
+                self.visit(a, Node(b.loose, b.centre, float(b.away.max()), [], b.loose, b.away))
+
+    def descend(self, rows: np.ndarray, b: Node) -> None:
+        """A leaf's queries, each with its own bound, down the candidates' tree."""
+        self.visited += 1
+        middle = self.q[rows] @ b.centre
+        rows, middle = self.open(rows, middle, middle + self.length[rows] * b.radius)
+        if not len(rows):
             return
+        for child in _best_first(self.q[rows].mean(axis=0), float(self.length[rows].mean()), b.children):
+            self.descend(rows, child)
         if len(b.loose):
-            same = b.radius == 0  # copies of one vector: only the smallest ids can rank
-            self.score(a.members, b.loose[: self.k + 1] if same else b.loose)
-        gain = [float(a.centre @ x.centre) + a.norm * x.radius for x in b.children]
-        for i in np.argsort(np.negative(gain), kind="stable"):
-            self.visit(a, b.children[i])
+            loose, away = b.loose, b.away
+            if b.radius == 0:  # copies of one vector: only the smallest ids can rank
+                loose, away = loose[: self.k + 1], away[: self.k + 1]
+            most = _safe(middle[:, None] + self.length[rows][:, None] * away[None, :])
+            wanted = most >= self.scores[rows, -1:]
+            some, points = wanted.any(axis=1), wanted.any(axis=0)
+            if some.any():
+                self.score(rows[some], loose[points])
+
+    def open(self, rows: np.ndarray, middle: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        kept = _safe(most) >= self.scores[rows, -1]
+        return rows[kept], middle[kept]
 
     def score(self, rows: np.ndarray, members: np.ndarray) -> None:
         for at in range(0, len(members), 512):
             some = members[at : at + 512]
             found = self.q[rows] @ self.c[some].T
+            self.scored += found.size
             found[self.q_ids[rows][:, None] == self.c_ids[some][None, :]] = -np.inf
-            hit = (found >= self.scores[rows, -1:]).any(axis=1) if len(some) else np.zeros(len(rows), bool)
+            hit = (found >= self.scores[rows, -1:]).any(axis=1)
             if not hit.any():
                 continue
             who, found = rows[hit], found[hit]
+            # a seed is met again: it counts once
+            found[(self.at[who][:, :, None] == some[None, None, :]).any(axis=1)] = -np.inf
             scores = np.concatenate([self.scores[who], found], axis=1)
-            ids = np.concatenate([self.ids[who], np.broadcast_to(self.c_ids[some], found.shape)], axis=1)
-            top = np.lexsort((ids, -scores), axis=1)[:, : self.k]
+            places = np.concatenate([self.at[who], np.broadcast_to(some, found.shape)], axis=1)
+            places[scores == -np.inf] = len(self.c)
+            top = np.lexsort((places, -scores), axis=1)[:, : self.k]
             self.scores[who] = np.take_along_axis(scores, top, 1)
-            self.ids[who] = np.take_along_axis(ids, top, 1)
+            self.at[who] = np.take_along_axis(places, top, 1)
+
+
+def _safe(bound):
+    """A bound that rounding cannot have made too small."""
+    return bound + np.abs(bound) * 1e-9 + 1e-6
+
+
+def _best_first(centre: np.ndarray, norm: float, children: list[Node]) -> list[Node]:
+    return sorted(children, key=lambda x: -(float(centre @ x.centre) + norm * x.radius))
 
 
 def _search_block(k: int):
@@ -152,18 +246,27 @@ def _exhaustive(q, q_ids, c, c_ids, k: int) -> Search:
     for i in range(len(q)):
         found = (s.c @ s.q[i]).astype(object)
         keep = [j for j in range(len(s.c)) if s.c_ids[j] != q_ids[i]]
-        keep = sorted(keep, key=lambda j: (-found[j], s.c_ids[j]))[:k]
+        keep = sorted(keep, key=lambda j: (-found[j], j))[:k]
+        if any(abs(int(found[j])) > LARGEST for j in keep):
+            raise OverflowError(f"a score of vector {int(q_ids[i])} does not fit into 64 bits")
         s.scores[i, : len(keep)] = [found[j] for j in keep]
-        s.ids[i, : len(keep)] = s.c_ids[keep]
+        s.at[i, : len(keep)] = keep
     return s
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
-    """(id, v array<long>): floor(scale * x); rows with null or non-finite parts go."""
+    """(id, v array<long>): floor(scale * x); rows with null or non-finite parts go.
+
+    A finite part that does not fit into 64 bits then fails the query. Rows
+    that repeat an id are vectors of their own, and none of them is a
+    candidate of a query with that id; repeated equal ones both rank.
+    """
     x = F.transform(vec_col, lambda e: e.cast("double"))
+    message = F.lit("a vector's part is too large: scaled, it does not fit into 64 bits")
+    whole = lambda e: F.when(F.abs(e * scale) < 2.0**63, F.floor(e * scale)).otherwise(F.raise_error(message))
     fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & fine).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(x, lambda e: F.floor(e * scale)).alias("v")
+        F.col(id_col).cast("long").alias("id"), F.transform(x, whole).alias("v")
     )
 
 

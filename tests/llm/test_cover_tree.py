@@ -74,3 +74,75 @@ def test_scores_beyond_doubles(spark):
     df = spark.createDataFrame([(0, [big, 1]), (1, [big, 3]), (2, [big, 2])], "id long, v array<long>")
     found = sorted(tuple(r) for r in ct.top_k(df.filter("id = 0"), df, 2).collect())
     assert found == [(0, 1, 1, big * big + 3), (0, 2, 2, big * big + 2)]
+
+
+def clusters(rng, n, dim, groups, spread):
+    centres = rng.normal(0, 1, (groups, dim))
+    return np.round(256 * (centres[rng.integers(0, groups, n)] + rng.normal(0, spread, (n, dim))))
+
+
+def searched(points, k=5, every=50):
+    ids = np.arange(len(points))
+    s = ct.Search(points[::every], ids[::every], points, ids, k).run()
+    want = points[::every] @ points.T
+    want[np.arange(len(s.q)), ids[::every]] = -np.inf
+    for i in range(len(s.q)):
+        assert s.ids[i].tolist() == sorted(ids.tolist(), key=lambda j: (-want[i, j], j))[:k]
+    return s, s.scored / (len(s.q) * len(points))
+
+
+def test_clustered_vectors_are_mostly_pruned():
+    rng = np.random.default_rng(8)
+    s, share = searched(clusters(rng, 4000, 16, 40, 0.05))
+    assert share < 0.1 and s.visited > 20
+
+
+def test_random_unit_vectors_are_hardly_pruned_but_bounded():
+    rng = np.random.default_rng(9)
+    points = rng.normal(0, 1, (2000, 64))
+    points = np.floor(256 * points / np.linalg.norm(points, axis=1)[:, None])
+    s, share = searched(points)
+    assert 0.5 < share < 1.1 and s.visited >= 2
+
+
+def test_the_given_vectors_are_in_a_tree():
+    pq = pytest.importorskip("pyarrow.parquet")
+    rows = pq.read_table("/root/testdata/sf0.01/embeddings.parquet").column("embedding").to_pylist()
+    points = np.floor(256 * np.array(rows))
+    root = ct.build(points, np.arange(len(points)))
+    assert sorted(np.concatenate([root.loose, *[c.members for c in root.children]])) == list(range(len(points)))
+    s, share = searched(points)
+    assert share <= 1.1  # 1 and the seeds: these are random unit vectors
+
+
+def test_leaves_are_small_and_centres_apart():
+    rng = np.random.default_rng(10)
+    points = clusters(rng, 3000, 4, 30, 0.2)
+
+    def walk(node):
+        assert len(node.members) > ct.LEAF or not node.children
+        away = np.sqrt(((points[node.loose] - node.centre) ** 2).sum(axis=1))
+        assert np.allclose(away, node.away, atol=1e-6)
+        centres = [c.centre for c in node.children]
+        for i, x in enumerate(centres):
+            assert all(np.sqrt(((x - y) ** 2).sum()) > node.radius / 2 - 1e-6 for y in centres[:i])
+        for child in node.children:
+            walk(child)
+        return 1 + max((0, *[walk(c) for c in node.children]))
+
+    assert walk(ct.build(points, np.arange(len(points)))) >= 3
+
+
+def test_components_beyond_64_bits_fail_clearly(spark):
+    df = spark.createDataFrame([(0, [1e30, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit into 64 bits"):
+        ct.quantised(df, "vec_id", "embedding").collect()
+    huge = spark.createDataFrame([(0, [2**62, 5]), (1, [2**62, 7])], "id long, v array<long>")
+    with pytest.raises(Exception, match="does not fit into 64 bits"):
+        ct.top_k(huge, huge, 1).collect()
+
+
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    df = spark.createDataFrame([(0, [3, 1]), (0, [9, 9]), (1, [2, 2]), (1, [2, 2]), (2, [1, 0])], "id long, v array<long>")
+    found = [tuple(r) for r in ct.top_k(df.filter("id = 0 and v[0] = 3"), df, 5).collect()]
+    assert sorted(found) == [(0, 1, 1, 8), (0, 2, 1, 8), (0, 3, 2, 3)]
