@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import arrow_schema, shared_table, shuffle_width
+from churnlens.llm.common import arrow_schema, bound_batches, shared_table, shuffle_width
 
 #: Line hashes in a shard, and shards per shuffle partition at least.
 SHARD_LINES = 1 << 15
@@ -302,6 +302,7 @@ def drop_repeated_lines(
     id_type = docs.schema[id_col].dataType
     if not isinstance(id_type, T.IntegralType):
         raise TypeError(f"ids are whole numbers, {id_col} is {id_type.simpleString()}")
+    bound_batches(docs.sparkSession)
     slim = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),

@@ -43,6 +43,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(loss).cast("long").alias("loss_chars"),
         F.sha2(F.encode(loss, "UTF-8"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "fingerprint",
     )
 
 
@@ -60,7 +61,9 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars) AS BIGINT) AS formatted_chars
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  CASE WHEN conv_id = -1 THEN sha256('messages[].content' || chr(10) || 'messages[].role')
+    ELSE sha256('role' || chr(10) || 'text' || chr(10) || 'turn') END AS fingerprint
 FROM safe GROUP BY conv_id
 """
 

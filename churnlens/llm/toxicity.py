@@ -25,11 +25,13 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_table
+from churnlens.llm.common import bound_batches, shared_table
 from churnlens.llm.words import calls
 
 #: Labelled rows that models are fitted on, at most (those of smallest id hash).
 TRAIN_ROWS = 30_000
+#: Files of the labelled rows (a bounded table).
+TRAIN_FILES = 12
 #: One row in so many of them calibrates; the others teach the lexicon and the trees.
 CALIBRATION = 4
 #: Word beginnings the lexicon may hold, their lengths, and what a term must show.
@@ -209,6 +211,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, text_col: str = "text", name: str = "score") -> DataFrame:
         """``docs`` with a score in [0, 1]; a null text counts as empty."""
+        bound_batches(docs.sparkSession)
         if self.trees is None:
             return docs.withColumn(name, F.lit(self.share))
         text = F.coalesce(F.col(text_col), F.lit(""))
@@ -232,6 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     equal texts count once. Null ids and labels are not used; of repeated
     labels the larger counts.
     """
+    bound_batches(docs.sparkSession)
     usable = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col(id_col)))
     chosen = (
         usable.groupBy(id_col)
@@ -245,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     train = shared_table(
         joined.groupBy("digest").agg(F.min_by(F.struct("text", "toxic"), id_col).alias("x")).select(
             "digest", "x.*", (F.pmod(F.hash("digest"), F.lit(CALIBRATION)) == 0).alias("calibrates")
-        ),
+        ).coalesce(TRAIN_FILES),
         "toxicity-train",
     )
     counts = {(r["calibrates"], r["toxic"]): r["count"] for r in train.groupBy("calibrates", "toxic").count().collect()}

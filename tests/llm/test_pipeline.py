@@ -178,7 +178,7 @@ def test_run_equals_plain_stages(spark, tmp_path, monkeypatch):
 
 def test_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 
