@@ -7,7 +7,16 @@ writes blocks on lines of their own, blank lines between paragraphs, markers
 and indents for lists, preformatted text as it is, and tables with each column
 padded to its widest cell.
 Formulas and the texts of drawings are inline text; inside what visibility
-hides, elements that set it to visible show again.
+hides, elements that set it to visible show again. Of a closed ``details`` only
+the summary shows; of form fields, what they hold, but never a password.
+
+What a page looks like is taken from its markup and ``style`` attributes
+alone: style sheets and scripts are not run, ``display`` only hides, and no
+text of the browser's own (the label of an unlabelled button) is added.
+Elements nested deeper than DEPTH become siblings, as in browsers; their text
+is kept. At most one blank line separates blocks; a caption stands right
+above its rows. Rows are in the order shown: the first ``thead`` on top, the
+first ``tfoot`` at the bottom.
 """
 
 from __future__ import annotations
@@ -20,10 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.llm.common import bound_batches
+
 # Fixed values of the HTML standard: void elements, block elements, elements
 # never shown, and which open elements a start tag ends.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table dl figure".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre listing xmp plaintext table dl figure".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header "
     "hgroup hr html legend li main menu nav ol optgroup option search section summary ul tr tbody thead tfoot".split()
@@ -60,6 +71,9 @@ SIBLINGS = {
 }
 #: Elements an implied end never reaches through.
 SCOPES = frozenset(("table", "html", "ul", "ol", "menu", "dir", "dl", "select", "caption", "button"))
+#: Elements whose white space is kept, and those whose content is text, whatever it looks like.
+PREFORMATTED = frozenset("pre listing xmp plaintext textarea".split())
+RAW = ("script", "style", "xmp")
 #: Elements nested deeper become siblings, as browsers limit depth too.
 DEPTH = 200
 #: Tags whose ends are optional or implied and that need no element: all that
@@ -67,7 +81,23 @@ DEPTH = 200
 FRAME = frozenset(("html", "head", "body"))
 
 SPACE = re.compile(r"[ \t\n\r\f]+")
-UNSEEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+#: Fixed values of the CSS standard: what ``display`` and ``white-space`` can be.
+DISPLAYS = frozenset(
+    "none block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell "
+    "table-row-group table-header-group table-footer-group table-column table-column-group table-caption list-item "
+    "flow-root contents run-in ruby initial inherit unset revert revert-layer".split()
+)
+WHITE_SPACES = frozenset(
+    "normal nowrap pre pre-wrap pre-line break-spaces initial inherit unset revert revert-layer".split()
+)
+DECLARATION = re.compile(r"(?:^|;)\s*([a-z-]+)\s*:\s*([a-z -]+?)\s*(!\s*important\s*)?(?=;|$)", re.I)
+#: How white space shows: collapsed, with its line breaks, or as it is.
+COLLAPSED, LINES, KEPT = "", "lines", "kept"
+KEEPS = {"pre": KEPT, "pre-wrap": KEPT, "break-spaces": KEPT, "pre-line": LINES, "normal": COLLAPSED, "nowrap": COLLAPSED}
+#: Stands for a space that is shown as it is (a code point that no text may hold).
+SOLID = "\ufdd0"
+#: Fields whose value shows; a type that is none of the known ones counts as text.
+VALUELESS = frozenset("password checkbox radio range color file image hidden".split())
 VISIBILITY = re.compile(
     r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse|initial|inherit|unset|revert)\s*(!\s*important\s*)?(?=;|$)", re.I
 )
@@ -93,7 +123,22 @@ class Element:
             return False
         if self.tag == "dialog" and "open" not in self.attrs:
             return False
-        return not UNSEEN_STYLE.search(self.attrs.get("style") or "")
+        return self.declared("display", DISPLAYS) != "none"
+
+    def declared(self, name: str, valid: frozenset[str]) -> str:
+        """The value that the ``style`` attribute gives a property: the last valid one, important ones first."""
+        style = self.attrs.get("style")
+        if not style or name not in style.lower():
+            return ""
+        found = [(v.lower(), i) for n, v, i in DECLARATION.findall(style) if n.lower() == name]
+        found = [(v, i) for v, i in found if v.split()[0] in valid]
+        return (next((v for v, i in reversed(found) if i), None) or found[-1][0]) if found else ""
+
+    def keeps(self, around: str) -> str:
+        """How white space inside the element shows; inherited from ``around``."""
+        if self.tag in PREFORMATTED:
+            around = KEPT
+        return KEEPS.get(self.declared("white-space", WHITE_SPACES), around)
 
     def _visibility(self) -> str:
         """The value that is set on this element: the last valid one, important ones first."""
@@ -113,6 +158,8 @@ class Element:
 
 
 class TreeBuilder(HTMLParser):
+    CDATA_CONTENT_ELEMENTS = RAW
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
@@ -171,6 +218,8 @@ class TreeBuilder(HTMLParser):
         elif tag == "tr" or tag in SECTIONS:
             self._back(PARTS if tag == "tr" else frozenset(("table",)))
         child = Element(tag, dict(attrs))
+        if tag == "plaintext":
+            self.set_cdata_mode("plaintext-that-never-ends")
         if tag in VOID:
             self.open[-1].children.append(child)
         else:
@@ -206,6 +255,9 @@ class TreeBuilder(HTMLParser):
         if self.rawdata.startswith("<!--"):  # a comment that never ends hides the rest
             self.rawdata = ""
         super().close()
+        if self.rawdata and self.open[-1].tag in PREFORMATTED:  # text that its end tag never ends
+            self.open[-1].children.append(self.rawdata)
+            self.rawdata = ""
 
     def handle_data(self, data):
         if self.open[-1].tag == "colgroup" and data.strip():
@@ -233,11 +285,25 @@ class Writer:
         self.inline: list[str] = []
         self.gap = False
 
-    def text(self, data: str) -> None:
-        self.inline.append(SPACE.sub(" ", data))
+    def text(self, data: str, keeps: str = COLLAPSED) -> None:
+        if keeps == COLLAPSED:
+            self.inline.append(SPACE.sub(" ", data))
+            return
+        for i, line in enumerate(data.replace("\r\n", "\n").split("\n")):
+            if i:
+                self.breaks()
+            self.inline.append(line.replace(" ", SOLID) if keeps == KEPT else SPACE.sub(" ", line))
+
+    def breaks(self) -> None:
+        """A line break: ends the line, or leaves a blank one."""
+        if "".join(self.inline).strip(" " + SOLID):
+            self.flush()
+        else:
+            self.inline = []
+            self.gap = bool(self.lines)
 
     def flush(self) -> None:
-        line = re.sub(" +", " ", "".join(self.inline)).strip(" ")
+        line = re.sub(" +", " ", "".join(self.inline)).strip(" ").replace(SOLID, " ").rstrip(" ")
         self.inline = []
         if line:
             self.line(line)
@@ -258,7 +324,10 @@ class Writer:
 
 
 def _chosen(node: Element) -> list[Element | str]:
-    """The children that can show: the first that fits of svg's switch and of math's maction."""
+    """The children that can show: the first that fits of svg's switch and of math's maction,
+    the summary of closed details."""
+    if node.tag == "details" and not node.foreign and "open" not in node.attrs:
+        return [c for c in node.children if isinstance(c, Element) and c.tag == "summary"][:1]
     if not node.foreign or node.tag not in ("switch", "maction"):
         return node.children
     parts = [c for c in node.children if isinstance(c, Element)]
@@ -273,80 +342,105 @@ def _chosen(node: Element) -> list[Element | str]:
     return list(parts[:1])
 
 
-def render(node: Element, out: Writer, listed: int = 0, seen: bool = True) -> None:
-    """Write the children of ``node``; ``listed`` is the depth of lists around it,
-    ``seen`` whether its own text shows."""
-    number = int(node.attrs["start"]) if node.tag == "ol" and (node.attrs.get("start") or "").isdecimal() else 1
+def _integer(text: str | None) -> int | None:
+    """The number that an attribute begins with, if any."""
+    found = re.match(r"[ \t\n\f\r]*([+-]?[0-9]{1,9})", text or "")
+    return int(found[1]) if found else None
+
+
+def _numbering(node: Element) -> tuple[int, int]:
+    """The number of a list's first item, and the step to the next."""
+    backwards = node.tag == "ol" and "reversed" in node.attrs
+    first = _integer(node.attrs.get("start")) if node.tag == "ol" else None
+    if first is None:
+        items = [c for c in node.children if isinstance(c, Element) and c.tag == "li" and c.visible()]
+        first = len(items) if backwards else 1
+    return first, -1 if backwards else 1
+
+
+def _field(child: Element) -> str:
+    """What an image or a field shows."""
+    kind = (child.attrs.get("type") or "").strip().lower()
+    if child.tag == "img" or kind == "image":
+        return child.attrs.get("alt") or ""
+    return "" if kind in VALUELESS else child.attrs.get("value") or ""
+
+
+def render(node: Element, out: Writer, listed: int = 0, seen: bool = True, keeps: str = COLLAPSED) -> None:
+    """Write the children of ``node``; ``listed`` is the depth of lists around it, ``seen``
+    whether its own text shows, and ``keeps`` how its white space does."""
+    number, step = _numbering(node) if node.tag == "ol" else (1, 1)
     for child in _chosen(node):
         if isinstance(child, str):
             if seen:
-                out.text(child)
+                out.text(child, keeps)
             continue
         if not child.visible():
             continue
-        tag, shows = child.tag, child.seen(seen)
+        tag, shows, kept = child.tag, child.seen(seen), child.keeps(keeps)
         if child.foreign:
             block = tag == "math" and (child.attrs.get("display") or "").lower() == "block"
             apart = tag in APART or node.tag == "mfrac" or (tag == "tspan" and not {"x", "y"}.isdisjoint(child.attrs))
             out.flush() if block else out.text(" " if apart else "")
-            render(child, out, listed, shows)
+            render(child, out, listed, shows, kept)
             out.flush() if block else out.text(" " if apart else "")
             continue
         if tag == "br":
-            if out.inline:
-                out.flush()
+            out.breaks()
             continue
         if tag in ("img", "input"):
-            shown = child.attrs.get("alt" if tag == "img" else "value") or ""
+            shown = _field(child)
             out.text(f" {shown} " if shown and shows else "")
             continue
-        if tag == "pre" or tag == "textarea":
+        if tag in PREFORMATTED and kept == KEPT:
             out.paragraph()
-            whole = "".join(strings(child, shows))
-            for line in whole.strip("\n").split("\n") if shows or whole.strip() else ():
+            whole = "".join(strings(child, shows)).replace(SOLID, " ")
+            for line in whole.strip("\n").split("\n") if whole.strip() else ():
                 out.line(line.rstrip())
             out.paragraph()
         elif tag == "table":
             out.paragraph()
-            for line in table(child, listed, shows):
+            for line in table(child, listed, shows, kept):
                 out.line(line)
             out.paragraph()
         elif tag == "li":
             out.flush()
             inner = Writer()
-            render(child, inner, listed, shows)
+            render(child, inner, listed, shows, kept)
             inner.flush()
+            own = _integer(child.attrs.get("value")) if node.tag == "ol" else None
+            number = number if own is None else own
             mark = f"{number}. " if node.tag == "ol" else "- "
             mark = mark if shows else " " * len(mark)
-            number += 1
+            number += step
             if inner.lines:
                 out.nest(inner.lines, mark, " " * len(mark))
         elif tag in ("ul", "ol", "menu", "dir"):
             out.flush() if listed else out.paragraph()
-            render(child, out, listed + 1, shows)
+            render(child, out, listed + 1, shows, kept)
             out.flush() if listed else out.paragraph()
         elif tag in ("blockquote", "dd"):
             out.paragraph() if tag == "blockquote" else out.flush()
             inner = Writer()
-            render(child, inner, listed, shows)
+            render(child, inner, listed, shows, kept)
             inner.flush()
             out.nest(inner.lines, "  ", "  ")
             if tag == "blockquote":
                 out.paragraph()
         elif tag in PARAGRAPHS or tag == "hr":
             out.paragraph()
-            render(child, out, listed, shows)
+            render(child, out, listed, shows, kept)
             out.paragraph()
         elif tag in BLOCKS:
             out.flush()
-            render(child, out, listed, shows)
+            render(child, out, listed, shows, kept)
             out.flush()
         elif tag in CELLS:
             out.text(" ")
-            render(child, out, listed, shows)
+            render(child, out, listed, shows, kept)
             out.text(" ")
         else:
-            render(child, out, listed, shows)
+            render(child, out, listed, shows, kept)
 
 
 def strings(node: Element, seen: bool = True) -> Iterator[str]:
@@ -360,8 +454,17 @@ def strings(node: Element, seen: bool = True) -> Iterator[str]:
             yield from strings(child, child.seen(seen))
 
 
+def _shown_order(node: Element) -> list[Element]:
+    """A table's parts as they are shown: the first thead on top, the first tfoot at the bottom."""
+    parts = [c for c in node.children if isinstance(c, Element) and c.visible()]
+    head = next((c for c in parts if c.tag == "thead"), None)
+    foot = next((c for c in parts if c.tag == "tfoot"), None)
+    middle = [c for c in parts if c is not head and c is not foot]
+    return [c for c in (head, *middle, foot) if c is not None]
+
+
 def _rows(node: Element, seen: bool) -> Iterator[tuple[Element, bool]]:
-    for child in node.children:
+    for child in _shown_order(node) if node.tag == "table" else node.children:
         if isinstance(child, Element) and child.visible():
             if child.tag == "tr":
                 yield child, child.seen(seen)
@@ -386,7 +489,7 @@ def _span(cell: Element, name: str) -> int:
     return min(max(int(value), 1), 1000) if value.isascii() and value.isdecimal() and len(value) < 6 else 1
 
 
-def table(node: Element, listed: int, seen: bool = True) -> list[str]:
+def table(node: Element, listed: int, seen: bool = True, keeps: str = COLLAPSED) -> list[str]:
     """Rows with columns padded to their widest cell; text outside cells comes first."""
     stray = Writer()
     for child, shows in _strays(node, seen):
@@ -395,7 +498,7 @@ def table(node: Element, listed: int, seen: bool = True) -> list[str]:
         elif child.visible():
             holder = Element("div", {})
             holder.children = [child]
-            render(holder, stray, listed, shows)
+            render(holder, stray, listed, shows, keeps)
             stray.flush()
     stray.flush()
     grid: list[dict[int, tuple[list[str], int]]] = []
@@ -414,7 +517,8 @@ def table(node: Element, listed: int, seen: bool = True) -> list[str]:
             holder, inner = Element("td", {}), Writer()
             is_cell = isinstance(cell, Element) and cell.tag in CELLS
             holder.children = cell.children if is_cell else [cell]
-            render(holder, inner, listed, cell.seen(shows) if is_cell else shows)
+            shown, kept = (cell.seen(shows), cell.keeps(row.keeps(keeps))) if is_cell else (shows, row.keeps(keeps))
+            render(holder, inner, listed, shown, kept)
             inner.flush()
             if not is_cell and not inner.lines:
                 continue
@@ -452,7 +556,13 @@ def visible_text(html: str) -> str:
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(id, text) of every page; null html gives empty text, repeated rows repeat."""
+    """(id, text) of every page, whole pages whatever their length.
+
+    Null or empty html gives empty text; repeated rows and ids repeat; an
+    empty table gives an empty result; further columns are ignored. What is
+    rendered and what is not is said at the top of this module.
+    """
+    bound_batches(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 
 from churnlens.llm.html_layout import extract_text, visible_text
@@ -88,6 +91,112 @@ SHOWN = {
 }
 
 
+BROWSER = {
+    "<details><summary>more</summary><p>no</details>a": "more\na",
+    "<details open><summary>more</summary>yes</details>": "more\nyes",
+    "<details>no<summary>s1</summary><summary>no</summary></details>a": "s1\na",
+    "<input type=password value=secret><input type=checkbox value=on><input type=radio value=r>x": "x",
+    "<input type=file value=f><input type=range value=3><input type=color value='#fff'>x": "x",
+    "<input type=image alt=map value=v><input type=submit value=Go><input type=unheard value=t><input value=u>": "map Go t u",
+    "x<br><br>y": "x\n\ny",
+    "x<br> <br><br>y<br>z": "x\n\ny\nz",
+    "<p>a<br></p><p>b": "a\n\nb",
+    "<br>a": "a",
+    "<div>a</div><br><div>b</div>": "a\n\nb",
+    "<xmp><b>bold</b> &amp; </xmp>c": "<b>bold</b> &amp;\n\nc",
+    "a<plaintext><p>b</p></plaintext> &lt;": "a\n\n<p>b</p></plaintext> &lt;",
+    "<ol start='-2'><li>a<li>b<li>c<li>d</ol>": "-2. a\n-1. b\n0. c\n1. d",
+    "<ol reversed><li>a<li>b<li hidden>no<li>c</ol>": "3. a\n2. b\n1. c",
+    "<ol reversed start=10><li>a<li>b</ol>": "10. a\n9. b",
+    "<ol><li>a<li value=5>b<li>c<li value=x>d</ol>": "1. a\n5. b\n6. c\n7. d",
+    "<ul><li value=5>a</ul>": "- a",
+    "<p style='display:none;display:block'>yes</p><p style='display:block;display:none'>no": "yes",
+    "<p style='display:none!important;display:block'>no</p><p style='display:none;display:nonsense'>no</p>yes": "yes",
+    "<p style='xdisplay:none'>yes</p><p style='display : inline flex'>and</p>": "yes\n\nand",
+    "<div style='white-space:pre'>a  b\n   c</div>d": "a  b\n   c\nd",
+    "<p>x <span style='white-space: pre-wrap'>1   2\n 3</span> y": "x 1   2\n 3 y",
+    "<div style='white-space:pre-line'>a   b\nc</div>": "a b\nc",
+    "<div style='white-space:pre'>a  b<p style='white-space:normal'>c   d</div>": "a  b\n\nc d",
+    "<pre style='white-space:normal'>a   b\nc</pre>": "a b c",
+    "<table style='white-space:pre'><tr><td>a  b<td>c</table>": "a  b  c",
+    "<table><tr><td>b<tfoot><tr><td>f<thead><tr><td>h</table>": "h\nb\nf",
+    "<table><tfoot><tr><td>f</tfoot><tbody><tr><td>b</tbody><thead><tr><td>h</thead><thead><tr><td>2</table>": "h\nb\n2\nf",
+}
+
+
+@pytest.mark.parametrize("html", BROWSER)
+def test_as_a_browser_shows_it(html):
+    assert visible_text(html) == BROWSER[html]
+
+
+class Generated:
+    """A random tree, its markup, and the words that show, in order, told from the tree alone."""
+
+    INLINE = ("b", "i", "span", "a", "code", "em", "font")
+    BLOCK = ("div", "section", "article", "blockquote", "main", "center", "form", "fieldset")
+    GONE = ("script", "style", "template", "title", "noscript", "iframe", "audio")
+
+    def __init__(self, seed):
+        self.rng, self.n = random.Random(seed), 0
+        self.markup, self.words = self.flow(4, True, True)
+
+    def word(self, shown):
+        self.n += 1
+        return f" w{self.n} ", [f"w{self.n}"] if shown else []
+
+    def flow(self, depth, there, seen):
+        parts, words = [], []
+        for _ in range(self.rng.randint(1, 4)):
+            text, own = self.node(depth, there, seen)
+            parts.append(text)
+            words += own
+        return "".join(parts), words
+
+    def node(self, depth, there, seen):
+        kind = self.rng.choice(["word", "word", "inline", "block", "list", "table", "gone", "style", "details", "comment"])
+        if kind == "word" or not depth:
+            return self.word(there and seen)
+        if kind == "comment":
+            return "<!-- no <b>words</b> -->", []
+        if kind == "gone":
+            return "<{0}> no </{0}>".format(self.rng.choice(self.GONE)), []
+        if kind == "inline":
+            parts = [self.word(there and seen) for _ in range(2)]
+            tag = self.rng.choice(self.INLINE)
+            return f"<{tag}>{''.join(p for p, _ in parts)}</{tag}>", [w for _, own in parts for w in own]
+        if kind == "style":
+            style, there2, seen2 = self.rng.choice(
+                [
+                    ("display:none", False, seen), ("display:none;display:block", there, seen), ("color:red", there, seen),
+                    ("visibility:hidden", there, False), ("visibility:visible", there, True), ("display:block; visibility:collapse", there, False),
+                ]
+            )
+            text, words = self.flow(depth - 1, there2, seen2)
+            return f"<div style='{style}'>{text}</div>", words
+        if kind == "details":
+            head, words = self.word(there and seen)
+            is_open = self.rng.random() < 0.5
+            text, more = self.flow(depth - 1, there and is_open, seen)
+            return f"<details{' open' * is_open}><summary>{head}</summary>{text}</details>", words + more
+        if kind == "list":
+            items = [self.flow(depth - 1, there, seen) for _ in range(self.rng.randint(1, 3))]
+            end = self.rng.choice(["", "</li>"])
+            return "<ul>" + "".join(f"<li>{t}{end}" for t, _ in items) + "</ul>", [w for _, own in items for w in own]
+        if kind == "table":
+            rows = [[self.word(there and seen) for _ in range(self.rng.randint(1, 3))] for _ in range(self.rng.randint(1, 3))]
+            text = "".join("<tr>" + "".join(f"<td>{t}" for t, _ in row) for row in rows)
+            return f"<table>{text}</table>", [w for row in rows for _, own in row for w in own]
+        text, words = self.flow(depth - 1, there, seen)
+        tag = self.rng.choice(self.BLOCK)
+        return f"<{tag}>{text}</{tag}>", words
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_visible_words_of_generated_trees(seed):
+    made = Generated(seed)
+    assert re.findall(r"w[0-9]+|no", visible_text(made.markup)) == made.words
+
+
 @pytest.mark.parametrize("html", SHOWN)
 def test_formulas_drawings_and_visibility(html):
     assert visible_text(html) == SHOWN[html]
