@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from churnlens.sinks.storage import delete_path
+
 #: A word is a maximal run of characters other than space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -53,6 +57,25 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Paths of shared tables written inside each ``scratch``, the innermost last.
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the shared tables written inside, but for the last one.
+
+    For a caller that has written what it wants from an operator: what the
+    operator wrote on the way is then of no use.
+    """
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path in _MADE.pop()[:-1]:
+            delete_path(spark, path)
+
+
 def shared_table(df: DataFrame, name: str, rows: int | None = None, words: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there.
 
@@ -66,10 +89,19 @@ def shared_table(df: DataFrame, name: str, rows: int | None = None, words: int |
     if words is not None:
         df = df.coalesce(1 + words // FILE_WORDS)
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_name(column: str, result: tuple[str, ...]) -> str:
+    """``column``, unless the result has a column of its own by that name (then it raises)."""
+    if column in result:
+        raise ValueError(f"{column} is the name of a column of the result; rename the id first")
+    return column
+
+
 def utf8_crc32(text: Column) -> Column:
     """Unsigned crc32 of the UTF-8 bytes."""
     return F.crc32(F.encode(text, "UTF-8"))

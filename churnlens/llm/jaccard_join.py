@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.llm.common import bound_batches, shared_table, shuffle_width
 from churnlens.llm.components import components
@@ -148,7 +149,7 @@ class Threshold:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
@@ -413,17 +414,26 @@ def similar_components(
     null or without words have no shingles, are linked with nothing, and are
     components of their own. Equal sets form a class (named by its smallest
     id); a component is named by its smallest id. Rows that repeat an id
-    belong to one document, which is linked by each of their texts; rows
+    belong to one document, which is linked by each of their texts; ids of any
+    type that can be ordered will do; rows
     without an id get the component of their class, null if no row of it has
     one. An empty table gives an empty result.
     """
     bound_batches(docs.sparkSession)
     limit = Threshold(*similar)
     texts = _texts(docs, id_col, text_col)
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return _numbered_components(texts, limit, size)
+    texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
     described = shared_table(describe_sets(texts, size), "shingle-sets")
     sets = described.filter("slice is null and doc_id is not null")
     if sets.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").isEmpty():
         return _set_components(texts, described, limit, size)
+    return _numbered_components(texts, limit, size)
+
+
+def _numbered_components(texts: DataFrame, limit: Threshold, size: int) -> DataFrame:
+    """The same for ids that are no numbers, or that rows with other texts repeat: by the row's number."""
     number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
     numbered = shared_table(texts.withColumn("row", number), "numbered-texts")
     alone = numbered.select(F.col("row").alias("doc_id"), "text")

@@ -12,7 +12,7 @@ slots is generated on its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from fractions import Fraction
 
 import numpy as np
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_table, utf8_crc32, word_count
+from churnlens.llm.common import own_name, shared_table, utf8_crc32, word_count
 
 WEIGHTS = (5, 2, 1)
 #: Largest multiple of its size that a source may be used.
@@ -32,6 +32,8 @@ CHUNK = 1 << 16
 ONE = 1 << 64
 #: 2**64 / golden ratio, odd.
 STEP = 0x9E3779B97F4A7C15
+#: Columns of a mix besides the id.
+MIX_COLUMNS = ("source_no", "size", "text_crc32", "start", "source_size", "target", "block_words", "block", "copies", "taken")
 #: Documents ordered together when a stream's positions are summed.
 BUCKET_ROWS = 500
 
@@ -69,13 +71,21 @@ def targets(words: list[int], weights=WEIGHTS, cap: int = CAP) -> list[Fraction]
 def plan_sources(stats: list[tuple[str | None, int, int]]) -> list[Source]:
     """Sources in code point order, null last, with targets, blocks and slots."""
     stats = sorted(stats, key=lambda s: (s[0] is None, s[0] or ""))
-    out = []
+    out, rests = [], []
     for (name, rows, words), target in zip(stats, targets([s[2] for s in stats]), strict=True):
         size = max(1, min(BLOCK_WORDS, int(target) // MIN_SLOTS))
         blocks = -(-words // size)
         epochs, rest = divmod(target, words) if words else (0, 0)
-        slots = min(CAP * blocks, int(epochs) * blocks + round(Fraction(rest) / size)) if words else 0
-        out.append(Source(name, rows, words, target, size, blocks, slots))
+        own, rest = divmod(Fraction(rest), size)
+        out.append(Source(name, rows, words, target, size, blocks, int(epochs) * blocks + int(own) if words else 0))
+        rests.append(rest)
+    # the words that whole slots leave over go to the largest remainders, so that the sum holds too
+    left = sum(rests)
+    for i in sorted(range(len(out)), key=lambda i: (-rests[i] / out[i].block_words, i)):
+        s = out[i]
+        if rests[i] and 2 * left >= s.block_words and s.slots < CAP * s.blocks:
+            out[i] = replace(s, slots=s.slots + 1)
+            left -= s.block_words
     return out
 
 
@@ -191,8 +201,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text has size 0 and is never taken; a null source is a source of
     its own; ties in the shuffle are broken by id, size and crc, so reruns
     agree, and repeated rows are taken separately. The driver holds a few
-    numbers per source. An empty table gives an empty mix.
+    numbers per source. An empty table gives an empty mix; further columns are
+    ignored, but the id must not be named like a column of the result. A
+    source takes whole blocks (of one word at least, 1/1024 of its target at
+    most), so it comes within a block of its target, and all together within
+    the largest block of theirs.
     """
+    own_name(id_col, MIX_COLUMNS)
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = shared_table(
         docs.select(

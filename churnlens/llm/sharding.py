@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_table, utf8_crc32, word_count
+from churnlens.llm.common import own_name, shared_table, utf8_crc32, word_count
 
 BUNDLES = 4096
 #: Rows numbered together when slots are dealt.
@@ -54,7 +54,10 @@ def shard_documents(
     tokens and the crc of nothing, and shares a group with the empty text.
     Slots number each shard's rows from 0 without gaps. Repeated rows are
     placed together and get slots of their own; an empty table gives none.
+    Further columns are ignored, but the id must not be named like a column of
+    the result.
     """
+    own_name(id_col, ("size", "tokens", "text_crc32", "shard", "slot", "bytes", "rows"))
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = shared_table(

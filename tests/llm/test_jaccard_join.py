@@ -132,3 +132,17 @@ def test_components(spark):
     assert [found[k] for k in (8, 9, 10)] == [8] * 3
     assert [found[k] for k in (20, 21)] == [20] * 2
     assert {found[100 + k] for k in range(41)} == {100}
+
+
+def test_ids_that_are_no_numbers(spark):
+    base = [f"word{i} of the text" for i in range(60)]
+    texts = {"b": " ".join(base), "a": " ".join(base + ["more"]), "z": "something else entirely, not alike", "y": "one", "x": "one"}
+    rows = [*texts.items(), ("z", None), (None, "one")]
+    df = spark.createDataFrame(rows, "name string, body string")
+    found = jj.similar_components(df, "name", "body").collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found if r["doc_id"]) == [
+        ("a", "a"), ("b", "a"), ("x", "x"), ("y", "x"), ("z", "z"), ("z", "z"),
+    ]
+    assert [r["component_id"] for r in found if r["doc_id"] is None] == ["x"]
+    kept = jj.keep_one(df.filter("name is not null and body is not null"), "name", "body")
+    assert sorted(r["name"] for r in kept.collect()) == ["a", "x", "z"]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from churnlens.llm import mixing
 
@@ -82,3 +84,50 @@ def test_hostile_and_empty(hostile, nothing):
     mixed = mixing.mixed_documents(hostile)
     assert mixed.columns == hostile.columns
     assert {r["doc_id"] for r in mixed.collect()} <= {r["doc_id"] for r in hostile.collect()}
+
+
+def plain_taken(rows, hashes):
+    """Words taken of each document, slot after slot and word range after word range."""
+    by_source = {}
+    for i, text, source in rows:
+        by_source.setdefault(source, []).append((hashes[i], i, len(re.findall(r"[^\x20\x09-\x0D]+", text)), zlib.crc32(text.encode())))
+    sources = mixing.plan_sources([(s, len(x), sum(d[2] for d in x)) for s, x in by_source.items()])
+    total = sum(s.slots for s in sources)
+    ends = [sum(s.slots for s in sources[: k + 1]) * 2**64 // total for k in range(len(sources))]
+    used, times, slot = [0] * len(sources), Counter(), 0
+    while sum(used) < total:
+        k = next(k for k, e in enumerate(ends) if slot * mixing.STEP % 2**64 < e)
+        if used[k] < sources[k].slots:
+            times[k, used[k] % sources[k].blocks] += 1
+            used[k] += 1
+        slot += 1
+    out = {}
+    for k, s in enumerate(sources):
+        start, buckets = 0, 1 + s.rows // mixing.BUCKET_ROWS
+        for _, i, size, _ in sorted(by_source[s.name], key=lambda d: (d[0] % buckets, d)):
+            out[i] = sum(times[k, word // s.block_words] for word in range(start, start + size))
+            start += size
+    return out
+
+
+def test_taken_equals_a_plain_version(documents):
+    rng = np.random.default_rng(21)
+    rows = [(i, "w " * int(n), "en", ["a", "b", None, "ü", "c"][i % 5 if i % 7 else 0]) for i, n in enumerate(rng.pareto(1.3, 1200) * 9)]
+    df = documents(rows)
+    hashes = dict(df.select("doc_id", F.xxhash64(F.lit("doc_id"), "doc_id")).collect())
+    want = plain_taken([(i, t, s) for i, t, _, s in rows], hashes)
+    found = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(df).taken().collect()}
+    assert found == want and len(set(want.values())) > 10
+
+
+def test_many_small_sources_hold_the_whole():
+    for words in ([2] * 3000, [1, 2, 3] * 700, [5, 100_000, 7, 3]):
+        sources = mixing.plan_sources([(f"s{i:05}", 1, w) for i, w in enumerate(words)])
+        taken = [s.slots * s.block_words for s in sources]
+        assert abs(sum(taken) - sum(words)) <= max(s.block_words for s in sources)
+        assert all(abs(t - s.target) <= s.block_words and t <= 3 * s.words for t, s in zip(taken, sources, strict=True))
+
+
+def test_an_id_named_like_a_result_column_raises(documents):
+    with pytest.raises(ValueError, match="rename the id"):
+        mixing.mix_sources(documents([(1, "a", "en", "a")]).drop("size").withColumnRenamed("doc_id", "size"), "size")

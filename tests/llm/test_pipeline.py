@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -17,6 +18,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from churnlens.llm import mixing
 from churnlens.llm import toxicity as tox
+from churnlens.llm.common import shared_root
 from churnlens.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.test_jaccard_join import brute
 
@@ -144,10 +146,14 @@ def test_run_equals_plain_stages(spark, tmp_path, monkeypatch):
     from tests.llm.test_pieces import plain_viterbi
 
     rows = small_tables(spark, str(tmp_path))
+    before = set(os.listdir(shared_root(spark)))
     written, write = {}, corpus_pipeline.shared_table
     monkeypatch.setattr(corpus_pipeline, "shared_table", lambda df, name: written.setdefault(name, write(df, name)))
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert list(written) == [f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES]
+    # the stages' own tables stay, what they wrote on the way does not
+    left = sorted(re.sub("-[0-9a-f]{32}$", "", n) for n in set(os.listdir(shared_root(spark))) - before)
+    assert left == sorted(written)
     stage = [df.collect() for df in written.values()]
     assert all(tuple(r) == rows[r["doc_id"]] for out in stage[:4] for r in out)
     ids = [Counter(r["doc_id"] for r in out) for out in stage]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
+import pytest
 
 from churnlens.llm import sharding
 
@@ -55,3 +57,49 @@ def test_pack_places_where_the_dot_product_is_highest():
     items = np.array([[8, 0, 1], [0, 8, 1], [8, 0, 1], [0, 8, 1]], dtype=float)
     shards = sharding.pack(items, 2)
     assert shards[0] != shards[2] and shards[1] != shards[3]
+
+
+def plain_pack(items, n):
+    """Largest need first; the shard with room whose residual capacity has the highest dot product."""
+    dims = range(3)
+    capacity = [sum(v[d] for v in items) / n for d in dims]
+    need = [[v[d] / capacity[d] if capacity[d] else 0.0 for d in dims] for v in items]
+    residual, where = [[1.0] * 3 for _ in range(n)], [0] * len(items)
+    for i in sorted(range(len(items)), key=lambda i: (-max(need[i]), i)):
+        room = [s for s in range(n) if all(residual[s][d] >= need[i][d] for d in dims)]
+        score = {s: sum(residual[s][d] * need[i][d] for d in dims) for s in room} or {s: residual[s][0] for s in range(n)}
+        where[i] = max(score, key=lambda s: (score[s], -s))
+        residual[where[i]] = [residual[where[i]][d] - need[i][d] for d in dims]
+    return where
+
+
+def test_packing_equals_a_plain_packer():
+    rng = np.random.default_rng(12)
+    for n in (2, 5, 8):
+        # powers of two keep the sums exact, so ties are ties in both
+        items = 2.0 ** rng.integers(0, 9, (500, 3))
+        assert sharding.pack(items, n).tolist() == plain_pack(items.tolist(), n)
+
+
+def test_shards_and_slots_equal_a_plain_version(documents):
+    rng = np.random.default_rng(13)
+    rows = [(int(i), f"t{rng.integers(0, 500)} " * int(rng.integers(1, 20)), "en", "a") for i in rng.permutation(700)]
+    rows += [(5000, None, "en", "a"), (5001, "", "en", "a"), (None, "no id", "en", "a")]
+    groups = {}
+    for i, text, *_ in rows:
+        raw = (text or "").encode()
+        groups.setdefault("g:" + hashlib.sha256(raw).hexdigest().upper() + ":0", []).append((i, raw))
+    names = sorted(groups)
+    items = [[sum(len(r) + 1 for _, r in groups[g]), sum(len(r.split()) for _, r in groups[g]), len(groups[g])] for g in names]
+    want = {}
+    for shard, g in zip(sharding.pack(np.array(items, dtype=float), 6).tolist(), names, strict=True):
+        for i, raw in groups[g]:
+            want.setdefault(shard, []).append((i is not None, i or 0, zlib.crc32(raw), len(raw) + 1))
+    expected = {(s, slot, r[2]) for s, own in want.items() for slot, r in enumerate(sorted(own))}
+    found = sharding.shard_documents(documents(rows), 6).collect()
+    assert {(r["shard"], r["slot"], r["text_crc32"]) for r in found} == expected and len(found) == len(rows)
+
+
+def test_an_id_named_like_a_result_column_raises(documents):
+    with pytest.raises(ValueError, match="rename the id"):
+        sharding.shard_documents(documents([(1, "a", "en", "a")]).withColumnRenamed("doc_id", "tokens"), 2, "tokens")
