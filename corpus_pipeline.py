@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm.common import read_table, shared_table
+from churnlens.llm.common import read_table, scratch, shared_table
 from churnlens.llm.content_sort import drop_exact_duplicates
 from churnlens.llm.jaccard_join import keep_one
 from churnlens.llm.mixing import mixed_documents
@@ -49,8 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage is written to the shared folder and reread."""
+    """The last stage's rows; each stage is written to the shared folder and reread.
+
+    What a stage wrote on the way is deleted once its rows are written.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = shared_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = shared_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
