@@ -107,3 +107,15 @@ def test_timestamp_text_does_not_depend_on_the_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert rows[4] == "2024-03-10 02:00:04" and rows[5] == "2024-03-10 02:00:05.250000"
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(STORED_QUERIES)))
+def test_building_a_plan_runs_no_job_over_the_data(spark, name):
+    """Only the footers of the tables are read (a job of one task each); nothing is counted or collected."""
+    sc = spark.sparkContext
+    before = set(sc.statusTracker().getJobIdsForGroup(None))
+    QUERIES[name](spark, SF_DIR)
+    new = set(sc.statusTracker().getJobIdsForGroup(None)) - before
+    stages = [s for j in new for s in sc.statusTracker().getJobInfo(j).stageIds]
+    assert len(new) <= 8 and all(sc.statusTracker().getStageInfo(s).numTasks == 1 for s in stages)
+    assert len(stages) == len(new)  # a job over data has a shuffle
