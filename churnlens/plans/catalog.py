@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.expressions import bin_right_closed, exact_avg, flag_equals, python_timestamp_text, utc_now
@@ -245,6 +245,23 @@ def q_flag_rate_bands(spark, sf_dir):
     return table_band(rate_band(segment_rate(flagged_customers(spark, sf_dir), "region", "flag")))
 
 
+def _placed(report: DataFrame) -> DataFrame:
+    """A report (a few rows) with the place of each row in its own order."""
+    placed = report.withColumn("place", F.monotonically_increasing_id())  # ascends through a sorted frame
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("place")))
+
+
+def q_churn_by_contract_order(spark, sf_dir):
+    """The contract report with each row's place: riskiest first."""
+    return _placed(segment_rate(_production(spark, sf_dir), "ContractType"))
+
+
+def q_flag_rate_order(spark, sf_dir):
+    """Segments by falling rate, ties and a NULL segment included."""
+    df = flagged_customers(spark, sf_dir).withColumn("segment", F.concat_ws("-", "region", F.col("tenure") % 5))
+    return _placed(segment_rate(df, "segment", "flag"))
+
+
 def q_flag_profile(spark, sf_dir):
     """NULL flags counted as 0, NULL averages reported as 0."""
     df = flagged_customers(spark, sf_dir)
@@ -319,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "lineitem_medians": q_lineitem_medians,
     "staging_csv_lines": q_staging_csv_lines,
     "flag_rate_bands": q_flag_rate_bands,
+    "churn_by_contract_order": q_churn_by_contract_order,
+    "flag_rate_order": q_flag_rate_order,
     "flag_profile": q_flag_profile,
     "flag_totals": q_flag_totals,
     "flag_values": q_flag_values,
@@ -626,6 +645,14 @@ SELECT metric_name, metric_value, CAST(1 AS BIGINT) AS n_rows, CAST(1 AS BIGINT)
 SELECT region, count, churn_rate, {_band('churn_rate')} AS rate_band,
   CASE WHEN churn_rate >= 80 THEN 'red' ELSE 'green' END AS table_band
 FROM (SELECT region, COUNT(*) AS count, COALESCE(ROUND({_rate('flag')}, 2), 0) AS churn_rate FROM f GROUP BY region)""",
+    "churn_by_contract_order": _with_prod(
+        "SELECT *, CAST(row_number() OVER (ORDER BY churn_rate DESC NULLS LAST, contract_type NULLS LAST) AS INTEGER) AS place "
+        f"FROM ({_segment_sql('ContractType', 'contract_type')}) s"
+    ),
+    "flag_rate_order": f"""WITH {FLAGGED_SQL}, s AS (
+  SELECT COALESCE(region || '-', '') || tenure % 5 AS segment, COUNT(*) AS count, COALESCE(ROUND({_rate('flag')}, 2), 0) AS churn_rate
+  FROM f GROUP BY 1)
+SELECT *, CAST(row_number() OVER (ORDER BY churn_rate DESC NULLS LAST, segment NULLS LAST) AS INTEGER) AS place FROM s""",
     "flag_profile": f"""WITH {FLAGGED_SQL}
 SELECT COUNT(*) AS total_customers, COALESCE({_rate(_NULL_AS_ZERO)}, 0) AS churn_rate,
   COALESCE({_avg('charges')}, 0) AS avg_monthly_charges, COALESCE({_avg('tenure')}, 0) AS avg_tenure,
