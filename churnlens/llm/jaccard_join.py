@@ -361,21 +361,20 @@ def link_components(
     """
     rows, seed = lists.count(), 0
     found, comps, before = None, None, None
+    open_ = lists  # components only grow: a list that is within one is never looked at again
     while True:
         if comps is None:
-            known = lists.withColumn("comp", F.col("node"))
+            known = open_.withColumn("comp", F.col("node"))
         else:
-            named = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+            named = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
             known = shared_table(named.drop("component"), "named-lists", rows)
         shares = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         per_list = shares.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         mixed = per_list.filter("m * m > s")
         weights = known.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
-        known = shared_table(
-            known.join(mixed.select("token"), "token", "left_semi").join(weights, "comp").join(bits, "node"),
-            "mixed-lists",
-            rows,
-        )
+        known = known.join(mixed.select("token"), "token", "left_semi").join(weights, "comp")
+        known = shared_table(known if comps is not None else known.join(bits, "node"), "mixed-lists", rows)
+        open_ = known.drop("comp", "weight")
         todo = mixed.agg(F.sum((F.col("m") * F.col("m") - F.col("s")).cast("double") / 2), F.max("m")).first()
         if not todo[1]:
             break
