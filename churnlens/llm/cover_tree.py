@@ -36,8 +36,9 @@ CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 2048
 #: A node with no more points than this is not divided, and a child has more.
 LEAF = 16
-#: Points that are tried as centres at once.
+#: Points that are tried as centres at once, and distances taken at once.
 CENTRES = 64
+CELLS = 1 << 20
 #: Scores stay exact in doubles below this, and in 64 bits up to the other.
 EXACT = float(2**53)
 LARGEST = 2**63 - 1
@@ -93,9 +94,12 @@ def build(points: np.ndarray, members: np.ndarray) -> Node:
     own = points[members]
     centres = separated(own, node.radius / 2)
     nearest = np.empty(len(members), dtype=np.int64)
-    for at in range(0, len(members), 4096):
-        nearest[at : at + 4096] = _squared(own[at : at + 4096], own[centres]).argmin(axis=1)
     nearest[centres] = np.arange(len(centres))
+    others = np.setdiff1d(np.arange(len(members)), centres)
+    rows = max(1, CELLS // len(centres))
+    for at in range(0, len(others), rows):
+        some = others[at : at + rows]
+        nearest[some] = _squared(own[some], own[centres]).argmin(axis=1)
     large = np.bincount(nearest, minlength=len(centres)) > LEAF
     stays = ~large[nearest]
     node.loose, node.away = members[stays], away[stays]
