@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: A value counts as beyond the limit when it is so by more than this share of itself: sums in
+#: another order differ in the last digits, and a value right at the limit is not beyond it.
+LIMIT_NOISE = 1e-9
+
+
 def _values(rows: DataFrame, ts_col: str) -> DataFrame:
     return rows.select("metric_name", F.col(ts_col).alias("ts"), F.col("metric_value").cast("double").alias("v"))
 
@@ -70,7 +75,8 @@ def incremental_alerts(
 ) -> DataFrame:
     """:func:`churnlens.operators.quality.metric_alerts` of new runs after ``state``.
 
-    Same columns and rules; ``rows`` are the new runs' metric rows, all later
+    Same columns and rules (but a value within LIMIT_NOISE of the limit raises
+    no sigma alert, however the sums round); ``rows`` are the new runs' metric rows, all later
     than the state's (a run that arrives late is judged by what came before
     its load, not by its date). The state is shifted to its own mean, so the
     running sums over the new runs stay small. One window partition per
@@ -117,7 +123,8 @@ def incremental_alerts(
             F.col("metric_name") == volume_metric, F.try_divide(v - F.col("prev"), F.abs("prev")) * 100
         ).alias("pct_change"),
     )
-    sigma = F.abs(F.col("metric_value") - F.col("prior_mean")) > F.lit(sigmas) * F.col("prior_std")
+    beyond = F.abs(F.col("metric_value") - F.col("prior_mean")) - F.lit(sigmas) * F.col("prior_std")
+    sigma = beyond > F.lit(LIMIT_NOISE) * F.abs("metric_value")
     return judged.select(
         "metric_name",
         ts_col,

@@ -616,7 +616,10 @@ FROM raw WHERE {_REJECTED_SQL}""",
     "job_metric_history": f"""WITH {RAW_SQL},{PROD_SQL},
 wide AS ({WIDE_METRICS_SQL}), tall AS ({_tall_sql('wide', METRIC_NAMES_SQL, None)})
 SELECT metric_name, metric_value, CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS runs FROM tall""",
-    "metric_alerts_incremental": ALERTS_SQL,
+    "metric_alerts_incremental": ALERTS_SQL.replace(
+        "ABS(metric_value - prior_mean) > 2.0 * prior_std AS",
+        "ABS(metric_value - prior_mean) - 2.0 * prior_std > 1e-9 * ABS(metric_value) AS",
+    ),
     "medians_of_loads": "SELECT MEDIAN(l_extendedprice) AS median_extendedprice, MEDIAN(l_quantity) AS median_quantity, "
     "MEDIAN(l_discount) AS median_discount FROM lineitem",
     "distinct_of_loads": "\nUNION ALL ".join(

@@ -71,6 +71,14 @@ def test_states_merge_in_any_order(spark):
     assert got["none"]["n"] == 0 and got["none"]["mean"] is None and got["none"]["last_value"] is None
 
 
+def test_a_value_right_at_the_limit_raises_no_alert(spark):
+    state = spark.createDataFrame([("m", 2, 33.0, 36.0, 33.0, START - dt.timedelta(hours=1))], METRIC_STATE)
+    at = by_run(incremental_alerts(state, history(spark, {"m": [45.0]})))[("m", START)]
+    assert at["prior_std"] == 6.0 and at["sigma_alert"] is False
+    over = by_run(incremental_alerts(state, history(spark, {"m": [45.0001]})))[("m", START)]
+    assert over["sigma_alert"] is True
+
+
 def test_a_run_reads_its_own_rows_and_the_state(spark):
     rows = history(spark, {"m": [1.0, 2.0]})
     state = spark.createDataFrame([("m", 5, 1.0, 2.0, 3.0, START)], METRIC_STATE)
