@@ -352,6 +352,13 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: Threshold, size: int) ->
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
+def named_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """``lists`` with the component of each row's node: a node is joined once, not once for each list it is on."""
+    nodes = lists.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.collect_list("token").alias("tokens"))
+    named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    return named.select(F.explode("tokens").alias("token"), "node", "n", "bits", "comp")
+
+
 def link_components(
     lists: DataFrame, texts: DataFrame, bits: DataFrame, limit: Threshold, size: int, words: int
 ) -> DataFrame:
@@ -366,8 +373,7 @@ def link_components(
         if comps is None:
             known = open_.withColumn("comp", F.col("node"))
         else:
-            named = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-            known = shared_table(named.drop("component"), "named-lists", rows)
+            known = shared_table(named_lists(open_, comps), "named-lists", rows)
         shares = known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         per_list = shares.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         mixed = per_list.filter("m * m > s")

@@ -146,3 +146,14 @@ def test_ids_that_are_no_numbers(spark):
     assert [r["component_id"] for r in found if r["doc_id"] is None] == ["x"]
     kept = jj.keep_one(df.filter("name is not null and body is not null"), "name", "body")
     assert sorted(r["name"] for r in kept.collect()) == ["a", "x", "z"]
+
+
+def test_later_rounds_join_a_node_once(spark):
+    lists = spark.range(40).selectExpr("id % 10 AS token", "id DIV 10 AS node", "7L AS n", "array(id DIV 10) AS bits")
+    comps = spark.createDataFrame([(1, 0), (0, 0)], "node long, component long")
+    named = jj.named_lists(lists, comps)
+    want = {(t, n, 7, (n,), 0 if n == 1 else n) for t in range(10) for n in range(4)}
+    assert {(r["token"], r["node"], r["n"], tuple(r["bits"]), r["comp"]) for r in named.collect()} == want and named.count() == 40
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    # lists are only spread after the join, which sees an aggregate by node
+    assert plan.index("Generate") < plan.index("Join") < plan.index("Aggregate [node")
