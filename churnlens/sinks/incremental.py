@@ -181,23 +181,23 @@ def load_incremental(df: DataFrame, table: KeyedTable, newest_by: Sequence[str]
     work = join_path(table.base, f"{WORK_PREFIX}{uuid.uuid4().hex}")
     incoming_path, changed_path = join_path(work, "incoming"), join_path(work, "changed")
     try:
-        # written once: which parts it has is then a listing, and its source is read only once
-        _keyed_rows(df, table, newest_by).hint("rebalance", PART).write.partitionBy(PART).parquet(incoming_path)
-        own_parts = _part_numbers(spark, incoming_path)
-        paths = part_paths(spark, table) if seen else {}
-        near = [paths[p] for p in own_parts if p in paths]
+        # written once, so its source is read only once; only versions have a folder for each part
         layout = T.StructType([*table.stored.fields, T.StructField(PART, T.LongType())])
+        _keyed_rows(df, table, newest_by).write.parquet(incoming_path)
         incoming = spark.read.schema(layout).parquet(incoming_path)
+        own_parts = _parts_in(incoming)
+        paths = part_paths(spark, table) if seen else {}
+        near = [paths[p] for p in own_parts if p in paths]
         marked = detect_changes(_stored(spark, table, near), incoming, table.keys, table.ignored)
         obs = Observation("changes")
         counts = [F.count_if(F.col("change") == c).alias(c) for c in (INSERT, UPDATE, UNCHANGED)]
         observed = marked.observe(obs, *counts).filter(F.col("change") != UNCHANGED).drop("change")
-        observed.write.partitionBy(PART).parquet(changed_path)
+        observed.write.parquet(changed_path)
         found = {k: int(v) for k, v in obs.get.items()}
-        parts = tuple(_part_numbers(spark, changed_path))
+        changed = spark.read.schema(layout).parquet(changed_path)
+        parts = tuple(_parts_in(changed))
         name = None
         if parts or not seen:
-            changed = spark.read.schema(layout).parquet(changed_path)
             old = _stored(spark, table, [paths[p] for p in parts if p in paths]).withColumn(PART, table.part())
             kept = old.alias("o").join(changed.alias("c"), same_key("o", "c", table.keys), "left_anti")
             name = _write_version(kept.unionByName(changed), table, LOAD if seen else FULL)
@@ -207,6 +207,11 @@ def load_incremental(df: DataFrame, table: KeyedTable, newest_by: Sequence[str]
         delete_path(spark, work)
 
 
+def _parts_in(rows: DataFrame) -> list[int]:
+    """The parts that some rows lie in: their numbers alone, as a listing of the table gives them."""
+    return sorted(r[0] for r in rows.select(PART).distinct().collect())
+
+
 def _part_numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n[len(PART) + 1 :]) for n in list_children(spark, path) if n.startswith(f"{PART}="))
 

@@ -208,3 +208,15 @@ def test_read_published_as_of(spark, tmp_path):
     assert read_published(spark, base, schema, first.rsplit("/", 1)[1]).count() == 2
     with pytest.raises(FileNotFoundError):
         read_published(spark, base, schema, "v=7")
+
+
+def test_only_versions_have_a_folder_for_each_part(spark, tmp_path, monkeypatch):
+    t, kept = table(tmp_path), []
+    monkeypatch.setattr(incremental, "delete_path", lambda session, path: kept.append(path))
+    load_incremental(rows(spark, *[(i, f"n{i}") for i in range(50)]), t)
+    load_incremental(rows(spark, *[(i, "new") for i in range(0, 100, 2)]), t)
+    assert len(kept) == 2
+    for work in kept:
+        for name in list_children(spark, work):
+            assert not [n for n in list_children(spark, f"{work}/{name}") if "=" in n]
+    assert len(part_paths(spark, t)) == 10
