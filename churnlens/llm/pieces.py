@@ -71,6 +71,10 @@ class PieceModel:
         self.sizes = np.array([len(x) for x in spelled], dtype=np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         keys = self.word_keys([self.text[i] for i in plain])
+        # most substrings are no piece: the top bits of their keys say so before the search
+        self.filter = np.zeros(1 << (64 - int(KEY_SHIFT)), dtype=bool)
+        self.filter[keys >> KEY_SHIFT] = True
+        keys = keys * BASE  # keys of one character differ in their low bits only
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(plain, dtype=np.int64)[order]
         self.scores = np.array([model.get_score(int(i)) for i in self.ids], dtype=float)
@@ -78,9 +82,10 @@ class PieceModel:
         if self.longest > 255:
             raise ValueError("a piece has over 255 characters")
         self.powers = np.array([pow(int(BASE), k, 1 << 64) for k in range(self.longest + 1)], dtype=np.uint64)
-        # most substrings are no piece: the top bits of their keys say so before the search
-        self.filter = np.zeros(1 << (64 - int(KEY_SHIFT)), dtype=bool)
-        self.filter[self.keys >> KEY_SHIFT] = True
+        # where the keys with these top bits begin, and how many at most share them
+        tops = np.arange(len(self.filter), dtype=np.uint64) << KEY_SHIFT
+        self.first = np.searchsorted(self.keys, tops).astype(np.int32)
+        self.most = int(np.bincount((self.keys >> KEY_SHIFT).astype(np.int64), minlength=1).max())
         self.penalty = float(self.scores.min(initial=0.0)) - UNKNOWN
 
     @staticmethod
@@ -125,6 +130,13 @@ class PieceModel:
             best = best[:, -widest:]
         return step, piece
 
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is among the sorted ones, if it is one of them."""
+        at = np.minimum(self.first[keys >> KEY_SHIFT], len(self.keys) - 1)
+        for _ in range(self.most - 1):
+            at = np.minimum(at + (self.keys[at] < keys), len(self.keys) - 1)
+        return at
+
     def window(self, chars: np.ndarray, skip: int, widest: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and ids of the pieces that end after the first ``skip`` characters, by
         end place and length, the longest first: the first maximum is the longest piece."""
@@ -136,8 +148,8 @@ class PieceModel:
         for size in range(1, min(widest, n) + 1):
             found = prefix[:, size:] - prefix[:, :-size] * self.powers[size]
             row, start = np.nonzero(self.filter[found >> KEY_SHIFT])
-            keys = found[row, start]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            keys = found[row, start] * BASE
+            at = self.place(keys)
             end = start + size - skip - 1
             hit = (self.keys[at] == keys) & (end >= 0)
             at, row, end = at[hit], row[hit], end[hit]
@@ -147,7 +159,7 @@ class PieceModel:
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word; words are grouped by length and done in bounded batches."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        out: list[np.ndarray] = [np.zeros(0, "<i4")] * len(words)
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         order = np.argsort(lengths, kind="stable")
         for n in np.unique(lengths):
@@ -167,20 +179,17 @@ class PieceModel:
         if n > WINDOW:
             return [self.long_path(c, s, p) for c, s, p in zip(chars, step, piece, strict=True)]
         row, end = np.arange(m), np.full(m, n, dtype=np.int64)
-        rows, ends, ids = [], [], []
+        ends_here, ids = np.zeros((m, n + 1), dtype=bool), np.zeros((m, n + 1), dtype="<i4")
         while len(row):
             own = piece[row, end]
             start = end - step[row, end]
-            rows.append(row)
-            ends.append(end)
-            ids.append(np.where(own >= 0, own, -1 - chars[row, start].astype(np.int64)))
+            ends_here[row, end] = True
+            ids[row, end] = np.where(own >= 0, own, -1 - chars[row, start].astype(np.int64))
             row, end = row[start > 0], start[start > 0]
-        rows, ends, ids = np.concatenate(rows), np.concatenate(ends), np.concatenate(ids)
-        order = np.lexsort((ends, rows))
-        rows, ids = rows[order], ids[order]
-        cuts = np.searchsorted(rows, np.arange(m + 1))
-        found = [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        for i in np.unique(rows[ids < 0]):
+        ids = ids[ends_here]  # row by row, each in order of place
+        cuts = np.concatenate([[0], np.cumsum(ends_here.sum(axis=1))])
+        found = [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+        for i in np.unique(np.searchsorted(cuts, np.flatnonzero(ids < 0), side="right") - 1).tolist():
             found[i] = self.spelled(found[i])
         return found
 
@@ -191,7 +200,7 @@ class PieceModel:
             start = end - int(step[end])
             out.append(int(piece[end]) if piece[end] >= 0 else -1 - int(chars[start]))
             end = start
-        ids = np.frombuffer(out, dtype=np.int64)[::-1]
+        ids = np.frombuffer(out, dtype=np.int64)[::-1].astype("<i4")
         return self.spelled(ids) if (ids < 0).any() else ids
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
@@ -200,7 +209,7 @@ class PieceModel:
             [i] if i >= 0 else self.bytes[list(chr(-1 - i).encode("utf-8", "surrogatepass"))].tolist()
             for i in ids.tolist()
         ]
-        return np.array([i for part in parts for i in part], dtype=np.int64)
+        return np.array([i for part in parts for i in part], dtype="<i4")
 
     def split(self, text: str) -> list[str]:
         return WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -227,7 +236,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def make() -> tuple[PieceModel, WordCoder]:
             pieces = PieceModel(model)
-            return pieces, WordCoder(pieces.split, lambda words: [x.astype("<i4").tobytes() for x in pieces.encode_words(words)])
+            return pieces, WordCoder(pieces.split, lambda words: [x.tobytes() for x in pieces.encode_words(words)])
 
         pieces, coder = per_process(f"pieces:{model}", make)
         for batch in batches:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public = pytest.importorskip("public_tokenizers")
@@ -123,3 +124,26 @@ def test_one_object_a_process():
     make = lambda: made.append(1) or len(made)
     assert per_process("a", make) == per_process("a", make) == 1
     assert per_process("b", make) == 2 and per_process("a", make) == 3
+
+
+def test_a_key_is_found_in_few_steps():
+    public = pytest.importorskip("public_tokenizers")
+    model = pieces.PieceModel(public.path("piece_bpe_32k.model"))
+    assert model.most <= 8  # keys of one place of the table
+    assert (model.place(model.keys) == np.arange(len(model.keys))).all()
+    other = model.keys + np.uint64(1)
+    assert (model.keys[model.place(other)] != other).all()
+
+
+def test_distinct_words_are_looked_up_once_a_call():
+    from churnlens.llm.words import by_distinct, joined
+
+    asked = []
+
+    def encode(words):
+        asked.append(words.to_pylist())
+        return pa.array([w.encode() * 2 for w in words.to_pylist()], pa.large_binary())
+
+    found = joined(by_distinct(pa.array(["a", "b", "a", "", "c", "a"], pa.large_string()), encode), np.array([2, 0, 2, 2]))
+    assert found.to_pylist() == [b"aabb", b"", b"aa", b"ccaa"] and asked == [["a", "b", "", "c"]]
+    assert joined(pa.array([b"", b""], pa.large_binary()), np.array([1, 1])).to_pylist() == [b"", b""]
