@@ -19,12 +19,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import WORD, bound_batches, shared_root, shared_table, utf8_crc32
-from churnlens.llm.words import WordCoder, calls, per_process
+from churnlens.llm.common import BATCH_BYTES, WORD, bound_batches, shared_root, shared_table, utf8_crc32
+from churnlens.llm.words import WordCoder, by_distinct, calls, cut, joined, per_process
 
 #: Longest code, in bits (more if the alphabet needs it); block and checkpoint distances in tokens.
 LIMIT = 16
@@ -38,6 +40,12 @@ RUN_WORDS = 128
 #: Python splits at these, though they are not white space to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
+#: Latin letters that stay one letter when lowered and under NFC (so not U+0130).
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+ONE_RUN = re.compile(f"[{LETTERS}]+")
+#: Ends the last token of a word, and of no other, in word BPE files.
+WORD_END = "</w>"
+
 BLOCK_SCHEMA = (
     "file_no int, block_no int, first_token long, n_tokens long, doc_ids array<long>, "
     "doc_tokens array<long>, checkpoints binary, payload binary"
@@ -140,6 +148,18 @@ def words_of(text: str) -> list[str]:
     return (text.lower() if plain else text).split()
 
 
+def parts_of(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words cut before ASCII signs and digits that follow a letter, in lower case where
+    that is plain, and how many parts each has. The tokenizer never joins a letter and a
+    sign after it, and what it joins after the cut does not depend on what stands before."""
+    parts = pc.replace_substring_regex(words, f"([{LETTERS}])([!-@\\[-`{{-~])", r"\1 \2")
+    plain = pc.invert(pc.match_substring_regex(words, f"[^!-~{LETTERS}]"))
+    parts = pc.if_else(plain, pc.utf8_lower(parts), parts)
+    # special tokens are taken as they stand
+    lists = pc.split_pattern(pc.if_else(pc.match_substring(words, "<|"), words, parts), " ")
+    return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
 def id_type(tokenizer: str) -> str:
     """The least unsigned type that holds all ids of a tokenizer file."""
     from tokenizers import Tokenizer
@@ -172,32 +192,59 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
 
             tok = Tokenizer.from_file(tokenizer)
             mark = tok.encode(BETWEEN, add_special_tokens=False).ids
+            vocab = tok.get_vocab()
+            ending = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+            ending[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+
+            def batch(texts: list[str]) -> Iterator[bytes]:
+                return (pack(e.ids) for e in tok.encode_batch_fast(texts, add_special_tokens=False))
+
+            def runs(rest: list[int]) -> list[list[int]]:
+                return [rest[at : at + RUN_WORDS] for at in range(0, len(rest), RUN_WORDS)]
 
             def encode(words: list[str]) -> list[bytes]:
-                """Words in runs with a word between them that only itself encodes to: fewer calls."""
-                alone = [i for i, w in enumerate(words) if len(mark) != 1 or BETWEEN in w or "<|" in w]
+                """Words in runs, fewer calls: what ends a word tells those of letters apart,
+                others have a word between them that only itself encodes to."""
                 found: dict[int, bytes] = {}
-                for i, e in zip(alone, tok.encode_batch_fast([words[i] for i in alone], add_special_tokens=False), strict=True):
-                    found[i] = pack(e.ids)
-                rest = [i for i in range(len(words)) if i not in found]
-                runs = [rest[at : at + RUN_WORDS] for at in range(0, len(rest), RUN_WORDS)]
-                texts = [f" {BETWEEN} ".join([words[i] for i in run] + [""]) for run in runs]
-                for run, e in zip(runs, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                    ids, start = pack(e.ids), 0
-                    ends = np.flatnonzero(np.frombuffer(ids, dtype=kind) == mark[0]) * size
-                    for i, end in zip(run, ends.tolist(), strict=True):
+
+                def share(run: list[int], ids: bytes, last: np.ndarray, skip: int) -> None:
+                    start = 0
+                    for i, end in zip(run, (last * size).tolist(), strict=True):
                         found[i] = ids[start:end]
-                        start = end + size
+                        start = end + skip
+
+                letters = runs([i for i, w in enumerate(words) if ONE_RUN.fullmatch(w)])
+                for run, ids in zip(letters, batch([" ".join([words[i] for i in run]) for run in letters]), strict=True):
+                    last = np.flatnonzero(ending[np.frombuffer(ids, dtype=kind)]) + 1
+                    if len(last) == len(run):
+                        share(run, ids, last, 0)
+                rest = [i for i in range(len(words)) if i not in found]
+                alone = [i for i in rest if len(mark) != 1 or BETWEEN in words[i] or "<|" in words[i]]
+                found |= zip(alone, batch([words[i] for i in alone]), strict=True)
+                rest = runs([i for i in rest if i not in found])
+                texts = [f" {BETWEEN} ".join([words[i] for i in run] + [""]) for run in rest]
+                for run, ids in zip(rest, batch(texts), strict=True):
+                    share(run, ids, np.flatnonzero(np.frombuffer(ids, dtype=kind) == mark[0]), size)
                 return [found[i] for i in range(len(words))]
 
-            return encode
+            # this kind of tokenizer drops white space and joins nothing across it, so the
+            # ids of a text are those of its words, and theirs those of their parts
+            known = WordCoder(words_of, encode)
+
+            def of_words(words: pa.Array) -> pa.Array:
+                parts, counts = parts_of(words)
+                return joined(by_distinct(parts, known.packed), counts)
+
+            def of_texts(texts: list[str]) -> list[bytes]:
+                words, counts = cut(texts, words_of)
+                return joined(by_distinct(words, of_words), counts).to_numpy(zero_copy_only=False).tolist()
+
+            return of_texts
 
-        # this kind of tokenizer drops white space and joins nothing across it,
-        # so the ids of a text are those of its words
-        coder = WordCoder(words_of, per_process(f"tokens:{tokenizer}", make))
+        coder = per_process(f"tokens:{tokenizer}", make)
         end = pack([end_id])
         for batch in batches:
-            out = [ids + end for call in calls(batch["t"].tolist()) for ids in coder(call)]
+            out = [ids + end for call in calls(batch["t"].tolist(), BATCH_BYTES) for ids in coder(call)]
             yield pd.DataFrame(
                 {"id": batch["id"], "crc": batch["crc"], "n": [len(x) // len(end) for x in out], "ids": out}
             )

@@ -79,3 +79,22 @@ def test_token_files(spark, documents, nothing, monkeypatch):
     target = huffman.new_path(spark)
     huffman.write_token_files(nothing, target, path, end_id=2)
     assert huffman.read_token_files(spark, target).count() == 0
+
+
+def test_words_are_cut_where_the_tokenizer_cuts():
+    public = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(3)
+    signs = ["a", "B", "é", "É", "İ", "ı", "ß", "ẞ", "'", "'s", "'ll", ".", "...", "5", "²", "ª", "́", "_", "—", "Σ", "Ÿ", "Ɓ", "|", "<"]
+    words = ["".join(rng.choice(signs, n)) for n in rng.integers(1, 9, 4000)] + ["a<|endoftext|>.b", "X<|ENDOFTEXT|>."]
+    parts, counts = huffman.parts_of(pa.array(words, pa.large_string()))
+    parts, at = parts.to_pylist(), np.cumsum([0, *counts]).tolist()
+    for word, a, b in zip(words, at, at[1:], strict=False):
+        ids = [i for part in parts[a:b] for i in tok.encode(part, add_special_tokens=False).ids]
+        assert ids == tok.encode(word, add_special_tokens=False).ids, word
+    # so words that differ in case and in signs after them share what is encoded
+    parts, _ = huffman.parts_of(pa.array(["Überall", "überall,", "ÜBERALL..."], pa.large_string()))
+    assert parts.to_pylist() == ["überall", "überall", ",", "überall", "..."]
