@@ -20,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of one Arrow batch of rows on their way to or from Python.
 BATCH_BYTES = 4 << 20
+#: The same where a task works on less at once and so gains nothing from more.
+SMALL_BATCH_BYTES = 1 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Rows of a few numbers, and words of text, in one file of a shared table.
@@ -31,14 +33,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Send whole texts to Python in batches of BATCH_BYTES, unless the session was started with another bound.
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Send whole texts to Python in batches of ``size`` bytes, unless the session was started with another bound.
 
     By default a batch has 10,000 rows and no useful bound in bytes, and a
     worker holds it several times over.
     """
     if not spark.sparkContext.getConf().contains(BATCH_SETTING):
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+        spark.conf.set(BATCH_SETTING, str(size))
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -32,14 +32,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import bound_batches, shared_table, shuffle_width
+from churnlens.llm.common import SMALL_BATCH_BYTES, bound_batches, shared_table, shuffle_width
 from churnlens.llm.components import components
 from churnlens.llm.shingles import set_digest, shingle_sets
-from churnlens.llm.words import calls
+from churnlens.llm.words import calls, forget
 
 #: Similarity as a fraction, and words of a shingle.
 SIMILAR = (9, 10)
 SHINGLE = 3
+#: Characters shingled at once: numpy takes some 50 bytes for each.
+SHINGLE_CHARS = 1 << 18
 #: Short lists a candidate must be on.
 NEED = 2
 #: Lists longer than this are probed, not merged, where NEED allows.
@@ -163,9 +165,10 @@ def describe_sets(texts: DataFrame, size: int) -> DataFrame:
     task the slices (slice, counts) of its sketch of shingle frequencies."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in batches:
-            sets = [s for call in calls(batch["text"].tolist()) for s in shingle_sets(call, size)]
+            sets = [s for call in calls(batch["text"].tolist(), SHINGLE_CHARS) for s in shingle_sets(call, size)]
             for at in range(0, len(sets), 256):
                 some = np.concatenate([np.zeros(0, np.uint64), *sets[at : at + 256]])
                 np.add.at(sketch, (some >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
@@ -223,9 +226,10 @@ def short_lists(texts: DataFrame, sketch: np.ndarray, limit: Threshold, size: in
     shared = spark.sparkContext.broadcast(sketch.astype(np.int32))  # 16 MB, a fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         counts = shared.value
         for batch in batches:
-            sets = [s for call in calls(batch["text"].tolist()) for s in shingle_sets(call, size)]
+            sets = [s for call in calls(batch["text"].tolist(), SHINGLE_CHARS) for s in shingle_sets(call, size)]
             rows = []
             for doc_id, s in zip(batch["doc_id"].astype("Int64"), sets, strict=True):
                 need = limit.required(len(s))
@@ -256,6 +260,7 @@ def occurrence_search(partners: DataFrame, limit: Threshold) -> DataFrame:
     """Candidates (a, b) from rows (node, n, lists): DivideSkip on each row's lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             a, b = [], []
             for node, n, lists in zip(batch["node"], batch["n"], batch["lists"], strict=True):
@@ -336,13 +341,14 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: Threshold, size: int) ->
     """The pairs that reach the required overlap, by probing the sorted sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
                 known: dict[int, np.ndarray] = {}
                 for node, text in (("a", "ta"), ("b", "tb")):
                     new = {k: t for k, t in zip(part[node], part[text], strict=True) if k not in known}
-                    sets = [s for call in calls(list(new.values())) for s in shingle_sets(call, size)]
+                    sets = [s for call in calls(list(new.values()), SHINGLE_CHARS) for s in shingle_sets(call, size)]
                     known |= dict(zip(new, sets, strict=True))
                 good = [limit.links(known[a], known[b]) for a, b in zip(part["a"], part["b"], strict=True)]
                 yield part.loc[good, ["a", "b"]]
@@ -424,7 +430,7 @@ def similar_components(
     without an id get the component of their class, null if no row of it has
     one. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     limit = Threshold(*similar)
     texts = _texts(docs, id_col, text_col)
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):

@@ -17,10 +17,11 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import own_name, shared_table, utf8_crc32, word_count
+from churnlens.llm.common import arrow_schema, own_name, shared_table, utf8_crc32, word_count
 
 WEIGHTS = (5, 2, 1)
 #: Largest multiple of its size that a source may be used.
@@ -158,6 +159,17 @@ def schedule_table(spark, plan: Schedule) -> DataFrame:
     )
 
 
+def source_table(spark, sources: list[Source]) -> DataFrame:
+    """A row of numbers per source, sent as Arrow: rows of plain Python would start further workers on the executors."""
+    kind = "source_no int, __name string, source_size long, target double, block_words long, __buckets long"
+    columns = zip(
+        *[(i, s.name, s.words, float(s.target), s.block_words, 1 + s.rows // BUCKET_ROWS) for i, s in enumerate(sources)],
+        strict=True,
+    )
+    schema = arrow_schema(kind)
+    return spark.createDataFrame(pa.table(list(columns) or [[]] * len(schema), schema=schema), kind)
+
+
 @dataclass(frozen=True)
 class Mix:
     """``rows``: id, source_no, size, text_crc32, start (place in the source's
@@ -222,13 +234,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stats = slim.groupBy("__source").agg(F.count(F.lit(1)), F.sum("size")).collect()
     sources = plan_sources([tuple(r) for r in stats])
     spark = docs.sparkSession
-    named = spark.createDataFrame(
-        [
-            (i, s.name, s.words, float(s.target), s.block_words, 1 + s.rows // BUCKET_ROWS)
-            for i, s in enumerate(sources)
-        ],
-        "source_no int, __name string, source_size long, target double, block_words long, __buckets long",
-    )
+    named = source_table(spark, sources)
     keyed = (
         slim.join(named, F.col("__source").eqNullSafe(F.col("__name")))
         .withColumn("__bucket", F.pmod("__h", "__buckets"))

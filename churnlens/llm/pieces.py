@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import bound_batches
+from churnlens.llm.common import SMALL_BATCH_BYTES, bound_batches
 from churnlens.llm.words import WordCoder, calls, per_process, spread
 
 SPACE = "▁"
@@ -248,7 +248,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                 back = [pieces.decode(x) == t for x, t in zip(found, call, strict=True)]
                 yield pd.DataFrame({id_col: ids, "ids": found, "round_trip": back})
 
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(id_col, text.alias("__t"))

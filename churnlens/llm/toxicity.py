@@ -25,8 +25,8 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import bound_batches, shared_table
-from churnlens.llm.words import calls
+from churnlens.llm.common import SMALL_BATCH_BYTES, bound_batches, shared_table
+from churnlens.llm.words import calls, forget
 
 #: Labelled rows that models are fitted on, at most (those of smallest id hash).
 TRAIN_ROWS = 30_000
@@ -84,6 +84,7 @@ def learn_lexicon(train: DataFrame) -> dict[str, float]:
     """Word beginnings with their log odds, from (text, toxic) rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         texts, uses = Counter(), (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
@@ -192,6 +193,7 @@ class Featurizer:
 def features_udf(lexicon: dict[str, float]):
     @F.pandas_udf("array<double>")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         of = Featurizer(lexicon)
         for batch in batches:
             rows = [row for call in calls(batch.tolist()) for row in of(call)]
@@ -211,7 +213,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, text_col: str = "text", name: str = "score") -> DataFrame:
         """``docs`` with a score in [0, 1]; a null text counts as empty."""
-        bound_batches(docs.sparkSession)
+        bound_batches(docs.sparkSession, SMALL_BATCH_BYTES)
         if self.trees is None:
             return docs.withColumn(name, F.lit(self.share))
         text = F.coalesce(F.col(text_col), F.lit(""))
@@ -235,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     equal texts count once. Null ids and labels are not used; of repeated
     labels the larger counts.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     usable = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col(id_col)))
     chosen = (
         usable.groupBy(id_col)

@@ -29,6 +29,13 @@ def per_process(key: str, make: Callable[[], object]):
     return kept.value
 
 
+def forget() -> None:
+    """Drop what tasks of other operators left in this worker process."""
+    kept = sys.modules.get(PROCESS)
+    if kept is not None:
+        kept.key, kept.value = None, None
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of each (start, length) range, one after the other."""
     ends = np.cumsum(lengths)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +16,7 @@ from hypothesis import strategies as st
 from churnlens.llm import jaccard_join as jj
 from churnlens.llm import shingles
 from churnlens.llm.components import components
+from churnlens.llm.words import PROCESS, per_process
 
 
 def shingle_set(text, size=3):
@@ -157,3 +161,26 @@ def test_later_rounds_join_a_node_once(spark):
     plan = named._jdf.queryExecution().optimizedPlan().toString()
     # lists are only spread after the join, which sees an aggregate by node
     assert plan.index("Generate") < plan.index("Join") < plan.index("Aggregate [node")
+
+
+class TaskOf:
+    """Stands for a DataFrame and gives back the function that its tasks would run."""
+
+    def mapInPandas(self, run, schema):
+        return run
+
+
+def test_tasks_keep_little_memory():
+    per_process("words of another operator", lambda: ["word"] * 10)
+    text = " ".join(f"w{i % 5000}" for i in range(20_000))
+    batch = pd.DataFrame({"doc_id": range(30), "text": [text] * 30})
+    describe = jj.describe_sets(TaskOf(), 5)
+    tracemalloc.start()
+    try:
+        rows = list(describe(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] - 4 * (1 << jj.SKETCH_BITS)
+    finally:
+        tracemalloc.stop()
+    assert len(rows[0]) == 30 and rows[0]["n"].tolist() == [len(shingle_set(text, 5))] * 30
+    assert sys.modules[PROCESS].key is None and sys.modules[PROCESS].value is None
+    assert peak < 40 << 20

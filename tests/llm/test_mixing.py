@@ -131,3 +131,13 @@ def test_many_small_sources_hold_the_whole():
 def test_an_id_named_like_a_result_column_raises(documents):
     with pytest.raises(ValueError, match="rename the id"):
         mixing.mix_sources(documents([(1, "a", "en", "a")]).drop("size").withColumnRenamed("doc_id", "size"), "size")
+
+
+def test_the_sources_need_no_python_workers(spark):
+    sources = mixing.plan_sources([("b", 1200, 10), (None, 1, 5), ("a", 3, 0)])
+    table = mixing.source_table(spark, sources)
+    assert "ExistingRDD" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert [r[:3] for r in table.orderBy("source_no").collect()] == [(0, "a", 0), (1, "b", 10), (2, None, 5)]
+    assert [r[5] for r in table.orderBy("source_no").collect()] == [1, 3, 1]
+    assert mixing.source_table(spark, []).collect() == []
