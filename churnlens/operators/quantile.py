@@ -107,24 +107,26 @@ def exact_medians(df: DataFrame, cols: Sequence[str], brackets: Column | None =
         .groupBy("x.c", "x.bucket", "x.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # each slice is sorted by a task of its own; what lies before a slice is a sum over at most BUCKETS rows
-    running = Window.partitionBy("c", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.select("c", "bucket", "v", "n", F.sum("n").over(running).alias("upto"))
     before = Window.partitionBy("c").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     slices = counts.groupBy("c", "bucket").agg(F.sum("n").alias("rows"))
     bases = slices.select(
         "c",
         "bucket",
+        F.lit(None).cast("double").alias("v"),
+        F.lit(0).cast("long").alias("n"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"),
         F.sum("rows").over(Window.partitionBy("c")).alias("total"),
     )
-    ranked = upto.join(bases, ["c", "bucket"]).select(
+    # each slice is sorted by a task of its own, after a row with the sum of what lies before it (at most BUCKETS such rows)
+    running = Window.partitionBy("c", "bucket").orderBy("v", F.col("base").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    next_ = F.sum("n").over(running) + F.max("base").over(running)
+    ranked = counts.unionByName(bases, allowMissingColumns=True).select(
         "c",
         "bucket",
         "v",
-        (F.col("base") + F.col("upto") - F.col("n")).alias("first"),
-        (F.col("base") + F.col("upto")).alias("next"),
-        "total",
+        (next_ - F.col("n")).alias("first"),
+        next_.alias("next"),
+        F.max("total").over(running).alias("total"),
     )
 
     def at(rank: Column) -> Column:

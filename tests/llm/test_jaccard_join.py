@@ -183,4 +183,4 @@ def test_tasks_keep_little_memory():
         tracemalloc.stop()
     assert len(rows[0]) == 30 and rows[0]["n"].tolist() == [len(shingle_set(text, 5))] * 30
     assert sys.modules[PROCESS].key is None and sys.modules[PROCESS].value is None
-    assert peak < 40 << 20
+    assert peak < 30 << 20
