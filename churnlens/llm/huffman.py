@@ -11,41 +11,43 @@ code up per segment in a table over the next ``limit`` bits.
 from __future__ import annotations
 
 import os
-import re
 import sys
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import BATCH_BYTES, WORD, bound_batches, shared_root, shared_table, utf8_crc32
-from churnlens.llm.words import WordCoder, by_distinct, calls, cut, joined, per_process
+from churnlens.llm.common import arrow_schema, bound_batches, shared_root, shared_table, utf8_crc32
+from churnlens.llm.words import WordCoder, by_distinct, joined, per_process
 
 #: Longest code, in bits (more if the alphabet needs it); block and checkpoint distances in tokens.
 LIMIT = 16
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
+#: Ids that are counted at once.
+COUNTED_TOKENS = 1 << 20
+
+#: Bytes of text whose distinct words are looked for at once: the more, the fewer there are a byte.
+CALL_BYTES = 8 << 20
 
 #: A word that stands between words of one call, and how many there are in it.
 BETWEEN = "\x01"
 RUN_WORDS = 128
 
-#: Python splits at these, though they are not white space to the tokenizer.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
-
 #: Latin letters that stay one letter when lowered and under NFC (so not U+0130).
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
-ONE_RUN = re.compile(f"[{LETTERS}]+")
+ONE_RUN = f"^[{LETTERS}]+$"
 #: Ends the last token of a word, and of no other, in word BPE files.
 WORD_END = "</w>"
 
+TOKEN_SCHEMA = "id long, crc long, n long, ids binary"
 BLOCK_SCHEMA = (
     "file_no int, block_no int, first_token long, n_tokens long, doc_ids array<long>, "
     "doc_tokens array<long>, checkpoints binary, payload binary"
@@ -76,6 +78,10 @@ def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
     return out
 
 
+#: For arithmetic on unsigned words of 64 bits.
+_NONE, _ONE, _WORD, _WORD_BITS, _IN_WORD = (np.uint64(x) for x in (0, 1, 64, 6, 63))
+
+
 class Code:
     """Canonical code over ``symbols`` (ascending) with given lengths."""
 
@@ -88,8 +94,9 @@ class Code:
         self.codes = np.empty(len(symbols), dtype=np.int64)
         self.codes[order] = left >> (self.limit - lengths[order])
         self._order, self._step = order, step
-        self.place = np.zeros(int(symbols.max(initial=-1)) + 1, dtype=np.int64)
-        self.place[symbols] = np.arange(len(symbols))
+        size = int(symbols.max(initial=-1)) + 1
+        self._code_of, self._length_of = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.uint64)
+        self._code_of[symbols], self._length_of[symbols] = self.codes, lengths
 
     @classmethod
     def of_counts(cls, symbols: np.ndarray, counts: np.ndarray, limit: int = LIMIT) -> Code:
@@ -107,22 +114,37 @@ class Code:
 
     def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, np.ndarray]:
         """Packed bits and the bit offset of every ``stride``-th id."""
-        at = self.place[ids] if len(ids) else ids
-        length = self.lengths[at]
+        if not len(ids):
+            return b"", np.zeros(0, dtype="<u4")
+        code, length = self._code_of[ids], self._length_of[ids]
+        end = np.cumsum(length)
+        marks, bits, run = (end - length)[::stride], int(end[-1]), 1
+        while 2 * run * self.limit <= 64:  # neighbours become one code, while it fits a word
+            if len(code) % 2:
+                code, length = np.append(code, _NONE), np.append(length, _NONE)
+            code = (code[0::2] << length[1::2]) | code[1::2]
+            length = length[0::2] + length[1::2]
+            run *= 2
         end = np.cumsum(length)
         start = end - length
-        bits = int(end[-1]) if len(end) else 0
-        lanes = (self.limit + 14) // 8  # bytes that a code can reach over
-        shifted = self.codes[at] << (8 * lanes - (start & 7) - length)
-        out = np.zeros(bits // 8 + lanes + 1)
-        for lane in range(lanes):
-            out += np.bincount((start >> 3) + lane, (shifted >> (8 * (lanes - 1 - lane))) & 255, len(out))
-        return out[: (bits + 7) // 8].astype(np.uint8).tobytes(), start[::stride].astype("<u4")
+        word, room = start >> _WORD_BITS, _WORD - (start & _IN_WORD)  # bits left in the word where a code starts
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        last = np.append(first[1:], len(word)) - 1
+        # only the last code that starts in a word can reach into the next
+        fits = length <= room
+        over = np.where(fits, _NONE, length - room)
+        own = np.where(fits, code << (np.maximum(room, length) - length), code >> over)
+        out = np.zeros(bits // 64 + 2, dtype=np.uint64)
+        out[word[first]] = np.bitwise_or.reduceat(own, first)
+        last = last[over[last] > 0]
+        out[word[last] + _ONE] |= code[last] << (_WORD - over[last])
+        return out.astype(">u8").tobytes()[: (bits + 7) // 8], marks.astype("<u4")
 
 
 class Decoder:
     def __init__(self, code: Code):
-        self.symbol, self.length = code.tables()
+        symbol, self.length = code.tables()
+        self.symbol = symbol.astype(np.uint32)
         self.limit = code.limit
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int, stride: int = STRIDE) -> np.ndarray:
@@ -131,21 +153,40 @@ class Decoder:
         window = (data[:-4] << 32) | (data[1:-3] << 24) | (data[2:-2] << 16) | (data[3:-1] << 8) | data[4:]
         at = checkpoints.astype(np.int64)
         last, mask = 8 * (len(window) - 1), (1 << self.limit) - 1
-        out = np.empty((len(at), stride), dtype=np.int64)
+        out = np.empty((stride, len(at)), dtype=np.uint32)
         for j in range(min(stride, n)):
             bits = (window[at >> 3] >> (40 - self.limit - (at & 7))) & mask
-            out[:, j] = self.symbol[bits]
+            out[j] = self.symbol[bits]
             at = np.minimum(at + self.length[bits], last)
-        return out.ravel()[:n]
-
-
-def words_of(text: str) -> list[str]:
-    """Runs between white space as the tokenizer sees it; lower case where that
-    is plain, as it lowers all letters itself: fewer distinct words."""
-    if any(c in text for c in SEPARATORS):
-        return re.findall(WORD, text)
-    plain = text.isascii() and "<|" not in text  # special tokens are told apart by case
-    return (text.lower() if plain else text).split()
+        return out.T.ravel()[:n]
+
+
+def calls_of(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``size`` bytes of ``column``, which has no nulls; a longer text is a batch of its own."""
+    held, full = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch[column]).to_numpy().astype(np.int64))
+        at, done = 0, 0
+        while at < len(ends):
+            stop = min(int(np.searchsorted(ends, done + size - full)) + 1, len(ends))
+            held.append(batch.slice(at, stop - at))
+            full += int(ends[stop - 1]) - done
+            at, done = stop, int(ends[stop - 1])
+            if full >= size:
+                yield pa.concat_batches(held)
+                held, full = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def ids_of(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all values of a binary column without nulls, and how many each has."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64)
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[int(ends[0]) : int(ends[-1])]
+    return data.view(kind), np.diff(ends) // np.dtype(kind).itemsize
 
 
 def parts_of(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -178,7 +219,9 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     kind = id_type(tokenizer)
     size = np.dtype(kind).itemsize
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = arrow_schema(TOKEN_SCHEMA)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
         def pack(ids: list[int]) -> bytes:
@@ -187,7 +230,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
                 own.byteswap()
             return own.tobytes()
 
-        def make() -> Callable[[list[str]], list[bytes]]:
+        def make() -> Callable[[pa.Array, bytes], pa.Array]:
             from tokenizers import Tokenizer
 
             tok = Tokenizer.from_file(tokenizer)
@@ -196,99 +239,111 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
             ending = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
             ending[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
 
-            def batch(texts: list[str]) -> Iterator[bytes]:
-                return (pack(e.ids) for e in tok.encode_batch_fast(texts, add_special_tokens=False))
+            def batch(texts: list[str]) -> list[bytes]:
+                return [pack(e.ids) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-            def runs(rest: list[int]) -> list[list[int]]:
-                return [rest[at : at + RUN_WORDS] for at in range(0, len(rest), RUN_WORDS)]
+            def shares(words: list[str], between: str, after: str, ends: np.ndarray, skip: int) -> list[bytes]:
+                """The ids of each word, encoded in runs, fewer calls; one of the ids ``ends`` closes
+                each word, of which the last ``skip`` are not its own. Empty if their number is another."""
+                runs = range(0, len(words), RUN_WORDS)
+                data = b"".join(batch([between.join(words[at : at + RUN_WORDS]) + after for at in runs]))
+                stop = (np.flatnonzero(ends[np.frombuffer(data, dtype=kind)]) + 1) * size
+                if len(stop) != len(words):
+                    return []
+                start = np.concatenate([[0], stop])[:-1]
+                return [data[a:b] for a, b in zip(start.tolist(), (stop - skip * size).tolist(), strict=True)]
 
             def encode(words: list[str]) -> list[bytes]:
-                """Words in runs, fewer calls: what ends a word tells those of letters apart,
-                others have a word between them that only itself encodes to."""
-                found: dict[int, bytes] = {}
-
-                def share(run: list[int], ids: bytes, last: np.ndarray, skip: int) -> None:
-                    start = 0
-                    for i, end in zip(run, (last * size).tolist(), strict=True):
-                        found[i] = ids[start:end]
-                        start = end + skip
-
-                letters = runs([i for i, w in enumerate(words) if ONE_RUN.fullmatch(w)])
-                for run, ids in zip(letters, batch([" ".join([words[i] for i in run]) for run in letters]), strict=True):
-                    last = np.flatnonzero(ending[np.frombuffer(ids, dtype=kind)]) + 1
-                    if len(last) == len(run):
-                        share(run, ids, last, 0)
-                rest = [i for i in range(len(words)) if i not in found]
-                alone = [i for i in rest if len(mark) != 1 or BETWEEN in words[i] or "<|" in words[i]]
-                found |= zip(alone, batch([words[i] for i in alone]), strict=True)
-                rest = runs([i for i in rest if i not in found])
-                texts = [f" {BETWEEN} ".join([words[i] for i in run] + [""]) for run in rest]
-                for run, ids in zip(rest, batch(texts), strict=True):
-                    share(run, ids, np.flatnonzero(np.frombuffer(ids, dtype=kind) == mark[0]), size)
-                return [found[i] for i in range(len(words))]
+                """What ends a word tells those of letters apart, others have a word between them
+                that only itself encodes to."""
+                letters = pc.match_substring_regex(pa.array(words, pa.large_string()), ONE_RUN).to_numpy(zero_copy_only=False)
+                own = list(compress(words, letters))
+                found = dict(zip(own, shares(own, " ", "", ending, 0), strict=False))
+                rest = [w for w in words if w not in found]
+                alone = [w for w in rest if len(mark) != 1 or BETWEEN in w or "<|" in w]
+                found |= zip(alone, batch(alone), strict=True)
+                rest = [w for w in rest if w not in found]
+                if rest:
+                    found |= zip(rest, shares(rest, f" {BETWEEN} ", f" {BETWEEN} ", np.arange(len(ending)) == mark[0], 1), strict=True)
+                return list(map(found.__getitem__, words))
 
             # this kind of tokenizer drops white space and joins nothing across it, so the
             # ids of a text are those of its words, and theirs those of their parts
-            known = WordCoder(words_of, encode)
+            known = WordCoder(str.split, encode)
 
             def of_words(words: pa.Array) -> pa.Array:
                 parts, counts = parts_of(words)
                 return joined(by_distinct(parts, known.packed), counts)
 
-            def of_texts(texts: list[str]) -> list[bytes]:
-                words, counts = cut(texts, words_of)
-                return joined(by_distinct(words, of_words), counts).to_numpy(zero_copy_only=False).tolist()
+            def of_texts(texts: pa.Array, end: bytes) -> pa.Array:
+                lists = pc.ascii_split_whitespace(texts)
+                counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+                words = lists.flatten().dictionary_encode()
+                packed = pa.concat_arrays([of_words(words.dictionary), pa.array([end], pa.large_binary())])
+                at = np.insert(words.indices.to_numpy(), np.cumsum(counts), len(packed) - 1)
+                return joined(packed.take(pa.array(at)), counts + 1)
 
             return of_texts
 
         coder = per_process(f"tokens:{tokenizer}", make)
         end = pack([end_id])
-        for batch in batches:
-            out = [ids + end for call in calls(batch["t"].tolist(), BATCH_BYTES) for ids in coder(call)]
-            yield pd.DataFrame(
-                {"id": batch["id"], "crc": batch["crc"], "n": [len(x) // len(end) for x in out], "ids": out}
-            )
+        for call in calls_of(batches, "t", CALL_BYTES):
+            ids = coder(call["t"].cast(pa.large_string()), end)
+            n = np.diff(np.frombuffer(ids.buffers()[1], dtype=np.int64)) // size
+            yield pa.RecordBatch.from_arrays([call["id"], call["crc"], pa.array(n), ids.cast(pa.binary())], schema=schema)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), utf8_crc32(text).alias("crc"))
-    return rows.mapInPandas(run, "id long, crc long, n long, ids binary")
+    return rows.mapInArrow(run, TOKEN_SCHEMA)
 
 
 def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """(symbol, n) over all documents; one partial count per id and task."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = arrow_schema("symbol long, n long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                ids = b"".join(batch["ids"].iloc[at : at + 64])
-                seen = np.bincount(np.frombuffer(ids, dtype=kind), minlength=len(total))
+            ids = ids_of(batch["ids"], kind)[0]
+            for at in range(0, len(ids), COUNTED_TOKENS):
+                seen = np.bincount(ids[at : at + COUNTED_TOKENS], minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
         symbol = np.flatnonzero(total)
-        yield pd.DataFrame({"symbol": symbol, "n": total[symbol]})
+        yield pa.RecordBatch.from_arrays([pa.array(symbol), pa.array(total[symbol])], schema=schema)
 
-    return tokens.select("ids").mapInPandas(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+    return tokens.select("ids").mapInArrow(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
 
 
 def _blocks(code: Code, kind: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = arrow_schema(BLOCK_SCHEMA)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file_no = TaskContext.get().partitionId()
         block_no, first, held, size = 0, 0, [], 0
 
-        def block() -> pd.DataFrame:
+        def block() -> pa.RecordBatch:
             nonlocal block_no, first, held, size
-            payload, marks = code.encode(np.concatenate([x[1] for x in held]).astype(np.int64))
-            row = (
-                file_no, block_no, first, size, [x[0] for x in held], [len(x[1]) for x in held], marks.tobytes(), payload
-            )
+            payload, marks = code.encode(np.concatenate([ids for _, _, ids in held]))
+            docs, sizes = pa.concat_arrays([x[0] for x in held]), np.concatenate([x[1] for x in held])
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, pa.array(sizes))]
+            numbers, bits = [file_no, block_no, first, size], [marks.tobytes(), payload]
+            row = [*[pa.array([x]) for x in numbers], *lists, *[pa.array([x], pa.binary()) for x in bits]]
             block_no, first, held, size = block_no + 1, first + size, [], 0
-            return pd.DataFrame([row], columns=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
+            return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for doc_id, ids in zip(batch["id"].astype("Int64"), batch["ids"], strict=True):
-                held.append((None if doc_id is pd.NA else int(doc_id), np.frombuffer(ids, dtype=kind)))
-                size += len(held[-1][1])
+            ids, sizes = ids_of(batch["ids"], kind)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            at = 0
+            while at < len(sizes):
+                # up to the document that fills the block
+                stop = min(int(np.searchsorted(ends, ends[at] + BLOCK_TOKENS - size)), len(sizes))
+                # what is held must not keep the whole batch
+                held.append((batch["id"].slice(at, stop - at), sizes[at:stop], ids[ends[at] : ends[stop]].copy()))
+                size += int(ends[stop] - ends[at])
+                at = stop
                 if size >= BLOCK_TOKENS:
                     yield block()
         if held:
@@ -314,7 +369,7 @@ def write_token_files(
         [(int(s), int(n)) for s, n in zip(code.symbols, code.lengths, strict=True)], "symbol long, length int"
     ).coalesce(1).write.parquet(f"{path}/code")
     ordered = tokens.repartitionByRange("id", "crc", "n").sortWithinPartitions("id", "crc", "n")
-    ordered.select("id", "ids").mapInPandas(_blocks(code, kind), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    ordered.select("id", "ids").mapInArrow(_blocks(code, kind), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
 def read_code(spark: SparkSession, path: str) -> Code:
@@ -330,22 +385,23 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     base = {s[0]: e for s, e in zip(sizes, ends, strict=False)}
     code = read_code(spark, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = arrow_schema("id long, start long, ids binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(code)
         for batch in batches:
-            for b in batch.itertuples():
-                ids = decoder.decode(b.payload, np.frombuffer(b.checkpoints, dtype="<u4"), b.n_tokens)
-                ends = np.cumsum(np.asarray(b.doc_tokens, dtype=np.int64))
-                starts = ends - np.asarray(b.doc_tokens, dtype=np.int64)
-                yield pd.DataFrame(
-                    {
-                        "id": pd.array([None if pd.isna(x) else int(x) for x in b.doc_ids], dtype="Int64"),
-                        "start": base[b.file_no] + b.first_token + starts,
-                        "ids": [ids[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends, strict=True)],
-                    }
-                )
-
-    return blocks.mapInPandas(run, "id long, start long, ids binary")
+            for i in range(batch.num_rows):
+                b = {c: batch[c][i] for c in batch.schema.names}
+                n, payload = b["n_tokens"].as_py(), b["payload"].as_py()
+                ids = decoder.decode(payload, np.frombuffer(b["checkpoints"].as_py(), dtype="<u4"), n).astype("<u4")
+                docs, sizes = b["doc_ids"].values, b["doc_tokens"].values.to_numpy()
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                starts = base[b["file_no"].as_py()] + b["first_token"].as_py() + ends[:-1]
+                bounds = pa.py_buffer((4 * ends).astype(np.int32))
+                found = pa.Array.from_buffers(pa.binary(), len(docs), [None, bounds, pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([docs, pa.array(starts), found], schema=schema)
+
+    return blocks.mapInArrow(run, "id long, start long, ids binary")
 
 
 def token_digests(tokens: DataFrame) -> DataFrame:

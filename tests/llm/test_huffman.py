@@ -44,6 +44,47 @@ def test_round_trip(n):
     assert (huffman.Decoder(code).decode(payload, marks, n) == ids).all()
 
 
+@pytest.mark.parametrize("limit", [3, 12, 16, 17, 30, 40])
+def test_codes_are_packed_first_bit_first(limit):
+    rng = np.random.default_rng(limit)
+    symbols = np.arange(8) * 9
+    lengths = np.minimum(np.arange(1, 9), limit) if limit > 3 else np.full(8, 3)
+    lengths[-2:] = limit
+    code = huffman.Code(symbols, lengths)
+    for n in [1, 2, 3, 5, 63, 64, 257, 1000]:
+        at = rng.integers(0, 8, n)
+        bits = [format(code.codes[i], f"0{code.lengths[i]}b") for i in at]
+        payload, marks = code.encode(symbols[at].astype("<u2"))
+        plain = "".join(bits)
+        assert payload == int(plain.ljust(-(-len(plain) // 8) * 8, "0"), 2).to_bytes(-(-len(plain) // 8))
+        assert marks.tolist() == [len("".join(bits[:i])) for i in range(0, n, huffman.STRIDE)]
+
+
+def test_batches_are_gathered_so_that_words_repeat():
+    import pyarrow as pa
+
+    texts = ["aa", "b" * 9, "", "é", "c" * 25, "d", "e" * 3, "f" * 4]
+    rows = pa.table({"id": range(len(texts)), "t": texts})
+    for rows_each in (1, 3, 8):
+        calls = list(huffman.calls_of(iter(rows.to_batches(max_chunksize=rows_each)), "t", 10))
+        assert [c["id"].to_pylist() for c in calls] == [[0, 1], [2, 3, 4], [5, 6, 7]], rows_each
+        assert [x for c in calls for x in c["t"].to_pylist()] == texts
+    assert list(huffman.calls_of(iter([]), "t", 10)) == []
+
+
+def test_token_files_without_words_of_letters(spark, documents):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path, target = public.path("word_bpe_49k.json"), huffman.new_path(spark)
+    rows = [(1, "12 5, ...\x0b7\x0c.", "en", "a"), (2, "\u2028 \xa0\x85 9", "en", "a"), (3, " \t", "en", "a")]
+    huffman.write_token_files(documents(rows).coalesce(1), target, path, end_id=2)
+    tok = Tokenizer.from_file(path)
+    found = huffman.read_token_files(spark, target).orderBy("id").collect()
+    want = [[*tok.encode(r[1], add_special_tokens=False).ids, 2] for r in rows]
+    assert [np.frombuffer(r["ids"], dtype="<u4").tolist() for r in found] == want
+
+
 def test_token_files(spark, documents, nothing, monkeypatch):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
