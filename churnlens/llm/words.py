@@ -85,20 +85,21 @@ class WordCoder:
     def packed(self, distinct: pa.Array) -> pa.Array:
         """The packed ids of distinct words."""
         words = distinct.to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(self.known.get, words))
-        missing = [word for word, x in zip(words, ids, strict=True) if x is None]
-        if missing and len(self.known) + len(missing) > KEPT_WORDS // 2 and self.known:
+        missing = [w for w in words if w not in self.known]
+        if len(self.known) + len(missing) > KEPT_WORDS // 2 and self.known:
             self.older, self.known = self.known, {}
             missing = words
-        if missing:
-            self._learn(missing)
-            ids = list(map(self.known.__getitem__, words))
-        return pa.array(ids, pa.large_binary())
+        self._learn(missing)
+        return pa.array(list(map(self.known.__getitem__, words)), pa.large_binary())
 
     def _learn(self, missing: list[str]) -> None:
-        found = list(map(self.older.get, missing))
-        self.known.update((word, x) for word, x in zip(missing, found, strict=True) if x is not None)
-        new = [word for word, x in zip(missing, found, strict=True) if x is None]
+        new = []
+        for word in missing:
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.known[word] = ids
         for at in range(0, len(new), NEW_WORDS):
             some = new[at : at + NEW_WORDS]
             self.known.update(zip(some, self.encode(some), strict=True))
